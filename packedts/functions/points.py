@@ -35,6 +35,12 @@ MAX_PACKED_SECONDS = 3600  # fixed value of the format
 
 # (flag nibble of the point qualifier) -> big-endian numpy type; fixed values.
 POINT_TYPES = {0: ">i1", 1: ">i2", 3: ">i4", 7: ">i8", 11: ">f4", 15: ">f8"}
+KNOWN_KINDS = np.isin(np.arange(16), list(POINT_TYPES))
+
+
+# Cells are split in runs of about this many value bytes, which keeps the
+# working arrays small however large the Arrow batch is.
+CHUNK_BYTES = 1 << 19
 
 
 def _bytes_and_bounds(column):
@@ -43,85 +49,134 @@ def _bytes_and_bounds(column):
     _, offsets, data = column.buffers()
     bounds = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1]
     data = np.frombuffer(data, np.uint8) if data is not None else np.empty(0, np.uint8)
-    # Padding lets reads at the very end of the batch stay inside the buffer.
-    return np.concatenate([data, np.zeros(10, np.uint8)]), bounds[:-1], bounds[1:]
+    # Padding lets reads at the very end stay inside the buffer.
+    return np.concatenate([data[bounds[0] : bounds[-1]], np.zeros(10, np.uint8)]), bounds - bounds[0]
 
 
-def _append_starts(data, start, end, rows):
-    """Where each point of the given append cells starts, and points per cell."""
-    data = data.tobytes()
-    starts, counts = [], []
-    for position, stop in zip(start[rows].tolist(), end[rows].tolist()):
-        before = len(starts)
-        while position < stop:
-            starts.append(position)
-            position += 3 + (data[position + 1] & 7)
-        counts.append(len(starts) - before)
-    return np.array(starts, np.int64), np.array(counts, np.int64)
+def _gather(data, positions, dtype):
+    """Values of a big-endian type that start at the given byte positions."""
+    size = np.dtype(dtype).itemsize
+    return np.lib.stride_tricks.sliding_window_view(data, size)[positions].view(dtype).ravel()
 
 
-def split_batch(qualifier, value, is_append):
-    """Points of each cell as struct<points, error>, same length as the input."""
-    cells = len(qualifier)
-    q_data, q_start, q_end = _bytes_and_bounds(qualifier)
-    v_data, v_start, v_end = _bytes_and_bounds(value)
-    is_append = is_append.to_numpy(zero_copy_only=False).astype(bool)
+def _ordinals(counts):
+    """0, 1, 2, ... within each of the runs."""
+    ends = np.cumsum(counts)
+    return np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - counts, counts)
 
-    counts = np.where(is_append, 0, (q_end - q_start) // 2)
+
+def _append_starts(data, start, end):
+    """Where each point of the append cells starts, and points per cell.
+
+    Cells whose points are all as wide as the first take one vector pass; the
+    others are walked point by point.
+    """
+    step = 3 + (data[start + 1] & 7).astype(np.int64)
+    counts = -((start - end) // step)
+    row = np.repeat(np.arange(len(start)), counts)
+    starts = start[row] + step[row] * _ordinals(counts)
+    mixed = np.unique(row[(data[starts + 1] & 7) + 3 != step[row]])
+    if not len(mixed):
+        return starts, counts
+    raw = data.tobytes()
+    walked = []
+    for index, position, stop in zip(mixed.tolist(), start[mixed].tolist(), end[mixed].tolist()):
+        before = len(walked)
+        while position < stop:
+            walked.append(position)
+            position += 3 + (raw[position + 1] & 7)
+        counts[index] = len(walked) - before
+    uniform = np.ones(len(start), bool)
+    uniform[mixed] = False
+    kept = starts[uniform[row]]
+    in_walked = ~np.repeat(uniform, counts)
+    starts = np.empty(len(in_walked), np.int64)
+    starts[in_walked] = walked
+    starts[~in_walked] = kept
+    return starts, counts
+
+
+def _split_chunk(q_data, q_bounds, v_data, v_bounds, is_append):
+    """Points per cell, their offsets and values, and the error code per cell."""
+    q_start, v_start, v_end = q_bounds[:-1], v_bounds[:-1], v_bounds[1:]
+    counts = np.where(is_append, 0, np.diff(q_bounds) // 2)
     append_rows = np.flatnonzero(is_append)
     if len(append_rows):
-        append_starts, counts[append_rows] = _append_starts(v_data, v_start, v_end, append_rows)
-    bounds = np.concatenate([[0], np.cumsum(counts)])
-    total = int(bounds[-1])
-
-    cell = np.repeat(np.arange(cells), counts)
-    ordinal = np.arange(total) - bounds[cell]
-    in_append = is_append[cell]
+        append_starts, counts[append_rows] = _append_starts(v_data, v_start[append_rows], v_end[append_rows])
+    cell = np.repeat(np.arange(len(counts)), counts)
+    ends = np.cumsum(counts)
+    first = np.repeat(ends - counts, counts)
+    ordinal = np.arange(len(cell)) - first
 
     # Read every point's own qualifier: offset, flag nibble, width.
-    at = q_start[cell] + 2 * ordinal
-    flags = (q_data[at[~in_append]].astype(np.int32) << 8) | q_data[at[~in_append] + 1]
-    point = np.empty(total, np.int32)
-    point[~in_append] = flags
     if len(append_rows):
-        point[in_append] = (v_data[append_starts].astype(np.int32) << 8) | v_data[append_starts + 1]
-    offset, kind, width = point >> 4, point & 15, (point & 7) + 1
+        in_append = is_append[cell]
+        point = np.empty(len(cell), ">u2")
+        point[in_append] = _gather(v_data, append_starts, ">u2")
+        point[~in_append] = _gather(q_data, (q_start[cell] + 2 * ordinal)[~in_append], ">u2")
+    else:
+        point = _gather(q_data, q_start[cell] + 2 * ordinal, ">u2")
+    point = point.astype(np.int32)
+    offset, kind = point >> 4, point & 15
+    width = (point & 7) + 1
 
     # Start of each value: running width within the cell, or behind its qualifier.
     running = np.cumsum(width, dtype=np.int64) - width
-    first = bounds[:-1][cell]
-    position = v_start[cell] + running - (running[first] if total else 0)
+    position = v_start[cell] + running - running[first]
     if len(append_rows):
         position[in_append] = append_starts + 2
-    value_end = position + width
-
-    # Later assignments win, so the first check a reader would trip over comes last.
-    fault = np.zeros(total, np.int8)
-    fault[value_end > v_end[cell]] = SHORT_ERROR
-    fault[~np.isin(kind, list(POINT_TYPES))] = WIDTH_ERROR
-    fault[in_append & (position > v_end[cell])] = SHORT_ERROR
-    fault[~in_append & (offset > MAX_PACKED_SECONDS)] = OFFSET_ERROR
-    faulty = np.flatnonzero(fault)
-    error = np.zeros(cells, np.int32)
+    value_end, limit = position + width, v_end[cell]
+
+    # Checks in reverse order of precedence: the one a reader trips over first wins.
+    fault = np.where(value_end > limit, np.int8(SHORT_ERROR), np.int8(0))
+    fault[~KNOWN_KINDS[kind]] = WIDTH_ERROR
+    too_far = offset > MAX_PACKED_SECONDS
+    if len(append_rows):
+        fault[in_append & (position > limit)] = SHORT_ERROR
+        too_far &= ~in_append
+    fault[too_far] = OFFSET_ERROR
+
+    error = np.zeros(len(counts), np.int32)
     # A packed cell with points must be used up, but for a zero byte after several.
     packed = np.flatnonzero(~is_append & (counts > 0))
-    used = value_end[bounds[packed + 1] - 1]
-    trailer = counts[packed] > 1
-    rest_ok = (used == v_end[packed] - trailer) & (~trailer | (v_data[np.minimum(used, len(v_data) - 1)] == 0))
-    error[packed[~rest_ok]] = LEFTOVER_ERROR
-    bad_cells, first_fault = np.unique(cell[faulty], return_index=True)
-    error[bad_cells] = fault[faulty[first_fault]]
-
-    decoded = np.zeros(total, np.float64)
-    for code, dtype in POINT_TYPES.items():
-        rows = np.flatnonzero((kind == code) & (fault == 0))
-        if len(rows):
-            size = (code & 7) + 1
-            raw = v_data[position[rows][:, None] + np.arange(size)]
-            decoded[rows] = np.ascontiguousarray(raw).view(dtype).ravel()
+    used = value_end[ends[packed] - 1]
+    several = counts[packed] > 1
+    last_byte = v_data[np.minimum(used, len(v_data) - 1)]
+    complete = (used == v_end[packed] - several) & (~several | (last_byte == 0))
+    error[packed[~complete]] = LEFTOVER_ERROR
+    faulty = np.flatnonzero(fault)
+    bad_cells, earliest = np.unique(cell[faulty], return_index=True)
+    error[bad_cells] = fault[faulty[earliest]]
 
+    decoded = np.zeros(len(cell), np.float64)
+    kinds = np.unique(kind)
+    for code in kinds.tolist():
+        if code in POINT_TYPES:
+            rows = slice(None) if len(kinds) == 1 and not len(faulty) else np.flatnonzero((kind == code) & (fault == 0))
+            decoded[rows] = _gather(v_data, position[rows], POINT_TYPES[code])
+    return counts, offset, decoded, error
+
+
+def split_batch(qualifier, value, is_append):
+    """Points of each cell as struct<points, error>, same length as the input."""
+    q_data, q_bounds = _bytes_and_bounds(qualifier)
+    v_data, v_bounds = _bytes_and_bounds(value)
+    is_append = is_append.to_numpy(zero_copy_only=False).astype(bool)
+    parts = []
+    row, rows = 0, len(is_append)
+    while row < rows or not parts:
+        stop = max(row + 1, int(np.searchsorted(v_bounds, v_bounds[row] + CHUNK_BYTES, "right")) - 1)
+        stop = min(stop, rows)
+        q, v = q_bounds[row : stop + 1], v_bounds[row : stop + 1]
+        parts.append(
+            _split_chunk(
+                q_data[q[0] : q[-1] + 10], q - q[0], v_data[v[0] : v[-1] + 10], v - v[0], is_append[row:stop]
+            )
+        )
+        row = stop
+    counts, offset, decoded, error = (np.concatenate(column) for column in zip(*parts))
     points = pa.ListArray.from_arrays(
-        pa.array(bounds, pa.int32()),
+        pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32()),
         pa.StructArray.from_arrays([pa.array(offset), pa.array(decoded)], ["offset", "value"]),
     )
     messages = pa.array(ERRORS).take(pa.array(error, mask=error == 0))
