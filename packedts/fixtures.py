@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from packedts.functions.packing import pack_points
+from packedts.operators.lookup import lookup
 from packedts.schemas import POINT_FAMILY, UID_FAMILY
 
 BLOCK = 3600
@@ -107,8 +108,10 @@ def event_cells(events: DataFrame, *, id_size: int = 4, encoding: str = "float64
         F.sort_array(F.collect_list(F.struct((F.col("second") - F.col("hour")).cast("int").alias("offset"), "event_id", "value"))).alias("points"),
     )
     points = F.transform("points", lambda p: F.struct(p["offset"].alias("offset"), p["value"].alias("value")))
+    ids = metric_ids(events)
+    size = ids.agg(F.sum(F.octet_length("event_type") + 48).alias("n")).first()["n"] or 0
     return (
-        groups.join(F.broadcast(metric_ids(events)), "event_type")
+        lookup(groups, ids, ["event_type"], size)
         .withColumn("packed", pack_points(points, F.col("bot") == 1, encoding))
         .select(
             row_key(id_size).alias("row_key"),

@@ -10,11 +10,18 @@ BROADCAST_BYTES = 64 << 20
 
 # A key with more than 1/n of all rows counts as hot. At most n keys can be,
 # so the hot part of a lookup table is bounded by n rows.
-HOT_SHARES = (100_000, 10_000, 1_000, 100)
-
-
-def lookup(facts: DataFrame, table: DataFrame, on: list[str], size: int, limit: int = BROADCAST_BYTES,
-           hot: Column | None = None, how: str = "left") -> DataFrame:
+HOT_SHARES = (100_000, 10_000, 1_000, 100, 10)
+
+
+def lookup(
+    facts: DataFrame,
+    table: DataFrame,
+    on: list[str],
+    size: int,
+    limit: int = BROADCAST_BYTES,
+    hot: Column | None = None,
+    how: str = "left",
+) -> DataFrame:
     """Join ``facts`` to ``table``, which has unique keys ``on`` and ``size`` bytes.
 
     Small tables are broadcast and ``facts`` does not move. For larger ones,
@@ -35,9 +42,8 @@ def hot_above(table: DataFrame, weight: str, size: str, limit: int = BROADCAST_B
     """Weight above which keys are hot: as low as a broadcast of them allows."""
     total = table.agg(F.coalesce(F.sum(weight), F.lit(0)).alias("t")).first()["t"]
     cuts = [total // share for share in HOT_SHARES]
-    sizes = table.agg(
-        *[F.coalesce(F.sum(F.when(F.col(weight) > cut, F.col(size))), F.lit(0)).alias(f"c{i}") for i, cut in enumerate(cuts)]
-    ).first()
+    hot_sizes = [F.sum(F.when(F.col(weight) > cut, F.col(size)).otherwise(0)) for cut in cuts]
+    sizes = table.agg(*[F.coalesce(hot_size, F.lit(0)) for hot_size in hot_sizes]).first()
     for cut, bytes_ in zip(cuts, sizes):
         if bytes_ <= limit:
             return cut

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from packedts.operators.cellparts import has_key_shape, is_point_family, series_key, series_metric_id, series_tag_ids
@@ -109,14 +109,18 @@ class SeriesTable:
     hot: Column | None = None
 
     @staticmethod
-    def measured(rows: DataFrame, limit: int) -> SeriesTable:
-        size = rows.agg(F.coalesce(F.sum("_size"), F.lit(0)).alias("n")).first()["n"]
+    def of(rows: DataFrame, size: int, limit: int) -> SeriesTable:
         if size <= limit:
             return SeriesTable(rows, size, limit)
         return SeriesTable(rows, size, limit, F.col("cells") > hot_above(rows, "cells", "_size", limit))
 
     def where(self, predicate: Column) -> SeriesTable:
-        return SeriesTable.measured(self.rows.filter(predicate), self.limit)
+        """The series that satisfy a predicate on their names."""
+        rows = self.rows.filter(predicate)
+        if self.bytes <= self.limit:
+            return SeriesTable(rows, self.bytes, self.limit)
+        size = rows.agg(F.coalesce(F.sum("_size"), F.lit(0)).alias("n")).first()["n"]
+        return SeriesTable.of(rows, size, self.limit)
 
     def attach(self, cells: DataFrame, how: str = "left") -> DataFrame:
         """Cells (with ``series_key``) and the names of their series."""
@@ -131,7 +135,9 @@ def build_series(cells: DataFrame, uids: DataFrame, id_size: int = 4, limit: int
     keys = series_keys(cells, id_size)
     if max(uid_bytes.values()) > limit:
         # The keys are read several times below: once over the cells is enough.
-        keys = _stored(keys, scratch_path(spark, "series-keys"))
+        path = scratch_path(spark, "series-keys")
+        keys.write.parquet(path)
+        keys = spark.read.schema(keys.schema).parquet(path)
     rows = name_series(keys, uids, id_size, uid_bytes, limit)
     size = F.aggregate(
         F.map_entries("tags"),
@@ -140,9 +146,7 @@ def build_series(cells: DataFrame, uids: DataFrame, id_size: int = 4, limit: int
     )
     for column in ("series_key", "metric", "power_sign"):
         size = size + F.coalesce(F.octet_length(column), F.lit(0))
-    return SeriesTable.measured(_stored(rows.withColumn("_size", size), scratch_path(spark, "series")), limit)
-
-
-def _stored(rows: DataFrame, path: str) -> DataFrame:
-    rows.write.parquet(path)
-    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+    rows = rows.withColumn("_size", size)
+    path, written = scratch_path(spark, "series"), Observation()
+    rows.observe(written, F.sum("_size").alias("bytes")).write.parquet(path)
+    return SeriesTable.of(spark.read.schema(rows.schema).parquet(path), written.get["bytes"] or 0, limit)

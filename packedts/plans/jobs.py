@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from datetime import datetime
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
 from packedts.operators.counts import count_points, row_count
-from packedts.operators.decode import decode_points
+from packedts.operators.decode import by_time, decode_points
 from packedts.operators.dedupe import dedupe_slice, plan_slices, slice_table
 from packedts.operators.dictionary import read_uids
 from packedts.operators.search import find_files
@@ -25,6 +26,8 @@ class ConvertOptions:
     fanout: bool = False
     limit_gb: int = 0
     dry_run: bool = False
+    exact_order: bool = False
+    partitions: int | None = None
     format: str = "parquet"
     bare_names_only: bool = False
 
@@ -52,7 +55,11 @@ def _uids(spark: SparkSession, options: ConvertOptions | SearchOptions) -> DataF
 def convert(spark: SparkSession, options: ConvertOptions) -> int | None:
     """Decode a cell table and replace the output table with its points.
 
-    A dry run decodes and checks everything, writes nothing and returns the count.
+    The table is partitioned by day and every file is sorted by time. Files next
+    to each other may overlap by up to ``MAX_OFFSET`` seconds, because the cells
+    are put in time order before they are split; ``exact_order`` sorts the points
+    themselves instead, which shuffles many times the bytes. A dry run decodes and
+    checks everything, writes nothing and returns the count.
     """
     cells = read_cells(
         spark,
@@ -61,10 +68,14 @@ def convert(spark: SparkSession, options: ConvertOptions) -> int | None:
         limit_gb=options.limit_gb,
         bare_names_only=options.bare_names_only,
     )
-    points = decode_points(cells, _uids(spark, options), options.id_size)
+    arranged = not (options.dry_run or options.fanout or options.exact_order)
+    arrange = partial(by_time, id_size=options.id_size, partitions=options.partitions) if arranged else None
+    points = decode_points(cells, _uids(spark, options), options.id_size, arrange=arrange)
     if options.dry_run:
         return row_count(points).first()["points"]
-    replace_points(points, options.output_table, fanout=options.fanout)
+    replace_points(
+        points, options.output_table, fanout=options.fanout, arranged=arranged, partitions=options.partitions
+    )
     return None
 
 

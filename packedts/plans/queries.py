@@ -135,8 +135,11 @@ def q_decode_id3(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_decode_without_broadcast(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same points by the plans for lookup tables too large to broadcast."""
-    return _flat(_points(spark, sf_dir, broadcast_bytes=0))
+    """The same points by the plans for lookup tables too large to broadcast.
+
+    The bound is set between the sizes of the small dictionaries and the others.
+    """
+    return _flat(_points(spark, sf_dir, broadcast_bytes=300))
 
 
 def q_uid_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -277,6 +280,18 @@ def q_write_day_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _unsorted_rows(_converted(spark, sf_dir), ("time",))
 
 
+def q_write_exact_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Written in one global order: files of a day hold disjoint times."""
+    table = _converted(spark, sf_dir, exact_order=True)
+    files = table.groupBy(F.col("day").cast("string").alias("day"), F.col("_metadata.file_path").alias("file")).agg(
+        F.count("*").alias("points"), F.min("time").alias("low"), F.max("time").alias("high")
+    )
+    in_day = Window.partitionBy("day").orderBy("low", "high")
+    overlap = F.coalesce(F.col("low") < F.lag("high").over(in_day), F.lit(False)).cast("int")
+    files = files.withColumn("overlap", overlap)
+    return files.groupBy("day").agg(F.sum("points").alias("points"), F.sum("overlap").alias("overlaps"))
+
+
 def q_write_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = _converted(spark, sf_dir, fanout=True)
     return table.groupBy(F.col("day").cast("string").alias("day"), "metric").agg(F.count("*").alias("points"))

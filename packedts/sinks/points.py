@@ -40,17 +40,23 @@ def with_day(points: DataFrame) -> DataFrame:
     return points.select(*POINT_COLUMNS).withColumn("day", utc_day(F.col("time")))
 
 
-def laid_out(points: DataFrame, order: Sequence[str], partitions: int | None = None) -> DataFrame:
-    """Rows range-partitioned by day and ``order``, and sorted so in each partition.
+def sorted_in_partitions(points: DataFrame, order: Sequence[str]) -> DataFrame:
+    """Rows sorted by day and ``order``; the rest of the key only breaks ties,
+    which puts like values side by side and keeps files small."""
+    keys = ["day", *order]
+    ties = [column for column in (*DEDUPE_ORDER, "version", "idx") if column not in order]
+    return points.sortWithinPartitions(*keys, *ties)
+
 
-    Every day goes to few files and each file is sorted. The input partition takes
-    part in the ranges as a last column: equal sort keys, however many, can so be
-    spread over several tasks.
+def ranged_by_time(points: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Rows range-partitioned by time, so that files hold disjoint times.
+
+    The input partition takes part as a last key: equal times, however many, can
+    so be spread over several tasks.
     """
-    keys = ["day", *order]
-    spread = points.withColumn("_spread", F.spark_partition_id())
     sizes = () if partitions is None else (partitions,)
-    return spread.repartitionByRange(*sizes, *keys, "_spread").sortWithinPartitions(*keys).drop("_spread")
+    spread = points.withColumn("_spread", F.spark_partition_id())
+    return spread.repartitionByRange(*sizes, "day", *IMPORT_ORDER, "_spread").drop("_spread")
 
 
 @contextmanager
@@ -68,23 +74,34 @@ def _save(rows: DataFrame, table: str, mode: str) -> None:
     writer.save(table) if is_path(table) else writer.saveAsTable(table)
 
 
-def replace_points(points: DataFrame, table: str, *, fanout: bool = False, partitions: int | None = None) -> None:
+def replace_points(
+    points: DataFrame,
+    table: str,
+    *,
+    fanout: bool = False,
+    arranged: bool = False,
+    partitions: int | None = None,
+) -> None:
     """Create or replace a table of points, partitioned by day and sorted by time.
 
     ``fanout`` writes the rows as they come, with one open file per day and task:
-    no shuffle and no sort, for more memory and more files.
+    no shuffle and no sort, for more memory and more files. ``arranged`` says that
+    the points come from cells partitioned by base time, so that sorting inside
+    each partition is all that is left to do.
     """
     spark = points.sparkSession
     if has_day_transform(spark, table):
         rows = points.select(*POINT_COLUMNS)
-        rows = rows if fanout else rows.orderBy(*IMPORT_ORDER)
+        if not fanout:
+            rows = rows.sortWithinPartitions(*IMPORT_ORDER) if arranged else rows.orderBy(*IMPORT_ORDER)
         writer = rows.writeTo(table).partitionedBy(F.partitioning.days("time"))
         (writer.option("fanout-enabled", "true") if fanout else writer).createOrReplace()
     elif fanout:
         with _many_open_files(spark):
             _save(with_day(points), table, "overwrite")
     else:
-        _save(laid_out(with_day(points), IMPORT_ORDER, partitions), table, "overwrite")
+        rows = with_day(points) if arranged else ranged_by_time(with_day(points), partitions)
+        _save(sorted_in_partitions(rows, IMPORT_ORDER), table, "overwrite")
 
 
 def create_table(spark: SparkSession, table: str) -> None:
@@ -97,12 +114,17 @@ def create_table(spark: SparkSession, table: str) -> None:
         _save(with_day(spark.createDataFrame([], POINTS)), table, "errorifexists")
 
 
-def append_points(points: DataFrame, table: str, *, partitions: int | None = None) -> None:
-    """Append to a table made by ``create_table``, in its write order."""
+def append_points(points: DataFrame, table: str) -> None:
+    """Append to a table made by ``create_table``, in its write order.
+
+    Rows are gathered by day and metric, and Spark evens out the partitions as
+    they turn out: a metric with most of the rows is split, small ones share.
+    Nothing upstream runs twice, as it would to sample ranges.
+    """
     if has_day_transform(points.sparkSession, table):
         points.select(*POINT_COLUMNS).writeTo(table).append()
         return
-    rows = laid_out(with_day(points), DEDUPE_ORDER, partitions)
+    rows = sorted_in_partitions(with_day(points).hint("rebalance", "day", "metric"), DEDUPE_ORDER)
     if is_path(table):
         _save(rows, table, "append")
     else:
