@@ -11,15 +11,18 @@ def be_unsigned(data: Column) -> Column:
     return F.coalesce(F.conv(F.hex(data), 16, 10).cast("bigint"), F.lit(0).cast("bigint"))
 
 
+def be_int_sql(data: str) -> str:
+    """SQL text for 1 to 4 big-endian bytes as INT."""
+    unsigned = f"cast(conv(hex({data}), 16, 10) as bigint)"
+    return f"cast(shiftright(shiftleft({unsigned}, 32), 32) as int)"
+
+
 def _signed(data: Column, bytes_: int, type_: str) -> Column:
     """Two's complement over ``bytes_`` bytes; shorter input is zero-extended."""
     if bytes_ < 8:
-        unsigned = be_unsigned(data)
-        return (
-            F.when(unsigned >= 1 << (8 * bytes_ - 1), unsigned - F.lit(1 << (8 * bytes_)))
-            .otherwise(unsigned)
-            .cast(type_)
-        )
+        # Shifting up and down again copies the sign bit to the front.
+        unused = 64 - 8 * bytes_
+        return F.shiftright(F.shiftleft(be_unsigned(data), unused), unused).cast(type_)
     # 64 bits overflow BIGINT as an unsigned number, so join two 32-bit halves.
     padded = F.lpad(F.hex(data), 16, "0")
     high = F.conv(F.substring(padded, 1, 8), 16, 10).cast("bigint")
@@ -92,7 +95,7 @@ def point_value(data: Column, is_int: Column) -> Column:
     width = F.octet_length(data)
     unsupported = F.raise_error(F.concat(F.lit("unsupported value width "), width.cast("string"))).cast("double")
     whole = (
-        F.when(width == 1, F.when(be_unsigned(data) > 127, be_unsigned(data) - 256).otherwise(be_unsigned(data)))
+        F.when(width == 1, _signed(data, 1, "bigint"))
         .when(width == 2, be_short(data).cast("bigint"))
         .when(width == 4, be_int(data).cast("bigint"))
         .when(width == 8, be_long(data))

@@ -5,74 +5,73 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from packedts.functions.bytesx import be_int, be_unsigned
+from packedts.functions.bytesx import be_int_sql
 from packedts.schemas import ANNOTATION_PREFIX, APPEND_QUALIFIER, POINT_FAMILY, SALT_BYTES, TIME_BYTES
 
 IGNORED, ANNOTATION, APPEND, PACKED, INVALID = "ignored", "annotation", "append", "packed", "invalid"
 
 
-def is_point_family() -> Column:
-    return F.col("family") == F.lit(POINT_FAMILY)
+def _literal(data: bytes) -> str:
+    return f"X'{data.hex()}'"
 
 
-def is_append() -> Column:
-    return F.col("qualifier") == F.lit(APPEND_QUALIFIER)
+def is_point_family() -> Column:
+    return F.expr(f"family = {_literal(POINT_FAMILY)}")
 
 
 def cell_kind() -> Column:
     """Kind of a cell by family and qualifier."""
-    length = F.octet_length("qualifier")
-    annotation = length.isin(3, 5) & (F.substring("qualifier", 1, 1) == F.lit(ANNOTATION_PREFIX))
-    return (
-        F.when(~is_point_family(), IGNORED)
-        .when(annotation, ANNOTATION)
-        .when(is_append(), APPEND)
-        .when(length % 2 == 1, INVALID)
-        .otherwise(PACKED)
+    return F.expr(
+        f"""
+        CASE WHEN family <> {_literal(POINT_FAMILY)} THEN '{IGNORED}'
+             WHEN octet_length(qualifier) IN (3, 5) AND substring(qualifier, 1, 1) = {_literal(ANNOTATION_PREFIX)}
+                 THEN '{ANNOTATION}'
+             WHEN qualifier = {_literal(APPEND_QUALIFIER)} THEN '{APPEND}'
+             WHEN octet_length(qualifier) % 2 = 1 THEN '{INVALID}'
+             ELSE '{PACKED}' END"""
     )
 
 
 def has_key_shape(id_size: int) -> Column:
     """Row key = salt, metric id, base time, then whole pairs of tag ids."""
     prefix = SALT_BYTES + id_size + TIME_BYTES
-    length = F.octet_length("row_key")
-    return (length >= prefix) & ((length - prefix) % (2 * id_size) == 0)
+    return F.expr(
+        f"octet_length(row_key) >= {prefix} AND (octet_length(row_key) - {prefix}) % {2 * id_size} = 0"
+    )
 
 
 def base_time_bytes(id_size: int) -> Column:
     """Base time as stored; compares like the unsigned number it is."""
-    return F.substring("row_key", SALT_BYTES + id_size + 1, TIME_BYTES)
+    return F.expr(f"substring(row_key, {SALT_BYTES + id_size + 1}, {TIME_BYTES})")
 
 
 def base_seconds(id_size: int) -> Column:
-    return be_unsigned(base_time_bytes(id_size))
+    return F.expr(f"cast(conv(hex(substring(row_key, {SALT_BYTES + id_size + 1}, {TIME_BYTES})), 16, 10) as bigint)")
 
 
 def metric_id_bytes(id_size: int) -> Column:
-    return F.substring("row_key", SALT_BYTES + 1, id_size)
+    return F.expr(f"substring(row_key, {SALT_BYTES + 1}, {id_size})")
 
 
 def series_key(id_size: int) -> Column:
     """Row key without salt and base time: metric id, then tag id pairs."""
-    tags = F.substring(F.col("row_key"), F.lit(SALT_BYTES + id_size + TIME_BYTES + 1), F.octet_length("row_key"))
-    return F.concat(metric_id_bytes(id_size), tags)
+    tags = SALT_BYTES + id_size + TIME_BYTES + 1
+    return F.expr(f"concat(substring(row_key, {SALT_BYTES + 1}, {id_size}), substring(row_key, {tags}))")
 
 
 def series_metric_id(id_size: int) -> Column:
-    return be_int(F.substring("series_key", 1, id_size))
+    return F.expr(be_int_sql(f"substring(series_key, 1, {id_size})"))
 
 
 def series_tag_ids(id_size: int) -> Column:
     """Array of (tagk, tagv) ids in key order; empty without tags."""
-
-    def id_at(start: Column) -> Column:
-        return be_int(F.substring(F.col("series_key"), start.cast("int"), F.lit(id_size)))
-
-    pairs = ((F.octet_length("series_key") - id_size) / (2 * id_size)).cast("int")
-
-    def pair(i: Column) -> Column:
-        start = i * (2 * id_size) + id_size + 1
-        return F.struct(id_at(start).alias("tagk"), id_at(start + id_size).alias("tagv"))
-
-    positions = F.when(pairs > 0, F.sequence(F.lit(0), pairs - 1)).otherwise(F.array().cast("array<int>"))
-    return F.transform(positions, pair)
+    pair = 2 * id_size
+    tagk = be_int_sql(f"substring(series_key, start, {id_size})")
+    tagv = be_int_sql(f"substring(series_key, start + {id_size}, {id_size})")
+    return F.expr(
+        f"""
+        transform(
+            if(octet_length(series_key) > {id_size},
+               sequence({id_size + 1}, octet_length(series_key) - {pair} + 1, {pair}), cast(array() as array<int>)),
+            start -> named_struct('tagk', {tagk}, 'tagv', {tagv}))"""
+    )

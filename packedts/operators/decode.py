@@ -47,15 +47,18 @@ def decode_cells(
 
     ``arrange`` is applied to the named cells before they are split.
     """
-    shape_error = F.when(F.col("kind") == INVALID, "odd qualifier length").when(
-        ~has_key_shape(id_size), "row key of wrong length"
-    )
     cells = (
         cells.filter(is_point_family())
         .withColumn("kind", cell_kind())
         .filter(F.col("kind") != ANNOTATION)
-        .withColumn("_shape_error", shape_error)
-        .withColumn("series_key", series_key(id_size))
+        .withColumns(
+            {
+                "_shape_error": F.when(F.col("kind") == INVALID, "odd qualifier length").when(
+                    ~has_key_shape(id_size), "row key of wrong length"
+                ),
+                "series_key": series_key(id_size),
+            }
+        )
     )
     if only is not None:
         cells = series.where(only).attach(cells.filter(F.col("_shape_error").isNull()), "inner")
@@ -75,11 +78,13 @@ def decode_cells(
 
 def _raise_errors(decoded: DataFrame) -> DataFrame:
     """Stop the job at the first cell that cannot be decoded, naming its file."""
-    message = F.concat(
-        F.lit("cannot decode a cell in file "), F.coalesce("file", F.lit("(unknown)")), F.lit(": "), F.col("error")
-    )
     # A filter, not a column: column pruning would drop it under count().
-    return decoded.filter(F.when(F.col("error").isNotNull(), F.raise_error(message).cast("boolean")).otherwise(True))
+    return decoded.filter(
+        F.expr(
+            """CASE WHEN error IS NULL THEN true ELSE cast(raise_error(
+                   concat('cannot decode a cell in file ', coalesce(file, '(unknown)'), ': ', error)) AS boolean) END"""
+        )
+    )
 
 
 def _with_file(cells: DataFrame) -> DataFrame:
@@ -100,9 +105,10 @@ def explode_points(decoded: DataFrame, id_size: int = 4, provenance: bool = Fals
         base_seconds(id_size).alias("_base"),
         F.posexplode("split.points").alias("idx", "_point"),
     )
-    points = points.withColumn("time", F.timestamp_seconds(F.col("_base") + F.col("_point.offset")))
-    points = points.withColumn("value", F.col("_point.value"))
-    return points.select(*POINT_COLUMNS, *(["file", "salt"] if provenance else []))
+    columns = {"time": "timestamp_seconds(_base + _point.offset) AS time", "value": "_point.value AS value"}
+    return points.selectExpr(
+        *[columns.get(column, column) for column in POINT_COLUMNS], *(["file", "salt"] if provenance else [])
+    )
 
 
 def decode_points(

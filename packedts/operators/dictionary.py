@@ -46,17 +46,15 @@ def check_dictionary(uids: DataFrame) -> dict[str, int]:
 
     One aggregation, one row to the driver.
     """
+    unknown = f"qualifier NOT IN {UID_KINDS}"
+    # Per entry: name, id and row overhead.
     groups = uids.groupBy("qualifier", "uid").agg(
-        F.count("*").alias("n"), F.sum(F.octet_length("name")).alias("name_bytes")
+        F.expr("count(*) AS n"), F.expr("sum(octet_length(name) + 48) AS bytes")
     )
-    unknown = ~F.col("qualifier").isin(*UID_KINDS)
-    entry = F.concat_ws(" ", F.col("qualifier"), F.col("uid").cast("string"))
-    # Per entry: name, id and row overhead.
-    size = F.col("name_bytes") + 48 * F.col("n")
-    row = groups.agg(
-        F.min(F.when(unknown, F.col("qualifier"))).alias("unknown"),
-        F.min(F.when(F.col("n") > 1, entry)).alias("duplicate"),
-        *[F.coalesce(F.sum(F.when(F.col("qualifier") == kind, size)), F.lit(0)).alias(kind) for kind in UID_KINDS],
+    row = groups.selectExpr(
+        f"min(CASE WHEN {unknown} THEN qualifier END) AS unknown",
+        "min(CASE WHEN n > 1 THEN concat_ws(' ', qualifier, uid) END) AS duplicate",
+        *[f"coalesce(sum(CASE WHEN qualifier = '{kind}' THEN bytes END), 0) AS {kind}" for kind in UID_KINDS],
     ).first()
     if row["unknown"] is not None:
         raise ValueError(f"unknown UID kind: {row['unknown']}")

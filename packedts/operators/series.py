@@ -29,9 +29,8 @@ def series_keys(cells: DataFrame, id_size: int) -> DataFrame:
     )
 
 
-def lenient_int(text: Column) -> Column:
-    """INT of a signed decimal number without blanks, else NULL."""
-    return F.when(text.rlike("^[+-]?[0-9]+$"), text.try_cast("int"))
+# INT of a signed decimal number without blanks, else NULL.
+LENIENT_INT = "CASE WHEN name RLIKE '^[+-]?[0-9]+$' THEN try_cast(name AS INT) END"
 
 
 def _resolve(rows: DataFrame, uids: DataFrame, kind: str, name: str, size: int, limit: int) -> DataFrame:
@@ -56,46 +55,38 @@ def name_series(keys: DataFrame, uids: DataFrame, id_size: int, uid_bytes: dict[
     series = _resolve(series, uids, "metrics", "metric", uid_bytes["metrics"], limit)
     pairs = series.select(
         "series_key", "cells", "metric", F.posexplode_outer(series_tag_ids(id_size)).alias("pos", "ids")
-    ).select("series_key", "cells", "metric", "pos", "ids.tagk", "ids.tagv")
+    ).select("series_key", "cells", "metric", "pos", "ids.*")
     pairs = _resolve(pairs, uids, "tagk", "key", uid_bytes["tagk"], limit)
     pairs = _resolve(pairs, uids, "tagv", "name", uid_bytes["tagv"], limit)
 
-    is_tag = F.col("pos").isNotNull()
-    fault = F.when(is_tag & F.col("key").isNull(), F.struct(F.col("pos"), F.lit(0), F.lit("unknown tag key id").alias("text"))).when(
-        is_tag & F.col("name").isNull(), F.struct(F.col("pos"), F.lit(1), F.lit("unknown tag value id").alias("text"))
-    )
-    promoted = F.col("key").isin(LSP_TAG, CIRCUIT_TAG, SIGN_TAG)
-
-    def last(key: str, column: Column) -> Column:
-        # max_by passes over rows without an ordering value: a tag that does not
-        # parse leaves the one before it standing.
-        at = F.when((F.col("key") == key) & column.isNotNull(), F.col("pos"))
-        return F.max_by(column, at)
-
-    number = lenient_int(F.col("name"))
+    # max_by passes over rows without an ordering value: a tag that does not parse
+    # leaves the one before it standing.
+    number = f"max_by({LENIENT_INT}, CASE WHEN key = '{{tag}}' AND {LENIENT_INT} IS NOT NULL THEN pos END)"
     named = pairs.groupBy("series_key", "cells", "metric").agg(
-        last(LSP_TAG, number).alias("lsp_id"),
-        last(CIRCUIT_TAG, number).alias("circuit_id"),
-        last(SIGN_TAG, F.col("name")).alias("power_sign"),
-        F.sort_array(
-            F.collect_list(F.when(is_tag & ~promoted & F.col("name").isNotNull(), F.struct("pos", "key", "name")))
+        F.expr(number.format(tag=LSP_TAG)).alias("lsp_id"),
+        F.expr(number.format(tag=CIRCUIT_TAG)).alias("circuit_id"),
+        F.expr(f"max_by(name, CASE WHEN key = '{SIGN_TAG}' AND name IS NOT NULL THEN pos END)").alias("power_sign"),
+        F.expr(
+            f"""sort_array(collect_list(struct(pos, key, name)) FILTER (
+                WHERE name IS NOT NULL AND key NOT IN ('{LSP_TAG}', '{CIRCUIT_TAG}', '{SIGN_TAG}')))"""
         ).alias("_tags"),
-        F.min(fault).alias("_fault"),
+        F.expr(
+            """min(CASE WHEN pos IS NULL THEN NULL
+                        WHEN key IS NULL THEN struct(pos, 0 AS step, 'unknown tag key id' AS text)
+                        WHEN name IS NULL THEN struct(pos, 1 AS step, 'unknown tag value id' AS text) END)"""
+        ).alias("_fault"),
     )
-
-    def repeated_later(tag: Column, i: Column) -> Column:
-        return F.exists(F.slice("_tags", i + 2, F.size("_tags")), lambda later: later["key"] == tag["key"])
-
-    kept = F.filter("_tags", lambda tag, i: ~repeated_later(tag, i))
-    return named.select(
+    # The last of the tags with one key stays.
+    kept = "filter(_tags, (tag, i) -> NOT exists(slice(_tags, i + 2, size(_tags)), later -> later.key = tag.key))"
+    return named.selectExpr(
         "series_key",
         "cells",
         "metric",
         "lsp_id",
         "circuit_id",
         "power_sign",
-        F.map_from_entries(F.transform(kept, lambda tag: F.struct(tag["key"], tag["name"]))).alias("tags"),
-        F.when(F.col("metric").isNull(), "unknown metric id").otherwise(F.col("_fault.text")).alias("series_error"),
+        f"map_from_entries(transform({kept}, tag -> struct(tag.key, tag.name))) AS tags",
+        "CASE WHEN metric IS NULL THEN 'unknown metric id' ELSE _fault.text END AS series_error",
     )
 
 
@@ -139,14 +130,9 @@ def build_series(cells: DataFrame, uids: DataFrame, id_size: int = 4, limit: int
         keys.write.parquet(path)
         keys = spark.read.schema(keys.schema).parquet(path)
     rows = name_series(keys, uids, id_size, uid_bytes, limit)
-    size = F.aggregate(
-        F.map_entries("tags"),
-        F.lit(96),
-        lambda n, e: n + F.octet_length(e["key"]) + F.octet_length(e["value"]) + 16,
-    )
-    for column in ("series_key", "metric", "power_sign"):
-        size = size + F.coalesce(F.octet_length(column), F.lit(0))
-    rows = rows.withColumn("_size", size)
+    size = """96 + octet_length(series_key) + coalesce(octet_length(metric), 0) + coalesce(octet_length(power_sign), 0)
+        + aggregate(map_entries(tags), 0, (n, e) -> n + octet_length(e.key) + octet_length(e.value) + 16)"""
+    rows = rows.withColumn("_size", F.expr(size))
     path, written = scratch_path(spark, "series"), Observation()
     rows.observe(written, F.sum("_size").alias("bytes")).write.parquet(path)
     return SeriesTable.of(spark.read.schema(rows.schema).parquet(path), written.get["bytes"] or 0, limit)
