@@ -96,7 +96,9 @@ def search(spark: SparkSession, options: SearchOptions) -> DataFrame:
 
 def count(spark: SparkSession, metric_dir: str, *, format: str = "parquet", bare_names_only: bool = False) -> int:
     """Points announced by the qualifiers of a cell table. Missing files fail the job."""
-    cells = read_cells(spark, metric_dir, format=format, bare_names_only=bare_names_only, ignore_missing=False)
+    cells = read_cells(
+        spark, metric_dir, format=format, bare_names_only=bare_names_only, ignore_missing=False, tag_file=False
+    )
     return count_points(cells).first()["points"]
 
 

@@ -17,6 +17,7 @@ def read_cells(
     limit_gb: int = 0,
     bare_names_only: bool = False,
     ignore_missing: bool = True,
+    tag_file: bool = True,
 ) -> DataFrame:
     """One row per stored cell, tagged with its ``file``.
 
@@ -45,7 +46,7 @@ def read_cells(
         if bare_names_only:
             listing = listing.filter(is_source_file(F.substring_index("path", "/", -1)))
         cells = cells.filter(budget_predicate(listing, limit_gb * GB, file_path))
-    return cells.withColumn("file", file_path)
+    return cells.withColumn("file", file_path) if tag_file else cells
 
 
 def read_points(spark: SparkSession, table: str) -> DataFrame:

@@ -16,7 +16,9 @@ def is_source_file(name: Column) -> Column:
 def list_files(spark: SparkSession, path: str) -> DataFrame:
     """``path, length`` of every source file below ``path``, at any depth.
 
-    Contents are never read: the scan's schema holds file metadata only.
+    Contents are never read: the scan's schema holds file metadata only. Spark
+    leaves out empty files, which hold no cells, and names that start with ``_``
+    or a dot, folders included.
     """
     files = (
         spark.read.format("binaryFile")

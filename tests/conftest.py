@@ -21,6 +21,7 @@ def spark(tmp_path_factory):
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "4g")
+        .config("spark.driver.extraJavaOptions", "-XX:TieredStopAtLevel=1")  # short jobs, quick start
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.checkpoint.dir", str(base / "scratch"))
         .config("spark.sql.warehouse.dir", str(base / "warehouse"))
