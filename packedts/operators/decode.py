@@ -24,16 +24,41 @@ from packedts.operators.series import SeriesTable, build_series
 from packedts.schemas import POINT_COLUMNS, SALT_BYTES
 
 
-def by_time(cells: DataFrame, id_size: int = 4, partitions: int | None = None) -> DataFrame:
-    """Cells range-partitioned by base time.
+def by_time(named: DataFrame, cells: DataFrame, id_size: int = 4, partitions: int | None = None) -> DataFrame:
+    """``named`` cells, partitioned into consecutive stretches of base time.
 
     Shuffling cells instead of their points moves each name and id once per cell,
-    a fraction of the bytes, and the sample that sets the ranges decodes nothing.
-    The input partition is a last key, so that one crowded hour can be spread.
+    a fraction of the bytes. The stretches come from a count of ``cells`` per hour,
+    which reads the row keys only, where sampled ranges would read everything
+    twice. An hour with many cells takes a share of several partitions.
+
+    The hours are at most 2**32 / 3600, under 1.2 million rows: few enough for one
+    window and for a broadcast, whatever the size of the table.
     """
-    sizes = () if partitions is None else (partitions,)
-    spread = cells.withColumn("_spread", F.spark_partition_id())
-    return spread.repartitionByRange(*sizes, base_time_bytes(id_size), "_spread").drop("_spread")
+    if partitions is None:
+        partitions = int(cells.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    hour = F.floor(base_seconds(id_size) / 3600)
+    hours = (
+        cells.filter(is_point_family() & has_key_shape(id_size))
+        .groupBy(hour.alias("_hour"))
+        .agg(F.count("*").alias("_cells"))
+        .selectExpr(
+            "_hour",
+            "_cells",
+            "sum(_cells) OVER (ORDER BY _hour) - _cells AS _before",
+            "sum(_cells) OVER () AS _total",
+        )
+    )
+    # A cell's place within its hour: a fraction from 0 to 1, even for copies.
+    place = "pmod(xxhash64(row_key, version, spark_partition_id()), 1048576) / 1048576D"
+    target = f"least(cast({partitions} * (_before + _cells * {place}) / _total as int), {partitions - 1})"
+    return (
+        named.withColumn("_hour", hour)
+        .join(F.broadcast(hours), "_hour")
+        .withColumn("_target", F.expr(target))
+        .repartitionById(partitions, "_target")
+        .drop("_hour", "_cells", "_before", "_total", "_target")
+    )
 
 
 def decode_cells(
@@ -42,10 +67,12 @@ def decode_cells(
     id_size: int = 4,
     only: Column | None = None,
     arrange: Callable[[DataFrame], DataFrame] | None = None,
+    strict: bool = False,
 ) -> DataFrame:
     """One row per point cell: names, ``split.points`` and the first ``error``.
 
-    ``arrange`` is applied to the named cells before they are split.
+    ``arrange`` is applied to the named cells before they are split. ``strict``
+    fails on cells without a proper key or qualifier before any names are looked up.
     """
     cells = (
         cells.filter(is_point_family())
@@ -60,14 +87,16 @@ def decode_cells(
             }
         )
     )
+    proper = F.col("_shape_error").isNull()
     if only is not None:
-        cells = series.where(only).attach(cells.filter(F.col("_shape_error").isNull()), "inner")
+        cells = series.where(only).attach(cells.filter(proper), "inner")
+    elif strict:
+        cells = series.attach(_raise_errors(cells, "_shape_error"))
     elif series.hot is None:
         cells = series.attach(cells)
     else:
         # Cells without a proper key have no names to look up and stay put.
-        named = series.attach(cells.filter(F.col("_shape_error").isNull()))
-        cells = named.unionByName(cells.filter(F.col("_shape_error").isNotNull()), allowMissingColumns=True)
+        cells = series.attach(cells.filter(proper)).unionByName(cells.filter(~proper), allowMissingColumns=True)
     if arrange is not None:
         cells = arrange(cells)
     split = split_points(F.col("qualifier"), F.col("value"), F.col("kind") == APPEND)
@@ -76,13 +105,13 @@ def decode_cells(
     )
 
 
-def _raise_errors(decoded: DataFrame) -> DataFrame:
+def _raise_errors(cells: DataFrame, error: str = "error") -> DataFrame:
     """Stop the job at the first cell that cannot be decoded, naming its file."""
     # A filter, not a column: column pruning would drop it under count().
-    return decoded.filter(
+    return cells.filter(
         F.expr(
-            """CASE WHEN error IS NULL THEN true ELSE cast(raise_error(
-                   concat('cannot decode a cell in file ', coalesce(file, '(unknown)'), ': ', error)) AS boolean) END"""
+            f"""CASE WHEN {error} IS NULL THEN true ELSE cast(raise_error(
+                    concat('cannot decode a cell in file ', coalesce(file, '(unknown)'), ': ', {error})) AS boolean) END"""
         )
     )
 
@@ -130,7 +159,7 @@ def decode_points(
     """
     cells = _with_file(cells)
     series = build_series(cells, uids, id_size, broadcast_bytes)
-    decoded = decode_cells(cells, series, id_size, only, arrange)
+    decoded = decode_cells(cells, series, id_size, only, arrange, strict=True)
     return explode_points(_raise_errors(decoded), id_size, provenance)
 
 

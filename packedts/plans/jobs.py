@@ -55,11 +55,11 @@ def _uids(spark: SparkSession, options: ConvertOptions | SearchOptions) -> DataF
 def convert(spark: SparkSession, options: ConvertOptions) -> int | None:
     """Decode a cell table and replace the output table with its points.
 
-    The table is partitioned by day and every file is sorted by time. Files next
-    to each other may overlap by up to ``MAX_OFFSET`` seconds, because the cells
-    are put in time order before they are split; ``exact_order`` sorts the points
-    themselves instead, which shuffles many times the bytes. A dry run decodes and
-    checks everything, writes nothing and returns the count.
+    The table is partitioned by day and every file is sorted by time. Files of
+    neighbouring times may overlap by an hour or so, because whole cells are put in
+    time order before they are split; ``exact_order`` sorts the points themselves
+    instead, which shuffles many times the bytes. A dry run decodes and checks
+    everything, writes nothing and returns the count.
     """
     cells = read_cells(
         spark,
@@ -69,7 +69,7 @@ def convert(spark: SparkSession, options: ConvertOptions) -> int | None:
         bare_names_only=options.bare_names_only,
     )
     arranged = not (options.dry_run or options.fanout or options.exact_order)
-    arrange = partial(by_time, id_size=options.id_size, partitions=options.partitions) if arranged else None
+    arrange = partial(by_time, cells=cells, id_size=options.id_size, partitions=options.partitions) if arranged else None
     points = decode_points(cells, _uids(spark, options), options.id_size, arrange=arrange)
     if options.dry_run:
         return row_count(points).first()["points"]

@@ -6,10 +6,15 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 from vectors import R4, cells_of, row_key, uids_of
 
+from packedts.operators.counts import count_points
+from packedts.operators.decode import by_time, decode_points
+from packedts.operators.dictionary import read_uids
+from packedts.operators.series import series_keys
 from packedts.plans.jobs import ConvertOptions, SearchOptions, convert, count, dedupe, search
 from packedts.schemas import POINT_COLUMNS, POINTS
+from packedts.scratch import scratch_path
 from packedts.sinks import points as sink
-from packedts.sources.cells import read_points
+from packedts.sources.cells import read_cells, read_points
 
 WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
 
@@ -96,13 +101,39 @@ def test_dry_run_finds_bad_cells(spark, archive, tmp_path):
         convert(spark, ConvertOptions(str(tmp_path / "cells"), archive[1], "unused/x", dry_run=True))
 
 
-def test_crowded_hour_is_spread(spark, archive):
-    """Cells that share one base time do not end up in one task."""
-    from packedts.operators.decode import by_time
+def partition_sizes(cells, partitions):
+    placed = by_time(cells, cells, partitions=partitions)
+    assert placed.columns == cells.columns
+    return placed.groupBy(F.spark_partition_id().alias("p")).count().collect()
 
+
+def test_crowded_hour_is_spread(spark):
+    """Cells that share one base time, even copies, do not end up in one task."""
     cells = cells_of(spark, [(R4, b"t", "0000", "05", n) for n in range(4000)]).repartition(8)
-    sizes = by_time(cells, partitions=4).groupBy(F.spark_partition_id()).count().collect()
-    assert len(sizes) >= 3 and max(r["count"] for r in sizes) < 2500
+    copies = cells.withColumn("version", F.lit(1).cast("bigint"))
+    for crowd, least in ((cells, 900), (copies, 400)):
+        sizes = partition_sizes(crowd, 4)
+        assert sum(r["count"] for r in sizes) == 4000
+        assert len(sizes) == 4 and min(r["count"] for r in sizes) >= least
+
+
+def test_partitions_are_consecutive_in_time(spark):
+    rows = [(row_key(base=f"{0x6066EB20 + 600 * n:08x}"), b"t", "0000", "05", n) for n in range(600)]
+    placed = by_time(cells_of(spark, rows), cells_of(spark, rows), partitions=5)
+    spans = placed.groupBy(F.spark_partition_id().alias("p")).agg(F.min("version"), F.max("version")).orderBy("p").collect()
+    assert len(spans) == 5
+    for (_, _, high), (_, low, _) in zip(spans, spans[1:]):
+        assert high // 6 <= low // 6  # no later hour comes before
+
+
+def test_convert_scans_values_once(spark, archive):
+    points = decode_points(
+        read_cells(spark, archive[0]),
+        read_uids(read_cells(spark, archive[1])),
+        arrange=lambda named: by_time(named, read_cells(spark, archive[0])),
+    )
+    plan = points._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("value:binary") == 1 and "rangepartitioning" not in plan
 
 
 def test_search_job(spark, archive):
@@ -118,27 +149,17 @@ def test_count_job(spark, archive):
 
 
 def test_count_reads_qualifiers_only(spark, archive):
-    from packedts.operators.counts import count_points
-    from packedts.sources.cells import read_cells
-
     plan = count_points(read_cells(spark, archive[0], tag_file=False))._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<qualifier:binary>" in plan
 
 
 def test_series_pass_reads_keys_only(spark, archive):
-    from packedts.operators.series import series_keys
-    from packedts.sources.cells import read_cells
-
     plan = series_keys(read_cells(spark, archive[0]), 4)._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<row_key:binary,family:binary" in plan and "value:binary" not in plan
     assert "EqualTo(family" in plan
 
 
 def test_decode_moves_no_cells(spark, archive):
-    from packedts.operators.decode import decode_points
-    from packedts.operators.dictionary import read_uids
-    from packedts.sources.cells import read_cells
-
     points = decode_points(read_cells(spark, archive[0]), read_uids(read_cells(spark, archive[1])))
     plan = points._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan and "SortMergeJoin" not in plan
@@ -207,7 +228,5 @@ def test_day_transform_catalogs(spark, monkeypatch):
 
 
 def test_scratch_follows_the_session(spark):
-    from packedts.scratch import scratch_path
-
     assert scratch_path(spark, "x").startswith(spark.sparkContext.getConf().get("spark.checkpoint.dir"))
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
