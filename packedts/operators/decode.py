@@ -24,6 +24,10 @@ from packedts.operators.series import SeriesTable, build_series
 from packedts.schemas import POINT_COLUMNS, SALT_BYTES
 
 
+# A series that turned up after the series table was built must not pass unnamed.
+UNNAMED = "CASE WHEN metric IS NULL THEN 'series not seen before' END"
+
+
 def by_time(named: DataFrame, cells: DataFrame, id_size: int = 4, partitions: int | None = None) -> DataFrame:
     """``named`` cells, partitioned into consecutive stretches of base time.
 
@@ -101,7 +105,7 @@ def decode_cells(
         cells = arrange(cells)
     split = split_points(F.col("qualifier"), F.col("value"), F.col("kind") == APPEND)
     return cells.withColumn("split", split).withColumn(
-        "error", F.coalesce("_shape_error", "series_error", "split.error")
+        "error", F.expr(f"coalesce(_shape_error, series_error, {UNNAMED}, split.error)")
     )
 
 
@@ -122,18 +126,15 @@ def _with_file(cells: DataFrame) -> DataFrame:
 
 def explode_points(decoded: DataFrame, id_size: int = 4, provenance: bool = False) -> DataFrame:
     """One row per point of decoded cells."""
-    points = decoded.select(
-        "metric",
-        "lsp_id",
-        "circuit_id",
-        "power_sign",
-        "tags",
-        "version",
-        "file",
+    # Whatever is the same for all points of a cell is worked out before they part.
+    per_cell = ["metric", "lsp_id", "circuit_id", "power_sign", "tags", "version", "file"]
+    cells = decoded.select(
+        *per_cell,
         F.substring("row_key", 1, SALT_BYTES).alias("salt"),
         base_seconds(id_size).alias("_base"),
-        F.posexplode("split.points").alias("idx", "_point"),
+        F.col("split.points").alias("_points"),
     )
+    points = cells.select(*per_cell, "salt", "_base", F.posexplode("_points").alias("idx", "_point"))
     columns = {"time": "timestamp_seconds(_base + _point.offset) AS time", "value": "_point.value AS value"}
     return points.selectExpr(
         *[columns.get(column, column) for column in POINT_COLUMNS], *(["file", "salt"] if provenance else [])

@@ -71,6 +71,8 @@ def _many_open_files(spark: SparkSession):
 
 def _save(rows: DataFrame, table: str, mode: str) -> None:
     writer = rows.write.partitionBy("day").mode(mode).format("parquet")
+    # Replacing means the whole table, whatever the session says.
+    writer = writer.option("partitionOverwriteMode", "static")
     writer.save(table) if is_path(table) else writer.saveAsTable(table)
 
 

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 from vectors import cells_of, row_key, uids_of
 
-from packedts.operators.decode import decode_errors, decode_points
+from packedts.operators.decode import decode_cells, decode_errors, decode_points
 from packedts.operators.dictionary import check_dictionary
 from packedts.operators.lookup import hot_above, lookup
 from packedts.operators.series import build_series
@@ -91,3 +91,11 @@ def test_sizes_are_bounded_by_what_is_written(spark, skewed):
     assert series.bytes == series.rows.agg(F.sum("_size")).first()[0]
     assert series.bytes > 96 * series.rows.count()
     assert check_dictionary(uids)["tagv"] > 48 * SERIES
+
+
+def test_series_that_appear_later_do_not_pass_unnamed(spark, skewed):
+    cells, uids = skewed
+    early = cells.filter(F.col("version") < 10)
+    late = cells.filter(F.col("version") == SERIES // 2 + 5)
+    found = decode_cells(late, build_series(early, uids)).select("error").collect()
+    assert [r.error for r in found] == ["series not seen before"]
