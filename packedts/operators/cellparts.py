@@ -59,19 +59,22 @@ def series_key(id_size: int) -> Column:
     return F.expr(f"concat(substring(row_key, {SALT_BYTES + 1}, {id_size}), substring(row_key, {tags}))")
 
 
-def series_metric_id(id_size: int) -> Column:
-    return F.expr(be_int_sql(f"substring(series_key, 1, {id_size})"))
+def series_ids(id_size: int) -> Column:
+    """Array of all ids in a series key: ``pos, qualifier, uid``.
 
-
-def series_tag_ids(id_size: int) -> Column:
-    """Array of (tagk, tagv) ids in key order; empty without tags."""
+    The metric has position -1; the key and value of a tag share the tag's position.
+    """
     pair = 2 * id_size
+    metric = be_int_sql(f"substring(series_key, 1, {id_size})")
     tagk = be_int_sql(f"substring(series_key, start, {id_size})")
     tagv = be_int_sql(f"substring(series_key, start + {id_size}, {id_size})")
     return F.expr(
         f"""
-        transform(
-            if(octet_length(series_key) > {id_size},
-               sequence({id_size + 1}, octet_length(series_key) - {pair} + 1, {pair}), cast(array() as array<int>)),
-            start -> named_struct('tagk', {tagk}, 'tagv', {tagv}))"""
+        concat(
+            array(struct(-1 AS pos, 'metrics' AS qualifier, {metric} AS uid)),
+            flatten(transform(
+                if(octet_length(series_key) > {id_size},
+                   sequence({id_size + 1}, octet_length(series_key) - {pair} + 1, {pair}), cast(array() as array<int>)),
+                (start, i) -> array(struct(i AS pos, 'tagk' AS qualifier, {tagk} AS uid),
+                                    struct(i AS pos, 'tagv' AS qualifier, {tagv} AS uid)))))"""
     )

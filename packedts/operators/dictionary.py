@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from packedts.functions.bytesx import be_int
 from packedts.schemas import MAX_ID_ROW_KEY, UID_FAMILY, UID_KINDS
 
+# What an entry takes besides its name: kind, id and row overhead.
+ENTRY_BYTES = 56
+
 
 def _text(data: str):
     # Malformed UTF-8 is replaced, not refused.
@@ -41,23 +44,22 @@ def dictionary_faults(uids: DataFrame) -> DataFrame:
     )
 
 
-def check_dictionary(uids: DataFrame) -> dict[str, int]:
-    """Raise if the dictionary is unusable, else say how many bytes each kind takes.
+def check_dictionary(uids: DataFrame) -> int:
+    """Raise if the dictionary is unusable, else say how many bytes it takes.
 
     One aggregation, one row to the driver.
     """
     unknown = f"qualifier NOT IN {UID_KINDS}"
-    # Per entry: name, id and row overhead.
     groups = uids.groupBy("qualifier", "uid").agg(
-        F.expr("count(*) AS n"), F.expr("sum(octet_length(name) + 48) AS bytes")
+        F.expr("count(*) AS n"), F.expr(f"sum(octet_length(name) + {ENTRY_BYTES}) AS bytes")
     )
     row = groups.selectExpr(
         f"min(CASE WHEN {unknown} THEN qualifier END) AS unknown",
         "min(CASE WHEN n > 1 THEN concat_ws(' ', qualifier, uid) END) AS duplicate",
-        *[f"coalesce(sum(CASE WHEN qualifier = '{kind}' THEN bytes END), 0) AS {kind}" for kind in UID_KINDS],
+        "coalesce(sum(bytes), 0) AS bytes",
     ).first()
     if row["unknown"] is not None:
         raise ValueError(f"unknown UID kind: {row['unknown']}")
     if row["duplicate"] is not None:
         raise ValueError(f"duplicate UID: {row['duplicate']}")
-    return {kind: row[kind] for kind in UID_KINDS}
+    return row["bytes"]

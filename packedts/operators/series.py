@@ -13,8 +13,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from packedts.operators.cellparts import has_key_shape, is_point_family, series_key, series_metric_id, series_tag_ids
-from packedts.operators.dictionary import check_dictionary
+from packedts.operators.cellparts import has_key_shape, is_point_family, series_ids, series_key
+from packedts.operators.dictionary import ENTRY_BYTES, check_dictionary
 from packedts.operators.lookup import BROADCAST_BYTES, hot_above, lookup
 from packedts.schemas import CIRCUIT_TAG, LSP_TAG, SIGN_TAG, check_id_size
 from packedts.scratch import scratch_path
@@ -33,48 +33,50 @@ def series_keys(cells: DataFrame, id_size: int) -> DataFrame:
 LENIENT_INT = "CASE WHEN name RLIKE '^[+-]?[0-9]+$' THEN try_cast(name AS INT) END"
 
 
-def _resolve(rows: DataFrame, uids: DataFrame, kind: str, name: str, size: int, limit: int) -> DataFrame:
-    """Add the name of the id in column ``kind``."""
-    names = uids.filter(F.col("qualifier") == kind).select(F.col("uid").alias(kind), F.col("name").alias(name))
+def _with_names(ids: DataFrame, uids: DataFrame, size: int, limit: int) -> DataFrame:
+    """Ids with the ``name`` each has in the dictionary, or NULL."""
+    on = ["qualifier", "uid"]
     if size <= limit:
-        return lookup(rows, names, [kind], size, limit)
-    weights = rows.groupBy(kind).agg(F.count("*").alias("_uses"))
-    names = names.join(weights, kind)
-    names = names.withColumn("_size", F.octet_length(name) + F.lit(48))
-    cut = hot_above(names, "_uses", "_size", limit)
-    return lookup(rows, names, [kind], size, limit, F.col("_uses") > cut).drop("_uses", "_size")
+        return lookup(ids, uids, on, size, limit)
+    weights = ids.groupBy(*on).agg(F.count("*").alias("_uses"))
+    uids = uids.join(weights, on).withColumn("_size", F.octet_length("name") + F.lit(ENTRY_BYTES))
+    cut = hot_above(uids, "_uses", "_size", limit)
+    return lookup(ids, uids, on, size, limit, F.col("_uses") > cut).drop("_uses", "_size")
 
 
-def name_series(keys: DataFrame, uids: DataFrame, id_size: int, uid_bytes: dict[str, int], limit: int) -> DataFrame:
+def name_series(keys: DataFrame, uids: DataFrame, id_size: int, uid_bytes: int, limit: int) -> DataFrame:
     """One row per series: names, typed tags, tag map, and the first fault found.
 
     While the dictionary is small enough to broadcast, the shuffle that made the
     keys distinct serves the regrouping too.
     """
-    series = keys.withColumn("metrics", series_metric_id(id_size))
-    series = _resolve(series, uids, "metrics", "metric", uid_bytes["metrics"], limit)
-    pairs = series.select(
-        "series_key", "cells", "metric", F.posexplode_outer(series_tag_ids(id_size)).alias("pos", "ids")
-    ).select("series_key", "cells", "metric", "pos", "ids.*")
-    pairs = _resolve(pairs, uids, "tagk", "key", uid_bytes["tagk"], limit)
-    pairs = _resolve(pairs, uids, "tagv", "name", uid_bytes["tagv"], limit)
-
+    ids = keys.select("series_key", "cells", F.inline(series_ids(id_size)))
+    tags = (
+        _with_names(ids, uids, uid_bytes, limit)
+        .groupBy("series_key", "cells", "pos")
+        .agg(
+            F.expr("max(CASE WHEN qualifier <> 'tagv' THEN name END) AS key"),
+            F.expr("max(CASE WHEN qualifier = 'tagv' THEN name END) AS name"),
+        )
+    )
     # max_by passes over rows without an ordering value: a tag that does not parse
     # leaves the one before it standing.
-    number = f"max_by({LENIENT_INT}, CASE WHEN key = '{{tag}}' AND {LENIENT_INT} IS NOT NULL THEN pos END)"
-    named = pairs.groupBy("series_key", "cells", "metric").agg(
+    number = f"max_by({LENIENT_INT}, CASE WHEN pos >= 0 AND key = '{{tag}}' AND {LENIENT_INT} IS NOT NULL THEN pos END)"
+    named = tags.groupBy("series_key", "cells").agg(
+        F.expr("max(CASE WHEN pos < 0 THEN key END) AS metric"),
         F.expr(number.format(tag=LSP_TAG)).alias("lsp_id"),
         F.expr(number.format(tag=CIRCUIT_TAG)).alias("circuit_id"),
-        F.expr(f"max_by(name, CASE WHEN key = '{SIGN_TAG}' AND name IS NOT NULL THEN pos END)").alias("power_sign"),
+        F.expr(f"max_by(name, CASE WHEN pos >= 0 AND key = '{SIGN_TAG}' AND name IS NOT NULL THEN pos END) AS power_sign"),
         F.expr(
             f"""sort_array(collect_list(struct(pos, key, name)) FILTER (
-                WHERE name IS NOT NULL AND key NOT IN ('{LSP_TAG}', '{CIRCUIT_TAG}', '{SIGN_TAG}')))"""
-        ).alias("_tags"),
+                WHERE pos >= 0 AND name IS NOT NULL AND key NOT IN ('{LSP_TAG}', '{CIRCUIT_TAG}', '{SIGN_TAG}'))) AS _tags"""
+        ),
         F.expr(
-            """min(CASE WHEN pos IS NULL THEN NULL
+            """min(CASE WHEN pos < 0 AND key IS NULL THEN struct(pos, 0 AS step, 'unknown metric id' AS text)
                         WHEN key IS NULL THEN struct(pos, 0 AS step, 'unknown tag key id' AS text)
-                        WHEN name IS NULL THEN struct(pos, 1 AS step, 'unknown tag value id' AS text) END)"""
-        ).alias("_fault"),
+                        WHEN pos >= 0 AND name IS NULL THEN struct(pos, 1 AS step, 'unknown tag value id' AS text)
+                   END) AS _fault"""
+        ),
     )
     # The last of the tags with one key stays.
     kept = "filter(_tags, (tag, i) -> NOT exists(slice(_tags, i + 2, size(_tags)), later -> later.key = tag.key))"
@@ -86,7 +88,7 @@ def name_series(keys: DataFrame, uids: DataFrame, id_size: int, uid_bytes: dict[
         "circuit_id",
         "power_sign",
         f"map_from_entries(transform({kept}, tag -> struct(tag.key, tag.name))) AS tags",
-        "CASE WHEN metric IS NULL THEN 'unknown metric id' ELSE _fault.text END AS series_error",
+        "_fault.text AS series_error",
     )
 
 
@@ -124,7 +126,7 @@ def build_series(cells: DataFrame, uids: DataFrame, id_size: int = 4, limit: int
     check_id_size(id_size)
     uid_bytes = check_dictionary(uids)
     keys = series_keys(cells, id_size)
-    if max(uid_bytes.values()) > limit:
+    if uid_bytes > limit:
         # The keys are read several times below: once over the cells is enough.
         path = scratch_path(spark, "series-keys")
         keys.write.parquet(path)

@@ -137,7 +137,7 @@ def q_decode_id3(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_decode_without_broadcast(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same points by the plans for lookup tables too large to broadcast.
 
-    The bound is set between the sizes of the small dictionaries and the others.
+    The bound leaves room for some of the ids in use, and for few of the series.
     """
     return _flat(_points(spark, sf_dir, broadcast_bytes=300))
 
