@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from packedts.functions.packing import pack_points
-from packedts.operators.lookup import lookup
+from packedts.operators.lookup import BROADCAST_BYTES, hot_above, lookup
 from packedts.schemas import POINT_FAMILY, UID_FAMILY
 
 BLOCK = 3600
@@ -47,7 +47,14 @@ def utc_ntz(seconds: Column) -> Column:
 
 def metric_ids(events: DataFrame) -> DataFrame:
     """Ids for the event types that need no numbering pass: the first event's id + 1."""
-    return events.groupBy("event_type").agg((F.min("event_id") + 1).alias("metric_id"))
+    return events.groupBy("event_type").agg((F.min("event_id") + 1).alias("metric_id"), F.count("*").alias("_events"))
+
+
+def with_metric_ids(rows: DataFrame, events: DataFrame) -> DataFrame:
+    ids = metric_ids(events).withColumn("_size", F.octet_length("event_type") + 48)
+    size = ids.agg(F.coalesce(F.sum("_size"), F.lit(0)).alias("n")).first()["n"]
+    hot = F.col("_events") > hot_above(ids, "_events", "_size") if size > BROADCAST_BYTES else None
+    return lookup(rows, ids, ["event_type"], size, hot=hot).drop("_events", "_size")
 
 
 def dictionary_cells(events: DataFrame, id_size: int = 4) -> DataFrame:
@@ -108,10 +115,8 @@ def event_cells(events: DataFrame, *, id_size: int = 4, encoding: str = "float64
         F.sort_array(F.collect_list(F.struct((F.col("second") - F.col("hour")).cast("int").alias("offset"), "event_id", "value"))).alias("points"),
     )
     points = F.transform("points", lambda p: F.struct(p["offset"].alias("offset"), p["value"].alias("value")))
-    ids = metric_ids(events)
-    size = ids.agg(F.sum(F.octet_length("event_type") + 48).alias("n")).first()["n"] or 0
     return (
-        lookup(groups, ids, ["event_type"], size)
+        with_metric_ids(groups, events)
         .withColumn("packed", pack_points(points, F.col("bot") == 1, encoding))
         .select(
             row_key(id_size).alias("row_key"),

@@ -48,15 +48,15 @@ def sorted_in_partitions(points: DataFrame, order: Sequence[str]) -> DataFrame:
     return points.sortWithinPartitions(*keys, *ties)
 
 
-def ranged_by_time(points: DataFrame, partitions: int | None = None) -> DataFrame:
-    """Rows range-partitioned by time, so that files hold disjoint times.
+def ranged(points: DataFrame, order: Sequence[str], partitions: int | None = None) -> DataFrame:
+    """Rows range-partitioned by day and ``order``, so that files hold disjoint ranges.
 
-    The input partition takes part as a last key: equal times, however many, can
-    so be spread over several tasks.
+    The input partition takes part as a last key: equal keys, however many, can so
+    be spread over several tasks.
     """
     sizes = () if partitions is None else (partitions,)
     spread = points.withColumn("_spread", F.spark_partition_id())
-    return spread.repartitionByRange(*sizes, "day", *IMPORT_ORDER, "_spread").drop("_spread")
+    return spread.repartitionByRange(*sizes, "day", *order, "_spread").drop("_spread")
 
 
 @contextmanager
@@ -102,7 +102,7 @@ def replace_points(
         with _many_open_files(spark):
             _save(with_day(points), table, "overwrite")
     else:
-        rows = with_day(points) if arranged else ranged_by_time(with_day(points), partitions)
+        rows = with_day(points) if arranged else ranged(with_day(points), IMPORT_ORDER, partitions)
         _save(sorted_in_partitions(rows, IMPORT_ORDER), table, "overwrite")
 
 
@@ -119,14 +119,20 @@ def create_table(spark: SparkSession, table: str) -> None:
 def append_points(points: DataFrame, table: str) -> None:
     """Append to a table made by ``create_table``, in its write order.
 
-    Rows are gathered by day and metric, and Spark evens out the partitions as
-    they turn out: a metric with most of the rows is split, small ones share.
-    Nothing upstream runs twice, as it would to sample ranges.
+    Rows are gathered by day and metric, and adaptive execution evens out the
+    partitions as they turn out: a metric with most of the rows is split, small
+    ones share. Nothing upstream runs twice, as it would to sample ranges.
     """
-    if has_day_transform(points.sparkSession, table):
+    spark = points.sparkSession
+    if has_day_transform(spark, table):
         points.select(*POINT_COLUMNS).writeTo(table).append()
         return
-    rows = sorted_in_partitions(with_day(points).hint("rebalance", "day", "metric"), DEDUPE_ORDER)
+    rows = with_day(points)
+    if spark.conf.get("spark.sql.adaptive.enabled") == "true":
+        rows = rows.hint("rebalance", "day", "metric")
+    else:
+        rows = ranged(rows, DEDUPE_ORDER)
+    rows = sorted_in_partitions(rows, DEDUPE_ORDER)
     if is_path(table):
         _save(rows, table, "append")
     else:

@@ -187,6 +187,17 @@ def test_dedupe_job(spark, doubled, tmp_path):
         dedupe(spark, doubled, target)
 
 
+def test_append_without_adaptive_execution(spark, doubled, tmp_path):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        sink.append_points(read_points(spark, doubled), str(tmp_path / "t"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    table = read_points(spark, str(tmp_path / "t"))
+    assert table.count() == 2 * ROWS
+    assert unsorted_rows(table, "day", "metric", "lsp_id", "circuit_id", "time") == 0
+
+
 def test_dedupe_into_catalog_table(spark, doubled):
     spark.sql("DROP TABLE IF EXISTS clean_points")
     dedupe(spark, doubled, "clean_points", "2021-04-03", "2021-04-04", 1)
