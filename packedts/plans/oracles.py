@@ -132,7 +132,7 @@ ORACLES: dict[str, str] = {
         SELECT strftime(time, '%Y-%m-%d') AS day, count(*) AS points, CAST(0 AS BIGINT) AS unsorted
         FROM ({_POINTS}) GROUP BY 1""",
     "write_exact_order": f"""
-        SELECT strftime(time, '%Y-%m-%d') AS day, CAST(count(*) AS BIGINT) AS points, CAST(0 AS BIGINT) AS overlaps
+        SELECT strftime(time, '%Y-%m-%d') AS day, CAST(count(*) AS BIGINT) AS points, CAST(0 AS BIGINT) AS overlapping
         FROM ({_POINTS}) GROUP BY 1""",
     "write_fanout": f"""
         SELECT strftime(time, '%Y-%m-%d') AS day, metric, count(*) AS points FROM ({_POINTS}) GROUP BY 1, 2""",

@@ -289,7 +289,7 @@ def q_write_exact_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     in_day = Window.partitionBy("day").orderBy("low", "high")
     overlap = F.coalesce(F.col("low") < F.lag("high").over(in_day), F.lit(False)).cast("int")
     files = files.withColumn("overlap", overlap)
-    return files.groupBy("day").agg(F.sum("points").alias("points"), F.sum("overlap").alias("overlaps"))
+    return files.groupBy("day").agg(F.sum("points").alias("points"), F.sum("overlap").alias("overlapping"))
 
 
 def q_write_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
