@@ -127,3 +127,18 @@ def test_plan_as_rows(spark):
     plan = slice_table(spark, plan_slices("2021-03-01", "2022-12-01")).orderBy("slice").collect()
     assert len(plan) == 66 and plan[0].lower is None and plan[-1].upper is None
     assert plan[1].predicate == "time>='2021-03-01 00:00:00Z' and time<'2021-03-11 00:00:00Z'"
+
+
+def test_a_third_of_all_rows_are_one_point(spark):
+    rows = spark.range(30_000).selectExpr(
+        "'power' AS metric",
+        "timestamp_seconds(1617357600 + if(id % 3 = 0, 0, id)) AS time",
+        "1.5D AS value",
+        "1 AS lsp_id",
+        "2 AS circuit_id",
+        "'p' AS power_sign",
+        "map('n', cast(id AS string)) AS tags",
+        "if(id % 3 = 0, 0L, id) AS version",
+        "0 AS idx",
+    )
+    assert dedupe_points(rows).count() == 20_001

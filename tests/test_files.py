@@ -103,7 +103,7 @@ def test_input_limit(spark, store, monkeypatch):
 
 
 def test_skipped_files_are_not_opened(spark, store, tmp_path):
-    (tmp_path / "store" / "broken.hfile").write_bytes(b"not a table")
+    (tmp_path / "store" / "broken.cells").write_bytes(b"not a table")
     assert read_cells(spark, store, bare_names_only=True).count() == 4
 
 
