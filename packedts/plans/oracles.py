@@ -61,11 +61,12 @@ ORACLES: dict[str, str] = {
     "decode_without_broadcast": f"SELECT {_FLAT} FROM ({_POINTS})",
     "decode_float32": f"""
         SELECT metric, lsp_id, time, CAST(CAST(value AS FLOAT) AS DOUBLE) AS value, version, idx FROM ({_POINTS})""",
+    # Whole numbers have no negative zero, hence the way over BIGINT.
     "decode_ints": f"""
         SELECT metric, lsp_id, time, version, idx,
-               CAST(CASE event_id % 5 WHEN 0 THEN round(value * 100) WHEN 1 THEN -round(value * 100)
+               CAST(CAST(CASE event_id % 5 WHEN 0 THEN round(value * 100) WHEN 1 THEN -round(value * 100)
                     WHEN 2 THEN round(value * 100) * 1000 WHEN 3 THEN round(value * 100) * -1000000000
-                    ELSE event_id % 128 - 64 END AS DOUBLE) AS value
+                    ELSE event_id % 128 - 64 END AS BIGINT) AS DOUBLE) AS value
         FROM ({_POINTS})""",
     "uid_dictionary": _UIDS,
     "uid_duplicates": f"""
