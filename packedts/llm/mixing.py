@@ -8,7 +8,8 @@ source's quota goes to its shards the same way. A shard lays its documents in se
 a ring of blocks and takes its quota as full rounds plus one seeded run of blocks, so which
 words of a document are taken follows by arithmetic, and no row stands for a block.
 
-Scale: documents are reduced to (doc_id, source, size) in the first projection. Shards hold a
+Scale: documents are reduced to (doc_id, source, size) in the first projection, unless the
+caller has a column carried along. Shards hold a
 bounded number of words, so the running sum over a shard is one bounded window group however
 large its source is. Joins with per-source and per-shard rows are salted. Only the
 apportionment itself orders all sources, a few candidate rows each.
@@ -25,6 +26,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from packedts.llm.components import stored
+
 SALTS = 16
 
 
@@ -107,32 +110,45 @@ def apportion(rows: DataFrame, share: str, seats: str, group: str, name: str) ->
     return ranked.groupBy(*keys).agg((F.max("_low") + F.sum("_won")).alias(name))
 
 
-def mix_sources(docs: DataFrame, mix: Mix | None = None) -> DataFrame:
-    """doc_id, source, size, source_size, target and taken, one row per document."""
+def mix_sources(docs: DataFrame, mix: Mix | None = None, keep: Column | None = None) -> DataFrame:
+    """doc_id, source, size, source_size, target and taken, one row per document.
+
+    Also how taken comes about: rounds, the times the whole document is taken, and up to two
+    runs of words [from, to), counted from 0, that are taken besides. keep is a column to carry along.
+    """
     mix = mix or Mix()
-    sizes = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), word_count(F.col("text")).alias("size"))
+    keep = (F.lit(None).cast("string") if keep is None else keep).alias("kept")
+    rows = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), word_count(F.col("text")).alias("size"), keep
+    )
+    sizes = rows.drop("kept")
     salt = F.pmod(F.xxhash64("doc_id", F.lit(mix.seed)), F.lit(SALTS)).alias("_salt")
     salts = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long")))
 
-    per_source = targets(sizes, mix).withColumn("_shards", F.greatest(F.lit(1), F.ceil(F.col("source_size") / mix.shard_words)).cast("long"))
-    with_source = (
-        sizes.withColumn("_salt", salt)
-        .alias("d")
-        .join(
-            per_source.withColumn("_salt", salts).withColumnRenamed("source", "_source").alias("s"),
-            F.col("d.source").eqNullSafe(F.col("s._source")) & (F.col("d._salt") == F.col("s._salt")),
-        )
-        .drop("_salt", "_source")
-        .withColumn("_shard", F.pmod(_draw(F.lit(mix.seed), F.lit("shard"), F.col("doc_id")), F.col("_shards")))
+    # written, so that Spark knows their size when it plans the joins with them
+    per_source = stored(
+        targets(sizes, mix).withColumn("_shards", F.greatest(F.lit(1), F.ceil(F.col("source_size") / mix.shard_words)).cast("long")), "sources"
     )
 
+    def with_source(documents: DataFrame) -> DataFrame:
+        return (
+            documents.withColumn("_salt", salt)
+            .alias("d")
+            .join(
+                per_source.withColumn("_salt", salts).withColumnRenamed("source", "_source").alias("s"),
+                F.col("d.source").eqNullSafe(F.col("s._source")) & (F.col("d._salt") == F.col("s._salt")),
+            )
+            .drop("_salt", "_source")
+            .withColumn("_shard", F.pmod(_draw(F.lit(mix.seed), F.lit("shard"), F.col("doc_id")), F.col("_shards")))
+        )
+
     # quotas of blocks: first to sources, then to the shards of a source
     whole = F.round(F.sum("target").over(Window.partitionBy(F.lit(1))) / mix.block_words).cast("long")
     seats = apportion(
         per_source.select(F.col("source_rank").alias("_id"), "target", whole.alias("_seats"), F.lit(1).alias("_all")),
         "target", "_seats", "_all", "_quota",
     ).select(F.col("_id").alias("source_rank"), "_quota")
-    shards = with_source.groupBy("source_rank", "_shard").agg(F.sum("size").alias("_shard_size")).join(seats, "source_rank")
+    shards = with_source(sizes).groupBy("source_rank", "_shard").agg(F.sum("size").alias("_shard_size")).join(seats, "source_rank")
     quotas = apportion(
         shards.select("source_rank", F.col("_shard").alias("_id"), "_shard_size", "_quota"),
         "_shard_size", "_quota", "source_rank", "_blocks",
@@ -141,34 +157,54 @@ def mix_sources(docs: DataFrame, mix: Mix | None = None) -> DataFrame:
     # a ring of words: full rounds, then a run of blocks from a seeded block on
     n = F.ceil(F.col("_shard_size") / mix.block_words).cast("long")
     first = F.pmod(_draw(F.lit(mix.seed), F.lit("run"), F.col("source_rank"), F.col("_shard")), F.greatest(n, F.lit(1)))
-    rings = (
+    rings = stored(
         quotas.withColumn("_n", n)
         .withColumn("_blocks", F.least("_blocks", mix.repeats * F.col("_n")))
-        .withColumn("_rounds", F.when(F.col("_n") > 0, F.floor(F.col("_blocks") / F.col("_n"))).otherwise(0))
-        .withColumn("_run", F.col("_blocks") - F.col("_rounds") * F.col("_n"))
+        .withColumn("rounds", F.when(F.col("_n") > 0, F.floor(F.col("_blocks") / F.col("_n"))).otherwise(0))
+        .withColumn("_run", F.col("_blocks") - F.col("rounds") * F.col("_n"))
         .withColumn("_from", first * mix.block_words)
-        .withColumn("_to", (first + F.col("_run")) * mix.block_words)
-        .withColumn("_salt", salts)
-    )
+        .withColumn("_to", (first + F.col("_run")) * mix.block_words),
+        "rings",
+    ).withColumn("_salt", salts)
     order = Window.partitionBy("source_rank", "_shard").orderBy(_draw(F.lit(mix.seed), F.lit("order"), F.col("doc_id")), "doc_id", "size")
     placed = (
-        with_source.withColumn("_end", F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+        with_source(rows)
+        .withColumn("_end", F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
         .withColumn("_salt", salt)
         .join(rings, ["source_rank", "_shard", "_salt"])
     )
-    ring = F.col("_n") * mix.block_words
     start, end = F.col("_end") - F.col("size"), F.col("_end")
 
-    def overlap(low: Column, high: Column) -> Column:
-        return F.greatest(F.lit(0), F.least(end, high) - F.greatest(start, low))
+    def run(low: Column, high: Column) -> Column:
+        """The words of a document between two places of the ring."""
+        begin, stop = F.greatest(start, low), F.least(end, high)
+        return F.struct((begin - start).alias("from"), F.greatest(begin - start, stop - start).alias("to"))
 
-    run = overlap(F.col("_from"), F.col("_to")) + overlap(F.lit(0), F.col("_to") - ring)
+    runs = F.array(run(F.col("_from"), F.col("_to")), run(F.lit(0).cast("long"), F.col("_to") - F.col("_n") * mix.block_words))
+    placed = placed.withColumn("runs", F.filter(runs, lambda r: r["to"] > r["from"]))
+    words = F.aggregate("runs", F.lit(0).cast("long"), lambda a, r: a + r["to"] - r["from"])
     return placed.select(
         "doc_id", "source", "size", "source_size", "target",
-        (F.col("_rounds") * F.col("size") + run).cast("long").alias("taken"),
+        (F.col("rounds") * F.col("size") + words).cast("long").alias("taken"), "rounds", "runs", "kept",
     )
 
 
+def mixed_rows(docs: DataFrame, columns: list[str], mix: Mix | None = None) -> DataFrame:
+    """The documents of a mix: whole ones as often as the mix takes them, and the runs of words
+    that it takes of a document besides. A run that is not the whole text has its words joined
+    by single spaces. columns are kept; among them are text and n_chars."""
+    mixed = mix_sources(docs, mix, F.struct(*columns)).where("taken > 0")
+    whole = F.struct(F.lit(0).cast("long").alias("from"), F.col("size").alias("to"))
+    pieces = F.concat(F.transform(F.sequence(F.lit(0), F.col("rounds").cast("int")), lambda _: whole), "runs")
+    each = mixed.select("kept", "size", F.explode(F.slice(pieces, F.lit(2), F.size(pieces))).alias("piece"))
+    words = F.regexp_extract_all("kept.text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    part = F.array_join(F.slice(words, (F.col("piece.from") + 1).cast("int"), (F.col("piece.to") - F.col("piece.from")).cast("int")), " ")
+    text = F.when((F.col("piece.from") == 0) & (F.col("piece.to") == F.col("size")), F.col("kept.text")).otherwise(part)
+    rest = [F.col(f"kept.{c}").alias(c) for c in columns if c not in ("text", "n_chars")]
+    out = each.select(*rest, text.alias("text")).withColumn("n_chars", F.length("text").cast("long"))
+    return out.select(*columns)
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents mixed to the weights 5, 2, 1 at 150 % of all words."""
     mixed = mix_sources(spark.read.parquet(f"{sf_dir}/documents.parquet"))

@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from packedts.llm.anchor_dedup import op9_anchor_dedup
+from packedts.llm.cross_polytope import op8_cross_polytope
 from packedts.llm.lpf_dedup import op1_lpf_dedup
 from packedts.llm.mixing import OP6_SQL, op6_mixing
+from packedts.llm.mtree import OP3_SQL, op3_mtree
 from packedts.llm.packing import op7_packing
 from packedts.llm.secret_ledger import OP5_SQL, op5_secret_ledger
+from packedts.llm.surrogates import op4_surrogates
 from packedts.llm.tensor_minhash import op10_tensor_minhash
 from packedts.llm.toxicity import op2_toxicity
 
@@ -15,12 +18,15 @@ QUERIES = {
     for f in (
         op1_lpf_dedup,
         op2_toxicity,
+        op3_mtree,
+        op4_surrogates,
         op5_secret_ledger,
         op6_mixing,
         op7_packing,
+        op8_cross_polytope,
         op9_anchor_dedup,
         op10_tensor_minhash,
     )
 }
 
-ORACLES = {"op5_secret_ledger": OP5_SQL, "op6_mixing": OP6_SQL}
+ORACLES = {"op3_mtree": OP3_SQL, "op5_secret_ledger": OP5_SQL, "op6_mixing": OP6_SQL}

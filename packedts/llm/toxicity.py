@@ -17,7 +17,7 @@ pass over whole texts without a shuffle.
 Defined results: a null or empty text has no hits and gets the score of such texts; documents
 in labels without a row in the documents are ignored, as are null labels; repeated rows are
 scored each; without labels of both kinds every score is the (smoothed) share of label 1; an
-empty table gives no rows; other columns are kept by `with_scores`.
+empty table gives no rows; `scores` keeps the columns it is told to.
 """
 
 from __future__ import annotations
@@ -359,12 +359,12 @@ def described(texts: DataFrame, terms: list[Term], automaton: Automaton) -> Data
 
 
 def scores(docs: DataFrame, model: Model, *keep: str) -> DataFrame:
-    """The columns named in keep and score, for every row of docs."""
-    texts = docs.select(*keep, prepared(F.col("text")).alias("text"))
+    """row, a struct of the columns named in keep, and score, for every row of docs."""
+    texts = docs.select(F.struct(*keep).alias("row"), prepared(F.col("text")).alias("text"))
     logit = F.lit(model.bias)
     for k, w in enumerate(model.weights):
         logit = logit + F.lit(float(w)) * F.col("features")[k]
-    return described(texts, model.terms, model.automaton).select(*keep, (1 / (1 + F.exp(-logit))).alias("score"))
+    return described(texts, model.terms, model.automaton).select("row", (1 / (1 + F.exp(-logit))).alias("score"))
 
 
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -372,5 +372,5 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     model = learn(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return scores(docs, model, "doc_id").select(
-        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+        "row.doc_id", held_out(F.col("row.doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
     )
