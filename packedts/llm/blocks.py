@@ -28,7 +28,7 @@ class Layout:
     buckets: int
 
     @staticmethod
-    def of(texts: DataFrame, block_bytes: int = 4 << 20, bucket_bytes: int = 16 << 20) -> Layout:
+    def of(texts: DataFrame, block_bytes: int = 2 << 20, bucket_bytes: int = 8 << 20) -> Layout:
         total = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
         scale = max(1.0, total / (1 << 45))  # past 32 TB both grow, so that their product grows no faster than the text
         return Layout(int(total // (block_bytes * scale)) + 1, int(total // (bucket_bytes * scale)) + 1)

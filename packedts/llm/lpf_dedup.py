@@ -33,6 +33,7 @@ from packedts.llm.textbytes import gram_hashes, groups, ranges, text_bytes, wind
 GRAM = 20
 LONGEST_RUN = 4096
 HOT = 4096
+PORTION = 200_000
 LOW = np.uint64(3)
 
 KEYS = "bucket long, block long, keys binary"
@@ -217,7 +218,7 @@ def match_fragments(table: pa.Table, length: int) -> pa.Table:
     keys, sizes = joined(table.column("keys"), "<u8")
     if not len(keys):
         return rows_table([], arrow_schema(ANSWERS))
-    place, least, size = (joined(table.column(c), t)[0] for c, t in (("place", "<u4"), ("least", "<i8"), ("size", "<u4")))
+    place, least, size = (joined(table.column(c), t)[0] for c, t in (("place", "<u4"), ("least", "<i8"), ("size", "<u2")))
     data, _ = joined(table.column("bytes"), "u1")
     block = np.repeat(table.column("block").to_numpy(), sizes)
     several, base = keys & np.uint64(1), keys & ~LOW
@@ -235,15 +236,25 @@ def match_fragments(table: pa.Table, length: int) -> pa.Table:
     kind_of[order] = kind
     earliest = least[head][kind_of]
 
-    # suffixes of the fragments that share their key with a different one
+    # suffixes of the fragments that share their key with a different one; keys are taken in
+    # portions, as windows under different keys never match
     at = groups(base[head])
-    alone = np.repeat(np.diff(np.append(at, len(head))) == 1, np.diff(np.append(at, len(head))))
-    mixed = np.flatnonzero(~alone)
+    members = np.diff(np.append(at, len(head)))
+    mixed = np.flatnonzero(np.repeat(members > 1, members))
     windows = size[head[mixed]] - length + 1
-    starts = ranges(first[head[mixed]], windows)
     owner = np.repeat(mixed, windows)
-    suffixes, shared = suffix_order(data, starts, length)
-    earlier = longest_previous_factor(suffixes, shared, least[head][owner]) >= length
+    earlier = np.zeros(len(owner), bool)
+    stop = np.cumsum(windows)
+    new_key = np.append(True, base[head[mixed]][1:] != base[head[mixed]][:-1])
+    lo = 0
+    while lo < len(mixed):
+        wanted = int(np.searchsorted(stop, stop[lo] - windows[lo] + PORTION, "right"))
+        ends = lo + 1 + np.flatnonzero(np.append(new_key[lo + 1 :], True))
+        hi = int(ends[max(0, np.searchsorted(ends, wanted, "right") - 1)])
+        part = slice(int(stop[lo] - windows[lo]), int(stop[hi - 1]))
+        suffixes, shared = suffix_order(data, ranges(first[head[mixed[lo:hi]]], windows[lo:hi]), length)
+        earlier[part] = longest_previous_factor(suffixes, shared, least[head[owner[part]]]) >= length
+        lo = hi
 
     # runs of windows with an earlier match, per different fragment
     inside = np.flatnonzero(earlier)
@@ -275,8 +286,8 @@ def remove_repeated_bytes(docs: DataFrame, length: int = 50, layout: Layout | No
     A byte goes if a string of `length` bytes that covers it also starts in a document with a
     smaller doc_id. kept is binary: a cut may fall inside a character.
     """
-    if length < 9:
-        raise ValueError("a repeated string needs 9 bytes at least")
+    if not 9 <= length <= 60_000:
+        raise ValueError("a repeated string has 9 to 60,000 bytes")
     texts = id_and_text(docs)
     layout = layout or Layout.of(texts)
     blocks = blocked(texts, layout)
@@ -316,7 +327,7 @@ def remove_repeated_bytes(docs: DataFrame, length: int = 50, layout: Layout | No
         begin = 0
         place = np.arange(len(head), dtype="<u4")
         # the run of the least doc_id stands first, as the sort by content is stable
-        for b, k, p, l, s in dealt(bucket_of(keys, buckets), keys, place, ids[at], size.astype("<u4")):
+        for b, k, p, l, s in dealt(bucket_of(keys, buckets), keys, place, ids[at], size.astype("<u2")):
             end = begin + len(k) // 8
             rows.append((b, block, k, p, l, s, text[stop[begin] - size[begin] : stop[end - 1]].tobytes()))
             begin = end
