@@ -28,11 +28,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from packedts.llm.blocks import Layout, blocked, bucket_of, dealt, id_and_text, in_id_order, joined, per_block, rows_table
-from packedts.llm.textbytes import gram_hashes, groups, ranges, text_bytes, window_minimum
+from packedts.llm.textbytes import gram_hashes, groups, mixed, ranges, text_bytes, window_minimum
 
 GRAM = 20
-LONGEST_RUN = 4096
-HOT = 4096
+LONGEST_RUN = 64
+HOT = 1024
 PORTION = 200_000
 LOW = np.uint64(3)
 
@@ -117,7 +117,8 @@ class Runs:
         n = len(self.data)
         self.window_key = np.zeros(n, np.uint64)
         keys = window_minimum(self.data, min(GRAM, length), length)
-        self.window_key[: len(keys)] = keys & ~LOW
+        # minima are small numbers: mixed again, they spread over all buckets
+        self.window_key[: len(keys)] = mixed(keys) & ~LOW
         self._cut(self.window_key)
 
     def _cut(self, keys: np.ndarray) -> None:
@@ -240,19 +241,19 @@ def match_fragments(table: pa.Table, length: int) -> pa.Table:
     # portions, as windows under different keys never match
     at = groups(base[head])
     members = np.diff(np.append(at, len(head)))
-    mixed = np.flatnonzero(np.repeat(members > 1, members))
-    windows = size[head[mixed]] - length + 1
-    owner = np.repeat(mixed, windows)
+    many = np.flatnonzero(np.repeat(members > 1, members))
+    windows = size[head[many]] - length + 1
+    owner = np.repeat(many, windows)
     earlier = np.zeros(len(owner), bool)
     stop = np.cumsum(windows)
-    new_key = np.append(True, base[head[mixed]][1:] != base[head[mixed]][:-1])
+    new_key = np.append(True, base[head[many]][1:] != base[head[many]][:-1])
     lo = 0
-    while lo < len(mixed):
+    while lo < len(many):
         wanted = int(np.searchsorted(stop, stop[lo] - windows[lo] + PORTION, "right"))
         ends = lo + 1 + np.flatnonzero(np.append(new_key[lo + 1 :], True))
         hi = int(ends[max(0, np.searchsorted(ends, wanted, "right") - 1)])
         part = slice(int(stop[lo] - windows[lo]), int(stop[hi - 1]))
-        suffixes, shared = suffix_order(data, ranges(first[head[mixed[lo:hi]]], windows[lo:hi]), length)
+        suffixes, shared = suffix_order(data, ranges(first[head[many[lo:hi]]], windows[lo:hi]), length)
         earlier[part] = longest_previous_factor(suffixes, shared, least[head[owner[part]]]) >= length
         lo = hi
 
@@ -263,7 +264,7 @@ def match_fragments(table: pa.Table, length: int) -> pa.Table:
     run_from = inside[step]
     run_to = np.append(inside, -1)[np.flatnonzero(np.append(step[1:], True))] + 1 if len(inside) else inside
     base_at = np.zeros(len(head), np.int64)
-    base_at[mixed] = np.cumsum(windows) - windows
+    base_at[many] = np.cumsum(windows) - windows
     run_kind = owner[run_from]
     run_count = np.bincount(run_kind, minlength=len(head))
     run_begin = np.cumsum(run_count) - run_count
