@@ -154,12 +154,13 @@ class Runs:
 
         Fragments are numbered in order of key, and the run given is that of the least doc_id.
         """
+        repeated = np.sort(repeated)  # answers come in any order
         hot = repeated[repeated & LOW == 2] & ~LOW
         wanted = repeated & ~LOW
         if len(hot):
             self.split_hot(hot)
             wanted = np.union1d(np.setdiff1d(wanted, hot), self.split)
-        run = np.flatnonzero(_among(self.key, np.sort(wanted)))
+        run = np.flatnonzero(_among(self.key, wanted))
         code = byte_hash(self.data, self.first[run], self.size[run] + self.length - 1)
         order = np.lexsort((code, self.size[run], self.key[run]))
         run, code = run[order], code[order]
