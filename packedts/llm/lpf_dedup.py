@@ -221,7 +221,9 @@ def match_fragments(table: pa.Table, length: int) -> pa.Table:
     if not len(keys):
         return rows_table([], arrow_schema(ANSWERS))
     place, least, size = (joined(table.column(c), t)[0] for c, t in (("place", "<u4"), ("least", "<i8"), ("size", "<u2")))
-    data, _ = joined(table.column("bytes"), "u1")
+    row_bytes = np.add.reduceat(size.astype(np.int64), np.cumsum(sizes) - sizes)  # no row is empty
+    packed = table.column("bytes").to_pylist()
+    data = np.frombuffer(b"".join(pa.decompress(p, int(n), "zstd", asbytes=True) for p, n in zip(packed, row_bytes)), np.uint8)
     block = np.repeat(table.column("block").to_numpy(), sizes)
     several, base = keys & np.uint64(1), keys & ~LOW
     size = size.astype(np.int64)
@@ -331,7 +333,8 @@ def remove_repeated_bytes(docs: DataFrame, length: int = 50, layout: Layout | No
         # the run of the least doc_id stands first, as the sort by content is stable
         for b, k, p, l, s in dealt(bucket_of(keys, buckets), keys, place, ids[at], size.astype("<u2")):
             end = begin + len(k) // 8
-            rows.append((b, block, k, p, l, s, text[stop[begin] - size[begin] : stop[end - 1]].tobytes()))
+            part = text[stop[begin] - size[begin] : stop[end - 1]].tobytes()
+            rows.append((b, block, k, p, l, s, pa.compress(part, "zstd", asbytes=True)))
             begin = end
         return rows_table(rows, arrow_schema(FRAGMENTS))
 
