@@ -29,13 +29,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from packedts.llm.blocks import Layout, blocked, bucket_of, dealt, id_and_text, in_id_order, joined, per_block, rows_table
+from packedts.llm.blocks import NO_ID, Layout, blocked, bucket_of, dealt, id_and_text, in_id_order, joined, per_block, rows_table
 from packedts.llm.textbytes import gram_hashes, groups, ranges, text_bytes, word_hashes, word_spans
 
 # A perfect difference cover: every difference modulo the period is one of two cover places.
 PERIOD, COVER = 7, (1, 2, 4)
 KEYS = pa.schema([("bucket", pa.int64()), ("block", pa.int64()), ("keys", pa.binary())])
-ANSWERS = pa.schema([("block", pa.int64()), ("keys", pa.binary()), ("more", pa.binary()), ("least", pa.binary())])
+ANSWERS = pa.schema([("block", pa.int64()), ("keys", pa.binary()), ("more", pa.binary())])
 WINDOWS = pa.schema([("bucket", pa.int64()), ("block", pa.int64()), ("keys", pa.binary()), ("more", pa.binary()), ("least", pa.binary())])
 RESULT = pa.schema(
     [("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_text", pa.string()), ("kept_sha256", pa.string())]
@@ -97,14 +97,14 @@ def repeated_anchors(table: pa.Table) -> pa.Table:
     size = np.diff(np.append(at, len(base)))
     hit = order[np.repeat(many | (size > 1), size)]
     hit = hit[np.argsort(block[hit], kind="stable")]
-    none = np.zeros(len(hit), "V0")
-    return rows_table([(b, k, None, None) for b, k, _ in dealt(block[hit], keys[hit] | np.uint64(1), none)], ANSWERS)
+    return rows_table([(b, k, None) for b, k in dealt(block[hit], keys[hit] | np.uint64(1))], ANSWERS)
 
 
 def first_documents(table: pa.Table) -> pa.Table:
     """For every window the least doc_id of all; answers go to blocks that hold a later document.
 
-    The lowest bit of the first hash says that its block has the window in several documents.
+    The lowest bit of a first hash sent says that its block has the window in several documents;
+    in an answer, that a document outside the block comes before all of them.
     """
     keys, sizes = joined(table.column("keys"), "<u8")
     more, _ = joined(table.column("more"), "<u8")
@@ -119,7 +119,8 @@ def first_documents(table: pa.Table) -> pa.Table:
         earliest[order] = np.repeat(np.minimum.reduceat(least[order], at), np.diff(np.append(at, len(order))))
     hit = np.flatnonzero((earliest < least) | (keys & np.uint64(1) == 1))
     hit = hit[np.argsort(block[hit], kind="stable")]
-    return rows_table(list(dealt(block[hit], keys[hit], more[hit], earliest[hit])), ANSWERS)
+    earlier = (earliest[hit] < least[hit]).astype(np.uint64)
+    return rows_table(list(dealt(block[hit], keys[hit] & ~np.uint64(1) | earlier, more[hit])), ANSWERS)
 
 
 def remove_repeated_windows(docs: DataFrame, window: int = 13, layout: Layout | None = None) -> DataFrame:
@@ -180,10 +181,10 @@ def remove_repeated_windows(docs: DataFrame, window: int = 13, layout: Layout |
             return rows_table([], RESULT)
         words = Words.of(table)
         gone = np.zeros(len(words.first), bool)
-        keys, more, least = (joined(answers.column(c), t)[0] for c, t in (("keys", "<u8"), ("more", "<u8"), ("least", "<i8")))
+        keys, more = joined(answers.column("keys"), "<u8")[0], joined(answers.column("more"), "<u8")[0]
         if len(keys):
             order = np.lexsort((more, keys >> np.uint64(1)))
-            keys, more, least = keys[order] >> np.uint64(1), more[order], least[order]
+            outside, keys, more = keys[order] & np.uint64(1) == 1, keys[order] >> np.uint64(1), more[order]
             at, first, second = windows_of(words, window)
             first >>= np.uint64(1)
             lo = np.searchsorted(keys, first)
@@ -194,7 +195,11 @@ def remove_repeated_windows(docs: DataFrame, window: int = 13, layout: Layout |
                 known &= hit < len(keys)
                 hit = np.minimum(hit, len(keys) - 1)
                 known &= keys[hit] == first
-            later = at[known & (least[hit] < words.ids[words.doc[at]])]
+            at, hit = at[known], hit[known]
+            ids = words.ids[words.doc[at]]
+            own = np.full(len(keys), NO_ID)
+            np.minimum.at(own, hit, ids)  # the least doc_id of the block with the window
+            later = at[outside[hit] | (own[hit] < ids)]
             edge = np.zeros(len(gone) + 1, np.int32)
             np.add.at(edge, later, 1)
             np.add.at(edge, later + window, -1)
