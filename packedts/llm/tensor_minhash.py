@@ -5,7 +5,7 @@ collections of bands are computed, U with `u_bands` bands of `u_rows` minima and
 `v_bands` of `v_rows`; every pair of a band of U and one of V is a table, so u_bands * v_bands
 tables cost u_bands * u_rows + v_bands * v_rows minima. Two sets of similarity s meet in a
 table unless they share no band of U or none of V: at s = 0.8 and the default sizes the chance
-of that is 5 in 100,000.
+of that is 2 in 100,000.
 
 1. Documents with equal sets are one class, standing for itself by its least doc_id.
 2. Classes that meet in a table form candidate groups (components of links to the least
@@ -50,8 +50,8 @@ class Tables:
 
     u_bands: int = 16
     u_rows: int = 3
-    v_bands: int = 10
-    v_rows: int = 2
+    v_bands: int = 16
+    v_rows: int = 3
 
     @property
     def minima(self) -> int:
@@ -258,7 +258,8 @@ def confirmed_links(texts: DataFrame, candidates: DataFrame, words: int, percent
         candidates.join(size, "root").select("id", F.col("root").alias("leader"), "members", F.ceil(F.col("members") / PIECE).cast("long").alias("pieces")),
         "groups",
     )
-    wanted = texts.join(groups_, texts.doc_id == groups_.id).drop("doc_id")
+    # by sorting at every size: the ids of all candidates are not bounded, so they are not broadcast
+    wanted = texts.join(groups_.hint("merge"), texts.doc_id == groups_.id).drop("doc_id")
     sets = stored(_set_rows(wanted.select("id", "leader", "members", "pieces", "text"), words), "sets")
     piece = F.pmod(F.xxhash64("id"), F.col("pieces"))
     every = F.explode(F.sequence(F.lit(0).cast("long"), F.col("pieces") - 1))
