@@ -65,11 +65,34 @@ def _ordinals(counts):
     return np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - counts, counts)
 
 
+def _walked(data, start, end):
+    """Where the points of these append cells start, by cell, and points per cell."""
+    size = end - start
+    at = np.cumsum(size) - size
+    place = np.repeat(start - at, size) + np.arange(int(size.sum()))
+    width = data[np.minimum(place + 1, len(data) - 1)] & 7
+    done = len(place)
+    following = np.arange(done, dtype=np.int32) + 3 + width
+    following[following >= np.repeat(at + size, size)] = done
+    jump = np.append(following, done).astype(np.int32)
+    found = np.zeros(done + 1, bool)
+    reached = at[size > 0].astype(np.int32)
+    while len(reached):
+        found[reached] = True
+        known = np.flatnonzero(found[:done])
+        reached = jump[known]
+        reached = reached[reached < done]
+        reached = reached[~found[reached]]
+        jump = jump[jump]
+    known = np.flatnonzero(found[:done])
+    return place[known], np.searchsorted(known, at + size) - np.searchsorted(known, at)
+
+
 def _append_starts(data, start, end):
     """Where each point of the append cells starts, and points per cell.
 
-    Cells whose points are all as wide as the first take one vector pass; the
-    others are walked point by point.
+    Cells whose points are all as wide as the first take one vector pass; in the
+    others the way from point to point is doubled until no cell has more.
     """
     step = 3 + (data[start + 1] & 7).astype(np.int64)
     counts = -((start - end) // step)
@@ -78,14 +101,7 @@ def _append_starts(data, start, end):
     mixed = np.unique(row[(data[starts + 1] & 7) + 3 != step[row]])
     if not len(mixed):
         return starts, counts
-    raw = data.tobytes()
-    walked = []
-    for index, position, stop in zip(mixed.tolist(), start[mixed].tolist(), end[mixed].tolist()):
-        before = len(walked)
-        while position < stop:
-            walked.append(position)
-            position += 3 + (raw[position + 1] & 7)
-        counts[index] = len(walked) - before
+    walked, counts[mixed] = _walked(data, start[mixed], end[mixed])
     uniform = np.ones(len(start), bool)
     uniform[mixed] = False
     kept = starts[uniform[row]]

@@ -13,7 +13,6 @@ from packedts.operators.cellparts import (
     APPEND,
     INVALID,
     base_seconds,
-    base_time_bytes,
     cell_kind,
     has_key_shape,
     is_point_family,
@@ -43,7 +42,8 @@ def by_time(named: DataFrame, cells: DataFrame, id_size: int = 4, partitions: in
         partitions = int(cells.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     hour = F.floor(base_seconds(id_size) / 3600)
     hours = (
-        cells.filter(is_point_family() & has_key_shape(id_size))
+        cells.select("row_key", "family")
+        .filter(is_point_family() & has_key_shape(id_size))
         .groupBy(hour.alias("_hour"))
         .agg(F.count("*").alias("_cells"))
         .selectExpr(
@@ -55,10 +55,12 @@ def by_time(named: DataFrame, cells: DataFrame, id_size: int = 4, partitions: in
     )
     # A cell's place within its hour: a fraction from 0 to 1, even for copies.
     place = "pmod(xxhash64(row_key, version, spark_partition_id()), 1048576) / 1048576D"
-    target = f"least(cast({partitions} * (_before + _cells * {place}) / _total as int), {partitions - 1})"
+    counted = f"least(cast({partitions} * (_before + _cells * {place}) / _total as int), {partitions - 1})"
+    # Cells of an hour that the count did not see are spread over all partitions.
+    target = f"coalesce({counted}, cast({partitions} * {place} as int) % {partitions})"
     return (
         named.withColumn("_hour", hour)
-        .join(F.broadcast(hours), "_hour")
+        .join(F.broadcast(hours), "_hour", "left")
         .withColumn("_target", F.expr(target))
         .repartitionById(partitions, "_target")
         .drop("_hour", "_cells", "_before", "_total", "_target")

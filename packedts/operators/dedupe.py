@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime, timedelta
+from itertools import pairwise
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -44,7 +46,7 @@ class Slice:
         if self.upper is not None:
             held = held & (time < instant(self.upper))
             if day is not None:
-                held = held & (day <= utc_day(instant(self.upper)))
+                held = held & (day <= utc_day(instant(self.upper - timedelta(microseconds=1))))
         return held
 
     def __str__(self) -> str:
@@ -63,13 +65,10 @@ def plan_slices(first: str | datetime, last: str | datetime, step_days: int = 10
     """
     if step_days < 1:
         raise ValueError(f"a slice is at least one day long, got {step_days}")
-    start, last = as_utc(first), as_utc(last)
-    slices = [Slice(None, start)]
-    while start < last:
-        end = start + timedelta(days=step_days)
-        slices.append(Slice(start, end))
-        start = end
-    return [*slices, Slice(start, None)]
+    begin, step = as_utc(first), timedelta(days=step_days)
+    steps = max(0, math.ceil((as_utc(last) - begin) / step))
+    edges = [None, *(begin + k * step for k in range(steps + 1)), None]
+    return [Slice(lower, upper) for lower, upper in pairwise(edges)]
 
 
 def slice_table(spark: SparkSession, slices: Sequence[Slice]) -> DataFrame:

@@ -17,9 +17,6 @@ from packedts.operators.instants import as_utc, instant
 from packedts.operators.lookup import BROADCAST_BYTES
 from packedts.schemas import MAX_OFFSET, TIME_BYTES
 
-# More ids than this for one metric name are not worth a predicate each.
-MAX_METRIC_IDS = 100
-
 
 def point_filter(metric: str, lsp_id: int, start: str | datetime, end: str | datetime) -> Column:
     """Points of a metric and device with ``start <= time <= end``."""
@@ -35,6 +32,23 @@ def files_of(points: DataFrame) -> DataFrame:
     return points.select("file").distinct()
 
 
+def _after(key: bytes) -> bytes | None:
+    """The least key of the same length above ``key``, if there is one."""
+    above = int.from_bytes(key, "big") + 1
+    return above.to_bytes(len(key), "big") if above < 256 ** len(key) else None
+
+
+def _stored_ids(uids: DataFrame, metric: str, id_size: int) -> DataFrame:
+    """Ids of a metric name as they stand in row keys; ids that need more bytes stand in none."""
+    unsigned = F.col("uid").cast("long").bitwiseAND(F.lit(2**32 - 1))
+    return (
+        uids.filter((F.col("qualifier") == "metrics") & (F.col("name") == metric))
+        .filter(unsigned < 2 ** (8 * id_size))
+        .select(F.unhex(F.lpad(F.hex(unsigned), 2 * id_size, "0")).alias("_metric_id"))
+        .distinct()
+    )
+
+
 def _four_bytes(seconds: int) -> bytes:
     return min(max(seconds, 0), 2**32 - 1).to_bytes(TIME_BYTES, "big")
 
@@ -47,33 +61,36 @@ def prune_cells(
     end: str | datetime,
     id_size: int = 4,
     salts: Iterable[int] | None = None,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Cells that can hold points of ``metric`` between ``start`` and ``end``.
 
     A point lies at most ``MAX_OFFSET`` seconds after its cell's base time, so
     nothing that matches is lost. If the salt values in use are given, the same
-    condition is also stated as ranges of ``row_key``, which a table sorted by row
-    key answers from file statistics without reading the rest.
+    condition is also stated as one range of ``row_key`` per salt, from the least to the
+    largest id, which a table sorted by row key answers from file statistics without
+    reading the rest. The ids themselves are joined, and broadcast while their counted
+    bytes allow it.
     """
     first = _four_bytes(math.floor(as_utc(start).timestamp()) - MAX_OFFSET)
     last = _four_bytes(math.floor(as_utc(end).timestamp()))
     kept = cells.filter(has_key_shape(id_size) & base_time_bytes(id_size).between(F.lit(first), F.lit(last)))
-    named = uids.filter((F.col("qualifier") == "metrics") & (F.col("name") == metric)).select("uid").distinct()
-    ids = [row["uid"] for row in named.take(MAX_METRIC_IDS + 1)]
-    if len(ids) > MAX_METRIC_IDS:
-        return kept
-    stored = [(uid % 2**32).to_bytes(4, "big") for uid in ids]
-    stored = [b[4 - id_size :] for b in stored if not any(b[: 4 - id_size])]
-    if not stored:
+    ids = _stored_ids(uids, metric, id_size)
+    count, least, largest = ids.agg(F.count("*"), F.min("_metric_id"), F.max("_metric_id")).first()
+    if not count:
         return kept.filter(F.lit(False))
-    kept = kept.filter(metric_id_bytes(id_size).isin(*stored))
     if salts is not None:
-        ranges = [
-            F.col("row_key").between(F.lit(prefix + first), F.lit(prefix + last + b"\xff" * 2 * id_size))
-            for prefix in (bytes([salt]) + uid for salt in salts for uid in stored)
-        ]
-        kept = kept.filter(reduce(or_, ranges))
-    return kept
+        kept = kept.filter(reduce(or_, [_key_range(bytes([salt]), bytes(least), bytes(largest), first, last) for salt in salts]))
+    if count * 64 <= broadcast_bytes:
+        ids = F.broadcast(ids)
+    return kept.join(ids, metric_id_bytes(id_size) == F.col("_metric_id"), "left_semi")
+
+
+def _key_range(salt: bytes, least: bytes, largest: bytes, first: bytes, last: bytes) -> Column:
+    """Row keys of a salt from the first time of the least id to any tags at the last time of the largest."""
+    held = F.col("row_key") >= F.lit(salt + least + first)
+    above = _after(salt + largest + last)
+    return held if above is None else held & (F.col("row_key") < F.lit(above))
 
 
 def find_files(
@@ -96,7 +113,7 @@ def find_files(
     """
     only = None
     if prune:
-        cells = prune_cells(cells, uids, metric, start, end, id_size, salts)
+        cells = prune_cells(cells, uids, metric, start, end, id_size, salts, broadcast_bytes)
         only = (F.col("metric") == metric) & (F.col("lsp_id") == lsp_id)
     points = decode_points(cells, uids, id_size, only=only, provenance=True, broadcast_bytes=broadcast_bytes)
     return files_of(points.filter(point_filter(metric, lsp_id, start, end)))

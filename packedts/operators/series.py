@@ -8,6 +8,7 @@ join back to the cells is planned.
 
 from __future__ import annotations
 
+import unicodedata
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation
@@ -29,8 +30,11 @@ def series_keys(cells: DataFrame, id_size: int) -> DataFrame:
     )
 
 
-# INT of a signed decimal number without blanks, else NULL.
-LENIENT_INT = "CASE WHEN name RLIKE '^[+-]?[0-9]+$' THEN try_cast(name AS INT) END"
+# All decimal digits of the basic plane count, as in the format's own number parser.
+_DIGITS = [chr(c) for c in range(0x10000) if unicodedata.category(chr(c)) == "Nd"]
+_ASCII_NAME = f"translate(name, '{''.join(_DIGITS)}', '{''.join(str(unicodedata.digit(d)) for d in _DIGITS)}')"
+# INT of a signed decimal number with nothing around it, a line end included, else NULL.
+LENIENT_INT = rf"CASE WHEN {_ASCII_NAME} RLIKE '^[+-]?[0-9]+\\z' THEN try_cast({_ASCII_NAME} AS INT) END"
 
 
 def _with_names(ids: DataFrame, uids: DataFrame, size: int, limit: int) -> DataFrame:

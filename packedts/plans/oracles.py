@@ -119,15 +119,16 @@ ORACLES: dict[str, str] = {
     "dedupe_points": f"SELECT {_NO_TAGS} FROM ({_POINTS})",
     "dedupe_sliced": f"SELECT {_NO_TAGS} FROM ({_POINTS})",
     "slice_plan": f"""
-        SELECT slice, predicate, CAST(2 * count(*) AS BIGINT) AS points
-        FROM ({_POINTS}) JOIN (VALUES
-            (0, 'time<''2024-01-05 00:00:00Z''', TIMESTAMP '1900-01-01', TIMESTAMP '2024-01-05'),
-            (1, 'time>=''2024-01-05 00:00:00Z'' and time<''2024-01-15 00:00:00Z''',
-                TIMESTAMP '2024-01-05', TIMESTAMP '2024-01-15'),
-            (2, 'time>=''2024-01-15 00:00:00Z'' and time<''2024-01-25 00:00:00Z''',
-                TIMESTAMP '2024-01-15', TIMESTAMP '2024-01-25'),
-            (3, 'time>=''2024-01-25 00:00:00Z''', TIMESTAMP '2024-01-25', TIMESTAMP '9999-01-01')
-        ) AS s(slice, predicate, lower, upper) ON time >= lower AND time < upper
+        SELECT slice, predicate, CAST(2 * count(time) AS BIGINT) AS points
+        FROM (
+            SELECT CAST(k AS INTEGER) AS slice,
+                CASE WHEN k > 0 THEN TIMESTAMP '2023-12-16' + to_days(CAST(10 * (k - 1) AS INTEGER)) END AS lower,
+                CASE WHEN k < 7 THEN TIMESTAMP '2023-12-16' + to_days(CAST(10 * k AS INTEGER)) END AS upper,
+                concat_ws(' and ', strftime(lower, 'time>=''%Y-%m-%d %H:%M:%SZ'''),
+                    strftime(upper, 'time<''%Y-%m-%d %H:%M:%SZ''')) AS predicate
+            FROM range(8) AS r(k)
+        ) LEFT JOIN ({_POINTS}) ON time >= coalesce(lower, TIMESTAMP '1900-01-01')
+            AND time < coalesce(upper, TIMESTAMP '9999-01-01')
         GROUP BY slice, predicate""",
     "write_day_partitioned": f"""
         SELECT strftime(time, '%Y-%m-%d') AS day, count(*) AS points, CAST(0 AS BIGINT) AS unsorted

@@ -18,7 +18,7 @@ from packedts.functions.packing import pack_points
 from packedts.operators.cellparts import cell_kind
 from packedts.operators.counts import count_points, count_points_by_file, row_count, time_range
 from packedts.operators.decode import decode_errors, decode_points
-from packedts.operators.dedupe import dedupe_points, plan_slices, slice_number, slice_table
+from packedts.operators.dedupe import dedupe_points, plan_slices, slice_table
 from packedts.operators.dictionary import dictionary_faults, read_uids
 from packedts.operators.search import find_files
 from packedts.operators.series import build_series
@@ -32,6 +32,8 @@ from packedts.sources.files import is_source_file, largest_first, within_budget
 METRIC, LSP_ID = "view", 0
 START, END = "2024-01-05T10:50:00+00:00", "2024-01-08T10:50:00+00:00"
 FIRST_SLICE, LAST_SLICE = "2024-01-05T00:00:00+00:00", "2024-01-25T00:00:00+00:00"
+# The first and the last slices of this plan hold no points.
+PLAN_FIRST, PLAN_LAST = "2023-12-16T00:00:00+00:00", "2024-02-05T00:00:00+00:00"
 BUDGET_BYTES = 2_000_000
 
 _stored: dict[tuple[str, str, str], str] = {}
@@ -251,11 +253,11 @@ def q_dedupe_sliced(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_slice_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The slices of a dedupe run, and how many points each one has to handle."""
-    slices = plan_slices(FIRST_SLICE, LAST_SLICE)
-    number = slice_number(F.col("time"), slices).alias("slice")
-    sizes = read_points(spark, _imported_with_copies(spark, sf_dir)).groupBy(number).agg(F.count("*").alias("points"))
-    plan = slice_table(spark, slices).select("slice", "predicate")
-    return F.broadcast(plan).join(sizes, "slice", "right")
+    slices = plan_slices(PLAN_FIRST, PLAN_LAST)
+    held = F.array(*(F.coalesce(F.sum(s.predicate().cast("long")), F.lit(0)) for s in slices))
+    sizes = read_points(spark, _imported_with_copies(spark, sf_dir)).agg(held.alias("held"))
+    numbered = sizes.select(F.posexplode("held").alias("slice", "points"))
+    return slice_table(spark, slices).select("slice", "predicate").join(numbered, "slice", "left")
 
 
 def _unsorted_rows(table: DataFrame, order: tuple[str, ...]) -> DataFrame:

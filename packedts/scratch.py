@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -13,12 +12,9 @@ _SETTING = "spark.checkpoint.dir"
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only a local session, as in tests, may go without the setting.
+    Without the setting it lies in the warehouse, which every session has and a cluster shares.
     """
     root = spark.conf.get(_SETTING, None) or spark.sparkContext.getConf().get(_SETTING)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError(f"set {_SETTING} to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="packedts-")
-        spark.conf.set(_SETTING, root)
+        root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch"
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Sequence
 from contextlib import contextmanager
 
@@ -13,8 +14,10 @@ from packedts.schemas import POINT_COLUMNS, POINTS
 
 IMPORT_ORDER = ("time",)
 DEDUPE_ORDER = ("metric", "lsp_id", "circuit_id", "time")
-FANOUT_WRITERS = 1000
+# As many open files as there are days: a fanout write never falls back to sorting.
+FANOUT_WRITERS = 2**31 - 1
 
+_one_fanout = threading.Lock()
 _WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
 
 
@@ -61,12 +64,14 @@ def ranged(points: DataFrame, order: Sequence[str], partitions: int | None = Non
 
 @contextmanager
 def _many_open_files(spark: SparkSession):
-    before = spark.conf.get(_WRITERS)
-    spark.conf.set(_WRITERS, FANOUT_WRITERS)
-    try:
-        yield
-    finally:
-        spark.conf.set(_WRITERS, before)
+    """Spark has this as a session setting only; the lock keeps fanout writes of a driver apart."""
+    with _one_fanout:
+        before = spark.conf.get(_WRITERS)
+        spark.conf.set(_WRITERS, FANOUT_WRITERS)
+        try:
+            yield
+        finally:
+            spark.conf.set(_WRITERS, before)
 
 
 def _save(rows: DataFrame, table: str, mode: str) -> None:

@@ -133,7 +133,7 @@ def test_row_keys(spark):
     assert found == [names for _, names in KEYS.values()]
 
 
-@pytest.mark.parametrize("text, number", [("+5", 5), ("-7", -7), ("007", 7), ("1.5", None), (" 12 ", None), ("", None), ("2147483647", 2147483647), ("2147483648", None), ("1e3", None)])
+@pytest.mark.parametrize("text, number", [("+5", 5), ("-7", -7), ("007", 7), ("1.5", None), (" 12 ", None), ("", None), ("2147483647", 2147483647), ("2147483648", None), ("1e3", None), ("12\n", None), ("12\r\n", None), ("٣٤", 34), ("-１２", -12)])
 def test_lenient_numbers(spark, text, number):
     uids = uids_of(spark, [(9, "tagv", text)])
     assert decode_points(one_cell(spark, "0000", "05", key=row_key((1, 9))), uids).first().lsp_id == number
@@ -201,3 +201,11 @@ def test_time_does_not_depend_on_the_session_zone(spark, uids):
     assert seconds == datetime(2021, 4, 2, 10, tzinfo=timezone.utc).timestamp()
 
 
+
+
+def test_cells_of_an_uncounted_hour_stay(spark):
+    from packedts.operators.decode import by_time
+
+    counted = cells_of(spark, [(R4, b"t", "0000", "05", 1)])
+    late = cells_of(spark, [(row_key((1, 1), base="6066f930"), b"t", "0000", "05", i) for i in range(5)])
+    assert by_time(counted.unionByName(late), counted, partitions=3).count() == 6

@@ -92,3 +92,21 @@ def test_three_byte_ids_that_do_not_fit(spark):
     cells = cells_of(spark, [(row_key(id_size=3), b"t", "0000", "05", 1)])
     assert prune_cells(cells, uids, "wide", START, END, id_size=3).count() == 0
     assert prune_cells(cells, uids, "power", "2021-04-02T10:00:00Z", END, id_size=3).count() == 1
+
+
+def test_salt_ranges_reach_past_a_first_pair_of_largest_ids(spark):
+    cells = store(spark, {"a": [cell(86400, (0xFFFFFFFF, 0xFFFFFFFF), (1, 1))], "b": [cell(86401, (1, 1))]})
+    for salts in (None, range(2)):
+        kept = prune_cells(cells, uids_of(spark, []), "power", START, END, salts=salts)
+        assert (salts, [r.file for r in kept.collect()]) == (salts, ["a"])
+
+
+@pytest.mark.parametrize("limit", [0, 1 << 20])
+def test_many_ids_for_one_name(spark, limit):
+    names = [(100 + k, "metrics", "crowd") for k in range(150)]
+    uids = uids_of(spark, names)
+    cells = store(spark, {"a": [cell(5, (1, 1), metric=249)], "b": [cell(5, (1, 1), metric=1)], "c": [cell(-9000, (1, 1), metric=100)]})
+    kept = prune_cells(cells, uids, "crowd", START, END, salts=[0], broadcast_bytes=limit)
+    assert [r.file for r in kept.collect()] == ["a"]
+    found = find_files(cells, uids, "crowd", 2400, START, END, prune=True, salts=[0])
+    assert [r.file for r in found.collect()] == [r.file for r in find_files(cells, uids, "crowd", 2400, START, END).collect()]
