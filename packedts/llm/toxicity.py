@@ -26,7 +26,7 @@ import math
 import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from packedts.llm.components import stored
 
 SAMPLE = 12_000
-LEXICON = 300
+LEXICON = 120
 LEAST_DOCUMENTS = 3
 LEAST_LOG_ODDS = 1.8
 LEAST_SCORE = 7.0
@@ -61,7 +61,7 @@ class Term:
     @property
     def edits(self) -> int:
         """Edits that still count as the term: none for stems and short words."""
-        return 0 if self.stem or len(self.text) < 5 else 1 if len(self.text) < 9 else 2
+        return 0 if self.stem or len(self.text) < 5 else 1 if len(self.text) < 14 else 2
 
 
 @dataclass
@@ -152,10 +152,7 @@ class Model:
     terms: list[Term]
     weights: np.ndarray
     bias: float
-    automaton: Automaton = field(init=False)
-
-    def __post_init__(self) -> None:
-        self.automaton = Automaton.of(self.terms)
+    automaton: Automaton
 
 
 def prepared(text: Column) -> Column:
@@ -333,10 +330,10 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model:
     rows = described(sample.where("half = 1").select("text", "toxic"), terms, automaton).select("toxic", "features").collect()
     y = np.array([r.toxic for r in rows], float)
     if terms and 0 < y.sum() < len(y):
-        return Model(terms, *_regression(np.array([r.features for r in rows]), y))
+        return Model(terms, *_regression(np.array([r.features for r in rows]), y), automaton)
     toxic, total = n[0][1] + n[1][1], sum(map(sum, n))
     share = (toxic + 1) / (total + 2)
-    return Model(terms, PRIOR * 4, min(-1.0, math.log(share / (1 - share))))
+    return Model(terms, PRIOR * 4, min(-1.0, math.log(share / (1 - share))), automaton)
 
 
 # --- scoring -----------------------------------------------------------------------------
