@@ -8,9 +8,9 @@ table unless they share no band of U or none of V: at s = 0.8 and the default si
 of that is 2 in 100,000.
 
 1. Documents with equal sets are one class, standing for itself by its least doc_id.
-2. Classes that meet in a table form candidate groups (components of links to the least
-   class of each table entry). Links are formed per batch first, then between batches, so an
-   entry that a third of all classes share arrives as one row per batch.
+2. Classes that meet in a table form candidate groups (components). Links are formed per batch
+   first, then between batches, so an entry that a third of all classes share arrives as one
+   row per batch, and each sends on no more links than it has classes.
 3. In a group every class is compared with the group's least class (the leader) on full sets.
    Those not linked to it are compared with all others of the group, in pieces of bounded
    size. So every pair of a group is either linked through the leader or compared.
@@ -42,6 +42,8 @@ from packedts.llm.textbytes import LOWER, ODD, gram_hashes, groups, mixed, range
 PIECE = 1024
 SLAB = 4096
 SLICE = 500
+BATCH = 4000
+CROWD, CROWD_SHARE = 4096, 16_384
 
 
 @dataclass(frozen=True)
@@ -88,17 +90,18 @@ def minima(values: np.ndarray, count: np.ndarray, tables: Tables) -> np.ndarray:
     return np.stack([np.minimum.reduceat(values * f ^ (values * f >> np.uint64(31)), begin) for f in factors], 1)
 
 
-def table_keys(least: np.ndarray, tables: Tables) -> np.ndarray:
-    """A key for each pair of a band of U and a band of V."""
+def _bands(part: np.ndarray, rows: int) -> np.ndarray:
+    """A hash of each band of a collection."""
+    out = np.zeros((len(part), part.shape[1] // rows), np.uint64)
+    for r in range(rows):
+        out = mixed(out * ODD[2] + part[:, r::rows])
+    return out
 
-    def bands(part: np.ndarray, rows: int) -> np.ndarray:
-        out = np.zeros((len(part), part.shape[1] // rows), np.uint64)
-        for r in range(rows):
-            out = mixed(out * ODD[2] + part[:, r::rows])
-        return out
 
-    u = bands(least[:, : tables.u_bands * tables.u_rows], tables.u_rows)
-    v = bands(least[:, tables.u_bands * tables.u_rows :], tables.v_rows)
+def table_keys(least: np.ndarray, tables: Tables) -> np.ndarray:
+    """A key for each pair of a band of U and a band of V."""
+    u = _bands(least[:, : tables.u_bands * tables.u_rows], tables.u_rows)
+    v = _bands(least[:, tables.u_bands * tables.u_rows :], tables.v_rows)
     number = np.arange(tables.u_bands * tables.v_bands, dtype=np.uint64).reshape(tables.u_bands, -1)
     return mixed(u[:, :, None] * ODD[3] + v[:, None, :] * ODD[4] + number * ODD[5]).reshape(len(least), -1)
 
@@ -127,41 +130,101 @@ def signatures(texts: DataFrame, words: int, tables: Tables) -> DataFrame:
     return texts.mapInArrow(task, "doc_id long, n long, set_a long, set_b long, minima binary")
 
 
-def _stars(keys: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Sorted distinct keys with their least id, and links from that id to the others of its key."""
+def _stars(keys: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The place of the least id of each distinct key, and links from that id to the others of its key."""
     order = np.lexsort((ids, keys))
-    keys, ids = keys[order], ids[order]
-    at = groups(keys)
-    centre = np.repeat(ids[at], np.diff(np.append(at, len(keys))))
-    other = centre != ids
-    pairs = np.unique(np.stack([centre[other], ids[other]], 1), axis=0) if other.any() else np.zeros((0, 2), np.int64)
-    return keys[at], ids[at], pairs[:, 0], pairs[:, 1]
+    sorted_ids = ids[order]
+    at = groups(keys[order])
+    centre = np.repeat(sorted_ids[at], np.diff(np.append(at, len(keys))))
+    other = centre != sorted_ids
+    return order[at], centre[other], sorted_ids[other]
+
+
+def _roots(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of links (a, b), sorted, and the least id that each can reach."""
+    ids, place = np.unique(np.concatenate([a, b]), return_inverse=True)
+    a, b = place[: len(a)], place[len(a) :]
+    root = np.arange(len(ids))
+    while len(apart := np.flatnonzero(root[a] != root[b])):
+        a, b = a[apart], b[apart]
+        x, y = root[a], root[b]
+        np.minimum.at(root, np.maximum(x, y), np.minimum(x, y))
+        while ((up := root[root]) != root).any():
+            root = up
+    return ids, ids[root]
+
+
+def band_places(least: np.ndarray, tables: Tables) -> np.ndarray:
+    """A number for each band of U, by which the keys of its tables are dealt to buckets."""
+    u = _bands(least[:, : tables.u_bands * tables.u_rows], tables.u_rows)
+    return mixed(u * ODD[9] + np.arange(tables.u_bands, dtype=np.uint64) * ODD[5])
+
+
+def crowded_bands(classes: DataFrame, tables: Tables) -> np.ndarray:
+    """The places that more than CROWD classes and more than 1 in CROWD_SHARE hold, sorted.
+
+    So at most u_bands * CROWD_SHARE numbers come to the driver, whatever the input.
+    """
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            least = np.frombuffer(b"".join(batch.column("minima").to_pylist()), "<u8").reshape(batch.num_rows, -1)
+            places, count = np.unique(band_places(least, tables), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(places.view(np.int64)), pa.array(count)], names=["place", "n"])
+
+    counts = classes.select("minima").mapInArrow(task, "place long, n long").groupBy("place").agg(F.sum("n").alias("n"))
+    least_rows = max(CROWD, classes.count() // CROWD_SHARE)
+    rows = counts.where(F.col("n") > least_rows).select("place").collect()
+    return np.sort(np.array([r.place for r in rows], np.int64).view(np.uint64))
 
 
 def candidate_links(classes: DataFrame, tables: Tables, layout: Layout) -> DataFrame:
-    """Links (a, b) of candidates, among classes (doc_id, minima): a is the least class of a table entry."""
+    """Links (a, b) whose components are those of all classes (doc_id, minima) that meet in a table.
+
+    A batch links its own classes first and files each key under the least class of its
+    component. Keys are dealt by their band of U, so a pair that meets in many tables is found
+    in few buckets, however many there are; keys of a crowded band are dealt one by one. Batches
+    and buckets send on one link for each class that is not the least of its component there.
+    """
     rows = pa.schema([("bucket", pa.int64()), ("keys", pa.binary()), ("ids", pa.binary()), ("a", pa.binary()), ("b", pa.binary())])
     sent = "bucket long, keys binary, ids binary, a binary, b binary"
     buckets = layout.buckets
+    crowded = crowded_bands(classes, tables)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo in range(0, batch.num_rows, 2000):
-                part = batch.slice(lo, 2000)
+            for lo in range(0, batch.num_rows, BATCH):
+                part = batch.slice(lo, BATCH)
                 ids = part.column("doc_id").to_numpy(zero_copy_only=False)
                 least = np.frombuffer(b"".join(part.column("minima").to_pylist()), "<u8").reshape(len(ids), -1)
                 keys = table_keys(least, tables)
-                keys, ids, a, b = _stars(keys.ravel(), np.repeat(ids, keys.shape[1]))
-                out = [(n, k, i, None, None) for n, k, i in dealt(bucket_of(keys, buckets), keys, ids)]
-                if len(a):  # links within the batch go along with some bucket
-                    out.append((int(a[0]) % buckets, b"", b"", a.tobytes(), b.tobytes()))
+                per_class = keys.shape[1]
+                keys = keys.ravel()
+                at, a, b = _stars(keys, np.repeat(ids, per_class))
+                linked, root = _roots(a, b)
+                place = band_places(least, tables)[at // per_class, at % per_class // tables.v_bands]
+                keys, ids = keys[at], ids[at // per_class]
+                if len(linked):
+                    spot = np.minimum(np.searchsorted(linked, ids), len(linked) - 1)
+                    ids = np.where(linked[spot] == ids, root[spot], ids)
+                if len(crowded):
+                    spot = np.minimum(np.searchsorted(crowded, place), len(crowded) - 1)
+                    place = np.where(crowded[spot] == place, keys, place)
+                bucket = bucket_of(place, buckets)
+                order = np.argsort(bucket, kind="stable")
+                out = [(n, k, i, None, None) for n, k, i in dealt(bucket[order], keys[order], ids[order])]
+                other = linked != root
+                if other.any():  # links within the batch go along with some bucket
+                    out.append((int(linked[0]) % buckets, b"", b"", root[other].tobytes(), linked[other].tobytes()))
                 yield from rows_table(out, rows).to_batches()
 
     def meet(table: pa.Table) -> pa.Table:
         keys, ids = joined(table.column("keys"), "<u8")[0], joined(table.column("ids"), "<i8")[0]
-        _, _, a, b = _stars(keys, ids)
+        _, a, b = _stars(keys, ids)
         a, b = (np.concatenate([x, joined(table.column(c), "<i8")[0]]) for x, c in ((a, "a"), (b, "b")))
-        return pa.table({"a": a, "b": b})
+        linked, root = _roots(a, b)
+        other = linked != root
+        return pa.table({"a": root[other], "b": linked[other]})
 
     return classes.mapInArrow(task, sent).groupBy("bucket").applyInArrow(meet, "a long, b long").distinct()
 
