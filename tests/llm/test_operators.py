@@ -4,12 +4,14 @@ import hashlib
 import re
 import struct
 import zlib
+from collections import namedtuple
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from packedts.llm import surrogates as pii
+from packedts.llm import tensor_minhash as near
 from packedts.llm import toxicity as tox
 from packedts.llm.anchor_dedup import remove_repeated_windows
 from packedts.llm.blocks import Layout
@@ -125,6 +127,38 @@ def test_near_duplicates(docs, rows, words):
         assert (found[d].n_shingles, found[d].component_id, found[d].kept) == (len(sets[d]), find(d), find(d) == d)
 
 
+def _meet(links):
+    """Least reachable id of every id in links."""
+    root = {}
+
+    def find(x):
+        root.setdefault(x, x)
+        return x if root[x] == x else find(root[x])
+
+    for r in links:
+        x, y = find(r.a), find(r.b)
+        root[max(x, y)] = min(x, y)
+    return {x: find(x) for x in root}
+
+
+@pytest.mark.parametrize(("crowd", "batch"), [(4096, 4000), (0, 7), (5, 13)])
+def test_candidates_are_the_components_of_all_tables(spark, monkeypatch, crowd, batch):
+    monkeypatch.setattr(near, "CROWD", crowd)
+    monkeypatch.setattr(near, "CROWD_SHARE", 4)
+    monkeypatch.setattr(near, "BATCH", batch)
+    tables = near.Tables(3, 1, 3, 1)
+    rng = np.random.default_rng(2)
+    least = rng.integers(0, 12, (60, tables.minima)).astype("<u8")
+    least[20:45, 0] = 3  # one band that many share
+    classes = spark.createDataFrame([(k, bytearray(v.tobytes())) for k, v in enumerate(least)], "doc_id long, minima binary").repartition(4)
+    found = near.candidate_links(classes, tables, Layout(3, 5)).collect()
+    assert len(found) == len(set(found)) and all(r.a < r.b for r in found)
+    u, v = least[:, :3], least[:, 3:]
+    Link = namedtuple("Link", "a b")
+    meeting = [Link(a, b) for a in range(60) for b in range(a + 1, 60) if (u[a] == u[b]).any() and (v[a] == v[b]).any()]
+    assert _meet(found) == _meet(meeting)
+
+
 def test_common_counts():
     rng = np.random.default_rng(1)
     left, right = ([np.unique(rng.integers(0, 40, rng.integers(1, 30)).astype(np.uint64)) for _ in range(n)] for n in (6, 9))
