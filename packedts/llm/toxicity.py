@@ -2,9 +2,11 @@
 
 The lexicon is learned from labelled rows: words, and stems of longer words, that toxic
 documents use far more often than clean ones. Its words form a trie, which is intersected
-with the Levenshtein automata of their edit limits into one deterministic automaton; all words
-of a batch of texts run through its table at once, one character per step, and most drop out
-after a few. So misspelled terms are found as well as exact ones.
+with the Levenshtein automata of their edit limits; a swap of neighbouring letters is one edit.
+Every different word of a text walks the trie, and the states it meets are kept for the words
+that begin alike, so only states that texts need are ever made. So misspelled terms are found
+as well as exact ones: one edit from 5 letters on, two from 9. Shorter terms and stems have no
+edits, as too many clean words are one edit away. A word stays in the lexicon beside its stem.
 
 Each hit is weighed in its context: between quotation marks or on a quoted line it counts as
 quotation, elsewhere as abuse, and the densest window of words counts on its own. A logistic
@@ -12,7 +14,8 @@ regression over these figures gives the score.
 
 Bounds: the lexicon and the regression are fitted on at most SAMPLE labelled rows, half each,
 taken in the order of a hash of doc_id; a lexicon has at most LEXICON terms. Scoring is one
-pass over whole texts without a shuffle.
+pass over whole texts without a shuffle. A worker keeps at most STATES states and MEMO_WORDS
+words, and starts anew beyond.
 
 Defined results: a null or empty text has no hits and gets the score of such texts; documents
 in labels without a row in the documents are ignored, as are null labels; repeated rows are
@@ -26,7 +29,8 @@ import math
 import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +40,7 @@ from pyspark.sql import functions as F
 from packedts.llm.components import stored
 
 SAMPLE = 12_000
-LEXICON = 120
+LEXICON = 1000
 LEAST_DOCUMENTS = 3
 LEAST_LOG_ODDS = 1.8
 LEAST_SCORE = 7.0
@@ -44,6 +48,8 @@ STEMS = range(3, 10)
 WINDOW = 40
 QUOTE_REACH = 400
 SLICE = 400
+STATES = 100_000
+MEMO_WORDS = 200_000
 MARKS = ("“”„«»‹›", '"' * 7)
 FEATURES = ("words", "stems", "misspelled", "quoted", "window", "strongest", "density")
 # What the regression is drawn towards where the sample says little.
@@ -61,90 +67,118 @@ class Term:
     @property
     def edits(self) -> int:
         """Edits that still count as the term: none for stems and short words."""
-        return 0 if self.stem or len(self.text) < 5 else 1 if len(self.text) < 14 else 2
+        return 0 if self.stem or len(self.text) < 5 else 1 if len(self.text) < 9 else 2
 
 
-@dataclass
-class Automaton:
-    """The lexicon trie intersected with the terms' Levenshtein automata, as tables by state.
+@dataclass(eq=False, slots=True)
+class State:
+    """What a word may have become so far, and the terms that end here (-1: none).
 
-    State 0 is dead and state 1 the start. letters maps a character to its column; column 0
-    stands for all characters that no term holds.
+    places holds (node, letter, edits): a node of the trie, the letter that must come next to
+    complete a swap ("" outside of one), and the edits so far.
     """
 
-    letters: dict[str, int]
-    step: np.ndarray
-    exact: np.ndarray
-    close: np.ndarray
-    stem: np.ndarray
-    longest: int
+    places: frozenset[tuple[int, str, int]]
+    exact: int
+    close: int
+    stem: int
+    after: dict[str, State] = field(default_factory=dict)
 
-    @staticmethod
-    def of(terms: list[Term]) -> Automaton:
-        children: list[dict[str, int]] = [{}]
-        ends: dict[int, list[int]] = defaultdict(list)
-        allowed = [0]
+
+class Automaton:
+    """The lexicon trie intersected with the terms' Levenshtein automata, determinised as words need it."""
+
+    def __init__(self, terms: list[Term]) -> None:
+        self.terms = terms
+        self.children: list[dict[str, int]] = [{}]
+        self.ends: dict[int, list[int]] = defaultdict(list)
+        # edits that any term below a node allows
+        self.allowed = [0]
         for number, term in enumerate(terms):
             node = 0
-            allowed[0] = max(allowed[0], term.edits)
+            self.allowed[0] = max(self.allowed[0], term.edits)
             for letter in term.text:
-                if letter not in children[node]:
-                    children[node][letter] = len(children)
-                    children.append({})
-                    allowed.append(0)
-                node = children[node][letter]
-                allowed[node] = max(allowed[node], term.edits)
-            ends[node].append(number)
-        alphabet = sorted({c for t in terms for c in t.text})
-
-        def closed(positions: dict[int, int]) -> frozenset[tuple[int, int]]:
-            """Positions (node, edits), with letters of the trie left out at an edit each."""
-            todo = list(positions.items())
-            while todo:
-                node, edits = todo.pop()
-                if positions.get(node, 99) < edits:
-                    continue
-                for child in children[node].values():
-                    if edits < allowed[child] and positions.get(child, 99) > edits + 1:
-                        positions[child] = edits + 1
-                        todo.append((child, edits + 1))
-            return frozenset(positions.items())
-
-        def after(state: frozenset[tuple[int, int]], letter: str) -> frozenset[tuple[int, int]]:
-            positions: dict[int, int] = {}
-            for node, edits in state:
-                moves = [(node, edits + 1)]  # an extra letter
-                moves += [(child, edits + (label != letter)) for label, child in children[node].items()]
-                for target, cost in moves:
-                    if cost <= allowed[target] and positions.get(target, 99) > cost:
-                        positions[target] = cost
-            return closed(positions)
-
-        start = closed({0: 0})
-        numbers = {frozenset(): 0, start: 1}
-        queue, table = [frozenset(), start], []
-        while len(table) < len(queue):
-            state, row = queue[len(table)], []
-            for letter in ["", *alphabet]:
-                target = after(state, letter) if state else state
-                if target not in numbers:
-                    numbers[target] = len(queue)
-                    queue.append(target)
-                row.append(numbers[target])
-            table.append(row)
-        exact, close, stem = (np.full(len(queue), -1, np.int32) for _ in range(3))
-        for number, state in enumerate(queue):
-            for node, edits in state:
-                for term in ends[node]:
-                    if terms[term].stem:
-                        if edits == 0:
-                            stem[number] = term
-                    elif edits == 0:
-                        exact[number] = term
-                    elif edits <= terms[term].edits:
-                        close[number] = term
-        longest = max((len(t.text) + t.edits for t in terms), default=0)
-        return Automaton({c: k + 1 for k, c in enumerate(alphabet)}, np.array(table, np.int32), exact, close, stem, longest)
+                if letter not in self.children[node]:
+                    self.children[node][letter] = len(self.children)
+                    self.children.append({})
+                    self.allowed.append(0)
+                node = self.children[node][letter]
+                self.allowed[node] = max(self.allowed[node], term.edits)
+            self.ends[node].append(number)
+        self.letters = {c: c for t in terms for c in t.text}
+        self._begin()
+
+    @staticmethod
+    def of(terms: list[Term]) -> Automaton:
+        return Automaton(terms)
+
+    def _begin(self) -> None:
+        self.states: dict[frozenset, State] = {}
+        self.start = self._state({(0, ""): 0})
+
+    def _state(self, places: dict[tuple[int, str], int]) -> State:
+        """The state of these places and those that letters of the trie left out at an edit each lead to."""
+        todo = [(node, edits) for (node, awaited), edits in places.items() if not awaited]
+        while todo:
+            node, edits = todo.pop()
+            if places[node, ""] < edits:
+                continue
+            for child in self.children[node].values():
+                if edits < self.allowed[child] and places.get((child, ""), 99) > edits + 1:
+                    places[child, ""] = edits + 1
+                    todo.append((child, edits + 1))
+        key = frozenset((node, awaited, edits) for (node, awaited), edits in places.items())
+        if key not in self.states:
+            ended = [(edits, term) for node, awaited, edits in key if not awaited for term in self.ends.get(node, ())]
+            words = [(edits, term) for edits, term in ended if not self.terms[term].stem and edits <= self.terms[term].edits]
+            # of several, the one with the fewest edits, then the first of the lexicon
+            exact = min((term for edits, term in words if edits == 0), default=-1)
+            stem = min((term for edits, term in ended if self.terms[term].stem and edits == 0), default=-1)
+            self.states[key] = State(key, exact, min(words, default=(0, -1))[1], stem)
+        return self.states[key]
+
+    def _after(self, state: State, letter: str) -> State:
+        places: dict[tuple[int, str], int] = {}
+        allowed, children = self.allowed, self.children
+        for node, awaited, edits in state.places:
+            if awaited:
+                if awaited == letter and places.get((node, ""), 99) > edits:
+                    places[node, ""] = edits
+                continue
+            if (child := children[node].get(letter)) is not None and edits <= allowed[child] and places.get((child, ""), 99) > edits:
+                places[child, ""] = edits
+            edits += 1
+            if edits > allowed[node]:  # no term below allows another one
+                continue
+            if places.get((node, ""), 99) > edits:  # an extra letter
+                places[node, ""] = edits
+            for label, child in children[node].items():
+                if label != letter and edits <= allowed[child]:
+                    if places.get((child, ""), 99) > edits:
+                        places[child, ""] = edits
+                    swapped = children[child].get(letter)
+                    if swapped is not None and edits <= allowed[swapped] and places.get((swapped, label), 99) > edits:
+                        places[swapped, label] = edits
+        state.after[letter] = self._state(places)
+        return state.after[letter]
+
+    def find(self, word: str) -> tuple[int, int] | None:
+        """The term of a word and its kind: 0 the word itself, 1 a stem of it, 2 misspelled."""
+        if len(self.states) > STATES:
+            self._begin()
+        state, stem = self.start, -1
+        for left, letter in enumerate(word, 1 - len(word)):
+            letter = self.letters.get(letter, "")
+            state = state.after.get(letter) or self._after(state, letter)
+            if not state.places:
+                break
+            if left and state.stem >= 0:
+                stem = state.stem
+        if state.exact >= 0:
+            return state.exact, 0
+        if stem >= 0:
+            return stem, 1
+        return (state.close, 2) if state.close >= 0 else None
 
 
 @dataclass
@@ -152,7 +186,6 @@ class Model:
     terms: list[Term]
     weights: np.ndarray
     bias: float
-    automaton: Automaton
 
 
 def prepared(text: Column) -> Column:
@@ -165,27 +198,38 @@ class Reader:
 
     def __init__(self, terms: list[Term], automaton: Automaton) -> None:
         self.weight = np.array([t.weight for t in terms] + [0.0])
-        self.automaton = automaton
-        # columns of the table by code point, 255 for characters outside words
+
+        class Memo(dict):
+            """3 * term + kind of a word, or -1."""
+
+            def __missing__(self, word: str) -> int:
+                if len(self) >= MEMO_WORDS:
+                    self.clear()
+                hit = automaton.find(word)
+                code = -1 if hit is None else 3 * hit[0] + hit[1]
+                if len(word) < 64:
+                    self[word] = code
+                return code
+
+        self.memo = Memo()
+        # which code points stand in words
         points = 0x600
-        self.column = np.full(points + 1, 255, np.uint8)
-        self.column[[c for c in range(points) if chr(c).isalnum()]] = 0
-        self.column[points] = 0
-        for letter, column in automaton.letters.items():
-            if ord(letter) < points:
-                self.column[ord(letter)] = column
+        self.letter = np.array([chr(c).isalnum() for c in range(points)] + [True])
 
     def features(self, texts: list[str]) -> np.ndarray:
         sizes = np.array([len(t) + 1 for t in texts], np.int64)
-        points = np.frombuffer("\n".join([*texts, ""]).encode("utf-32-le", "surrogatepass"), "<u4")
-        column = self.column[np.minimum(points, len(self.column) - 1)]
-        inside = column != 255
+        joined = "\n".join([*texts, ""])
+        points = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), "<u4")
+        inside = self.letter[np.minimum(points, len(self.letter) - 1)]
         edge = np.diff(np.concatenate([[0], inside.view(np.int8), [0]]))
         first, last = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
         ends = np.cumsum(sizes)
         doc = np.searchsorted(ends, first, "right")
         n_words = np.bincount(doc, minlength=len(texts))
-        word, term, kind = self._hits(column, first, last)
+        words = map(joined.__getitem__, map(slice, first.tolist(), last.tolist()))
+        codes = np.fromiter(map(self.memo.__getitem__, words), np.int64, len(first))
+        word = np.flatnonzero(codes >= 0)
+        term, kind = np.divmod(codes[word], 3)
         out = np.zeros((len(texts), len(FEATURES)))
         if len(word):
             quoted = self._quoted(points, ends, sizes)[first[word]]
@@ -204,23 +248,6 @@ class Reader:
             out[:, 6] = np.log1p(100 * np.bincount(of, abuse, minlength=len(texts)) / np.maximum(n_words, 20))
         return out
 
-    def _hits(self, column: np.ndarray, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Number of the word, term, and kind of each hit (0 word, 1 stem, 2 misspelled); one per word."""
-        a = self.automaton
-        size = last - first
-        best, kinds = np.full(len(first), -1, np.int32), np.zeros(len(first), np.int8)
-        alive, state = np.arange(len(first)), np.ones(len(first), np.int32)
-        for k in range(a.longest):
-            state = a.step[state, column[first[alive] + k]]
-            more = size[alive] > k + 1
-            for table, kind, now in ((a.stem, 1, more), (a.close, 2, ~more), (a.exact, 0, ~more)):
-                hit = now & (table[state] >= 0)
-                best[alive[hit]], kinds[alive[hit]] = table[state[hit]], kind
-            stay = more & (state > 0)
-            alive, state = alive[stay], state[stay]
-        word = np.flatnonzero(best >= 0)
-        return word, best[word], kinds[word]
-
     def _quoted(self, points: np.ndarray, ends: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         """Which characters stand between two quotation marks not too far apart, or on a line that starts with >."""
         edge = np.zeros(len(points) + 1, np.int32)
@@ -239,6 +266,12 @@ class Reader:
         return np.cumsum(edge[:-1]) > 0
 
 
+@lru_cache(maxsize=1)
+def reader_of(terms: tuple[Term, ...]) -> Reader:
+    """One for all tasks of a worker, as it keeps what it has met."""
+    return Reader(list(terms), Automaton.of(list(terms)))
+
+
 # --- learning ----------------------------------------------------------------------------
 
 
@@ -283,10 +316,11 @@ def _lexicon(counts: DataFrame, n_toxic: int, n_clean: int) -> list[Term]:
     chosen: list[Term] = []
     toxic_of: dict[Term, int] = {}
     for r in rows:
-        # what a shorter stem that is in already says, or a longer term says for most documents, is left out
-        told = max((n for t, n in toxic_of.items() if r.stem and t.text.startswith(r.term)), default=0)
+        # a stem is left out if a shorter one is in already, or a longer term says the same for most documents;
+        # words stay beside their stems, which have no edits
+        told = max((n for t, n in toxic_of.items() if r.stem and len(t.text) > len(r.term) and t.text.startswith(r.term)), default=0)
         rest = math.log((r.toxic - told + 0.5) / (n_toxic + 1)) - math.log((r.clean + 0.5) / (n_clean + 1))
-        shorter = any(t.stem and r.term.startswith(t.text) for t in toxic_of)
+        shorter = r.stem and any(t.stem and r.term.startswith(t.text) for t in toxic_of)
         if not shorter and r.toxic - told >= LEAST_DOCUMENTS and rest >= LEAST_LOG_ODDS and len(chosen) < LEXICON:
             chosen.append(Term(r.term, r.stem, float(r.odds)))
             toxic_of[chosen[-1]] = r.toxic
@@ -326,26 +360,25 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model:
     sizes = {(r.half, r.toxic): r["count"] for r in sample.groupBy("half", "toxic").count().collect()}
     n = [[sizes.get((half, toxic), 0) for toxic in (0, 1)] for half in (0, 1)]
     terms = _lexicon(_term_counts(sample.where("half = 0").select("text", "toxic")), n[0][1], n[0][0]) if all(n[0]) else []
-    automaton = Automaton.of(terms)
-    rows = described(sample.where("half = 1").select("text", "toxic"), terms, automaton).select("toxic", "features").collect()
+    rows = described(sample.where("half = 1").select("text", "toxic"), terms).select("toxic", "features").collect()
     y = np.array([r.toxic for r in rows], float)
     if terms and 0 < y.sum() < len(y):
-        return Model(terms, *_regression(np.array([r.features for r in rows]), y), automaton)
+        return Model(terms, *_regression(np.array([r.features for r in rows]), y))
     toxic, total = n[0][1] + n[1][1], sum(map(sum, n))
     share = (toxic + 1) / (total + 2)
-    return Model(terms, PRIOR * 4, min(-1.0, math.log(share / (1 - share))), automaton)
+    return Model(terms, PRIOR * 4, min(-1.0, math.log(share / (1 - share))))
 
 
 # --- scoring -----------------------------------------------------------------------------
 
 
-def described(texts: DataFrame, terms: list[Term], automaton: Automaton) -> DataFrame:
+def described(texts: DataFrame, terms: list[Term]) -> DataFrame:
     """The rows of texts with features in place of text, which is prepared."""
     kept = [f for f in texts.schema.fields if f.name != "text"]
     ddl = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept), "features array<double>"])
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader = Reader(terms, automaton)
+        reader = reader_of(tuple(terms))
         for batch in batches:
             for lo in range(0, batch.num_rows, SLICE):
                 part = batch.slice(lo, SLICE)
@@ -361,7 +394,7 @@ def scores(docs: DataFrame, model: Model, *keep: str) -> DataFrame:
     logit = F.lit(model.bias)
     for k, w in enumerate(model.weights):
         logit = logit + F.lit(float(w)) * F.col("features")[k]
-    return described(texts, model.terms, model.automaton).select("row", (1 / (1 + F.exp(-logit))).alias("score"))
+    return described(texts, model.terms).select("row", (1 / (1 + F.exp(-logit))).alias("score"))
 
 
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -334,6 +334,23 @@ def test_automaton_finds_what_edit_distance_finds():
     assert quoted[0] == 0 and quoted[3] > 0 and said[0] > 0 and said[3] == 0 and quoted[4] < said[4]
 
 
+def test_misspellings_by_swaps_and_two_edits():
+    terms = [tox.Term(t, s, 3.0) for t, s in (("idiot", False), ("idio", True), ("worthless", False), ("disgusting", False), ("scum", False))]
+    terms += [tox.Term("".join(w), False, 3.0) for w in np.random.default_rng(4).choice(list("aeiourstln"), (250, 11))]
+    reader = tox.Reader(terms, tox.Automaton.of(terms))
+    kinds = {"idiot": 0, "idoit": 2, "idiots": 1, "worhtless": 2, "wrothles": 2, "disgutsing": 2, "dsigutsing": 2, "scmu": None, "dsigutsinng": None}
+    for word, expected in kinds.items():
+        f = reader.features([word])[0]
+        assert (word, next((k for k in range(3) if f[k] > 0), None)) == (word, expected)
+
+
+def test_lexicon_keeps_words_beside_their_stems(spark):
+    forms = ["idiot", "idiots", "idiotic", "idiotish"]
+    counts = [("idiot", False, 60, 0), *((f, False, 30, 0) for f in forms[1:]), *(("idiots"[:k], True, 100, 0) for k in (3, 4)), ("idiot", True, 50, 0), ("rare", False, 1, 0)]
+    terms = tox._lexicon(spark.createDataFrame(counts, "term string, stem boolean, toxic long, clean long"), 200, 2000)
+    assert {t.text for t in terms if not t.stem} == set(forms) and sum(t.stem for t in terms) == 1
+
+
 def test_toxicity_learns_and_scores(spark):
     rng = np.random.default_rng(2)
     words = ["".join(rng.choice(list("aeioustrn"), 5)) for _ in range(300)]
