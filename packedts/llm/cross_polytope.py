@@ -13,8 +13,8 @@ bound of that broadcast. No candidate is dropped.
 Recall on the tables at hand is stated in the README and tested.
 
 Defined results: vectors that are null, zero, or hold null or non-finite components take no
-part; shorter vectors count as continued by zeros; a repeated vec_id is one vector per row, but appears
-once in a result, with its best score; fewer than k candidates give fewer rows; an empty
+part; shorter vectors count as continued by zeros; repeated rows (vec_id and vector)
+count once, and a vec_id with several vectors has its best score, as query and as result; fewer than k candidates give fewer rows; an empty
 table gives no rows; other columns are ignored.
 """
 
@@ -28,7 +28,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from packedts.llm.vectors import matrix, padded, ranked, usable
+from packedts.llm.components import stored
+from packedts.llm.vectors import matrix, once, padded, ranked, usable
 
 
 @dataclass(frozen=True)
@@ -90,7 +91,12 @@ def cosines(queries: np.ndarray, vectors: np.ndarray) -> np.ndarray:
 
 
 def best_of(scores: np.ndarray, query_ids: np.ndarray, vec_ids: np.ndarray, k: int) -> pa.Table:
-    """The k best of each row but the query itself; vec_ids grow, so ties go to the smaller one."""
+    """The k best of each row but the query itself, each vec_id once with its best score.
+
+    vec_ids do not fall, so ties go to the smaller one.
+    """
+    starts = np.flatnonzero(np.append(True, vec_ids[1:] != vec_ids[:-1]))
+    scores, vec_ids = np.maximum.reduceat(scores, starts, axis=1), vec_ids[starts]
     scores = np.where(query_ids[:, None] == vec_ids[None, :], -np.inf, scores)
     order = np.argsort(-scores, 1, kind="stable")[:, :k]
     top = np.take_along_axis(scores, order, 1)
@@ -110,11 +116,12 @@ def nearest(vectors: DataFrame, is_query: Column, k: int, hashing: Hashing | Non
         .where(usable(F.col("vec")) & F.exists("vec", lambda x: x != 0) & F.col("vec_id").isNotNull())
     )
     good, length = padded(good, F.lit(0.0))
+    good = stored(once(good), "vectors")
     filed = _filed(good.select("vec_id", "vec"), length, hashing, 1)
     probed = _filed(good.where("is_query").select("vec_id", "vec"), length, hashing, hashing.probes)
     parts = filed.groupBy("table", "axis").agg(F.ceil(F.count(F.lit(1)) / hashing.part).cast("int").alias("parts"))
     parts = F.broadcast(parts)  # at most tables * 2 * padded length rows
-    index = filed.join(parts, ["table", "axis"]).withColumn("part", F.pmod(F.xxhash64("vec_id"), F.col("parts")).cast("int"))
+    index = filed.join(parts, ["table", "axis"]).withColumn("part", F.pmod(F.xxhash64("vec_id", "vec"), F.col("parts")).cast("int"))
     asked = probed.join(parts, ["table", "axis"]).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     schema = "query_id long, vec_id long, score double"
 

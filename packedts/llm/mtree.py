@@ -13,11 +13,13 @@ pages best first; stored distances to the page's routing object rule entries out
 triangle inequality before their own distance is computed. What may tie is searched too,
 unless all its ids are larger.
 
-Crowded root entries are split into cells by a hash of vec_id, so a vector that a third of all
-rows repeat is spread out. Only routing objects, radii and cell counts are broadcast.
+Crowded root entries are split into cells by a hash of vec_id and vector, so a vector that a
+third of all rows repeat is spread out, and so are the vectors of a vec_id that has many. Only routing objects, radii and cell counts are broadcast.
 
 Defined results: vectors that are null or hold null or non-finite components take no part, nor
-rows with null vec_id; shorter vectors count as continued by zeros; fewer than k candidates give fewer
+rows with null vec_id; shorter vectors count as continued by zeros; repeated rows (vec_id and vector)
+count once, and a vec_id with several vectors has the largest inner product of any of them, as query
+and as result (the SQL below lists rows, so it agrees where vec_id is unique); fewer than k candidates give fewer
 rows; an empty table gives no rows; other columns are ignored.
 """
 
@@ -32,7 +34,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from packedts.llm.components import stored
-from packedts.llm.vectors import matrix, padded, ranked, usable
+from packedts.llm.vectors import matrix, once, padded, ranked, usable
 
 PIVOTS = 64
 CELL = 8192
@@ -74,10 +76,11 @@ class Cell:
         self.largest = largest
 
     def search(self, query_id: int, q: np.ndarray, k: int, floor: tuple[int, int], to_pages: np.ndarray) -> list[tuple[int, int]]:
-        """The k best (score, -vec_id) above floor, the k-th best known so far; to_pages are the
-        distances of the query to the routing objects."""
+        """The k best (score, -vec_id) above floor, the k-th best known so far, each vec_id once;
+        to_pages are the distances of the query to the routing objects."""
         length = float(q @ q)
         best: list[tuple[int, int]] = []
+        held: dict[int, int] = {}  # scores in best
         nearest = np.maximum(0, to_pages - self.radius)
         bound = (length + self.largest - nearest**2) / 2
         bound = np.floor(bound + SLACK * (1 + np.abs(bound))).astype(np.int64)
@@ -95,11 +98,18 @@ class Cell:
             score = self.x[rows] @ q
             keep = (score >= limit[0]) & (self.ids[rows] != query_id)
             for s, i in zip(score[keep].tolist(), self.ids[rows[keep]].tolist()):
-                if len(best) < k:
-                    if (s, -i) > floor:
-                        heapq.heappush(best, (s, -i))
+                if (s, -i) <= floor or s <= held.get(i, s - 1):
+                    continue
+                if i in held:
+                    best[best.index((held[i], -i))] = (s, -i)
+                    heapq.heapify(best)
+                elif len(best) < k:
+                    heapq.heappush(best, (s, -i))
                 elif (s, -i) > best[0]:
-                    heapq.heapreplace(best, (s, -i))
+                    del held[-heapq.heapreplace(best, (s, -i))[1]]
+                else:
+                    continue
+                held[i] = s
         return best
 
 
@@ -113,7 +123,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int) -> DataFrame:
     """
     good = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "vec", is_query.alias("is_query"))
     good, length = padded(good.where("vec IS NOT NULL AND vec_id IS NOT NULL"), F.lit(0).cast("long"))
-    good = stored(good, "vectors")
+    good = stored(once(good), "vectors")
     square = F.aggregate("vec", F.lit(0).cast("long"), lambda a, x: a + x * x)
     n, largest = good.agg(F.count(F.lit(1)), F.max(square)).first()
     if not n or not length:
@@ -136,7 +146,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int) -> DataFrame:
     radius = np.array([entries.get(p, (-1.0, 0))[0] for p in range(len(pivots))])
     cells = F.broadcast(root.select("pivot", "cells"))
     index = placed.join(cells, "pivot").select(
-        F.col("pivot").alias("i_pivot"), F.pmod(F.xxhash64("vec_id"), F.col("cells")).cast("int").alias("i_cell"), F.col("vec_id").alias("i_id"), F.col("vec").alias("i_vec")
+        F.col("pivot").alias("i_pivot"), F.pmod(F.xxhash64("vec_id", "vec"), F.col("cells")).cast("int").alias("i_cell"), F.col("vec_id").alias("i_id"), F.col("vec").alias("i_vec")
     )
 
     def route(home: bool):

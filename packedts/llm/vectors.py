@@ -21,6 +21,11 @@ def padded(vectors: DataFrame, zero: Column) -> tuple[DataFrame, int]:
     return vectors.withColumn("vec", F.when(F.size("vec") < length, F.concat("vec", missing)).otherwise(F.col("vec"))), length
 
 
+def once(vectors: DataFrame) -> DataFrame:
+    """vectors (vec_id, vec, is_query) with repeated rows as one; it is a query if any of them is."""
+    return vectors.groupBy("vec_id", "vec").agg(F.max("is_query").alias("is_query"))
+
+
 def matrix(column: pa.ChunkedArray | pa.Array, length: int, dtype: type) -> np.ndarray:
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()

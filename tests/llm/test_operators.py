@@ -15,7 +15,7 @@ from packedts.llm import tensor_minhash as near
 from packedts.llm import toxicity as tox
 from packedts.llm.anchor_dedup import remove_repeated_windows
 from packedts.llm.blocks import Layout
-from packedts.llm.cross_polytope import nearest
+from packedts.llm.cross_polytope import Hashing, nearest
 from packedts.llm.lpf_dedup import longest_previous_factor, remove_repeated_bytes, suffix_order
 from packedts.llm.mixing import mix_sources
 from packedts.llm.mtree import top_k
@@ -284,6 +284,40 @@ def test_nearest_by_cosine(spark):
     assert hits >= 0.9 * 5 * 30
 
 
+def repeated_vectors(spark):
+    """Vectors of which some vec_ids have many equal rows, or rows with different vectors, close to the queries."""
+    rng = np.random.default_rng(8)
+    x = [(k, v.tolist()) for k, v in enumerate(rng.integers(-9, 10, (120, 6)).astype(float))]
+    x += [(31, [20.0] * 6)] * 15 + [(32, [19.0 + k / 2] * 6) for k in range(15)] + [(0, x[1][1]), (0, [15.0] * 6), (20, x[20][1])]
+    return x, spark.createDataFrame(x, "vec_id long, embedding array<double>").repartition(3)
+
+
+def best_by_id(x, q, score, k):
+    best = {}
+    for i, v in x:
+        if i != q:
+            best[i] = max([best.get(i, -np.inf), *(score(np.array(a), np.array(v)) for j, a in x if j == q)])
+    return sorted(((s, -i) for i, s in best.items()), reverse=True)[:k]
+
+
+def test_top_k_with_repeated_ids(spark):
+    x, table = repeated_vectors(spark)
+    vec = table.select("vec_id", F.transform("embedding", lambda v: F.floor(2 * v).cast("long")).alias("vec"))
+    found = top_k(vec, F.col("vec_id") % 20 == 0, 10).collect()
+    for q in range(0, 120, 20):
+        expected = best_by_id(x, q, lambda a, b: int(np.floor(2 * a) @ np.floor(2 * b)), 10)
+        assert [(r.score, -r.vec_id) for r in sorted(found, key=lambda r: r.rank) if r.query_id == q] == expected
+
+
+def test_nearest_with_repeated_ids(spark):
+    x, table = repeated_vectors(spark)
+    found = nearest(table, F.col("vec_id") % 20 == 0, 5, Hashing(probes=16)).collect()  # every axis is probed
+    for q in range(0, 120, 20):
+        expected = best_by_id(x, q, lambda a, b: a @ b / np.sqrt((a @ a) * (b @ b)), 5)
+        mine = sorted((r for r in found if r.query_id == q), key=lambda r: r.rank)
+        assert len({r.vec_id for r in mine}) == 5 and [r.score for r in mine] == pytest.approx([s for s, _ in expected])
+
+
 def test_surrogates_are_consistent_and_distinct(spark):
     texts = ["Mail a.b@mail1.example.com or A.B@mail1.example.com; +1 (212) 555-1234", "212-555-1234 is Mr. Ivan Petrov, Mr Petrov", None, "", "clean 3.14 text v2.0", *(f"x{k}@a.co" for k in range(300))]
     docs = spark.createDataFrame([(k, t, "e") for k, t in enumerate(texts)], "doc_id long, text string, entities string")
