@@ -6,6 +6,12 @@ is drawn from a keyed hash (HMAC) of kind, canonical value and attempt, and writ
 form of the occurrence: punctuation, case, digit groups, checksums, the gender of a first name and the
 script of every letter stay. So equal entities get equal surrogates in the whole corpus.
 
+Names are found after a title (Mr, Frau, Dr, ...), and so is every other capitalised mention of
+a found given or family name in the same document, before or after it. What stays: names of a document that
+no title stands before there, words behind the second one after a title, names that begin with
+a small particle (von, de), inflected forms, and common first words of sentences (NO_NAMES). A given name behind a
+neutral title has the gender of a gendered mention in the document or of the lists below, or none.
+
 Collision checks keep different entities apart: over the distinct entities of the corpus, a
 surrogate that two entities of a kind draw, or that some document really contains as an
 entity, sends all but the first of them to the next attempt, until none is left. Later
@@ -41,10 +47,22 @@ SLICE = 500
 TITLES = {
     "m": ("Mr", "Herr", "Monsieur", "Señor", "Sir", "господин"),
     "f": ("Mrs", "Ms", "Miss", "Frau", "Madame", "Señora", "госпожа"),
+    "n": ("Dr", "Prof", "Doctor", "Professor", "Doktor", "Docteur", "Professeur", "Doctora", "Profesor", "Profesora", "доктор", "профессор"),
 }
+# as written here, in capitals, and small as some languages have them ("miss" is a verb)
+GENDER_OF = {form: g for g, titles in TITLES.items() for t in titles for form in {t, t.upper(), t if t == "Miss" else t.lower()}}
+NO_NAMES = set(
+    "the a an this that these those there then he she it i we you they his her its my our your their who what when where why how and but or if in on at for as so no not yes "
+    "der die das ein eine er sie es ich wir ihr und aber oder wenn im am auf für so nicht ja nein wer was wann wo warum wie dies diese dieser "
+    "le la les un une il elle ils elles on je tu nous vous et mais ou si dans pour que qui ce cette ces oui non "
+    "el los las una unos ella ellos yo nosotros y pero o en por para qué quién este esta sí "
+    "он она оно они я мы вы и но а в на это как что кто где когда".split()
+)
 GIVEN = {
     ("m", "latin"): "Adam Boris Carl Daniel Emil Felix Georg Hugo Ivan Jonas Karim Leon Marco Nils Oscar Paul Quentin Rafael Simon Tomas Ulrich Victor Walter Xavier".split(),
     ("f", "latin"): "Anna Bella Clara Diana Elena Fiona Greta Helen Irene Julia Karla Laura Maria Nina Olga Paula Rosa Sara Tina Ursula Vera Wanda Yvonne Zoe".split(),
+    ("n", "latin"): "Alexis Andy Camille Chris Dana Dominique Francis Jo Kim Lou Maxime Noa Pat Robin Sasha Toni".split(),
+    ("n", "cyrillic"): "Валя Женя Саша Слава Шура".split(),
     ("m", "cyrillic"): "Андрей Борис Виктор Григорий Дмитрий Иван Лев Максим Олег Павел".split(),
     ("f", "cyrillic"): "Анна Вера Галина Дарья Елена Ирина Лариса Мария Ольга Полина".split(),
 }
@@ -60,7 +78,8 @@ ALPHABETS = (
 )
 
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
-_TITLE = "|".join(t for titles in TITLES.values() for t in titles)
+_TITLE = "|".join(GENDER_OF)
+_NAME = r"[^\W\d_]+(?:-[^\W\d_]+)*"
 PATTERNS = {
     "email": re.compile(r"(?<![\w.%+@-])[\w%+-]+(?:\.[\w%+-]+)*@(?:[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?\.)+[A-Za-z]{2,24}(?![\w@-])"),
     "iban": re.compile(r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)"),
@@ -68,12 +87,15 @@ PATTERNS = {
     "ip": re.compile(rf"(?<![\w.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\w|\.\d)"),
     "ssn": re.compile(r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])"),
     "phone": re.compile(r"(?<![\w.+])(?:(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{3,4}[ .-]\d{3,4}|\+\d{8,15})(?!\w)"),
-    "name": re.compile(rf"\b({_TITLE})\b\.? ([^\W\d_]+(?:-[^\W\d_]+)?)(?: ([^\W\d_]+(?:-[^\W\d_]+)?))?"),
+    "name": re.compile(rf"\b((?:(?:{_TITLE})\b\.?[ \u00a0])+)({_NAME})(?:[ \u00a0]({_NAME}))?"),
 }
+MENTION = re.compile(_NAME)
+TITLED = re.compile(rf"\b(?:{_TITLE})\b")
+GIVEN_GENDER = {name.lower(): g for (g, _), names in GIVEN.items() if g != "n" for name in names}
 
 
-def _is_capital(word: str | None) -> bool:
-    return bool(word) and word[0].isupper()
+def _is_name(word: str | None) -> bool:
+    return bool(word) and word[0].isupper() and word.lower() not in NO_NAMES
 
 
 def _luhn(digits: str) -> int:
@@ -96,14 +118,11 @@ def find_entities(text: str) -> list[tuple[int, int, str, str]]:
         kinds.append("email")
     if re.search(r"\d\D{0,3}\d", text):
         kinds += ["iban", "card", "ip", "ssn", "phone"]
-    if any(t in text for titles in TITLES.values() for t in titles):
-        kinds.append("name")
     found = []
+    if TITLED.search(text):
+        found += [(s, len(kinds), e, k, v) for s, e, k, v in _names(text)]
     for place, kind in enumerate(kinds):
         for m in PATTERNS[kind].finditer(text):
-            if kind == "name":
-                found += [(s, place, e, k, v) for s, e, k, v in _names(m)]
-                continue
             start, value = m.start(), m.group()
             if kind == "email":
                 value = value.lower()
@@ -129,16 +148,32 @@ def _national(m: re.Match) -> tuple[int, str]:
     return start, re.sub(r"\D", "", m.string[start : m.end()])
 
 
-def _names(m: re.Match) -> Iterator[tuple[int, int, str, str]]:
-    gender = next(g for g, titles in TITLES.items() if m.group(1) in titles)
-    first, last = m.group(2), m.group(3)
-    if not _is_capital(first):
+def _names(text: str) -> Iterator[tuple[int, int, str, str]]:
+    """Names behind titles, and all other capitalised mentions of them."""
+    titled: dict[tuple[int, int], tuple[str, str]] = {}
+    for m in PATTERNS["name"].finditer(text):
+        gender = next((g for t in MENTION.findall(m.group(1)) if (g := GENDER_OF[t]) != "n"), "n")
+        if _is_name(m.group(2)) and _is_name(m.group(3)):
+            titled[m.span(2)] = (f"given_{gender}", m.group(2).lower())
+            titled[m.span(3)] = ("family", m.group(3).lower())
+        elif _is_name(m.group(2)):
+            titled[m.span(2)] = ("family", m.group(2).lower())
+    gendered = {value: kind for kind, value in titled.values() if kind in ("given_m", "given_f")}
+    for span, (kind, value) in titled.items():
+        if kind == "given_n":
+            titled[span] = gendered.get(value) or f"given_{GIVEN_GENDER.get(value, 'n')}", value
+    # a name that is both is what it is first
+    kind_of = {value: kind for kind, value in reversed(titled.values())}
+    yield from ((*span, *entity) for span, entity in titled.items())
+    if not titled:
         return
-    if _is_capital(last):
-        yield (*m.span(2), f"given_{gender}", first.lower())
-        yield (*m.span(3), "family", last.lower())
-    else:
-        yield (*m.span(2), "family", first.lower())
+    for m in MENTION.finditer(text):
+        whole = m.group().lower() in kind_of
+        for part in [m] if whole else re.finditer(r"[^-]+", m.group()):
+            start = m.start() if whole else m.start() + part.start()
+            value, end = part.group().lower(), start + len(part.group())
+            if value in kind_of and part.group()[0].isupper() and (start, end) not in titled:
+                yield start, end, kind_of[value], value
 
 
 class Draw:

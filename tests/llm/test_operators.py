@@ -335,6 +335,16 @@ def test_surrogates_are_consistent_and_distinct(spark):
     assert names[0] == names[1]
 
 
+def test_names_stay_hidden_without_their_title(spark):
+    text = "Petrov? Mr Ivan Petrov called. Later Petrov signed, and Ivan left PETROV's car. Dr Smith, Frau Prof. Weber and Prof. Ivan Meier-Sand; Smith, Weber, Meier-Sand. Elm Dr. The end, The End."
+    found = pii.with_surrogates(spark.createDataFrame([(1, text)], "doc_id long, text string"), b"k").first()
+    assert not any(name in found.text.lower() for name in ("petrov", "ivan", "smith", "weber", "meier"))
+    assert found.text.endswith("Elm Dr. The end, The End.")
+    said = re.fullmatch(r"(\S+)\? Mr (\S+) (\S+) called. Later (\S+) signed, and (\S+) left (\S+)'s car. Dr (\S+), Frau Prof. (\S+) and Prof. (\S+) (\S+); (\S+), (\S+), (\S+). Elm.*", found.text).groups()
+    assert said[0] == said[2] == said[3] == said[5].capitalize() and said[1] == said[4] == said[8]
+    assert said[6:8] == said[10:12] and said[9] == said[12]
+
+
 def test_surrogates_beyond_the_told_limit(spark, monkeypatch):
     docs = spark.createDataFrame([(k, f"q{k}@a.co and q{k + 1}@a.co") for k in range(200)], "doc_id long, text string")
     plain = {r.doc_id: r.text for r in pii.with_surrogates(docs, b"k").collect()}
