@@ -12,6 +12,12 @@ no title stands before there, words behind the second one after a title, names t
 a small particle (von, de), inflected forms, and common first words of sentences (NO_NAMES). A given name behind a
 neutral title has the gender of a gendered mention in the document or of the lists below, or none.
 
+Phone numbers are digit groups of 8 to 15 digits in all, with or without a country code, that are no
+date, year, amount, ISBN or other kind of entity; unbroken ones need a country code, a leading 0,
+or the form of a North American or Spanish number. Country code and leading zeros stay, so national and
+international forms share a canonical value. Without a code, lists of numbers of one or two digits
+(10 20 30 40) and pairs of groups without a leading 0 (1234 5678) stay, as they are rarely phones.
+
 Collision checks keep different entities apart: over the distinct entities of the corpus, a
 surrogate that two entities of a kind draw, or that some document really contains as an
 entity, sends all but the first of them to the next attempt, until none is left. Later
@@ -29,6 +35,7 @@ rows get the same surrogates; an empty table gives no rows; all other columns ar
 from __future__ import annotations
 
 import hmac
+import ipaddress
 import re
 from collections.abc import Callable, Iterator
 
@@ -83,13 +90,26 @@ _NAME = r"[^\W\d_]+(?:-[^\W\d_]+)*"
 PATTERNS = {
     "email": re.compile(r"(?<![\w.%+@-])[\w%+-]+(?:\.[\w%+-]+)*@(?:[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?\.)+[A-Za-z]{2,24}(?![\w@-])"),
     "iban": re.compile(r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)"),
-    "card": re.compile(r"(?<![\w.+-])(?:\d{13,19}|\d{4}([ -])\d{4}\1\d{4}\1\d{4})(?!\w)"),
+    "card": re.compile(r"(?<![\w.+-])(?:\d{13,19}|\d{4}([ -])\d{4}\1\d{4}\1\d{4}|3[47]\d\d([ -])\d{6}\2\d{5})(?!\w)"),
     "ip": re.compile(rf"(?<![\w.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\w|\.\d)"),
     "ssn": re.compile(r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])"),
-    "phone": re.compile(r"(?<![\w.+])(?:(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{3,4}[ .-]\d{3,4}|\+\d{8,15})(?!\w)"),
+    "ipv6": re.compile(rf"(?<![\w:.])(?:[0-9A-Fa-f]{{0,4}}:){{2,7}}(?:(?:{_OCTET}\.){{3}}{_OCTET}|[0-9A-Fa-f]{{1,4}})?(?![\w:]|\.\d)"),
     "name": re.compile(rf"\b((?:(?:{_TITLE})\b\.?[ \u00a0])+)({_NAME})(?:[ \u00a0]({_NAME}))?"),
 }
 MENTION = re.compile(_NAME)
+_SEP = "[ \u00a0\u202f.-]"
+#: An optional country code, area codes in brackets, and groups with one separator from the second on.
+PHONE = re.compile(
+    rf"(?<![\w+])(?<!\d\.)(?:\+\d{{8,15}}|0\d{{8,14}}|[2-9]\d{{8,9}}|1[2-9]\d{{9}}"
+    rf"|(?P<code>(?:\+|00)\d{{1,3}}{_SEP}?)?(?P<area>(?:\(\d{{1,5}}\)[ \u00a0\u202f./-]?){{1,2}})\d{{1,8}}(?:({_SEP})\d{{1,8}}(?:\3\d{{1,8}})*)?"
+    rf"|(?:(?:\+|00)\d{{1,3}}{_SEP})?\d{{1,8}}[ \u00a0\u202f./-]\d{{1,8}}(?:({_SEP})\d{{1,8}}(?:\4\d{{1,8}})*)?)(?!\w)"
+)
+#: Usual forms, by which a row of several numbers is parted.
+FORMS = [re.compile(rf"(?:{f})(?!\w)") for f in (r"(?:(?:\+|00)?\d{1,3}[ .-])?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{3,4}[ .-]\d{3,4}", rf"0\d(?:{_SEP}\d\d){{4}}", rf"\d{{3}}(?:{_SEP}\d\d){{3}}")]
+_DAY, _MONTH, _YEAR = r"(?:0?[1-9]|[12]\d|3[01])", r"(?:0?[1-9]|1[0-2])", r"(?:19|20)\d\d"
+DATE = re.compile(rf"(?:{_YEAR}([ ./-]){_MONTH}\1{_DAY}|(?:{_DAY}([ ./-]){_MONTH}|{_MONTH}([ ./-]){_DAY})[ ./-]{_YEAR}|{_YEAR}([ -]){_YEAR}(?:\4{_YEAR})*)(?!\d)")
+HIDDEN = "\0"
+CURRENCIES = set("$€£¥₽")
 TITLED = re.compile(rf"\b(?:{_TITLE})\b")
 GIVEN_GENDER = {name.lower(): g for (g, _), names in GIVEN.items() if g != "n" for name in names}
 
@@ -117,7 +137,10 @@ def find_entities(text: str) -> list[tuple[int, int, str, str]]:
     if "@" in text:
         kinds.append("email")
     if re.search(r"\d\D{0,3}\d", text):
-        kinds += ["iban", "card", "ip", "ssn", "phone"]
+        kinds += ["iban", "card", "ip", "ssn"]
+    numbers = "iban" in kinds
+    if text.count(":") > 1:
+        kinds.append("ipv6")
     found = []
     if TITLED.search(text):
         found += [(s, len(kinds), e, k, v) for s, e, k, v in _names(text)]
@@ -126,26 +149,94 @@ def find_entities(text: str) -> list[tuple[int, int, str, str]]:
             start, value = m.start(), m.group()
             if kind == "email":
                 value = value.lower()
-            elif kind == "phone":
-                start, value = _national(m)
+            elif kind == "ipv6":
+                if not (value := _ipv6(value)):
+                    continue
             elif kind != "ip":
                 value = re.sub(r"[ -]", "", value)
             if kind == "iban" and _iban_check(value[:2], value[4:]) != value[2:4]:
                 continue
             found.append((start, place, m.end(), kind, value))
-    found.sort()
+    out = _apart(found)
+    if numbers:
+        # phones are what the digits outside of all other kinds may be
+        left = text
+        for start, end, _, _ in out:
+            left = f"{left[:start]}{HIDDEN * (end - start)}{left[end:]}"
+        phones = [(s, 0, e, "phone", v) for s, e, v in _phones(left)]
+        out = _apart([*((s, 0, e, k, v) for s, e, k, v in out), *phones]) if phones else out
+    return out
+
+
+def _apart(found: list[tuple[int, int, int, str, str]]) -> list[tuple[int, int, str, str]]:
     out: list[tuple[int, int, str, str]] = []
-    for start, _, end, kind, value in found:
+    for start, _, end, kind, value in sorted(found):
         if not out or start >= out[-1][1]:
             out.append((start, end, kind, value))
     return out
 
 
-def _national(m: re.Match) -> tuple[int, str]:
-    """Where a phone number begins after its country code, and its digits from there on."""
-    code = re.match(r"\+(?:\d{1,3}(?=[ .(-])|\d\d)[ .-]?", m.group())
-    start = m.start() + (code.end() if code else 0)
-    return start, re.sub(r"\D", "", m.string[start : m.end()])
+def _ipv6(value: str) -> str | None:
+    """All 32 digits of an address; none for what is no address of a machine, or a::b in program text."""
+    try:
+        address = ipaddress.IPv6Address(value)
+    except ValueError:
+        return None
+    if address.is_loopback or address.is_unspecified or not re.search(r"\d", value):
+        return None
+    return f"{int(address):032x}"
+
+
+def _phones(text: str) -> Iterator[tuple[int, int, str]]:
+    """Where a phone number begins after its country code and leading zeros, its end, and its digits from there on."""
+    at = 0
+    while m := PHONE.search(text, at):
+        start, end = m.span()
+        at = start + re.match(r"\D*\d+", m.group()).end()
+        if date := DATE.match(text, start):
+            at = max(at, date.end())
+            continue
+        if sum(map(str.isdigit, m.group())) > 15:
+            # several numbers in a row
+            ends = [f.end() for form in FORMS if (f := form.match(text, start)) and f.end() <= end]
+            ends += [start + g.end() for g in reversed(list(re.finditer(r"\d+", m.group())))]
+            end = next((e for e in ends if 8 <= sum(map(str.isdigit, text[start:e])) <= 15 and _is_phone(text, start, e)), 0)
+        elif not _is_phone(text, start, end):
+            end = 0
+        if end:
+            at = end
+            code = re.match(rf"(?:\+[17](?=\d{{10}}$)|(?:\+|00)(?:\d{{1,3}}(?=[ \u00a0\u202f.(-])|\d\d)|1(?={_SEP}?\(?[2-9]\d\d\)?{_SEP}?\d{{3}}{_SEP}?\d{{4}}$))", text[start:end])
+            start += code.end() if code else 0
+            start += re.match(r"[^1-9]*", text[start:end]).end()
+            if value := re.sub(r"\D", "", text[start:end]):
+                yield start, end, value
+
+
+def _is_phone(text: str, start: int, end: int) -> bool:
+    value = text[start:end]
+    groups = re.findall(r"\d+", value)
+    sizes, digits = [len(g) for g in groups], "".join(groups)
+    if not 8 <= len(digits) <= 15 or not digits.strip("0"):
+        return False
+    if value[0] == "+" or "(" in value or value.startswith("00") and len(digits) > 9:
+        return True
+    if len(groups) == 1:
+        # by plan: leading 0; North American with and without its code; Spanish
+        return bool(re.fullmatch(r"0[1-9]\d{7,10}|1?[2-9]\d\d[2-9]\d{6}|[6-9]\d{8}", value))
+    spanish = sizes == [3, 3, 3] and value[0] in "6789" and "." not in value
+    if text[max(0, start - 2) : start].strip()[-1:] in CURRENCIES or text[end : end + 2].strip()[:1] in CURRENCIES:
+        return False
+    if sizes[0] <= 3 and value[0] != "0" and set(sizes[1:]) == {3} and not (spanish and not re.match(r",\d\d?(?!\d)", text[end : end + 4])) and "-" not in value:
+        return False  # an amount in thousands
+    if len(digits) == 13 and len(groups) > 3 and digits.startswith(("978", "979")):
+        return False  # an ISBN
+    if sizes[-1] == 1 or "." in value and min(sizes) == 1:
+        return False
+    if digits[0] == "0" and sizes[0] > 1:
+        return len(groups) > 2 or "." not in value
+    if len(groups) == 2:
+        return sizes in ([3, 7], [3, 6]) and "." not in value
+    return len(groups) < 7 and max(sizes) > 2
 
 
 def _names(text: str) -> Iterator[tuple[int, int, str, str]]:
@@ -204,6 +295,11 @@ class Draw:
             return near[self.below(len(near))]
         return old
 
+    def hex(self, old: str, more: int) -> str:
+        """As many hexadecimal digits, or all four with more; nothing for nothing."""
+        size = 4 if more and old else len(old)
+        return "".join("0123456789abcdef"[1 + self.below(15) if k == 0 else self.below(16)] for k in range(size))
+
     def spelled(self, old: str) -> str:
         return "".join(map(self.letter, old))
 
@@ -234,10 +330,17 @@ def surrogate(key: bytes, kind: str, value: str, attempt: int = 0) -> str:
         sizes = [len(o) for o in value.split(".")]
         ranges = ((0, 10), (10, 100), (100, 255)) if not more else ((1, 255),) * 3
         return ".".join(str(low + draw.below(high - low)) for low, high in (ranges[s - 1] for s in sizes))
+    if kind == "ipv6":
+        groups = [value[k : k + 4].lstrip("0") for k in range(0, 32, 4)]
+        # the first group stays, and so do zeros, which may be left out, and the mark of a mapped IPv4 address
+        first = next(k for k, g in enumerate(groups) if g)
+        kept = first if any(groups[first + 1 :]) and (first == 0 or first == 5 and groups[5] == "ffff") else -1
+        new = [g if k == kept else draw.hex(g, more) for k, g in enumerate(groups)]
+        return "".join(g.zfill(4) for g in new)
     if kind == "ssn":
         return "9" + draw.spelled(value[1:])
     if kind == "phone":
-        first = value[0] if value[0] in "01" else str(2 + draw.below(8))
+        first = value[0] if value[0] == "1" else str(2 + draw.below(8))
         return first + draw.spelled(value[1:])
     if kind == "iban":
         rest = draw.spelled(value[4:])
@@ -260,6 +363,22 @@ def written(kind: str, old: str, new: str) -> str:
         return "".join(next(rest) if c.isalnum() else c for c in old)
     if kind == "ip":
         return new
+    if kind == "ipv6":
+        groups = [new[k : k + 4] for k in range(0, 32, 4)]
+        head, _, tail = old.rpartition(":")
+        if "." in tail:
+            old = f"{head}:0:0"
+        parts = old.split(":")
+        first, _, last = old.partition("::")
+        count = len(first.split(":")) if first else 0
+        for k, part in enumerate(parts):
+            if part:
+                at = k if k < count else k - len(parts) + 8
+                parts[k] = (groups[at].lstrip("0") or "0").zfill(len(part))
+                parts[k] = parts[k].upper() if part.isupper() else parts[k]
+        if "." in tail:
+            parts[-2:] = [".".join(str(b) for b in bytes.fromhex(new[24:]))]
+        return ":".join(parts)
     if kind == "email":
         lower = "".join(c.upper() if o.isupper() else c for c, o in zip(new, old)) + new[len(old) :]
         return lower if len(new) == len(old) else new

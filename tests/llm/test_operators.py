@@ -345,6 +345,41 @@ def test_names_stay_hidden_without_their_title(spark):
     assert said[6:8] == said[10:12] and said[9] == said[12]
 
 
+PHONES = ["01 23 45 67 89", "+33 1 23 45 67 89", "+49 30 1234567", "(030) 1234567", "030/1234567", "+49 (0)30 1234567", "612 34 56 78", "612 345 678",
+    "2125551234", "212-555-1234", "+1 (212) 555-1234", "+12125551234", "1-212-555-1234", "0033 1 23 45 67 89", "01.23.45.67.89", "8 (495) 123-45-67"]
+NO_PHONES = ["2024-01-15", "15.01.2024", "15.01.2024 12:30", "2019 2020 2021", "1 234 567 890", "12.345.678,90", "1.234.567", "12345678", "1700000000", "978-3-16-148410-0", "10 20 30 40", "3.14159265358", "1990-1995"]
+
+
+@pytest.mark.parametrize("text", PHONES)
+def test_phones_of_all_languages_are_found(text):
+    for around in ("{}", "Tel. {}, x", "{} 97.51.17.173", "{} 9807915762804490", "{},{}"):
+        told = around.replace("{}", text)
+        found = [told[s:e] for s, e, k, _ in pii.find_entities(told) if k == "phone"]
+        left = re.sub(r"\D", "", text)
+        assert len(found) == around.count("{}") and all(left.endswith(re.sub(r"\D", "", f)) and len(re.sub(r"\D", "", f)) >= 8 for f in found)
+
+
+@pytest.mark.parametrize("text", NO_PHONES)
+def test_what_is_no_phone(text):
+    assert not pii.find_entities(f"on {text} or")
+
+
+def test_forms_of_a_phone_share_a_value():
+    for same in (PHONES[0:2] + PHONES[13:15], PHONES[2:6], PHONES[6:8], PHONES[8:13]):
+        assert len({pii.find_entities(p)[0][3] for p in same}) == 1
+
+
+def test_cards_of_three_groups_and_ipv6():
+    text = "3782 822463 10005, 2001:db8::ff00:42:8329 is 2001:0DB8:0000:0000:0000:FF00:0042:8329; ::ffff:10.1.2.3, at 12:34:56 std::vector ::1"
+    found = pii.find_entities(text)
+    assert [(k, text[s:e]) for s, e, k, _ in found] == list(zip(["card", "ipv6", "ipv6", "ipv6"], re.findall(r"3782 822463 10005|2001[^ ;]+|::ffff[^ ,]+", text)))
+    assert found[1][3] == found[2][3]
+    new, _ = pii.replace_entities(text, lambda k, v: pii.surrogate(b"k", k, v))
+    card, short, long, four = re.fullmatch(r"(3\d{3} \d{6} \d{5}), (\S+) is (\S+); (\S+), at 12:34:56 std::vector ::1", new).groups()
+    values = [pii.find_entities(a)[0][3] for a in (short, long, four)]
+    assert values[0] == values[1] != found[1][3] and values[2] != found[3][3] and len(short) == 22 and four.count(".") == 3 and four.startswith("::ffff:")
+
+
 def test_surrogates_beyond_the_told_limit(spark, monkeypatch):
     docs = spark.createDataFrame([(k, f"q{k}@a.co and q{k + 1}@a.co") for k in range(200)], "doc_id long, text string")
     plain = {r.doc_id: r.text for r in pii.with_surrogates(docs, b"k").collect()}
