@@ -8,6 +8,9 @@ that begin alike, so only states that texts need are ever made. So misspelled te
 as well as exact ones: one edit from 5 letters on, two from 9. Shorter terms and stems have no
 edits, as too many clean words are one edit away. A word stays in the lexicon beside its stem.
 
+Words are runs of letters, digits and the marks on them in all scripts; text written without spaces
+(Chinese, Japanese, Thai) is not parted further, so its terms are whole runs or their beginnings.
+
 Each hit is weighed in its context: between quotation marks or on a quoted line it counts as
 quotation, elsewhere as abuse, and the densest window of words counts on its own. A logistic
 regression over these figures gives the score.
@@ -26,7 +29,7 @@ empty table gives no rows; `scores` keeps the columns it is told to.
 from __future__ import annotations
 
 import math
-import re
+import unicodedata
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -193,6 +196,23 @@ def prepared(text: Column) -> Column:
     return F.translate(F.lower(F.coalesce(text.cast("string"), F.lit(""))), *MARKS)
 
 
+@lru_cache(maxsize=1)
+def letters() -> np.ndarray:
+    """Which code points stand in words: letters and digits of all scripts, and the vowel signs and accents on them."""
+    marks = [c for c in range(0x110000) if unicodedata.category(chr(c)) in ("Mn", "Mc") and "VARIATION SELECTOR" not in unicodedata.name(chr(c), "")]
+    letter = np.fromiter((chr(c).isalnum() for c in range(0x110000)), bool, 0x110000)
+    letter[marks] = True
+    return letter
+
+
+def words_of(text: str) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """The words of a text, the places where they begin, and all code points."""
+    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
+    edge = np.diff(np.concatenate([[0], letters()[points].view(np.int8), [0]]))
+    first, last = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    return list(map(text.__getitem__, map(slice, first.tolist(), last.tolist()))), first, points
+
+
 class Reader:
     """Runs texts through the automaton and describes each by its features."""
 
@@ -212,22 +232,14 @@ class Reader:
                 return code
 
         self.memo = Memo()
-        # which code points stand in words
-        points = 0x600
-        self.letter = np.array([chr(c).isalnum() for c in range(points)] + [True])
 
     def features(self, texts: list[str]) -> np.ndarray:
         sizes = np.array([len(t) + 1 for t in texts], np.int64)
-        joined = "\n".join([*texts, ""])
-        points = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), "<u4")
-        inside = self.letter[np.minimum(points, len(self.letter) - 1)]
-        edge = np.diff(np.concatenate([[0], inside.view(np.int8), [0]]))
-        first, last = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+        words, first, points = words_of("\n".join([*texts, ""]))
         ends = np.cumsum(sizes)
         doc = np.searchsorted(ends, first, "right")
         n_words = np.bincount(doc, minlength=len(texts))
-        words = map(joined.__getitem__, map(slice, first.tolist(), last.tolist()))
-        codes = np.fromiter(map(self.memo.__getitem__, words), np.int64, len(first))
+        codes = np.fromiter(map(self.memo.__getitem__, words), np.int64, len(words))
         word = np.flatnonzero(codes >= 0)
         term, kind = np.divmod(codes[word], 3)
         out = np.zeros((len(texts), len(FEATURES)))
@@ -283,13 +295,12 @@ def held_out(doc_id: Column) -> Column:
 def _term_counts(texts: DataFrame) -> DataFrame:
     """term, stem, toxic and clean: documents with the term, by label, from (text, toxic)."""
     schema = pa.schema([("term", pa.string()), ("stem", pa.bool_()), ("toxic", pa.int64()), ("clean", pa.int64())])
-    words = re.compile(r"[^\W_]{3,}")
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             counts: tuple[Counter, Counter] = (Counter(), Counter())
             for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
-                found = set(words.findall(text))
+                found = {w for w in words_of(text)[0] if len(w) >= 3}
                 counts[toxic].update((w, False) for w in found)
                 counts[toxic].update({(w[:k], True) for w in found for k in STEMS if len(w) > k})
             terms = list(counts[1].keys() | counts[0].keys())

@@ -423,6 +423,20 @@ def test_misspellings_by_swaps_and_two_edits():
         assert (word, next((k for k in range(3) if f[k] > 0), None)) == (word, expected)
 
 
+def test_terms_of_all_scripts_and_marks_around_words(spark):
+    texts = ["أحمقون", "मूर्खता", "바보같은", "馬鹿野郎", "คนโง่", "scum…", "you—idiot", "x idiot\u00a0y", "\u2003idiot’s", "idiot😀", "❤️idiot", "scum_"]
+    terms = [tox.Term(t, False, 3.0) for t in [*texts[:5], "idiot", "scum"]]
+    reader = tox.Reader(terms, tox.Automaton.of(terms))
+    assert [(t, bool(reader.features([t])[0][0] > 0)) for t in texts] == [(t, True) for t in texts]
+    assert reader.features(["أحقمون"])[0][2] > 0
+    rows = [(k, "कुछ शब्द यहाँ " + ("मूर्खता…" if k % 2 else "अच्छा")) for k in range(200)]
+    labels = spark.createDataFrame([(k, k % 2) for k, _ in rows], "doc_id long, toxic int")
+    model = tox.learn(spark.createDataFrame(rows, "doc_id long, text string"), labels)
+    assert "मूर्खता" in {t.text for t in model.terms}
+    found = tox.scores(spark.createDataFrame(rows, "doc_id long, text string"), model, "doc_id").collect()
+    assert all((r.score >= 0.5) == (r.row.doc_id % 2 == 1) for r in found)
+
+
 def test_lexicon_keeps_words_beside_their_stems(spark):
     forms = ["idiot", "idiots", "idiotic", "idiotish"]
     counts = [("idiot", False, 60, 0), *((f, False, 30, 0) for f in forms[1:]), *(("idiots"[:k], True, 100, 0) for k in (3, 4)), ("idiot", True, 50, 0), ("rare", False, 1, 0)]
