@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from packedts.llm.mixing import mixed_rows
-from packedts.llm.packing import byte_bpe, pack
+from packedts.llm.packing import added_tokens, byte_bpe, pack
 from packedts.llm.surrogates import with_surrogates
 from packedts.llm.tensor_minhash import near_duplicates
 from packedts.llm.toxicity import learn, scores
@@ -62,7 +62,8 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     ranks, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
-    return pack(docs, lambda: byte_bpe(ranks, pattern))
+    added = added_tokens(public_tokenizers.path("byte_bpe_50k.json"))
+    return pack(docs, lambda: byte_bpe(ranks, pattern, added))
 
 
 STAGES: list[tuple[str, Stage]] = [

@@ -19,6 +19,7 @@ the input are ignored.
 from __future__ import annotations
 
 import base64
+import json
 import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
@@ -48,9 +49,21 @@ class Limits:
         return np.array([self.tokens, self.segments, self.loss_tokens], float)
 
 
-def byte_bpe(ranks_file: str, pattern: str) -> Callable[[str], bytes]:
+def added_tokens(tokenizer_file: str) -> dict[str, int]:
+    """The added tokens of a tokenizer file and their ids."""
+    with open(tokenizer_file, encoding="utf-8") as file:
+        added = json.load(file)["added_tokens"]
+    if any(t[rule] for t in added for rule in ("single_word", "lstrip", "rstrip", "normalized")):
+        raise ValueError("added tokens that depend on what stands around them are not known here")
+    return {t["content"]: t["id"] for t in added}
+
+
+def byte_bpe(ranks_file: str, pattern: str, added: dict[str, int] | None = None) -> Callable[[str], bytes]:
     """A tokenizer: text to little-endian unsigned 32-bit ids.
 
+    Where an added token stands in a text its id does, and only the parts between are encoded;
+    without added, such strings are ordinary text.
+
     The pre-tokenizer always breaks between a character that is no white space and a space, so
     a text falls into pieces at such spaces whose ids do not depend on their neighbours. They
     are remembered, up to MEMO_WORDS of them. Texts with a space after white space go whole.
@@ -74,8 +87,15 @@ def byte_bpe(ranks_file: str, pattern: str) -> Callable[[str], bytes]:
 
     memo = Memo()
     after_space = re.compile(r"\s ").search
+    added_ids = {token: np.array([number], "<u4").tobytes() for token, number in (added or {}).items()}
+    parted = re.compile("(" + "|".join(map(re.escape, sorted(added_ids, key=len, reverse=True))) + ")").split if added_ids else None
 
     def tokenize(text: str) -> bytes:
+        if parted and any(map(text.__contains__, added_ids)):
+            return b"".join(added_ids[p] if k % 2 else between(p) for k, p in enumerate(parted(text)))
+        return between(text)
+
+    def between(text: str) -> bytes:
         if not text:
             return b""
         if after_space(text):
@@ -249,8 +269,9 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     ranks, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    added = added_tokens(public_tokenizers.path("byte_bpe_50k.json"))
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    pieces = pack(docs, lambda: byte_bpe(ranks, pattern))
+    pieces = pack(docs, lambda: byte_bpe(ranks, pattern, added))
     return pieces.select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
     )

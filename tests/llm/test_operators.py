@@ -19,7 +19,7 @@ from packedts.llm.cross_polytope import Hashing, nearest
 from packedts.llm.lpf_dedup import longest_previous_factor, remove_repeated_bytes, suffix_order
 from packedts.llm.mixing import mix_sources
 from packedts.llm.mtree import top_k
-from packedts.llm.packing import Limits, byte_bpe, pack
+from packedts.llm.packing import Limits, added_tokens, byte_bpe, op7_packing, pack
 from packedts.llm.secret_ledger import RULES, findings, update_ledger
 from packedts.llm.tensor_minhash import common_counts, near_duplicates
 from packedts.scratch import scratch_path
@@ -218,6 +218,33 @@ def test_remembered_pieces_tokenize_alike(text):
     assert zlib.crc32(tokenize("")) == 0
 
 
+ENDED = ["a<|endoftext|> b", "<|endoftext|>", "<|endoftext|><|endoftext|>x", " a  <|endoftext|>  b\n", "a <|endoftext| > <|endoftext|>é", "it's plain  text"]
+
+
+@pytest.mark.parametrize("text", ENDED)
+def test_added_tokens_have_their_ids(text):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    added = added_tokens(public_tokenizers.path("byte_bpe_50k.json"))
+    tokenize = byte_bpe(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, added)
+    assert np.frombuffer(tokenize(text), "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_packing_query_tokenizes_like_the_file_as_loaded(spark, tmp_path):
+    import corpus_pipeline
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    docs = spark.createDataFrame(list(enumerate(ENDED)), "doc_id long, text string")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    sizes = {k: len(tokenizer.encode(t, add_special_tokens=False).ids) + 1 for k, t in enumerate(ENDED)}
+    for pieces in (op7_packing(spark, str(tmp_path)), corpus_pipeline.packing(spark, docs, "")):
+        assert {r.doc_id: r.doc_tokens for r in pieces.collect()} == sizes
+
+
 def spans(spark, texts):
     docs = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string")
     ledger = update_ledger(spark, docs, scratch_path(spark, "ledger"))
