@@ -6,7 +6,9 @@
 2. For those keys, blocks send the bytes of each run of windows under one key (a fragment),
    each different fragment once per block. A bucket sorts the suffixes of its fragments, and
    from the previous and next smaller documents in suffix order finds for every suffix its
-   longest factor in an earlier document. It answers which windows of a fragment start in an
+   longest factor in an earlier document, cut at the window length: suffixes are sorted by
+   `length` bytes and share `length` or nothing, so it is known whether a whole window
+   matches, but never how far a longer factor goes. It answers which windows of a fragment start in an
    earlier document.
 3. Blocks remove every byte that such a window covers; the first copy stays.
 
@@ -91,7 +93,7 @@ def _previous_smaller(value: np.ndarray, shared: np.ndarray) -> np.ndarray:
 
 
 def longest_previous_factor(order: np.ndarray, shared: np.ndarray, document: np.ndarray) -> np.ndarray:
-    """For each suffix the longest prefix that also starts in a document of smaller number.
+    """For each suffix the longest prefix that also starts in a document of smaller number, as far as shared tells.
 
     order and shared come from suffix_order. The match is with the previous or with the next
     suffix of a smaller document in suffix order, whichever shares more.
