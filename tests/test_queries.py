@@ -1,4 +1,4 @@
-"""Every registered query against its SQL, over the smallest tables."""
+"""Every query of the archive engine against its SQL, over the smallest tables."""
 
 from pathlib import Path
 
@@ -6,6 +6,8 @@ import duckdb
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from packedts.plans.oracles import ORACLES
+from packedts.plans.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -22,19 +24,21 @@ def plain(rows):
     return sorted(tuple(map(str, row)) for row in rows)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, tables, name):
-    found = queries()[name](spark, SF_DIR)
-    expected = tables.sql(oracle_sql()[name])
+    found = QUERIES[name](spark, SF_DIR)
+    expected = tables.sql(ORACLES[name])
     columns = sorted(expected.columns)
     assert sorted(found.columns) == columns
-    rows = tables.sql(f"SELECT {', '.join(columns)} FROM ({oracle_sql()[name]})").fetchall()
+    rows = tables.sql(f"SELECT {', '.join(columns)} FROM ({ORACLES[name]})").fetchall()
     assert plain(found.select(*columns).collect()) == plain(rows)
     assert rows
 
 
 def test_every_query_has_an_oracle():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(queries())
+    assert set(ORACLES) <= set(oracle_sql()) <= set(queries())
 
 
 def test_entry(spark):
