@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from packedts.llm.anchor_dedup import op9_anchor_dedup
 from packedts.llm.cross_polytope import op8_cross_polytope
+from packedts.llm.lang_id import op11_lang_id
 from packedts.llm.lpf_dedup import op1_lpf_dedup
 from packedts.llm.mixing import OP6_SQL, op6_mixing
 from packedts.llm.mtree import OP3_SQL, op3_mtree
@@ -26,6 +27,7 @@ QUERIES = {
         op8_cross_polytope,
         op9_anchor_dedup,
         op10_tensor_minhash,
+        op11_lang_id,
     )
 }
 
