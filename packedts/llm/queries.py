@@ -13,6 +13,7 @@ from packedts.llm.secret_ledger import OP5_SQL, op5_secret_ledger
 from packedts.llm.surrogates import op4_surrogates
 from packedts.llm.tensor_minhash import op10_tensor_minhash
 from packedts.llm.toxicity import op2_toxicity
+from packedts.llm.whitening import op12_whitening
 
 QUERIES = {
     f.__name__: f
@@ -28,6 +29,7 @@ QUERIES = {
         op9_anchor_dedup,
         op10_tensor_minhash,
         op11_lang_id,
+        op12_whitening,
     )
 }
 
