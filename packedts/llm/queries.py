@@ -9,6 +9,7 @@ from packedts.llm.lpf_dedup import op1_lpf_dedup
 from packedts.llm.mixing import OP6_SQL, op6_mixing
 from packedts.llm.mtree import OP3_SQL, op3_mtree
 from packedts.llm.packing import op7_packing
+from packedts.llm.prefix_trie import OP13_SQL, op13_prefix_trie
 from packedts.llm.secret_ledger import OP5_SQL, op5_secret_ledger
 from packedts.llm.surrogates import op4_surrogates
 from packedts.llm.tensor_minhash import op10_tensor_minhash
@@ -30,7 +31,8 @@ QUERIES = {
         op10_tensor_minhash,
         op11_lang_id,
         op12_whitening,
+        op13_prefix_trie,
     )
 }
 
-ORACLES = {"op3_mtree": OP3_SQL, "op5_secret_ledger": OP5_SQL, "op6_mixing": OP6_SQL}
+ORACLES = {"op3_mtree": OP3_SQL, "op5_secret_ledger": OP5_SQL, "op6_mixing": OP6_SQL, "op13_prefix_trie": OP13_SQL}
