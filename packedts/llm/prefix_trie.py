@@ -133,7 +133,8 @@ def numbered(rows: DataFrame) -> DataFrame:
             columns = [pa.array(np.full(len(conv), part, np.int32)), batch.column("conv_id"), pa.array(place), batch.column("code"), batch.column("words")]
             yield pa.RecordBatch.from_arrays(columns, names=["part", "conv_id", "place", "code", "words"])
 
-    ordered = _in_order(rows, "conv_id", "turn", "code")
+    # stored first, as sampling the ranges reads the rows once more
+    ordered = _in_order(stored(rows, "turn-rows"), "conv_id", "turn", "code")
     placed = stored(ordered.mapInArrow(task, "part int, conv_id long, place long, code binary, words long"), "turns")
     return _carried(placed, "place", ["place"], [_add])
 
