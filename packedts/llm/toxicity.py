@@ -16,13 +16,14 @@ quotation, elsewhere as abuse, and the densest window of words counts on its own
 regression over these figures gives the score.
 
 Bounds: the lexicon and the regression are fitted on at most SAMPLE labelled rows, half each,
-taken in the order of a hash of doc_id; a lexicon has at most LEXICON terms. Scoring is one
-pass over whole texts without a shuffle. A worker keeps at most STATES states and MEMO_WORDS
-words, and starts anew beyond.
+taken in the order of a hash of doc_id; the lexicon holds all terms that their figures
+single out. Scoring is one pass over whole texts without a shuffle. A task keeps at most
+AUTOMATON_BYTES of states and MEMO_WORDS words, starts anew beyond, and drops them at its end.
+Quotation marks more than QUOTE_REACH characters apart are no pair: what stands between them counts as abuse.
 
 Defined results: a null or empty text has no hits and gets the score of such texts; documents
 in labels without a row in the documents are ignored, as are null labels; repeated rows are
-scored each; without labels of both kinds every score is the (smoothed) share of label 1; an
+scored each, and of rows with one doc_id one is learned from; without labels of both kinds every score is the (smoothed) share of label 1; an
 empty table gives no rows; `scores` keeps the columns it is told to.
 """
 
@@ -30,6 +31,7 @@ from __future__ import annotations
 
 import math
 import unicodedata
+from array import array
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -37,13 +39,12 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from packedts.llm.components import stored
 
 SAMPLE = 12_000
-LEXICON = 1000
 LEAST_DOCUMENTS = 3
 LEAST_LOG_ODDS = 1.8
 LEAST_SCORE = 7.0
@@ -51,8 +52,9 @@ STEMS = range(3, 10)
 WINDOW = 40
 QUOTE_REACH = 400
 SLICE = 400
-STATES = 100_000
-MEMO_WORDS = 200_000
+# What a worker holds while a task runs: packed states, each with its object and transitions, and words.
+AUTOMATON_BYTES, STATE_BYTES = 48 << 20, 400
+MEMO_WORDS = 100_000
 MARKS = ("“”„«»‹›", '"' * 7)
 FEATURES = ("words", "stems", "misspelled", "quoted", "window", "strongest", "density")
 # What the regression is drawn towards where the sample says little.
@@ -77,15 +79,15 @@ class Term:
 class State:
     """What a word may have become so far, and the terms that end here (-1: none).
 
-    places holds (node, letter, edits): a node of the trie, the letter that must come next to
-    complete a swap ("" outside of one), and the edits so far.
+    places holds packed numbers (node, letter, edits): a node of the trie, the letter that must come next to
+    complete a swap (0 outside of one), and the edits so far.
     """
 
-    places: frozenset[tuple[int, str, int]]
+    places: bytes
     exact: int
     close: int
     stem: int
-    after: dict[str, State] = field(default_factory=dict)
+    after: dict[int, State] = field(default_factory=dict)
 
 
 class Automaton:
@@ -93,14 +95,16 @@ class Automaton:
 
     def __init__(self, terms: list[Term]) -> None:
         self.terms = terms
-        self.children: list[dict[str, int]] = [{}]
+        # letters by number; 0 stands for those that no term holds
+        self.letters = {c: n for n, c in enumerate(sorted({c for t in terms for c in t.text}), 1)}
+        self.children: list[dict[int, int]] = [{}]
         self.ends: dict[int, list[int]] = defaultdict(list)
         # edits that any term below a node allows
         self.allowed = [0]
         for number, term in enumerate(terms):
             node = 0
             self.allowed[0] = max(self.allowed[0], term.edits)
-            for letter in term.text:
+            for letter in map(self.letters.get, term.text):
                 if letter not in self.children[node]:
                     self.children[node][letter] = len(self.children)
                     self.children.append({})
@@ -108,7 +112,6 @@ class Automaton:
                 node = self.children[node][letter]
                 self.allowed[node] = max(self.allowed[node], term.edits)
             self.ends[node].append(number)
-        self.letters = {c: c for t in terms for c in t.text}
         self._begin()
 
     @staticmethod
@@ -116,49 +119,52 @@ class Automaton:
         return Automaton(terms)
 
     def _begin(self) -> None:
-        self.states: dict[frozenset, State] = {}
-        self.start = self._state({(0, ""): 0})
+        self.states: dict[bytes, State] = {}
+        self.bytes = 0
+        self.start = self._state({(0, 0): 0})
 
-    def _state(self, places: dict[tuple[int, str], int]) -> State:
+    def _state(self, places: dict[tuple[int, int], int]) -> State:
         """The state of these places and those that letters of the trie left out at an edit each lead to."""
         todo = [(node, edits) for (node, awaited), edits in places.items() if not awaited]
         while todo:
             node, edits = todo.pop()
-            if places[node, ""] < edits:
+            if places[node, 0] < edits:
                 continue
             for child in self.children[node].values():
-                if edits < self.allowed[child] and places.get((child, ""), 99) > edits + 1:
-                    places[child, ""] = edits + 1
+                if edits < self.allowed[child] and places.get((child, 0), 99) > edits + 1:
+                    places[child, 0] = edits + 1
                     todo.append((child, edits + 1))
-        key = frozenset((node, awaited, edits) for (node, awaited), edits in places.items())
+        key = array("q", sorted((node << 20 | awaited) << 2 | edits for (node, awaited), edits in places.items())).tobytes()
         if key not in self.states:
-            ended = [(edits, term) for node, awaited, edits in key if not awaited for term in self.ends.get(node, ())]
+            ended = [(edits, term) for (node, awaited), edits in places.items() if not awaited for term in self.ends.get(node, ())]
             words = [(edits, term) for edits, term in ended if not self.terms[term].stem and edits <= self.terms[term].edits]
             # of several, the one with the fewest edits, then the first of the lexicon
             exact = min((term for edits, term in words if edits == 0), default=-1)
             stem = min((term for edits, term in ended if self.terms[term].stem and edits == 0), default=-1)
             self.states[key] = State(key, exact, min(words, default=(0, -1))[1], stem)
+            self.bytes += len(key) + STATE_BYTES
         return self.states[key]
 
-    def _after(self, state: State, letter: str) -> State:
-        places: dict[tuple[int, str], int] = {}
+    def _after(self, state: State, letter: int) -> State:
+        places: dict[tuple[int, int], int] = {}
         allowed, children = self.allowed, self.children
-        for node, awaited, edits in state.places:
+        for place in array("q", state.places):
+            node, awaited, edits = place >> 22, place >> 2 & 0xFFFFF, place & 3
             if awaited:
-                if awaited == letter and places.get((node, ""), 99) > edits:
-                    places[node, ""] = edits
+                if awaited == letter and places.get((node, 0), 99) > edits:
+                    places[node, 0] = edits
                 continue
-            if (child := children[node].get(letter)) is not None and edits <= allowed[child] and places.get((child, ""), 99) > edits:
-                places[child, ""] = edits
+            if (child := children[node].get(letter)) is not None and edits <= allowed[child] and places.get((child, 0), 99) > edits:
+                places[child, 0] = edits
             edits += 1
             if edits > allowed[node]:  # no term below allows another one
                 continue
-            if places.get((node, ""), 99) > edits:  # an extra letter
-                places[node, ""] = edits
+            if places.get((node, 0), 99) > edits:  # an extra letter
+                places[node, 0] = edits
             for label, child in children[node].items():
                 if label != letter and edits <= allowed[child]:
-                    if places.get((child, ""), 99) > edits:
-                        places[child, ""] = edits
+                    if places.get((child, 0), 99) > edits:
+                        places[child, 0] = edits
                     swapped = children[child].get(letter)
                     if swapped is not None and edits <= allowed[swapped] and places.get((swapped, label), 99) > edits:
                         places[swapped, label] = edits
@@ -167,11 +173,11 @@ class Automaton:
 
     def find(self, word: str) -> tuple[int, int] | None:
         """The term of a word and its kind: 0 the word itself, 1 a stem of it, 2 misspelled."""
-        if len(self.states) > STATES:
+        if self.bytes > AUTOMATON_BYTES:
             self._begin()
         state, stem = self.start, -1
         for left, letter in enumerate(word, 1 - len(word)):
-            letter = self.letters.get(letter, "")
+            letter = self.letters.get(letter, 0)
             state = state.after.get(letter) or self._after(state, letter)
             if not state.places:
                 break
@@ -278,12 +284,6 @@ class Reader:
         return np.cumsum(edge[:-1]) > 0
 
 
-@lru_cache(maxsize=1)
-def reader_of(terms: tuple[Term, ...]) -> Reader:
-    """One for all tasks of a worker, as it keeps what it has met."""
-    return Reader(list(terms), Automaton.of(list(terms)))
-
-
 # --- learning ----------------------------------------------------------------------------
 
 
@@ -321,20 +321,24 @@ def _lexicon(counts: DataFrame, n_toxic: int, n_clean: int) -> list[Term]:
         .withColumn("odds", odds)
         .where((F.col("odds") >= LEAST_LOG_ODDS) & (F.col("odds") * F.sqrt("toxic") >= LEAST_SCORE))
         .orderBy(F.desc(F.col("odds") * F.sqrt("toxic")), "stem", F.desc(F.length("term")), "term")
-        .limit(8 * LEXICON)
-        .collect()
+        .collect()  # bounded by the words of the sample
     )
     chosen: list[Term] = []
-    toxic_of: dict[Term, int] = {}
+    stems: set[str] = set()
+    told_by: dict[str, int] = {}  # the documents of the most frequent chosen term that continues a stem
     for r in rows:
         # a stem is left out if a shorter one is in already, or a longer term says the same for most documents;
         # words stay beside their stems, which have no edits
-        told = max((n for t, n in toxic_of.items() if r.stem and len(t.text) > len(r.term) and t.text.startswith(r.term)), default=0)
+        told = told_by.get(r.term, 0) if r.stem else 0
         rest = math.log((r.toxic - told + 0.5) / (n_toxic + 1)) - math.log((r.clean + 0.5) / (n_clean + 1))
-        shorter = r.stem and any(t.stem and r.term.startswith(t.text) for t in toxic_of)
-        if not shorter and r.toxic - told >= LEAST_DOCUMENTS and rest >= LEAST_LOG_ODDS and len(chosen) < LEXICON:
+        shorter = r.stem and any(r.term[:k] in stems for k in STEMS if k <= len(r.term))
+        if not shorter and r.toxic - told >= LEAST_DOCUMENTS and rest >= LEAST_LOG_ODDS:
             chosen.append(Term(r.term, r.stem, float(r.odds)))
-            toxic_of[chosen[-1]] = r.toxic
+            if r.stem:
+                stems.add(r.term)
+            for k in STEMS:
+                if k < len(r.term):
+                    told_by[r.term[:k]] = max(told_by.get(r.term[:k], 0), r.toxic)
     return chosen
 
 
@@ -367,7 +371,9 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model:
     )
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), prepared(F.col("text")).alias("text"))
     sample = texts.join(F.broadcast(known), "doc_id").withColumn("half", F.pmod(F.xxhash64("doc_id", F.lit(9)), F.lit(2)))
-    sample = stored(sample, "labelled")
+    # of rows with one doc_id one teaches, however often it is repeated
+    one = Window.partitionBy("doc_id", "toxic").orderBy(F.xxhash64("text"))
+    sample = stored(sample.withColumn("n", F.row_number().over(one)).where("n = 1").drop("n"), "labelled")
     sizes = {(r.half, r.toxic): r["count"] for r in sample.groupBy("half", "toxic").count().collect()}
     n = [[sizes.get((half, toxic), 0) for toxic in (0, 1)] for half in (0, 1)]
     terms = _lexicon(_term_counts(sample.where("half = 0").select("text", "toxic")), n[0][1], n[0][0]) if all(n[0]) else []
@@ -389,7 +395,7 @@ def described(texts: DataFrame, terms: list[Term]) -> DataFrame:
     ddl = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept), "features array<double>"])
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader = reader_of(tuple(terms))
+        reader = Reader(terms, Automaton.of(terms))  # gone with the task
         for batch in batches:
             for lo in range(0, batch.num_rows, SLICE):
                 part = batch.slice(lo, SLICE)
