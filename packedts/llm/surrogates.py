@@ -37,8 +37,10 @@ from __future__ import annotations
 import hmac
 import ipaddress
 import re
+from bisect import bisect_left
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -98,11 +100,15 @@ PATTERNS = {
 }
 MENTION = re.compile(_NAME)
 _SEP = "[ \u00a0\u202f.-]"
+#: So many groups hold more than the 15 digits of the longest number.
+GROUPS = 18
+#: A long row of numbers with one separator.
+ROW = re.compile(rf"(?<![\w+.])\d{{1,8}}({_SEP})\d{{1,8}}(?:\1\d{{1,8}}){{{3 * GROUPS},}}(?!\w)")
 #: An optional country code, area codes in brackets, and groups with one separator from the second on.
 PHONE = re.compile(
     rf"(?<![\w+])(?<!\d\.)(?:\+\d{{8,15}}|0\d{{8,14}}|[2-9]\d{{8,9}}|1[2-9]\d{{9}}"
-    rf"|(?P<code>(?:\+|00)\d{{1,3}}{_SEP}?)?(?P<area>(?:\(\d{{1,5}}\)[ \u00a0\u202f./-]?){{1,2}})\d{{1,8}}(?:({_SEP})\d{{1,8}}(?:\3\d{{1,8}})*)?"
-    rf"|(?:(?:\+|00)\d{{1,3}}{_SEP})?\d{{1,8}}[ \u00a0\u202f./-]\d{{1,8}}(?:({_SEP})\d{{1,8}}(?:\4\d{{1,8}})*)?)(?!\w)"
+    rf"|(?P<code>(?:\+|00)\d{{1,3}}{_SEP}?)?(?P<area>(?:\(\d{{1,5}}\)[ \u00a0\u202f./-]?){{1,2}})\d{{1,8}}(?:({_SEP})\d{{1,8}}(?:\3\d{{1,8}}){{0,{GROUPS - 2}}})?"
+    rf"|(?:(?:\+|00)\d{{1,3}}{_SEP})?\d{{1,8}}[ \u00a0\u202f./-]\d{{1,8}}(?:({_SEP})\d{{1,8}}(?:\4\d{{1,8}}){{0,{GROUPS - 2}}})?)(?!\w)"
 )
 #: Usual forms, by which a row of several numbers is parted.
 FORMS = [re.compile(rf"(?:{f})(?!\w)") for f in (r"(?:(?:\+|00)?\d{1,3}[ .-])?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{3,4}[ .-]\d{3,4}", rf"0\d(?:{_SEP}\d\d){{4}}", rf"\d{{3}}(?:{_SEP}\d\d){{3}}")]
@@ -160,10 +166,11 @@ def find_entities(text: str) -> list[tuple[int, int, str, str]]:
     out = _apart(found)
     if numbers:
         # phones are what the digits outside of all other kinds may be
-        left = text
+        left, at = [], 0
         for start, end, _, _ in out:
-            left = f"{left[:start]}{HIDDEN * (end - start)}{left[end:]}"
-        phones = [(s, 0, e, "phone", v) for s, e, v in _phones(left)]
+            left += [text[at:start], HIDDEN * (end - start)]
+            at = end
+        phones = [(s, 0, e, "phone", v) for s, e, v in _phones("".join([*left, text[at:]]))]
         out = _apart([*((s, 0, e, k, v) for s, e, k, v in out), *phones]) if phones else out
     return out
 
@@ -190,8 +197,18 @@ def _ipv6(value: str) -> str | None:
 def _phones(text: str) -> Iterator[tuple[int, int, str]]:
     """Where a phone number begins after its country code and leading zeros, its end, and its digits from there on."""
     at = 0
+    rows = _rows(text)
+    row = next(rows, None)
     while m := PHONE.search(text, at):
         start, end = m.span()
+        while row and row[0][-1] <= start:
+            row = next(rows, None)
+        if row and row[0][0] <= start:
+            begins, onward = row
+            place = bisect_left(begins, start)
+            if begins[place] == start < onward[place]:
+                at = onward[place]
+                continue
         at = start + re.match(r"\D*\d+", m.group()).end()
         if date := DATE.match(text, start):
             at = max(at, date.end())
@@ -212,6 +229,36 @@ def _phones(text: str) -> Iterator[tuple[int, int, str]]:
                 yield start, end, value
 
 
+def _rows(text: str) -> Iterator[tuple[list[int], list[int]]]:
+    """Where the numbers of each long row begin, but for the last GROUPS, and the next one from each on where a phone number or a date may begin.
+
+    A phone number of the row is 2 to 15 of its numbers, and their sizes rule most out at once.
+    """
+    for m in ROW.finditer(text):
+        data = np.frombuffer(m.group().encode("utf-32-le"), "<u4")
+        digit = (data >= ord("0")) & (data <= ord("9"))
+        edge = np.diff(np.concatenate([[0], digit.view(np.int8), [0]]))
+        first, last = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+        size, n = last - first, len(first) - GROUPS
+        total = np.append(0, np.cumsum(size))
+        zero = data[first[:n]] == ord("0")
+        s0, s1, s2 = size[:n], size[1 : n + 1], size[2 : n + 2]
+        may = (s0 == 4) | ((s0 <= 2) & (s1 <= 2) & (s2 == 4))  # a date
+        most, threes = np.maximum(s0, s1), s1 == 3
+        for count in range(2, 16):
+            if count > 2:
+                most = np.maximum(most, size[count - 1 : n + count - 1])
+                threes = threes & (size[count - 1 : n + count - 1] == 3)
+            digits = total[count : n + count] - total[:n]
+            form = (s0 == 3) & (s1 >= 6) if count == 2 else (most > 2) & (count < 7)
+            if m.group(1) != "-":  # an amount in thousands
+                form = form & ~(threes & (s0 < 4) & ((count != 3) | (s0 < 3) | (data[first[:n]] < ord("6"))))
+            may |= (digits >= 8) & (digits <= 15) & (zero | form & (size[count - 1 : n + count - 1] > 1))
+        may[-1] = True
+        begins = m.start() + first[:n]
+        yield begins.tolist(), begins[may][np.cumsum(may) - may].tolist()
+
+
 def _is_phone(text: str, start: int, end: int) -> bool:
     value = text[start:end]
     groups = re.findall(r"\d+", value)
