@@ -80,7 +80,10 @@ def _filed(vectors: DataFrame, length: int, hashing: Hashing, probes: int) -> Da
 
 def cosines(queries: np.ndarray, vectors: np.ndarray) -> np.ndarray:
     """Cosines of all rows with all rows, summed component by component, so that equal vectors
-    get equal scores wherever they stand."""
+    get equal scores wherever they stand.
+
+    Each row is scaled by a power of two first, which changes no digit, so that no square over- or underflows."""
+    queries, vectors = (np.ldexp(x, -np.frexp(np.abs(x).max(1, initial=0.0))[1][:, None]) for x in (queries, vectors))
     dot = np.zeros((len(queries), len(vectors)))
     squares = [np.zeros(len(queries)), np.zeros(len(vectors))]
     for k in range(queries.shape[1]):

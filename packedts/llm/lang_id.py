@@ -36,6 +36,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from packedts.llm.batches import small_batches
+
 STEP = 1 << 17
 ORDERS = (2, 3, 4)
 OVERLAP = max(ORDERS) - 1
@@ -294,6 +296,7 @@ def _calibrated(model: Model, examples: list[tuple[int, np.ndarray, np.ndarray]]
 
 def learn(docs: DataFrame, training: Training | None = None) -> Model:
     """A model of the languages that rows of docs (doc_id, text, lang) are labelled with, held-out rows aside."""
+    small_batches(docs.sparkSession)
     training = training or Training()
     taught = _taught(_sample(docs, training), training)
     languages = tuple(sorted({lang for lang, part, _, _ in taught if part}))
@@ -332,6 +335,7 @@ def predictions(docs: DataFrame, model: Model, *keep: str) -> DataFrame:
                 columns = [part.column("row"), pa.array(names, pa.string()), pa.array(score), pa.array(score >= model.least_score)]
                 yield pa.RecordBatch.from_arrays(columns, names=["row", "lang_pred", "score", "accepted"])
 
+    small_batches(docs.sparkSession)
     texts = docs.select(F.struct(*keep).alias("row"), F.lower(F.col("text").cast("string")).alias("text"))
     row = texts.schema["row"].dataType.simpleString()
     return texts.mapInArrow(task, f"row {row}, lang_pred string, score double, accepted boolean")

@@ -117,11 +117,11 @@ def mix_sources(docs: DataFrame, mix: Mix | None = None, keep: Column | None = N
     runs of words [from, to), counted from 0, that are taken besides. keep is a column to carry along.
     """
     mix = mix or Mix()
-    keep = (F.lit(None).cast("string") if keep is None else keep).alias("kept")
-    rows = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), word_count(F.col("text")).alias("size"), keep
-    )
-    sizes = rows.drop("kept")
+    nothing = F.lit(None).cast("string").alias("kept")
+    columns = [F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), word_count(F.col("text")).alias("size")]
+    # words are counted once; only a column to carry along asks for the documents again
+    sizes = stored(docs.select(*columns), "sizes")
+    rows = sizes.select("*", nothing) if keep is None else docs.select(*columns, keep.alias("kept"))
     salt = F.pmod(F.xxhash64("doc_id", F.lit(mix.seed)), F.lit(SALTS)).alias("_salt")
     salts = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long")))
 
@@ -191,14 +191,15 @@ def mix_sources(docs: DataFrame, mix: Mix | None = None, keep: Column | None = N
 
 def mixed_rows(docs: DataFrame, columns: list[str], mix: Mix | None = None) -> DataFrame:
     """The documents of a mix: whole ones as often as the mix takes them, and the runs of words
-    that it takes of a document besides. A run that is not the whole text has its words joined
-    by single spaces. columns are kept; among them are text and n_chars."""
+    that it takes of a document besides. A run that is not the whole text has its words with the
+    white space before each, line ends included. columns are kept; among them are text and n_chars."""
     mixed = mix_sources(docs, mix, F.struct(*columns)).where("taken > 0")
     whole = F.struct(F.lit(0).cast("long").alias("from"), F.col("size").alias("to"))
     pieces = F.concat(F.transform(F.sequence(F.lit(0), F.col("rounds").cast("int")), lambda _: whole), "runs")
     each = mixed.select("kept", "size", F.explode(F.slice(pieces, F.lit(2), F.size(pieces))).alias("piece"))
-    words = F.regexp_extract_all("kept.text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
-    part = F.array_join(F.slice(words, (F.col("piece.from") + 1).cast("int"), (F.col("piece.to") - F.col("piece.from")).cast("int")), " ")
+    words = F.regexp_extract_all("kept.text", F.lit(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"), F.lit(0))
+    part = F.array_join(F.slice(words, (F.col("piece.from") + 1).cast("int"), (F.col("piece.to") - F.col("piece.from")).cast("int")), "")
+    part = F.when(F.col("piece.from") > 0, F.ltrim(part, F.lit(" \t\n\x0b\x0c\r"))).otherwise(part)
     text = F.when((F.col("piece.from") == 0) & (F.col("piece.to") == F.col("size")), F.col("kept.text")).otherwise(part)
     rest = [F.col(f"kept.{c}").alias(c) for c in columns if c not in ("text", "n_chars")]
     out = each.select(*rest, text.alias("text")).withColumn("n_chars", F.length("text").cast("long"))

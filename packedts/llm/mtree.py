@@ -17,7 +17,8 @@ Crowded root entries are split into cells by a hash of vec_id and vector, so a v
 third of all rows repeat is spread out, and so are the vectors of a vec_id that has many. Only routing objects, radii and cell counts are broadcast.
 
 Defined results: vectors that are null or hold null or non-finite components take no part, nor
-rows with null vec_id; shorter vectors count as continued by zeros; repeated rows (vec_id and vector)
+rows with null vec_id, nor vectors whose squared length is LONGEST or more, as their scores need not fit
+64 bits (those of all others do); shorter vectors count as continued by zeros; repeated rows (vec_id and vector)
 count once, and a vec_id with several vectors has the largest inner product of any of them, as query
 and as result (the SQL below lists rows, so it agrees where vec_id is unique); fewer than k candidates give fewer
 rows; an empty table gives no rows; other columns are ignored.
@@ -40,6 +41,7 @@ PIVOTS = 64
 CELL = 8192
 PAGE = 64
 SLACK = 1e-6
+LONGEST = 2.0**61
 FOUND = "query_id long, vec_id long, score long"
 
 
@@ -123,7 +125,8 @@ def top_k(vectors: DataFrame, is_query: Column, k: int) -> DataFrame:
     """
     good = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "vec", is_query.alias("is_query"))
     good, length = padded(good.where("vec IS NOT NULL AND vec_id IS NOT NULL"), F.lit(0).cast("long"))
-    good = stored(once(good), "vectors")
+    inexact = F.aggregate("vec", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
+    good = stored(once(good.where(inexact < LONGEST)), "vectors")
     square = F.aggregate("vec", F.lit(0).cast("long"), lambda a, x: a + x * x)
     n, largest = good.agg(F.count(F.lit(1)), F.max(square)).first()
     if not n or not length:

@@ -45,6 +45,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from packedts.llm.batches import small_batches
 from packedts.llm.components import stored
 
 TOLD = 10_000
@@ -494,6 +495,7 @@ def assign(entities: DataFrame, key: bytes) -> DataFrame:
 
 def with_surrogates(docs: DataFrame, key: bytes) -> DataFrame:
     """docs with surrogates in text, and a column entities: kind, start and end of each in the new text."""
+    small_batches(docs.sparkSession)
     later = assign(distinct_entities(docs), key).where("attempt > 0")
     told = later.limit(TOLD + 1).collect()
     columns = docs.columns

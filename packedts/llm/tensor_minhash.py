@@ -35,6 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from packedts.llm.batches import small_batches
 from packedts.llm.blocks import Layout, bucket_of, dealt, joined, rows_table
 from packedts.llm.components import components, stored
 from packedts.llm.textbytes import LOWER, ODD, gram_hashes, groups, mixed, ranges, text_bytes, word_hashes, word_spans
@@ -355,6 +356,7 @@ def near_duplicates(
     docs: DataFrame, words: int = 5, percent: int = 80, tables: Tables | None = None, layout: Layout | None = None
 ) -> DataFrame:
     """doc_id, n_shingles, class_id (least doc_id with the same set), component_id and kept."""
+    small_batches(docs.sparkSession)
     spark, tables = docs.sparkSession, tables or Tables()
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     layout = layout or Layout.of(texts)

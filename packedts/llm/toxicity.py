@@ -42,6 +42,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from packedts.llm.batches import small_batches
 from packedts.llm.components import stored
 
 SAMPLE = 12_000
@@ -362,6 +363,7 @@ def _regression(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, float]:
 
 def learn(docs: DataFrame, labels: DataFrame) -> Model:
     """A model from the labelled rows of docs that are not held out, at most SAMPLE of them."""
+    small_batches(docs.sparkSession)
     known = (
         labels.where("doc_id IS NOT NULL AND toxic IN (0, 1)")
         .where(~held_out(F.col("doc_id")))
@@ -407,6 +409,7 @@ def described(texts: DataFrame, terms: list[Term]) -> DataFrame:
 
 def scores(docs: DataFrame, model: Model, *keep: str) -> DataFrame:
     """row, a struct of the columns named in keep, and score, for every row of docs."""
+    small_batches(docs.sparkSession)
     texts = docs.select(F.struct(*keep).alias("row"), prepared(F.col("text")).alias("text"))
     logit = F.lit(model.bias)
     for k, w in enumerate(model.weights):
