@@ -3,6 +3,7 @@
 import hashlib
 import re
 import struct
+import time
 import zlib
 from collections import namedtuple
 
@@ -499,3 +500,27 @@ def test_empty_tables(spark, nothing):
         findings(nothing, update_ledger(spark, nothing, scratch_path(spark, "ledger"))),
     ):
         assert result.count() == 0
+
+
+def test_squared_lengths_beyond_64_bits(spark):
+    rows = [(0, [10**30, 1.0]), (1, [1.0, 2.0]), (2, [2.0, 3.0]), (100, [1.0, 1.0])]
+    vectors = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in rows], "vec_id long, embedding array<double>")
+    whole = F.transform("embedding", lambda x: F.floor(F.lit(1024.0) * x).cast("long"))
+    found = top_k(vectors.select("vec_id", whole.alias("vec")), F.col("vec_id") % 100 == 0, 10).collect()
+    assert [(r.query_id, r.vec_id, r.score) for r in found] == [(100, 2, 5 << 20), (100, 1, 3 << 20)]
+
+
+def test_cosines_of_any_size(spark):
+    rows = [(0, [1e200, 1e200, 1.0]), (1, [1e-200, 0.0, 0.0]), (2, [0.0, 1e-300, 0.0]), (3, [1.0, 1.0, 0.0]), (4, [-1e300, 0.0, 1e10])]
+    found = nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") == 0, 4).collect()
+    half = 1 / np.sqrt(2)
+    assert [r.vec_id for r in found] == [3, 1, 2, 4]
+    assert np.allclose([r.score for r in found], [1, half, half, -half])
+
+
+@pytest.mark.parametrize("text", ["10 11 " * 100_000, "Call (030)" + " 5" * 200_000, "255 128 0 " * 60_000, " ".join(f"u{k}@m.example.org" for k in range(20_000))])
+def test_entities_of_long_texts_in_linear_time(text):
+    start = time.perf_counter()
+    found = pii.find_entities(text)
+    assert time.perf_counter() - start < 30  # hours before
+    assert all(text[s:e].strip() for s, e, _, _ in found) and (found or "10 11" in text or "255" in text)
