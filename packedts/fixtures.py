@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from packedts.functions.packing import pack_points
-from packedts.operators.lookup import BROADCAST_BYTES, hot_above, lookup
+from packedts.operators.lookup import lookup
 from packedts.schemas import POINT_FAMILY, UID_FAMILY
 
 BLOCK = 3600
@@ -53,8 +53,8 @@ def metric_ids(events: DataFrame) -> DataFrame:
 def with_metric_ids(rows: DataFrame, events: DataFrame) -> DataFrame:
     ids = metric_ids(events).withColumn("_size", F.octet_length("event_type") + 48)
     size = ids.agg(F.coalesce(F.sum("_size"), F.lit(0)).alias("n")).first()["n"]
-    hot = F.col("_events") > hot_above(ids, "_events", "_size") if size > BROADCAST_BYTES else None
-    return lookup(rows, ids, ["event_type"], size, hot=hot).drop("_events", "_size")
+    counts = ids.select("event_type", F.col("_events").alias("n"))
+    return lookup(rows, ids.drop("_events", "_size"), ["event_type"], size, counts=counts, spread=["bot", "hour", "block"])
 
 
 def dictionary_cells(events: DataFrame, id_size: int = 4) -> DataFrame:

@@ -19,7 +19,7 @@ from packedts.operators.cellparts import (
     series_key,
 )
 from packedts.operators.lookup import BROADCAST_BYTES
-from packedts.operators.series import SeriesTable, build_series
+from packedts.operators.series import COMPACT_BYTES, NamesInTask, SeriesTable, build_series
 from packedts.schemas import POINT_COLUMNS, SALT_BYTES
 
 
@@ -69,7 +69,7 @@ def by_time(named: DataFrame, cells: DataFrame, id_size: int = 4, partitions: in
 
 def decode_cells(
     cells: DataFrame,
-    series: SeriesTable,
+    series: SeriesTable | NamesInTask,
     id_size: int = 4,
     only: Column | None = None,
     arrange: Callable[[DataFrame], DataFrame] | None = None,
@@ -89,7 +89,8 @@ def decode_cells(
                 "_shape_error": F.when(F.col("kind") == INVALID, "odd qualifier length").when(
                     ~has_key_shape(id_size), "row key of wrong length"
                 ),
-                "series_key": series_key(id_size),
+                # cells without a proper key have no names to look up
+                "series_key": F.when(has_key_shape(id_size), series_key(id_size)),
             }
         )
     )
@@ -98,11 +99,8 @@ def decode_cells(
         cells = series.where(only).attach(cells.filter(proper), "inner")
     elif strict:
         cells = series.attach(_raise_errors(cells, "_shape_error"))
-    elif series.hot is None:
-        cells = series.attach(cells)
     else:
-        # Cells without a proper key have no names to look up and stay put.
-        cells = series.attach(cells.filter(proper)).unionByName(cells.filter(~proper), allowMissingColumns=True)
+        cells = series.attach(cells)
     if arrange is not None:
         cells = arrange(cells)
     split = split_points(F.col("qualifier"), F.col("value"), F.col("kind") == APPEND)
@@ -152,6 +150,7 @@ def decode_points(
     arrange: Callable[[DataFrame], DataFrame] | None = None,
     provenance: bool = False,
     broadcast_bytes: int = BROADCAST_BYTES,
+    compact_bytes: int = COMPACT_BYTES,
 ) -> DataFrame:
     """All points of the given cells as rows of the ``POINTS`` schema.
 
@@ -161,17 +160,22 @@ def decode_points(
     cells. ``provenance`` adds ``file`` and ``salt``. The series table is built at once, the points lazily.
     """
     cells = _with_file(cells)
-    series = build_series(cells, uids, id_size, broadcast_bytes)
+    series = build_series(cells, uids, id_size, broadcast_bytes, compact_bytes)
     decoded = decode_cells(cells, series, id_size, only, arrange, strict=True)
     return explode_points(_raise_errors(decoded), id_size, provenance)
 
 
 def decode_errors(
-    cells: DataFrame, uids: DataFrame, id_size: int = 4, *, broadcast_bytes: int = BROADCAST_BYTES
+    cells: DataFrame,
+    uids: DataFrame,
+    id_size: int = 4,
+    *,
+    broadcast_bytes: int = BROADCAST_BYTES,
+    compact_bytes: int = COMPACT_BYTES,
 ) -> DataFrame:
     """The cells that cannot be decoded: ``file, row_key, version, error``."""
     cells = _with_file(cells)
-    series = build_series(cells, uids, id_size, broadcast_bytes)
+    series = build_series(cells, uids, id_size, broadcast_bytes, compact_bytes)
     return (
         decode_cells(cells, series, id_size)
         .filter(F.col("error").isNotNull())

@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Largest lookup table that is copied to every executor.
 BROADCAST_BYTES = 64 << 20
 
-# A key with more than 1/n of all rows counts as hot. At most n keys can be,
-# so the hot part of a lookup table is bounded by n rows.
-HOT_SHARES = (100_000, 10_000, 1_000, 100, 10)
+# A key with more than 1/n of a partition's share of the rows is spread over several tasks.
+UNITS = 16
 
 
 def lookup(
@@ -19,32 +20,40 @@ def lookup(
     on: list[str],
     size: int,
     limit: int = BROADCAST_BYTES,
-    hot: Column | None = None,
+    counts: DataFrame | None = None,
+    spread: Sequence[str] = (),
     how: str = "left",
 ) -> DataFrame:
     """Join ``facts`` to ``table``, which has unique keys ``on`` and ``size`` bytes.
 
-    Small tables are broadcast and ``facts`` does not move. For larger ones,
-    ``hot`` marks the rows of ``table`` whose keys hold much of ``facts``: those
-    rows are broadcast, and only the facts of the other keys are shuffled.
+    Small tables are broadcast and ``facts`` does not move. Larger ones are joined by
+    a shuffle; ``counts`` says how many facts each key has (columns ``on`` and ``n``), and
+    the facts of crowded keys are dealt out by the columns ``spread``.
     """
     if size <= limit:
         return facts.join(F.broadcast(table), on, how)
-    if hot is None:
+    if counts is None:
         return facts.join(table, on, how)
-    hot_rows = F.broadcast(table.filter(hot))
-    hot_facts = facts.join(hot_rows, on)
-    cold_facts = facts.join(hot_rows.select(*on), on, "left_anti")
-    return hot_facts.unionByName(cold_facts.join(table.filter(~hot), on, how))
-
-
-def hot_above(table: DataFrame, weight: str, size: str, limit: int = BROADCAST_BYTES) -> int:
-    """Weight above which keys are hot: as low as a broadcast of them allows."""
-    total = table.agg(F.coalesce(F.sum(weight), F.lit(0)).alias("t")).first()["t"]
-    cuts = [total // share for share in HOT_SHARES]
-    hot_sizes = [F.sum(F.when(F.col(weight) > cut, F.col(size)).otherwise(0)) for cut in cuts]
-    sizes = table.agg(*[F.coalesce(hot_size, F.lit(0)) for hot_size in hot_sizes]).first()
-    for cut, bytes_ in zip(cuts, sizes):
-        if bytes_ <= limit:
-            return cut
-    return total
+    return _spread_join(facts, table, on, counts, spread, how)
+
+
+def _spread_join(
+    facts: DataFrame, table: DataFrame, on: list[str], counts: DataFrame, spread: Sequence[str], how: str
+) -> DataFrame:
+    """One scan and one shuffle of ``facts``, however its keys are distributed.
+
+    A crowded key gets so many salts that none holds more than 1/UNITS of what a partition
+    has on average, and its row of the table a copy for each. Fewer than UNITS keys a
+    partition can be crowded, which bounds what is broadcast. Null keys match nothing and
+    are dealt out too.
+    """
+    partitions = int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
+    unit = max(1, total // (UNITS * partitions))
+    crowded = counts.filter(F.col("n") > unit).select(*on, F.ceil(F.col("n") / unit).cast("int").alias("_copies"))
+    crowded = F.broadcast(crowded)
+    salts = F.when(F.col(on[0]).isNull(), UNITS * partitions).otherwise(F.coalesce("_copies", F.lit(1)))
+    salted = facts.join(crowded, on, "left").withColumn("_salt", F.pmod(F.xxhash64(*spread), salts).cast("int")).drop("_copies")
+    copies = F.sequence(F.lit(0), F.coalesce("_copies", F.lit(1)) - 1)
+    copied = table.join(crowded, on, "left").withColumn("_salt", F.explode(copies)).drop("_copies")
+    return salted.join(copied, [*on, "_salt"], how).drop("_salt")

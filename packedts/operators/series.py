@@ -1,9 +1,14 @@
 """The series table: every distinct series of a cell table, with its names.
 
-Names are resolved once per series instead of once per point. The table is
+Names are resolved once per series instead of once per point. The keys and the table are
 written to the shared scratch folder, which keeps the pass over the cells to one
-(columns ``row_key`` and ``family`` only) and makes its size known before the
-join back to the cells is planned.
+(columns ``row_key`` and ``family`` only) and makes sizes known before the
+join back to the cells is planned. There are three ways to get the names to the cells:
+
+* the series table is small: it is broadcast;
+* only the id dictionary is: it is broadcast in compact form, and every task names the
+  series it meets;
+* neither is: cells are shuffled once to the series table, crowded series spread out.
 """
 
 from __future__ import annotations
@@ -11,15 +16,22 @@ from __future__ import annotations
 import unicodedata
 from dataclasses import dataclass
 
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from packedts.functions.names import compact_dictionary, series_names
 from packedts.operators.cellparts import has_key_shape, is_point_family, series_ids, series_key
-from packedts.operators.dictionary import ENTRY_BYTES, check_dictionary
-from packedts.operators.lookup import BROADCAST_BYTES, hot_above, lookup
+from packedts.operators.dictionary import check_dictionary
+from packedts.operators.lookup import BROADCAST_BYTES, lookup
 from packedts.schemas import CIRCUIT_TAG, LSP_TAG, SIGN_TAG, check_id_size
 from packedts.scratch import scratch_path
 
+# Largest dictionary that every Python worker holds in compact form.
+COMPACT_BYTES = 256 << 20
+# What a row of the series table takes besides its key and names.
+SERIES_BYTES = 96
+
 
 def series_keys(cells: DataFrame, id_size: int) -> DataFrame:
     """Distinct series keys with the number of cells each one has."""
@@ -42,10 +54,8 @@ def _with_names(ids: DataFrame, uids: DataFrame, size: int, limit: int) -> DataF
     on = ["qualifier", "uid"]
     if size <= limit:
         return lookup(ids, uids, on, size, limit)
-    weights = ids.groupBy(*on).agg(F.count("*").alias("_uses"))
-    uids = uids.join(weights, on).withColumn("_size", F.octet_length("name") + F.lit(ENTRY_BYTES))
-    cut = hot_above(uids, "_uses", "_size", limit)
-    return lookup(ids, uids, on, size, limit, F.col("_uses") > cut).drop("_uses", "_size")
+    counts = ids.groupBy(*on).agg(F.count("*").alias("n"))
+    return lookup(ids, uids, on, size, limit, counts, ["series_key", "pos"])
 
 
 def name_series(keys: DataFrame, uids: DataFrame, id_size: int, uid_bytes: int, limit: int) -> DataFrame:
@@ -98,47 +108,69 @@ def name_series(keys: DataFrame, uids: DataFrame, id_size: int, uid_bytes: int,
 
 @dataclass(frozen=True)
 class SeriesTable:
-    """The stored series table and what is known of its size."""
+    """The stored series table and its size."""
 
     rows: DataFrame
     bytes: int
     limit: int
-    hot: Column | None = None
-
-    @staticmethod
-    def of(rows: DataFrame, size: int, limit: int) -> SeriesTable:
-        if size <= limit:
-            return SeriesTable(rows, size, limit)
-        return SeriesTable(rows, size, limit, F.col("cells") > hot_above(rows, "cells", "_size", limit))
 
     def where(self, predicate: Column) -> SeriesTable:
         """The series that satisfy a predicate on their names."""
-        rows = self.rows.filter(predicate)
-        if self.bytes <= self.limit:
-            return SeriesTable(rows, self.bytes, self.limit)
-        size = rows.agg(F.coalesce(F.sum("_size"), F.lit(0)).alias("n")).first()["n"]
-        return SeriesTable.of(rows, size, self.limit)
+        rows, size = self.rows.filter(predicate), self.bytes
+        if size > self.limit:
+            size = rows.agg(F.coalesce(F.sum("_size"), F.lit(0)).alias("n")).first()["n"]
+        return SeriesTable(rows, size, self.limit)
 
     def attach(self, cells: DataFrame, how: str = "left") -> DataFrame:
         """Cells (with ``series_key``) and the names of their series."""
-        return lookup(cells, self.rows, ["series_key"], self.bytes, self.limit, self.hot, how).drop("cells", "_size")
+        counts = self.rows.select("series_key", F.col("cells").alias("n"))
+        names = self.rows.drop("cells", "_size")
+        return lookup(cells, names, ["series_key"], self.bytes, self.limit, counts, ["row_key", "version"], how)
+
+
+@dataclass(frozen=True)
+class NamesInTask:
+    """The compact dictionary on every executor; cells are named where they are read."""
 
+    dictionary: Broadcast
+    id_size: int
+    predicate: Column | None = None
 
-def build_series(cells: DataFrame, uids: DataFrame, id_size: int = 4, limit: int = BROADCAST_BYTES) -> SeriesTable:
-    """Check the dictionary, then build and store the series table of ``cells``."""
+    def where(self, predicate: Column) -> NamesInTask:
+        return NamesInTask(self.dictionary, self.id_size, predicate if self.predicate is None else self.predicate & predicate)
+
+    def attach(self, cells: DataFrame, how: str = "left") -> DataFrame:
+        """Cells (with ``series_key``) and the names of their series; with ``how`` inner, those that satisfy the predicate."""
+        names = series_names(F.col("series_key"), self.id_size, self.dictionary)
+        named = cells.withColumn("_names", names).select("*", "_names.*").drop("_names")
+        return named.filter(self.predicate) if how == "inner" and self.predicate is not None else named
+
+
+def build_series(
+    cells: DataFrame, uids: DataFrame, id_size: int = 4, limit: int = BROADCAST_BYTES, compact: int = COMPACT_BYTES
+) -> SeriesTable | NamesInTask:
+    """Check the dictionary, then build and store the series table of ``cells``, if the names are best had from one."""
     spark = cells.sparkSession
     check_id_size(id_size)
     uid_bytes = check_dictionary(uids)
+    def named_in_task() -> NamesInTask:
+        return NamesInTask(spark.sparkContext.broadcast(compact_dictionary(uids)), id_size)
+
+    if limit < uid_bytes <= compact:
+        # The series that use such a dictionary are hardly fewer than its entries.
+        return named_in_task()
+    path, seen = scratch_path(spark, "series-keys"), Observation()
     keys = series_keys(cells, id_size)
-    if uid_bytes > limit:
-        # The keys are read several times below: once over the cells is enough.
-        path = scratch_path(spark, "series-keys")
-        keys.write.parquet(path)
-        keys = spark.read.schema(keys.schema).parquet(path)
+    size = F.sum(F.octet_length("series_key") + F.lit(SERIES_BYTES))
+    keys.observe(seen, size.alias("bytes")).write.parquet(path)
+    if uid_bytes <= compact and (seen.get["bytes"] or 0) > limit:
+        return named_in_task()
+    keys = spark.read.schema(keys.schema).parquet(path)
     rows = name_series(keys, uids, id_size, uid_bytes, limit)
-    size = """96 + octet_length(series_key) + coalesce(octet_length(metric), 0) + coalesce(octet_length(power_sign), 0)
+    size = f"""{SERIES_BYTES} + octet_length(series_key) + coalesce(octet_length(metric), 0) + coalesce(octet_length(power_sign), 0)
         + aggregate(map_entries(tags), 0, (n, e) -> n + octet_length(e.key) + octet_length(e.value) + 16)"""
     rows = rows.withColumn("_size", F.expr(size))
     path, written = scratch_path(spark, "series"), Observation()
     rows.observe(written, F.sum("_size").alias("bytes")).write.parquet(path)
-    return SeriesTable.of(spark.read.schema(rows.schema).parquet(path), written.get["bytes"] or 0, limit)
+    table = SeriesTable(spark.read.schema(rows.schema).parquet(path), written.get["bytes"] or 0, limit)
+    return named_in_task() if table.bytes > limit and uid_bytes <= compact else table

@@ -136,14 +136,16 @@ def q_decode_id3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _flat(decode_points(cells, _uids(spark, sf_dir, 3), id_size=3))
 
 
-def q_decode_without_broadcast(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same points by the plans for lookup tables too large to broadcast.
-
-    The bound leaves room for some of the ids in use, and for few of the series.
-    """
+def q_decode_compact_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same points by the plan for more series than can be broadcast: the dictionary is, in compact form."""
     return _flat(_points(spark, sf_dir, broadcast_bytes=300))
 
 
+def q_decode_without_broadcast(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same points by the plans for lookup tables too large to broadcast in any form."""
+    return _flat(_points(spark, sf_dir, broadcast_bytes=300, compact_bytes=0))
+
+
 def q_uid_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _uids(spark, sf_dir)
 
