@@ -9,11 +9,12 @@ passes. Only the two byte columns enter Python, names and tags stay in the JVM.
 from __future__ import annotations
 
 import sys
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Workers get this module inside the pickled function, so that a cluster needs
@@ -21,6 +22,7 @@ from pyspark.sql import functions as F
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 SPLIT_TYPE = "points array<struct<offset:int,value:double>>, error string"
+PIECES_TYPE = "pieces array<struct<target:int,first:int,offsets:array<int>,values:array<double>>>, error string"
 
 # Position in this list = error code, 0 = no error.
 ERRORS = (
@@ -173,8 +175,8 @@ def _split_chunk(q_data, q_bounds, v_data, v_bounds, is_append):
     return counts, offset, decoded, error
 
 
-def split_batch(qualifier, value, is_append):
-    """Points of each cell as struct<points, error>, same length as the input."""
+def _split_rows(qualifier, value, is_append):
+    """Points per cell, their offsets and values, and the error code per cell, of a whole batch."""
     q_data, q_bounds = _bytes_and_bounds(qualifier)
     v_data, v_bounds = _bytes_and_bounds(value)
     is_append = is_append.to_numpy(zero_copy_only=False).astype(bool)
@@ -190,13 +192,52 @@ def split_batch(qualifier, value, is_append):
             )
         )
         row = stop
-    counts, offset, decoded, error = (np.concatenate(column) for column in zip(*parts))
-    points = pa.ListArray.from_arrays(
-        pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32()),
-        pa.StructArray.from_arrays([pa.array(offset), pa.array(decoded)], ["offset", "value"]),
-    )
-    messages = pa.array(ERRORS).take(pa.array(error, mask=error == 0))
-    return pa.StructArray.from_arrays([points, messages], ["points", "error"])
+    return (np.concatenate(column) for column in zip(*parts))
+
+
+def _lists(starts, values):
+    return pa.ListArray.from_arrays(pa.array(starts, pa.int32()), values)
+
+
+def _messages(error):
+    return pa.array(ERRORS).take(pa.array(error, mask=error == 0))
+
+
+def split_batch(qualifier, value, is_append):
+    """Points of each cell as struct<points, error>, same length as the input."""
+    counts, offset, decoded, error = _split_rows(qualifier, value, is_append)
+    flat = pa.StructArray.from_arrays([pa.array(offset), pa.array(decoded)], ["offset", "value"])
+    points = _lists(np.append(0, np.cumsum(counts)), flat)
+    return pa.StructArray.from_arrays([points, _messages(error)], ["points", "error"])
+
+
+def split_batch_at(qualifier, value, is_append, base, spread, bounds):
+    """Pieces of each cell, runs of points that belong to one time range, as struct<pieces, error>.
+
+    Range i holds the times from bounds[i - 1] up to bounds[i]. A second that stands in several
+    bounds is shared by the ranges between them, cell by cell.
+    """
+    counts, offset, decoded, error = _split_rows(qualifier, value, is_append)
+    cell = np.repeat(np.arange(len(counts)), counts)
+    time = base.to_numpy(zero_copy_only=False)[cell] + offset
+    target = np.searchsorted(bounds, time, "right")
+    shares = np.maximum(1, target - np.searchsorted(bounds, time, "left"))
+    target = target - spread.to_numpy(zero_copy_only=False)[cell] % shares
+    begins = np.ones(len(cell), bool)
+    begins[1:] = (cell[1:] != cell[:-1]) | (target[1:] != target[:-1])
+    piece = np.flatnonzero(begins)
+    ends = np.cumsum(counts)
+    first = piece - (ends - counts)[cell[piece]]
+    starts = np.append(piece, len(cell))
+    columns = [
+        pa.array(target[piece], pa.int32()),
+        pa.array(first, pa.int32()),
+        _lists(starts, pa.array(offset)),
+        _lists(starts, pa.array(decoded)),
+    ]
+    pieces = pa.StructArray.from_arrays(columns, ["target", "first", "offsets", "values"])
+    per_cell = np.bincount(cell[piece], minlength=len(counts))
+    return pa.StructArray.from_arrays([_lists(np.append(0, np.cumsum(per_cell)), pieces), _messages(error)], ["pieces", "error"])
 
 
 def _split(qualifier: pa.Array, value: pa.Array, is_append: pa.Array) -> pa.Array:
@@ -211,3 +252,63 @@ def split_points(qualifier: Column, value: Column, is_append: Column) -> Column:
     of its points later, and none is split twice.
     """
     return F.arrow_udf(_split, SPLIT_TYPE).asNondeterministic()(qualifier, value, is_append)
+
+
+def split_points_at(qualifier: Column, value: Column, is_append: Column, base: Column, spread: Column, bounds: np.ndarray) -> Column:
+    """Column struct<pieces, error> of packed or append cells: their points, parted at the times ``bounds``.
+
+    ``base`` is the second that offsets count from; ``spread``, a non-negative number, deals
+    cells out where ranges share a second.
+    """
+
+    def split(qualifier: pa.Array, value: pa.Array, is_append: pa.Array, base: pa.Array, spread: pa.Array) -> pa.Array:
+        return split_batch_at(qualifier, value, is_append, base, spread, bounds)
+
+    return F.arrow_udf(split, PIECES_TYPE).asNondeterministic()(qualifier, value, is_append, base, spread)
+
+
+def _times_and_append_minutes(base, qualifier, is_append):
+    """Seconds of all points of packed cells by their qualifiers, and the first minute of every append cell."""
+    q_data, q_bounds = _bytes_and_bounds(qualifier)
+    base = base.to_numpy(zero_copy_only=False).astype(np.int64)
+    appended = is_append.to_numpy(zero_copy_only=False).astype(bool)
+    counts = np.where(appended, 0, np.diff(q_bounds) // 2)
+    cell = np.repeat(np.arange(len(counts)), counts)
+    offset = _gather(q_data, q_bounds[:-1][cell] + 2 * _ordinals(counts), ">u2").astype(np.int64) >> 4
+    return base[cell] + offset, base[appended] // 60
+
+
+def _counted(unit, points, appends):
+    """A table of how often each number stands in two arrays."""
+    places, at = np.unique(np.concatenate([points, appends]), return_inverse=True)
+    counts = [np.bincount(part, minlength=len(places)) for part in (at[: len(points)], at[len(points) :])]
+    return pa.table({unit: places, "points": counts[0], "appends": counts[1]})
+
+
+def minute_counts(cells: DataFrame) -> DataFrame:
+    """Rows (minute, points, appends) of cells (base, qualifier, is_append), several for a minute.
+
+    An append cell counts in each minute of its hour.
+    """
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            times, minutes = _times_and_append_minutes(*batch.columns)
+            hours = (minutes[:, None] + np.arange(60)).ravel()
+            yield from _counted("minute", times // 60, hours).to_batches()
+
+    return cells.mapInArrow(count, "minute long, points long, appends long")
+
+
+def second_counts(cells: DataFrame, minutes: np.ndarray) -> DataFrame:
+    """Rows (second, points, appends) in the given minutes, sorted; an append cell counts in each second of its hour."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            times, firsts = _times_and_append_minutes(*batch.columns)
+            times = times[np.isin(times // 60, minutes)]
+            low, high = np.searchsorted(minutes, firsts), np.searchsorted(minutes, firsts + 60)
+            held = minutes[np.repeat(low, high - low) + _ordinals(high - low)]
+            yield from _counted("second", times, (held[:, None] * 60 + np.arange(60)).ravel()).to_batches()
+
+    return cells.mapInArrow(count, "second long, points long, appends long")

@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from packedts.functions.points import split_points
+from packedts.functions.points import split_points, split_points_at
 from packedts.operators.cellparts import (
     ANNOTATION,
     APPEND,
@@ -21,63 +20,24 @@ from packedts.operators.cellparts import (
 from packedts.operators.lookup import BROADCAST_BYTES
 from packedts.operators.series import COMPACT_BYTES, NamesInTask, SeriesTable, build_series
 from packedts.schemas import POINT_COLUMNS, SALT_BYTES
+from packedts.scratch import scratch_path
 
 
 # A series that turned up after the series table was built must not pass unnamed.
 UNNAMED = "CASE WHEN metric IS NULL THEN 'series not seen before' END"
 
 
-def by_time(named: DataFrame, cells: DataFrame, id_size: int = 4, partitions: int | None = None) -> DataFrame:
-    """``named`` cells, partitioned into consecutive stretches of base time.
-
-    Shuffling cells instead of their points moves each name and id once per cell,
-    a fraction of the bytes. The stretches come from a count of ``cells`` per hour,
-    which reads the row keys only, where sampled ranges would read everything
-    twice. An hour with many cells takes a share of several partitions.
-
-    The hours are at most 2**32 / 3600, under 1.2 million rows: few enough for one
-    window and for a broadcast, whatever the size of the table.
-    """
-    if partitions is None:
-        partitions = int(cells.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    hour = F.floor(base_seconds(id_size) / 3600)
-    hours = (
-        cells.select("row_key", "family")
-        .filter(is_point_family() & has_key_shape(id_size))
-        .groupBy(hour.alias("_hour"))
-        .agg(F.count("*").alias("_cells"))
-        .selectExpr(
-            "_hour",
-            "_cells",
-            "sum(_cells) OVER (ORDER BY _hour) - _cells AS _before",
-            "sum(_cells) OVER () AS _total",
-        )
-    )
-    # A cell's place within its hour: a fraction from 0 to 1, even for copies.
-    place = "pmod(xxhash64(row_key, version, spark_partition_id()), 1048576) / 1048576D"
-    counted = f"least(cast({partitions} * (_before + _cells * {place}) / _total as int), {partitions - 1})"
-    # Cells of an hour that the count did not see are spread over all partitions.
-    target = f"coalesce({counted}, cast({partitions} * {place} as int) % {partitions})"
-    return (
-        named.withColumn("_hour", hour)
-        .join(F.broadcast(hours), "_hour", "left")
-        .withColumn("_target", F.expr(target))
-        .repartitionById(partitions, "_target")
-        .drop("_hour", "_cells", "_before", "_total", "_target")
-    )
-
-
 def decode_cells(
     cells: DataFrame,
     series: SeriesTable | NamesInTask,
     id_size: int = 4,
     only: Column | None = None,
-    arrange: Callable[[DataFrame], DataFrame] | None = None,
+    bounds: np.ndarray | None = None,
     strict: bool = False,
 ) -> DataFrame:
     """One row per point cell: names, ``split.points`` and the first ``error``.
 
-    ``arrange`` is applied to the named cells before they are split. ``strict``
+    With ``bounds``, ascending seconds, points come as ``split.pieces``, parted there. ``strict``
     fails on cells without a proper key or qualifier before any names are looked up.
     """
     cells = (
@@ -101,9 +61,13 @@ def decode_cells(
         cells = series.attach(_raise_errors(cells, "_shape_error"))
     else:
         cells = series.attach(cells)
-    if arrange is not None:
-        cells = arrange(cells)
-    split = split_points(F.col("qualifier"), F.col("value"), F.col("kind") == APPEND)
+    bytes_ = F.col("qualifier"), F.col("value"), F.col("kind") == APPEND
+    if bounds is None:
+        split = split_points(*bytes_)
+    else:
+        # improper keys have no base time; their error comes first
+        base = F.when(proper, base_seconds(id_size)).otherwise(0)
+        split = split_points_at(*bytes_, base, F.shiftrightunsigned(F.xxhash64("row_key", "version"), 1), bounds)
     return cells.withColumn("split", split).withColumn(
         "error", F.expr(f"coalesce(_shape_error, series_error, {UNNAMED}, split.error)")
     )
@@ -124,30 +88,52 @@ def _with_file(cells: DataFrame) -> DataFrame:
     return cells if "file" in cells.columns else cells.withColumn("file", F.lit(None).cast("string"))
 
 
+# Whatever is the same for all points of a cell is worked out before they part.
+PER_CELL = ["metric", "lsp_id", "circuit_id", "power_sign", "tags", "version", "file"]
+
+
+def _per_cell(decoded: DataFrame, id_size: int, *split: Column) -> DataFrame:
+    salt = F.substring("row_key", 1, SALT_BYTES).alias("salt")
+    return decoded.select(*PER_CELL, salt, base_seconds(id_size).alias("_base"), *split)
+
+
 def explode_points(decoded: DataFrame, id_size: int = 4, provenance: bool = False) -> DataFrame:
     """One row per point of decoded cells."""
-    # Whatever is the same for all points of a cell is worked out before they part.
-    per_cell = ["metric", "lsp_id", "circuit_id", "power_sign", "tags", "version", "file"]
-    cells = decoded.select(
-        *per_cell,
-        F.substring("row_key", 1, SALT_BYTES).alias("salt"),
-        base_seconds(id_size).alias("_base"),
-        F.col("split.points").alias("_points"),
-    )
-    points = cells.select(*per_cell, "salt", "_base", F.posexplode("_points").alias("idx", "_point"))
+    cells = _per_cell(decoded, id_size, F.col("split.points").alias("_points"))
+    points = cells.select(*PER_CELL, "salt", "_base", F.posexplode("_points").alias("idx", "_point"))
     columns = {"time": "timestamp_seconds(_base + _point.offset) AS time", "value": "_point.value AS value"}
     return points.selectExpr(
         *[columns.get(column, column) for column in POINT_COLUMNS], *(["file", "salt"] if provenance else [])
     )
 
 
+def explode_pieces(cells: DataFrame, ranges: int, provenance: bool = False) -> DataFrame:
+    """One row per point of cells that are decoded in pieces, partitioned by time range.
+
+    Pieces are shuffled, not points: their offsets and values are 12 bytes a point, and names and
+    tags move once per piece. A cell has one piece for each range it reaches into.
+    """
+    pieces = cells.select(*PER_CELL, "salt", "_base", F.inline("_pieces"))
+    if ranges > 1:
+        pieces = pieces.repartitionById(ranges, "target")
+    points = pieces.select(*PER_CELL, "salt", "_base", "first", F.posexplode(F.arrays_zip("offsets", "values")).alias("_place", "_point"))
+    columns = {
+        "time": "timestamp_seconds(_base + _point.offsets) AS time",
+        "value": "_point.values AS value",
+        "idx": "first + _place AS idx",
+    }
+    return points.selectExpr(
+        *[columns.get(column, column) for column in POINT_COLUMNS], *(["file", "salt"] if provenance else [])
+    )
+
+
 def decode_points(
     cells: DataFrame,
     uids: DataFrame,
     id_size: int = 4,
     *,
     only: Column | None = None,
-    arrange: Callable[[DataFrame], DataFrame] | None = None,
+    bounds: np.ndarray | None = None,
     provenance: bool = False,
     broadcast_bytes: int = BROADCAST_BYTES,
     compact_bytes: int = COMPACT_BYTES,
@@ -156,13 +142,45 @@ def decode_points(
 
     Any cell that cannot be decoded fails the job. With ``only``, a predicate on
     ``metric, lsp_id, circuit_id, power_sign, tags``, cells of other series are
-    dropped unread: neither decoded nor checked. ``arrange`` may repartition the
-    cells. ``provenance`` adds ``file`` and ``salt``. The series table is built at once, the points lazily.
+    dropped unread: neither decoded nor checked. With ``bounds``, ascending seconds, points come
+    partitioned into the time ranges between them. ``provenance`` adds ``file`` and ``salt``. The series table is built at once, the points lazily.
+    """
+    cells = _with_file(cells)
+    series = build_series(cells, uids, id_size, broadcast_bytes, compact_bytes)
+    decoded = _raise_errors(decode_cells(cells, series, id_size, only, bounds, strict=True))
+    if bounds is None:
+        return explode_points(decoded, id_size, provenance)
+    return explode_pieces(_per_cell(decoded, id_size, F.col("split.pieces").alias("_pieces")), len(bounds) + 1, provenance)
+
+
+def decode_apart(
+    cells: DataFrame,
+    uids: DataFrame,
+    id_size: int = 4,
+    *,
+    bounds: np.ndarray | None = None,
+    provenance: bool = False,
+    broadcast_bytes: int = BROADCAST_BYTES,
+    compact_bytes: int = COMPACT_BYTES,
+) -> tuple[DataFrame, DataFrame]:
+    """All points of the good cells, and the bad cells (``file, row_key, version, error``).
+
+    Cells are decoded once, at once: decoded pieces and errors are stored in the scratch folder, 12 bytes a
+    point, and both results read their part of that.
     """
+    spark = cells.sparkSession
     cells = _with_file(cells)
     series = build_series(cells, uids, id_size, broadcast_bytes, compact_bytes)
-    decoded = decode_cells(cells, series, id_size, only, arrange, strict=True)
-    return explode_points(_raise_errors(decoded), id_size, provenance)
+    ranges = 1 if bounds is None else len(bounds) + 1
+    decoded = decode_cells(cells, series, id_size, bounds=np.zeros(0, np.int64) if bounds is None else bounds)
+    bad = F.col("error").isNotNull()
+    pieces = F.when(~bad, F.col("split.pieces")).alias("_pieces")
+    stage = scratch_path(spark, "decoded")
+    staged = _per_cell(decoded, id_size, pieces, F.when(bad, F.col("row_key")).alias("row_key"), "error", bad.alias("bad"))
+    staged.write.partitionBy("bad").parquet(stage)
+    stored = spark.read.schema(staged.schema).parquet(stage)
+    errors = stored.filter("bad").select("file", "row_key", "version", "error")
+    return explode_pieces(stored.filter("NOT bad"), ranges, provenance), errors
 
 
 def decode_errors(

@@ -15,6 +15,7 @@ from packedts.operators.cellparts import base_time_bytes, has_key_shape, metric_
 from packedts.operators.decode import decode_points
 from packedts.operators.instants import as_utc, instant
 from packedts.operators.lookup import BROADCAST_BYTES
+from packedts.operators.series import COMPACT_BYTES
 from packedts.schemas import MAX_OFFSET, TIME_BYTES
 
 
@@ -105,6 +106,7 @@ def find_files(
     prune: bool = False,
     salts: Iterable[int] | None = None,
     broadcast_bytes: int = BROADCAST_BYTES,
+    compact_bytes: int = COMPACT_BYTES,
 ) -> DataFrame:
     """Distinct files with matching points.
 
@@ -115,5 +117,7 @@ def find_files(
     if prune:
         cells = prune_cells(cells, uids, metric, start, end, id_size, salts, broadcast_bytes)
         only = (F.col("metric") == metric) & (F.col("lsp_id") == lsp_id)
-    points = decode_points(cells, uids, id_size, only=only, provenance=True, broadcast_bytes=broadcast_bytes)
+    points = decode_points(
+        cells, uids, id_size, only=only, provenance=True, broadcast_bytes=broadcast_bytes, compact_bytes=compact_bytes
+    )
     return files_of(points.filter(point_filter(metric, lsp_id, start, end)))

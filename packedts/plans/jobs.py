@@ -4,15 +4,17 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from datetime import datetime
-from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
 from packedts.operators.counts import count_points, row_count
-from packedts.operators.decode import by_time, decode_points
+from packedts.operators.decode import decode_apart, decode_points
 from packedts.operators.dedupe import dedupe_slice, plan_slices, slice_table
 from packedts.operators.dictionary import read_uids
+from packedts.operators.lookup import BROADCAST_BYTES
 from packedts.operators.search import find_files
+from packedts.operators.series import COMPACT_BYTES
+from packedts.operators.timeorder import time_bounds
 from packedts.sinks.points import append_points, create_table, replace_points
 from packedts.sources.cells import read_cells, read_points
 
@@ -30,6 +32,9 @@ class ConvertOptions:
     partitions: int | None = None
     format: str = "parquet"
     bare_names_only: bool = False
+    errors_to: str | None = None
+    broadcast_bytes: int = BROADCAST_BYTES
+    compact_bytes: int = COMPACT_BYTES
 
 
 @dataclass(frozen=True)
@@ -44,6 +49,9 @@ class SearchOptions:
     prune: bool = False
     format: str = "parquet"
     bare_names_only: bool = False
+    salts: tuple[int, ...] | None = None
+    broadcast_bytes: int = BROADCAST_BYTES
+    compact_bytes: int = COMPACT_BYTES
 
 
 def _uids(spark: SparkSession, options: ConvertOptions | SearchOptions) -> DataFrame:
@@ -55,12 +63,17 @@ def _uids(spark: SparkSession, options: ConvertOptions | SearchOptions) -> DataF
 def convert(spark: SparkSession, options: ConvertOptions) -> int | None:
     """Decode a cell table and replace the output table with its points.
 
-    The table is partitioned by day and every file is sorted by time. Files of
-    neighbouring times may overlap by an hour or so, because whole cells are put in
-    time order before they are split; ``exact_order`` sorts the points themselves
-    instead, which shuffles many times the bytes. A dry run decodes and checks
-    everything, writes nothing and returns the count.
+    The table is partitioned by day and in one global time order: every file is sorted, and the
+    files of a day hold disjoint ranges of time. Cells are cut at the ends of the ranges and their
+    pieces shuffled; ``exact_order`` sorts the points themselves instead, by sampled ranges, which
+    shuffles many times the bytes. A dry run decodes and checks everything, writes nothing and
+    returns the count.
+
+    A bad cell fails the job, unless ``errors_to`` names a folder: then the good cells are imported and
+    the bad ones written there, with file and reason.
     """
+    if options.dry_run and options.errors_to:
+        raise ValueError("a dry run writes nothing, errors neither")
     cells = read_cells(
         spark,
         options.metric_dir,
@@ -69,8 +82,13 @@ def convert(spark: SparkSession, options: ConvertOptions) -> int | None:
         bare_names_only=options.bare_names_only,
     )
     arranged = not (options.dry_run or options.fanout or options.exact_order)
-    arrange = partial(by_time, cells=cells, id_size=options.id_size, partitions=options.partitions) if arranged else None
-    points = decode_points(cells, _uids(spark, options), options.id_size, arrange=arrange)
+    bounds = time_bounds(cells, options.id_size, options.partitions) if arranged else None
+    named = {"bounds": bounds, "broadcast_bytes": options.broadcast_bytes, "compact_bytes": options.compact_bytes}
+    if options.errors_to:
+        points, errors = decode_apart(cells, _uids(spark, options), options.id_size, **named)
+        errors.write.mode("overwrite").parquet(options.errors_to)
+    else:
+        points = decode_points(cells, _uids(spark, options), options.id_size, **named)
     if options.dry_run:
         return row_count(points).first()["points"]
     replace_points(
@@ -91,6 +109,9 @@ def search(spark: SparkSession, options: SearchOptions) -> DataFrame:
         options.end,
         options.id_size,
         prune=options.prune,
+        salts=options.salts,
+        broadcast_bytes=options.broadcast_bytes,
+        compact_bytes=options.compact_bytes,
     )
 
 

@@ -30,6 +30,21 @@ _CELLS = f"""
            count(*) AS points, strftime(hour, '%Y-%m-%d') AS day
     FROM ({_EVENTS}) GROUP BY metric, bot, hour, block"""
 
+# What is wrong with each cell of the damaged table.
+_FAULTS = f"""
+    SELECT day AS file, version, CASE version % 10
+        WHEN 0 THEN 'odd qualifier length'
+        WHEN 1 THEN 'row key of wrong length'
+        WHEN 2 THEN 'unknown metric id'
+        WHEN 3 THEN 'unknown tag value id'
+        WHEN 4 THEN 'unknown tag key id'
+        WHEN 5 THEN CASE WHEN kind = 'packed' AND points > 1
+                         THEN 'value bytes left over' ELSE 'value too short' END
+        WHEN 6 THEN CASE WHEN kind = 'packed' THEN 'value bytes left over' ELSE 'value too short' END
+        WHEN 7 THEN CASE WHEN kind = 'packed' THEN 'offset over one hour' END
+        WHEN 8 THEN 'unsupported value width' END AS error
+    FROM ({_CELLS})"""
+
 _FLAT = "metric, time, value, lsp_id, circuit_id, power_sign, src, tag_count, version, idx"
 _NO_TAGS = "metric, time, value, lsp_id, circuit_id, power_sign, version, idx"
 _METRIC_IDS = "SELECT CAST(min(event_id) + 1 AS INTEGER) AS uid, event_type AS name FROM events GROUP BY event_type"
@@ -102,21 +117,15 @@ ORACLES: dict[str, str] = {
             UNION ALL SELECT 'annotation' FROM ({_CELLS}) WHERE version % 5 = 0
             UNION ALL SELECT 'ignored' FROM ({_CELLS}) WHERE version % 7 = 0)
         GROUP BY kind""",
-    "invalid_cells": f"""
-        SELECT file, version, error FROM (
-            SELECT day AS file, version, CASE version % 10
-                WHEN 0 THEN 'odd qualifier length'
-                WHEN 1 THEN 'row key of wrong length'
-                WHEN 2 THEN 'unknown metric id'
-                WHEN 3 THEN 'unknown tag value id'
-                WHEN 4 THEN 'unknown tag key id'
-                WHEN 5 THEN CASE WHEN kind = 'packed' AND points > 1
-                                 THEN 'value bytes left over' ELSE 'value too short' END
-                WHEN 6 THEN CASE WHEN kind = 'packed' THEN 'value bytes left over' ELSE 'value too short' END
-                WHEN 7 THEN CASE WHEN kind = 'packed' THEN 'offset over one hour' END
-                WHEN 8 THEN 'unsupported value width' END AS error
-            FROM ({_CELLS}))
-        WHERE error IS NOT NULL""",
+    "invalid_cells": f"SELECT file, version, error FROM ({_FAULTS}) WHERE error IS NOT NULL",
+    # An append cell may hold an offset beyond its hour, which moves the first point of some.
+    "quarantine": f"""
+        SELECT strftime(CASE WHEN version % 10 = 7 AND idx = 0 THEN date_trunc('hour', time) + INTERVAL 3840 SECOND ELSE time END,
+                        '%Y-%m-%d') AS day, 'good' AS outcome, count(*) AS rows
+        FROM (SELECT * FROM ({_POINTS}) WHERE version NOT IN (SELECT version FROM ({_FAULTS}) WHERE error IS NOT NULL))
+        GROUP BY 1
+        UNION ALL
+        SELECT file, error, count(*) FROM ({_FAULTS}) WHERE error IS NOT NULL GROUP BY file, error""",
     "dedupe_points": f"SELECT {_NO_TAGS} FROM ({_POINTS})",
     "dedupe_sliced": f"SELECT {_NO_TAGS} FROM ({_POINTS})",
     "slice_plan": f"""
@@ -132,7 +141,7 @@ ORACLES: dict[str, str] = {
             AND time < coalesce(upper, TIMESTAMP '9999-01-01')
         GROUP BY slice, predicate""",
     "write_day_partitioned": f"""
-        SELECT strftime(time, '%Y-%m-%d') AS day, count(*) AS points, CAST(0 AS BIGINT) AS unsorted
+        SELECT strftime(time, '%Y-%m-%d') AS day, count(*) AS points, CAST(0 AS BIGINT) AS unsorted, CAST(0 AS BIGINT) AS overlapping
         FROM ({_POINTS}) GROUP BY 1""",
     "write_exact_order": f"""
         SELECT strftime(time, '%Y-%m-%d') AS day, CAST(count(*) AS BIGINT) AS points, CAST(0 AS BIGINT) AS overlapping

@@ -280,13 +280,8 @@ def _converted(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
     return read_points(spark, table)
 
 
-def q_write_day_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _unsorted_rows(_converted(spark, sf_dir), ("time",))
-
-
-def q_write_exact_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Written in one global order: files of a day hold disjoint times."""
-    table = _converted(spark, sf_dir, exact_order=True)
+def _overlapping(table: DataFrame) -> DataFrame:
+    """Per day: points, and files that begin before the one before them ends."""
     files = table.groupBy(F.col("day").cast("string").alias("day"), F.col("_metadata.file_path").alias("file")).agg(
         F.count("*").alias("points"), F.min("time").alias("low"), F.max("time").alias("high")
     )
@@ -296,6 +291,33 @@ def q_write_exact_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.groupBy("day").agg(F.sum("points").alias("points"), F.sum("overlap").alias("overlapping"))
 
 
+def q_write_day_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The default form: every file sorted, and files of a day with disjoint times."""
+    table = _converted(spark, sf_dir)
+    return _unsorted_rows(table, ("time",)).join(_overlapping(table).select("day", "overlapping"), "day")
+
+
+def q_write_exact_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Written by a sort of the points: files of a day hold disjoint times."""
+    return _overlapping(_converted(spark, sf_dir, exact_order=True))
+
+
+def _quarantined(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """Paths of the points and of the errors of one import of damaged cells."""
+    table, errors = scratch_path(spark, "points-good"), scratch_path(spark, "cells-bad")
+    cells = cells_path(spark, sf_dir, "cells-faulty", faults=True)
+    convert(spark, ConvertOptions(cells, uids_path(spark, sf_dir), table, errors_to=errors))
+    return table, errors
+
+
+def q_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Points that came through an import of damaged cells, and the cells that did not, by day and reason."""
+    table, errors = _quarantined(spark, sf_dir)
+    points = read_points(spark, table).groupBy(F.date_format("day", "yyyy-MM-dd").alias("day"), F.lit("good").alias("outcome")).agg(F.count("*").alias("rows"))
+    bad = spark.read.parquet(errors).groupBy(_file_day().alias("day"), F.col("error").alias("outcome")).agg(F.count("*").alias("rows"))
+    return points.unionByName(bad)
+
+
 def q_write_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = _converted(spark, sf_dir, fanout=True)
     return table.groupBy(F.col("day").cast("string").alias("day"), "metric").agg(F.count("*").alias("points"))

@@ -199,13 +199,3 @@ def test_time_does_not_depend_on_the_session_zone(spark, uids):
     finally:
         spark.conf.set("spark.sql.session.timeZone", zone)
     assert seconds == datetime(2021, 4, 2, 10, tzinfo=timezone.utc).timestamp()
-
-
-
-
-def test_cells_of_an_uncounted_hour_stay(spark):
-    from packedts.operators.decode import by_time
-
-    counted = cells_of(spark, [(R4, b"t", "0000", "05", 1)])
-    late = cells_of(spark, [(row_key((1, 1), base="6066f930"), b"t", "0000", "05", i) for i in range(5)])
-    assert by_time(counted.unionByName(late), counted, partitions=3).count() == 6

@@ -1,15 +1,17 @@
 from datetime import datetime, timezone
 from unittest.mock import MagicMock
 
+import numpy as np
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 from vectors import R4, cells_of, row_key, uids_of
 
 from packedts.operators.counts import count_points
-from packedts.operators.decode import by_time, decode_points
+from packedts.operators.decode import decode_points
 from packedts.operators.dictionary import read_uids
 from packedts.operators.series import series_keys
+from packedts.operators.timeorder import minute_histogram, time_bounds
 from packedts.plans.jobs import ConvertOptions, SearchOptions, convert, count, dedupe, search
 from packedts.schemas import POINT_COLUMNS, POINTS
 from packedts.scratch import scratch_path
@@ -101,39 +103,90 @@ def test_dry_run_finds_bad_cells(spark, archive, tmp_path):
         convert(spark, ConvertOptions(str(tmp_path / "cells"), archive[1], "unused/x", dry_run=True))
 
 
-def partition_sizes(cells, partitions):
-    placed = by_time(cells, cells, partitions=partitions)
-    assert placed.columns == cells.columns
-    return placed.groupBy(F.spark_partition_id().alias("p")).count().collect()
+def ranges_of(spark, cells, uids, partitions):
+    """Per partition: rows, first and last time; and the points in order of the version."""
+    bounds = time_bounds(cells, partitions=partitions)
+    assert (np.diff(bounds) >= 0).all() and len(bounds) < partitions
+    points = decode_points(cells, uids, bounds=bounds)
+    spans = points.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n"), F.min("time").alias("low"), F.max("time").alias("high"))
+    return spans.orderBy("p").collect(), points
 
 
-def test_crowded_hour_is_spread(spark):
-    """Cells that share one base time, even copies, do not end up in one task."""
+def plain(points):
+    return sorted(map(str, points.collect()))
+
+
+def test_ranges_of_time_are_disjoint_and_even(spark):
+    """Cells of 600 points each, packed and append ones, are cut where ranges end."""
+    rows = []
+    for hour in range(12):
+        q = b"".join(((6 * k) << 4).to_bytes(2, "big") for k in range(600))
+        rows.append((row_key((1, 1), base=f"{0x6066EB20 + 3600 * hour:08x}"), b"t", q, bytes(k % 100 for k in range(600)) + b"\0", hour))
+        v = b"".join(((6 * k) << 4).to_bytes(2, "big") + bytes([k % 100]) for k in range(600))
+        rows.append((row_key((4, 4), base=f"{0x6066EB20 + 3600 * hour:08x}"), b"t", "050000", v, 100 + hour))
+    cells, uids = cells_of(spark, rows), uids_of(spark)
+    for partitions in (2, 5, 40):
+        spans, points = ranges_of(spark, cells, uids, partitions)
+        assert all(a.high < b.low for a, b in zip(spans, spans[1:]))
+        assert len(spans) == partitions and max(r.n for r in spans) <= 2 * min(r.n for r in spans)
+        assert plain(points) == plain(decode_points(cells, uids))
+
+
+def test_crowded_second_is_shared(spark):
+    """Points that share one second, of copies even of one series, do not end up in one task."""
     cells = cells_of(spark, [(R4, b"t", "0000", "05", n) for n in range(4000)]).repartition(8)
-    copies = cells.withColumn("version", F.lit(1).cast("bigint"))
-    for crowd, least in ((cells, 900), (copies, 400)):
-        sizes = partition_sizes(crowd, 4)
-        assert sum(r["count"] for r in sizes) == 4000
-        assert len(sizes) == 4 and min(r["count"] for r in sizes) >= least
+    spans, points = ranges_of(spark, cells, uids_of(spark), 4)
+    assert len(spans) >= 3 and max(r.n for r in spans) < 2000 and points.count() == 4000
+
+
+def test_points_out_of_order_in_their_cell(spark):
+    rows = [(R4, b"t", "e0f0 0000 7080 0010", "01 02 03 04 00", 1), (R4, b"t", "050000", "f0f0 01 0000 02", 2)]
+    cells, uids = cells_of(spark, rows), uids_of(spark)
+    for bounds in ([], [0x6066EB20 + 2000], [0x6066EB20 + k for k in (1, 1, 1, 3000)]):
+        assert plain(decode_points(cells, uids, bounds=np.array(bounds, np.int64))) == plain(decode_points(cells, uids))
+
+
+def test_ranges_follow_the_size_of_the_input(spark, archive):
+    assert len(time_bounds(read_cells(spark, archive[0]))) == 0
+    many = cells_of(spark, [(row_key(base=f"{0x6066EB20 + 3600 * n:08x}"), b"t", bytes(2000), bytes(1001), n) for n in range(100)])
+    assert len(time_bounds(many)) == min(spark.sparkContext.defaultParallelism, 5) - 1
+    assert len(time_bounds(cells_of(spark, []))) == 0 and len(time_bounds(many, partitions=7)) == 6
 
 
-def test_partitions_are_consecutive_in_time(spark):
-    rows = [(row_key(base=f"{0x6066EB20 + 600 * n:08x}"), b"t", "0000", "05", n) for n in range(600)]
-    placed = by_time(cells_of(spark, rows), cells_of(spark, rows), partitions=5)
-    spans = placed.groupBy(F.spark_partition_id().alias("p")).agg(F.min("version"), F.max("version")).orderBy("p").collect()
-    assert len(spans) == 5
-    for (_, _, high), (_, low, _) in zip(spans, spans[1:]):
-        assert high // 6 <= low // 6  # no later hour comes before
+def test_bounds_read_no_values(spark, archive):
+    plan = minute_histogram(read_cells(spark, archive[0]))._jdf.queryExecution().executedPlan().toString()
+    assert "value:binary" not in plan and "qualifier:binary" in plan
 
 
 def test_convert_scans_values_once(spark, archive):
-    points = decode_points(
-        read_cells(spark, archive[0]),
-        read_uids(read_cells(spark, archive[1])),
-        arrange=lambda named: by_time(named, read_cells(spark, archive[0])),
-    )
+    cells = read_cells(spark, archive[0])
+    points = decode_points(cells, read_uids(read_cells(spark, archive[1])), bounds=time_bounds(cells, partitions=4))
     plan = points._jdf.queryExecution().executedPlan().toString()
     assert plan.count("value:binary") == 1 and "rangepartitioning" not in plan
+    # pieces are shuffled, points are made behind the exchange
+    assert plan.index("posexplode") < plan.index("Exchange")
+
+
+@pytest.mark.parametrize("options", [{}, {"fanout": True}, {"exact_order": True}, {"compact_bytes": 0, "broadcast_bytes": 100}])
+def test_bad_cells_are_set_aside(spark, archive, tmp_path, options):
+    good = read_cells(spark, archive[0]).drop("file")
+    bad = [(R4, b"t", "0000", "05 00", 900), (R4[:-1], b"t", "0000", "05", 901), (row_key((1, 99)), b"t", "0000", "05", 902), (R4, b"t", "00", "05", 903)]
+    good.unionByName(cells_of(spark, bad).drop("file")).write.parquet(str(tmp_path / "cells"))
+    target, errors = str(tmp_path / "points"), str(tmp_path / "errors")
+    convert(spark, ConvertOptions(str(tmp_path / "cells"), archive[1], target, errors_to=errors, **options))
+    convert(spark, ConvertOptions(*archive, str(tmp_path / "all")))
+    columns = POINT_COLUMNS
+    assert plain(read_points(spark, target).select(*columns)) == plain(read_points(spark, str(tmp_path / "all")).select(*columns))
+    found = {r.version: r for r in spark.read.parquet(errors).collect()}
+    assert {v: r.error for v, r in found.items()} == {
+        900: "value bytes left over", 901: "row key of wrong length", 902: "unknown tag value id", 903: "odd qualifier length",
+    }
+    assert bytes(found[901].row_key) == R4[:-1] and all(str(tmp_path / "cells") in r.file for r in found.values())
+
+
+def test_dry_runs_set_nothing_aside(spark, archive, tmp_path):
+    with pytest.raises(ValueError, match="writes nothing"):
+        convert(spark, ConvertOptions(*archive, "unused/x", dry_run=True, errors_to=str(tmp_path / "e")))
 
 
 def test_search_job(spark, archive):
