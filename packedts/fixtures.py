@@ -129,6 +129,47 @@ def event_cells(events: DataFrame, *, id_size: int = 4, encoding: str = "float64
     )
 
 
+DENSE_EVENTS, DENSE_POINTS = 60, 60
+DENSE_START = 1_704_067_200  # 2024-01-01
+
+
+def dense_cells(events: DataFrame, *, append: bool = False) -> DataFrame:
+    """Cells of 3600 points: 60 for each of 60 neighbouring events, whole numbers of all widths.
+
+    Packed cells have a point each second of their hour; append cells reach offsets past it.
+    Cell b holds the events from 60 b on; it is of the least type among them, of bot b % 2 and of hour b.
+    """
+    step = 68 if append else DENSE_POINTS  # 59 * 68 + 59 = 4071 fits the 12 offset bits
+    numbered = events.select(
+        F.floor(F.col("event_id") / DENSE_EVENTS).alias("block"),
+        (F.col("event_id") % DENSE_EVENTS).alias("place"),
+        "event_id",
+        "event_type",
+        F.explode(F.sequence(F.lit(0), F.lit(DENSE_POINTS - 1))).alias("k"),
+    )
+    scale = F.element_at(F.array(*(F.lit(s) for s in (1, -100, 10_000, -1_000_000_000))), ((F.col("event_id") + F.col("k")) % 4 + 1).cast("int"))
+    point = F.struct(
+        (F.col("place") * step + F.col("k")).cast("int").alias("offset"),
+        (scale.cast("long") * (F.col("event_id") % 100 + F.col("k"))).cast("double").alias("value"),
+    )
+    groups = numbered.groupBy("block").agg(
+        F.min("event_type").alias("event_type"), F.max("event_id").alias("version"), F.sort_array(F.collect_list(point)).alias("points")
+    )
+    groups = groups.withColumns({"bot": F.col("block") % 2, "hour": F.lit(DENSE_START) + 3600 * F.col("block")})
+    return (
+        with_metric_ids(groups, events)
+        .withColumn("packed", pack_points(F.col("points"), F.lit(append), "int"))
+        .select(
+            row_key(4).alias("row_key"),
+            F.lit(POINT_FAMILY).alias("family"),
+            F.col("packed.qualifier").alias("qualifier"),
+            F.col("packed.value").alias("value"),
+            "version",
+            F.date_from_unix_date((F.col("hour") / 86400).cast("int")).alias("day"),
+        )
+    )
+
+
 def with_bystanders(cells: DataFrame) -> DataFrame:
     """Add cells that hold no points: annotations, and another column family."""
     annotations = cells.filter(F.col("version") % 5 == 0)

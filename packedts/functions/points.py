@@ -312,3 +312,27 @@ def second_counts(cells: DataFrame, minutes: np.ndarray) -> DataFrame:
             yield from _counted("second", times, (held[:, None] * 60 + np.arange(60)).ravel()).to_batches()
 
     return cells.mapInArrow(count, "second long, points long, appends long")
+
+
+HEADER_TYPE = "points int, first int, last int"
+
+
+def _headers(qualifier: pa.Array) -> pa.Array:
+    """Points, first and last offset that each packed qualifier announces; null offsets where there are none."""
+    data, bounds = _bytes_and_bounds(qualifier)
+    counts = np.diff(bounds) // 2
+    rows = np.flatnonzero(counts)
+    offset = _gather(data, np.repeat(bounds[:-1], counts) + 2 * _ordinals(counts), ">u2").astype(np.int32) >> 4
+    begins = (np.cumsum(counts) - counts)[rows]
+    ends = []
+    for reduce in (np.minimum.reduceat, np.maximum.reduceat):
+        column = np.zeros(len(counts), np.int32)
+        if len(rows):
+            column[rows] = reduce(offset, begins)
+        ends.append(pa.array(column, mask=counts == 0))
+    return pa.StructArray.from_arrays([pa.array(counts.astype(np.int32)), *ends], ["points", "first", "last"])
+
+
+def header_of(qualifier: Column) -> Column:
+    """Column struct<points, first, last> of packed cells; the value is not needed."""
+    return F.arrow_udf(_headers, HEADER_TYPE).asNondeterministic()(qualifier)

@@ -58,7 +58,7 @@ def decode_cells(
     if only is not None:
         cells = series.where(only).attach(cells.filter(proper), "inner")
     elif strict:
-        cells = series.attach(_raise_errors(cells, "_shape_error"))
+        cells = series.attach(raise_errors(cells, "_shape_error"))
     else:
         cells = series.attach(cells)
     bytes_ = F.col("qualifier"), F.col("value"), F.col("kind") == APPEND
@@ -73,7 +73,7 @@ def decode_cells(
     )
 
 
-def _raise_errors(cells: DataFrame, error: str = "error") -> DataFrame:
+def raise_errors(cells: DataFrame, error: str = "error") -> DataFrame:
     """Stop the job at the first cell that cannot be decoded, naming its file."""
     # A filter, not a column: column pruning would drop it under count().
     return cells.filter(
@@ -84,7 +84,7 @@ def _raise_errors(cells: DataFrame, error: str = "error") -> DataFrame:
     )
 
 
-def _with_file(cells: DataFrame) -> DataFrame:
+def with_file(cells: DataFrame) -> DataFrame:
     return cells if "file" in cells.columns else cells.withColumn("file", F.lit(None).cast("string"))
 
 
@@ -145,9 +145,9 @@ def decode_points(
     dropped unread: neither decoded nor checked. With ``bounds``, ascending seconds, points come
     partitioned into the time ranges between them. ``provenance`` adds ``file`` and ``salt``. The series table is built at once, the points lazily.
     """
-    cells = _with_file(cells)
+    cells = with_file(cells)
     series = build_series(cells, uids, id_size, broadcast_bytes, compact_bytes)
-    decoded = _raise_errors(decode_cells(cells, series, id_size, only, bounds, strict=True))
+    decoded = raise_errors(decode_cells(cells, series, id_size, only, bounds, strict=True))
     if bounds is None:
         return explode_points(decoded, id_size, provenance)
     return explode_pieces(_per_cell(decoded, id_size, F.col("split.pieces").alias("_pieces")), len(bounds) + 1, provenance)
@@ -169,7 +169,7 @@ def decode_apart(
     point, and both results read their part of that.
     """
     spark = cells.sparkSession
-    cells = _with_file(cells)
+    cells = with_file(cells)
     series = build_series(cells, uids, id_size, broadcast_bytes, compact_bytes)
     ranges = 1 if bounds is None else len(bounds) + 1
     decoded = decode_cells(cells, series, id_size, bounds=np.zeros(0, np.int64) if bounds is None else bounds)
@@ -192,7 +192,7 @@ def decode_errors(
     compact_bytes: int = COMPACT_BYTES,
 ) -> DataFrame:
     """The cells that cannot be decoded: ``file, row_key, version, error``."""
-    cells = _with_file(cells)
+    cells = with_file(cells)
     series = build_series(cells, uids, id_size, broadcast_bytes, compact_bytes)
     return (
         decode_cells(cells, series, id_size)

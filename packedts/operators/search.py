@@ -8,15 +8,17 @@ from datetime import datetime
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from packedts.operators.cellparts import base_time_bytes, has_key_shape, metric_id_bytes
 from packedts.operators.decode import decode_points
+from packedts.operators.fileindex import candidate_files
 from packedts.operators.instants import as_utc, instant
 from packedts.operators.lookup import BROADCAST_BYTES
 from packedts.operators.series import COMPACT_BYTES
 from packedts.schemas import MAX_OFFSET, TIME_BYTES
+from packedts.sources.cells import read_cells
 
 
 def point_filter(metric: str, lsp_id: int, start: str | datetime, end: str | datetime) -> Column:
@@ -121,3 +123,31 @@ def find_files(
         cells, uids, id_size, only=only, provenance=True, broadcast_bytes=broadcast_bytes, compact_bytes=compact_bytes
     )
     return files_of(points.filter(point_filter(metric, lsp_id, start, end)))
+
+
+def find_files_by_index(
+    spark: SparkSession,
+    index: str,
+    uids: DataFrame,
+    metric: str,
+    lsp_id: int,
+    start: str | datetime,
+    end: str | datetime,
+    id_size: int = 4,
+    *,
+    format: str = "parquet",
+    broadcast_bytes: int = BROADCAST_BYTES,
+    compact_bytes: int = COMPACT_BYTES,
+) -> DataFrame:
+    """Distinct files with matching points, of a cell table whose index (``write_index``) lies in a folder.
+
+    Only files that can match are opened, and of those only cells that can are checked. Files and series
+    that came after the index are not seen. The paths of the files to open go through the driver, as in any listing.
+    """
+    files = [r["file"] for r in candidate_files(spark, index, metric, lsp_id, start, end).filter("may_match").collect()]
+    if not files:
+        return spark.createDataFrame([], "file string")
+    cells = read_cells(spark, files, format=format)
+    return find_files(
+        cells, uids, metric, lsp_id, start, end, id_size, prune=True, broadcast_bytes=broadcast_bytes, compact_bytes=compact_bytes
+    )

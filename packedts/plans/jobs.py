@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
 from packedts.operators.counts import count_points, row_count
 from packedts.operators.decode import decode_apart, decode_points
@@ -15,6 +16,7 @@ from packedts.operators.lookup import BROADCAST_BYTES
 from packedts.operators.search import find_files
 from packedts.operators.series import COMPACT_BYTES
 from packedts.operators.timeorder import time_bounds
+from packedts.plans.slicelog import SliceLog
 from packedts.sinks.points import append_points, create_table, replace_points
 from packedts.sources.cells import read_cells, read_points
 
@@ -131,17 +133,26 @@ def dedupe(
     last: str | datetime = "2022-12-01T00:00:00+00:00",
     step_days: int = 10,
     dry_run: bool = False,
+    *,
+    tie_break: Sequence[Column] = (),
+    log: str | None = None,
 ) -> DataFrame:
     """Copy a point table without its copies, slice by slice, into a new table.
 
     Each slice is a job of its own: it bounds what is in flight, and the finished
-    slices outlive a failure. The target must not exist yet. Returns the slice
+    slices outlive a failure. The target must not exist yet, unless ``log`` names a folder that
+    tells of an earlier run: then that run goes on after its last finished slice. Returns the slice
     plan; a dry run does nothing else.
     """
     slices = plan_slices(first, last, step_days)
     if not dry_run:
-        create_table(spark, target)
         points = read_points(spark, source)
-        for part in slices:
-            append_points(dedupe_slice(points, part), target)
+        progress = SliceLog(spark, log, slices) if log else None
+        create_table(spark, target, if_missing=progress is not None and progress.continues)
+        for number, part in enumerate(slices):
+            found = dedupe_slice(points, part, tie_break)
+            if progress is None:
+                append_points(found, target)
+            elif not progress.is_done(number):
+                progress.write(number, part, found, target)
     return slice_table(spark, slices)

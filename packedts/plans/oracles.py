@@ -27,9 +27,30 @@ _POINTS = f"""
 # One row per expected cell.
 _CELLS = f"""
     SELECT metric, bot, CASE WHEN bot = 0 THEN 'packed' ELSE 'append' END AS kind, max(event_id) AS version,
-           count(*) AS points, strftime(hour, '%Y-%m-%d') AS day
+           count(*) AS points, strftime(hour, '%Y-%m-%d') AS day, hour
     FROM ({_EVENTS}) GROUP BY metric, bot, hour, block"""
 
+_KINDS = f"""
+    SELECT kind, count(*) AS cells FROM (
+        SELECT kind FROM ({_CELLS})
+        UNION ALL SELECT 'annotation' FROM ({_CELLS}) WHERE version % 5 = 0
+        UNION ALL SELECT 'ignored' FROM ({_CELLS}) WHERE version % 7 = 0)
+    GROUP BY kind"""
+
+
+def _dense(step: int) -> str:
+    """Each event as 60 points of a cell of 60 events, whose points are ``step`` seconds an event apart."""
+    return f"""
+        SELECT metric, CAST(block % 2 AS INTEGER) AS lsp_id, event_id, count(*) AS points, CAST(sum(value) AS BIGINT) AS value,
+               CAST(sum((k + 1) * value) AS BIGINT) AS weighted, min(time) AS first, max(time) AS last
+        FROM (
+            SELECT block, event_id, k, min(event_type) OVER (PARTITION BY block) AS metric,
+                   [1, -100, 10000, -1000000000][(event_id + k) % 4 + 1] * (event_id % 100 + k) AS value,
+                   TIMESTAMP '2024-01-01' + to_seconds(block * 3600 + event_id % 60 * {step} + k) AS time
+            FROM (SELECT *, event_id // 60 AS block FROM events), range(60) AS r(k))
+        GROUP BY metric, block, event_id"""
+
+
 # What is wrong with each cell of the damaged table.
 _FAULTS = f"""
     SELECT day AS file, version, CASE version % 10
@@ -96,12 +117,23 @@ ORACLES: dict[str, str] = {
         FROM ({_POINTS}) GROUP BY metric, lsp_id, circuit_id, power_sign, src""",
     "search_files": _SEARCH,
     "search_files_pruned": _SEARCH,
+    "search_files_indexed": f"SELECT file, true AS skips FROM ({_SEARCH})",
+    "file_index": f"""
+        SELECT day AS file, CAST(sum(CASE WHEN version % 5 = 0 THEN 2 ELSE 1 END) AS BIGINT) AS cells,
+               CAST(min(epoch(hour)) AS BIGINT) AS first_base, CAST(max(epoch(hour)) AS BIGINT) AS last_base
+        FROM ({_CELLS}) GROUP BY day""",
     "count_points": f"SELECT CAST(sum({_COUNTED}) AS BIGINT) AS points FROM ({_CELLS})",
     "count_points_by_file": f"""
         SELECT day AS file, CAST(sum({_COUNTED}) AS BIGINT) AS points FROM ({_CELLS}) GROUP BY day""",
     "row_count": "SELECT count(*) AS points FROM events",
     "time_range": """
         SELECT min(date_trunc('second', ts)) AS min_time, max(date_trunc('second', ts)) AS max_time FROM events""",
+    "header_profile": """
+        SELECT count(*) AS points, min(date_trunc('second', ts)) AS min_time, max(date_trunc('second', ts)) AS max_time FROM events""",
+    "decode_dense": _dense(60),
+    "decode_dense_append": _dense(68),
+    "missing_files": "SELECT CAST(0 AS BIGINT) AS cells",
+    "long_ids": "SELECT DISTINCT 'metrics' AS qualifier, event_type AS name, 5 AS bytes FROM events",
     "point_files": f"""
         SELECT day AS file, metric, printf('%02X', (uid + lsp_id) % 4) AS salt, count(*) AS points
         FROM ({_POINTS}) JOIN ({_METRIC_IDS}) ON metric = name GROUP BY 1, 2, 3""",
@@ -111,12 +143,8 @@ ORACLES: dict[str, str] = {
                CAST(sum(CASE WHEN version % 5 = 0 THEN 2 ELSE 1 END) AS BIGINT) AS cells,
                CAST(NULL AS VARCHAR) AS series_error
         FROM ({_CELLS}) GROUP BY metric, bot""",
-    "cell_kinds": f"""
-        SELECT kind, count(*) AS cells FROM (
-            SELECT kind FROM ({_CELLS})
-            UNION ALL SELECT 'annotation' FROM ({_CELLS}) WHERE version % 5 = 0
-            UNION ALL SELECT 'ignored' FROM ({_CELLS}) WHERE version % 7 = 0)
-        GROUP BY kind""",
+    "cell_kinds": _KINDS,
+    "empty_files": _KINDS,
     "invalid_cells": f"SELECT file, version, error FROM ({_FAULTS}) WHERE error IS NOT NULL",
     # An append cell may hold an offset beyond its hour, which moves the first point of some.
     "quarantine": f"""
@@ -127,6 +155,7 @@ ORACLES: dict[str, str] = {
         UNION ALL
         SELECT file, error, count(*) FROM ({_FAULTS}) WHERE error IS NOT NULL GROUP BY file, error""",
     "dedupe_points": f"SELECT {_NO_TAGS} FROM ({_POINTS})",
+    "dedupe_resumed": f"SELECT {_NO_TAGS} FROM ({_POINTS})",
     "dedupe_sliced": f"SELECT {_NO_TAGS} FROM ({_POINTS})",
     "slice_plan": f"""
         SELECT slice, predicate, CAST(2 * count(time) AS BIGINT) AS points

@@ -16,15 +16,17 @@ from packedts import fixtures
 from packedts.functions.bytesx import be_int, be_long, be_short, be_unsigned, point_value
 from packedts.functions.packing import pack_points
 from packedts.operators.cellparts import cell_kind
-from packedts.operators.counts import count_points, count_points_by_file, row_count, time_range
+from packedts.operators.counts import count_points, count_points_by_file, header_profile, row_count, time_range
 from packedts.operators.decode import decode_errors, decode_points
-from packedts.operators.dedupe import dedupe_points, plan_slices, slice_table
-from packedts.operators.dictionary import dictionary_faults, read_uids
-from packedts.operators.search import find_files
+from packedts.operators.dedupe import dedupe_points, dedupe_slice, plan_slices, slice_table
+from packedts.operators.dictionary import dictionary_faults, long_ids, read_uids
+from packedts.operators.fileindex import candidate_files, write_index
+from packedts.operators.search import find_files, find_files_by_index
 from packedts.operators.series import build_series
 from packedts.plans.jobs import ConvertOptions, convert, dedupe
+from packedts.plans.slicelog import SliceLog
 from packedts.scratch import scratch_path
-from packedts.sinks.points import replace_points
+from packedts.sinks.points import append_points, create_table, replace_points
 from packedts.sources.cells import read_cells, read_points
 from packedts.sources.files import is_source_file, largest_first, within_budget
 
@@ -180,6 +182,26 @@ def q_search_files_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _search(spark, sf_dir, prune=True, salts=fixtures.SALTS)
 
 
+def _index_path(spark: SparkSession, sf_dir: str) -> str:
+    return _store(spark, sf_dir, "index", lambda path: write_index(_cells(spark, sf_dir), _uids(spark, sf_dir), path))
+
+
+def q_search_files_indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same search by the side table, and whether it left files unopened."""
+    index = _index_path(spark, sf_dir)
+    found = find_files_by_index(spark, index, _uids(spark, sf_dir), METRIC, LSP_ID, START, END)
+    files = candidate_files(spark, index, METRIC, LSP_ID, START, END)
+    opened = files.agg((F.sum(F.col("may_match").cast("int")) < F.count("*")).alias("skips"))
+    return found.select(_file_day().alias("file")).distinct().join(F.broadcast(opened))
+
+
+def q_file_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = spark.read.parquet(f"{_index_path(spark, sf_dir)}/files")
+    return files.groupBy(_file_day().alias("file")).agg(
+        F.sum("cells").alias("cells"), F.min("first_base").alias("first_base"), F.max("last_base").alias("last_base")
+    )
+
+
 def q_count_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_points(_cells(spark, sf_dir))
 
@@ -198,6 +220,78 @@ def q_time_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     return times.select(_ntz("min_time").alias("min_time"), _ntz("max_time").alias("max_time"))
 
 
+def q_header_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Points and time range without the values of packed cells."""
+    profile = header_profile(_cells(spark, sf_dir))
+    return profile.select("points", _ntz("min_time").alias("min_time"), _ntz("max_time").alias("max_time"))
+
+
+def _dense(spark: SparkSession, sf_dir: str, append: bool) -> DataFrame:
+    """Points of cells of 3600 points each, summed up by the event that each minute of them was made from."""
+
+    def write(path: str) -> None:
+        fixtures.write_cells(fixtures.dense_cells(fixtures.read_events(spark, sf_dir), append=append), path)
+
+    cells = read_cells(spark, _store(spark, sf_dir, f"cells-dense-{append}", write))
+    points = decode_points(cells, _uids(spark, sf_dir))
+    event = F.floor(F.col("version") / fixtures.DENSE_EVENTS) * fixtures.DENSE_EVENTS + F.floor(F.col("idx") / fixtures.DENSE_POINTS)
+    return points.groupBy("metric", "lsp_id", event.alias("event_id")).agg(
+        F.count("*").alias("points"),
+        F.sum(F.col("value").cast("bigint")).alias("value"),
+        F.sum((F.col("idx") % fixtures.DENSE_POINTS + 1) * F.col("value").cast("bigint")).alias("weighted"),
+        _ntz(F.min("time")).alias("first"),
+        _ntz(F.max("time")).alias("last"),
+    )
+
+
+def q_decode_dense(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _dense(spark, sf_dir, append=False)
+
+
+def q_decode_dense_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _dense(spark, sf_dir, append=True)
+
+
+def q_missing_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cells of a table whose listed files have since been replaced by others: none, and no error."""
+    path = scratch_path(spark, "cells-vanishing")
+    _cells(spark, sf_dir).drop("file").write.parquet(path)
+    listed = read_cells(spark, path)
+    _cells(spark, sf_dir).drop("file").limit(0).write.mode("overwrite").parquet(path)
+    return listed.agg(F.count("value").alias("cells"))
+
+
+def q_empty_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cells of a table that has files of no bytes among its files, as an archive may."""
+    path = scratch_path(spark, "cells-with-empty")
+    cells = _cells(spark, sf_dir).drop("file")
+    cells.write.parquet(path)
+    cells.limit(0).select(F.lit("").alias("text")).write.mode("append").text(path)
+    return read_cells(spark, path).groupBy(cell_kind().alias("kind")).agg(F.count("*").alias("cells"))
+
+
+def q_long_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dictionary entries that cannot be read: those of the metrics, with a byte too many put before their ids."""
+    cells = read_cells(spark, uids_path(spark, sf_dir))
+    longer = F.when(F.col("qualifier") == F.lit(b"metrics"), F.concat(F.lit(b"\x01"), F.col("value"))).otherwise(F.col("value"))
+    return long_ids(cells.withColumn("value", longer))
+
+
+def q_dedupe_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A sliced run that broke in its third slice, after the rows were written, and was then run again."""
+    source, target, log = _imported_with_copies(spark, sf_dir), scratch_path(spark, "points-resumed"), scratch_path(spark, "slices")
+    slices = plan_slices(FIRST_SLICE, LAST_SLICE)
+    broken = SliceLog(spark, log, slices)
+    create_table(spark, target)
+    points = read_points(spark, source)
+    for number, part in enumerate(slices[:2]):
+        broken.write(number, part, dedupe_slice(points, part), target)
+    broken.begin(2, slices[2])
+    append_points(dedupe_slice(points, slices[2]), target)
+    dedupe(spark, source, target, FIRST_SLICE, LAST_SLICE, log=log)
+    return _without_tags(read_points(spark, target))
+
+
 def q_point_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     points = _points(spark, sf_dir, provenance=True)
     return points.groupBy(_file_day().alias("file"), "metric", F.hex("salt").alias("salt")).agg(

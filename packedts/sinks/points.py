@@ -111,14 +111,14 @@ def replace_points(
         _save(sorted_in_partitions(rows, IMPORT_ORDER), table, "overwrite")
 
 
-def create_table(spark: SparkSession, table: str) -> None:
-    """Create an empty day-partitioned point table; fails if it exists."""
+def create_table(spark: SparkSession, table: str, if_missing: bool = False) -> None:
+    """Create an empty day-partitioned point table; fails if it exists, or with ``if_missing`` leaves it."""
     if has_day_transform(spark, table):
         columns = ", ".join(f"{field.name} {field.dataType.simpleString()}" for field in POINTS)
-        spark.sql(f"CREATE TABLE {table} ({columns}) PARTITIONED BY (days(time))")
+        spark.sql(f"CREATE TABLE {'IF NOT EXISTS ' if if_missing else ''}{table} ({columns}) PARTITIONED BY (days(time))")
         spark.sql(f"ALTER TABLE {table} WRITE ORDERED BY {', '.join(DEDUPE_ORDER)}")
     else:
-        _save(with_day(spark.createDataFrame([], POINTS)), table, "errorifexists")
+        _save(with_day(spark.createDataFrame([], POINTS)), table, "ignore" if if_missing else "errorifexists")
 
 
 def append_points(points: DataFrame, table: str) -> None:
@@ -142,3 +142,17 @@ def append_points(points: DataFrame, table: str) -> None:
         _save(rows, table, "append")
     else:
         rows.write.insertInto(table)
+
+
+def overwrite_days(points: DataFrame, table: str) -> None:
+    """Replace the days that ``points`` hold, and no others, in the write order of ``append_points``."""
+    spark = points.sparkSession
+    if has_day_transform(spark, table):
+        points.select(*POINT_COLUMNS).writeTo(table).overwritePartitions()
+        return
+    rows = sorted_in_partitions(with_day(points).hint("rebalance", "day", "metric"), DEDUPE_ORDER)
+    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    if is_path(table):
+        writer.partitionBy("day").parquet(table)
+    else:
+        writer.insertInto(table)

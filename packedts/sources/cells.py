@@ -11,7 +11,7 @@ from packedts.sources.files import GB, budget_predicate, is_source_file
 
 def read_cells(
     spark: SparkSession,
-    path: str,
+    path: str | list[str],
     *,
     format: str = "parquet",
     limit_gb: int = 0,
