@@ -30,6 +30,7 @@ HEADLINE = (
     "decode_ints",
     "search_files",
     "search_files_pruned",
+    "search_files_indexed",
     "count_points",
     "row_count",
     "time_range",
@@ -38,7 +39,14 @@ HEADLINE = (
     "dedupe_sliced",
     "write_day_partitioned",
     "write_fanout",
+    "header_profile",
+    "decode_compact_names",
+    "decode_without_broadcast",
+    "decode_dense",
+    "decode_dense_append",
 )
+# Cells of 3600 points, 60 points for each event.
+DENSE = ("decode_dense", "decode_dense_append")
 
 
 def run(spark: SparkSession, name: str) -> float:
@@ -80,6 +88,8 @@ def main() -> None:
                 "sf": Path(SF_DIR).name.removeprefix("sf"),
                 "cpus": int(CPUS),
                 "points": points,
+                "dense_points": 60 * points,
+                "dense_points_per_sec": {name: round(60 * points / timings[name]) for name in DENSE},
                 "prepare_sec": round(prepare, 3),
             }
         )
