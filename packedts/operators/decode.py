@@ -18,7 +18,7 @@ from packedts.operators.cellparts import (
     series_key,
 )
 from packedts.operators.lookup import BROADCAST_BYTES
-from packedts.operators.series import COMPACT_BYTES, NamesInTask, SeriesTable, build_series
+from packedts.operators.series import COMPACT_BYTES, NamesInTask, SeriesTable, names_for
 from packedts.schemas import POINT_COLUMNS, SALT_BYTES
 from packedts.scratch import scratch_path
 
@@ -143,10 +143,11 @@ def decode_points(
     Any cell that cannot be decoded fails the job. With ``only``, a predicate on
     ``metric, lsp_id, circuit_id, power_sign, tags``, cells of other series are
     dropped unread: neither decoded nor checked. With ``bounds``, ascending seconds, points come
-    partitioned into the time ranges between them. ``provenance`` adds ``file`` and ``salt``. The series table is built at once, the points lazily.
+    partitioned into the time ranges between them. ``provenance`` adds ``file`` and ``salt``. The dictionary is checked at once,
+    and a series table built if one is needed; the points come lazily.
     """
     cells = with_file(cells)
-    series = build_series(cells, uids, id_size, broadcast_bytes, compact_bytes)
+    series = names_for(cells, uids, id_size, broadcast_bytes, compact_bytes)
     decoded = raise_errors(decode_cells(cells, series, id_size, only, bounds, strict=True))
     if bounds is None:
         return explode_points(decoded, id_size, provenance)
@@ -170,7 +171,7 @@ def decode_apart(
     """
     spark = cells.sparkSession
     cells = with_file(cells)
-    series = build_series(cells, uids, id_size, broadcast_bytes, compact_bytes)
+    series = names_for(cells, uids, id_size, broadcast_bytes, compact_bytes)
     ranges = 1 if bounds is None else len(bounds) + 1
     decoded = decode_cells(cells, series, id_size, bounds=np.zeros(0, np.int64) if bounds is None else bounds)
     bad = F.col("error").isNotNull()
@@ -193,7 +194,7 @@ def decode_errors(
 ) -> DataFrame:
     """The cells that cannot be decoded: ``file, row_key, version, error``."""
     cells = with_file(cells)
-    series = build_series(cells, uids, id_size, broadcast_bytes, compact_bytes)
+    series = names_for(cells, uids, id_size, broadcast_bytes, compact_bytes)
     return (
         decode_cells(cells, series, id_size)
         .filter(F.col("error").isNotNull())

@@ -1,14 +1,15 @@
-"""The series table: every distinct series of a cell table, with its names.
-
-Names are resolved once per series instead of once per point. The keys and the table are
-written to the shared scratch folder, which keeps the pass over the cells to one
-(columns ``row_key`` and ``family`` only) and makes sizes known before the
-join back to the cells is planned. There are three ways to get the names to the cells:
-
-* the series table is small: it is broadcast;
-* only the id dictionary is: it is broadcast in compact form, and every task names the
-  series it meets;
-* neither is: cells are shuffled once to the series table, crowded series spread out.
+"""Names for the series of cells.
+
+Names are resolved once per series instead of once per point, in one of three ways:
+
+* The id dictionary is sent to every executor in compact form, and every task names the
+  series it meets. Cells are read once and nothing is stored or moved. This is the way
+  while the dictionary's measured size allows it.
+* Beyond that a series table is built, every distinct series with its names. It is
+  written to the shared scratch folder, which keeps the pass over the cells to one
+  (columns ``row_key`` and ``family`` only) and makes its size known before the join
+  back to the cells is planned. A small one is broadcast.
+* A large one is joined by one shuffle of the cells, crowded series spread out.
 """
 
 from __future__ import annotations
@@ -147,30 +148,34 @@ class NamesInTask:
 
 
 def build_series(
-    cells: DataFrame, uids: DataFrame, id_size: int = 4, limit: int = BROADCAST_BYTES, compact: int = COMPACT_BYTES
-) -> SeriesTable | NamesInTask:
-    """Check the dictionary, then build and store the series table of ``cells``, if the names are best had from one."""
+    cells: DataFrame, uids: DataFrame, id_size: int = 4, limit: int = BROADCAST_BYTES, uid_bytes: int | None = None
+) -> SeriesTable:
+    """Build and store the series table of ``cells``, with a checked dictionary of ``uid_bytes``, or after a check."""
     spark = cells.sparkSession
     check_id_size(id_size)
-    uid_bytes = check_dictionary(uids)
-    def named_in_task() -> NamesInTask:
-        return NamesInTask(spark.sparkContext.broadcast(compact_dictionary(uids)), id_size)
-
-    if limit < uid_bytes <= compact:
-        # The series that use such a dictionary are hardly fewer than its entries.
-        return named_in_task()
-    path, seen = scratch_path(spark, "series-keys"), Observation()
+    if uid_bytes is None:
+        uid_bytes = check_dictionary(uids)
     keys = series_keys(cells, id_size)
-    size = F.sum(F.octet_length("series_key") + F.lit(SERIES_BYTES))
-    keys.observe(seen, size.alias("bytes")).write.parquet(path)
-    if uid_bytes <= compact and (seen.get["bytes"] or 0) > limit:
-        return named_in_task()
-    keys = spark.read.schema(keys.schema).parquet(path)
+    if uid_bytes > limit:
+        # The keys are read several times below: once over the cells is enough.
+        path = scratch_path(spark, "series-keys")
+        keys.write.parquet(path)
+        keys = spark.read.schema(keys.schema).parquet(path)
     rows = name_series(keys, uids, id_size, uid_bytes, limit)
     size = f"""{SERIES_BYTES} + octet_length(series_key) + coalesce(octet_length(metric), 0) + coalesce(octet_length(power_sign), 0)
         + aggregate(map_entries(tags), 0, (n, e) -> n + octet_length(e.key) + octet_length(e.value) + 16)"""
     rows = rows.withColumn("_size", F.expr(size))
     path, written = scratch_path(spark, "series"), Observation()
     rows.observe(written, F.sum("_size").alias("bytes")).write.parquet(path)
-    table = SeriesTable(spark.read.schema(rows.schema).parquet(path), written.get["bytes"] or 0, limit)
-    return named_in_task() if table.bytes > limit and uid_bytes <= compact else table
+    return SeriesTable(spark.read.schema(rows.schema).parquet(path), written.get["bytes"] or 0, limit)
+
+
+def names_for(
+    cells: DataFrame, uids: DataFrame, id_size: int = 4, limit: int = BROADCAST_BYTES, compact: int = COMPACT_BYTES
+) -> SeriesTable | NamesInTask:
+    """Check the dictionary, then choose the way by which cells get their names."""
+    check_id_size(id_size)
+    uid_bytes = check_dictionary(uids)
+    if uid_bytes <= compact:
+        return NamesInTask(cells.sparkSession.sparkContext.broadcast(compact_dictionary(uids)), id_size)
+    return build_series(cells, uids, id_size, limit, uid_bytes)

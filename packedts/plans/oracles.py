@@ -95,6 +95,7 @@ ORACLES: dict[str, str] = {
     "decode_points": f"SELECT {_FLAT} FROM ({_POINTS})",
     "decode_id3": f"SELECT {_FLAT} FROM ({_POINTS})",
     "decode_compact_names": f"SELECT {_FLAT} FROM ({_POINTS})",
+    "decode_series_table": f"SELECT {_FLAT} FROM ({_POINTS})",
     "decode_without_broadcast": f"SELECT {_FLAT} FROM ({_POINTS})",
     "decode_float32": f"""
         SELECT metric, lsp_id, time, CAST(CAST(value AS FLOAT) AS DOUBLE) AS value, version, idx FROM ({_POINTS})""",

@@ -139,10 +139,15 @@ def q_decode_id3(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_decode_compact_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same points by the plan for more series than can be broadcast: the dictionary is, in compact form."""
+    """The same points where the dictionary fits in compact form only, and the series table not at all."""
     return _flat(_points(spark, sf_dir, broadcast_bytes=300))
 
 
+def q_decode_series_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same points by a series table that is broadcast."""
+    return _flat(_points(spark, sf_dir, compact_bytes=0))
+
+
 def q_decode_without_broadcast(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same points by the plans for lookup tables too large to broadcast in any form."""
     return _flat(_points(spark, sf_dir, broadcast_bytes=300, compact_bytes=0))

@@ -215,6 +215,9 @@ def test_series_pass_reads_keys_only(spark, archive):
 def test_decode_moves_no_cells(spark, archive):
     points = decode_points(read_cells(spark, archive[0]), read_uids(read_cells(spark, archive[1])))
     plan = points._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and plan.count("FileScan") == 1
+    table = decode_points(read_cells(spark, archive[0]), read_uids(read_cells(spark, archive[1])), compact_bytes=0)
+    plan = table._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan and "SortMergeJoin" not in plan
     assert plan.count("ArrowEvalPython") == 1
 

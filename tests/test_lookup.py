@@ -8,7 +8,7 @@ from packedts.operators.decode import decode_cells, decode_errors, decode_points
 from packedts.operators.dictionary import ENTRY_BYTES, check_dictionary
 from packedts.functions.names import compact_dictionary, name_batch
 from packedts.operators.lookup import lookup
-from packedts.operators.series import NamesInTask, SeriesTable, build_series
+from packedts.operators.series import NamesInTask, SeriesTable, build_series, names_for
 from packedts.schemas import CELLS
 
 # One series holds a third of all cells, and one tag value is in every series.
@@ -32,14 +32,14 @@ def plain(points):
     return sorted((r.version, r.idx, r.value, r.metric, r.lsp_id, tuple(sorted(r.tags.items()))) for r in points.collect())
 
 
-TIERS = [(0, 0), (700, 0), (4000, 0), (0, 1 << 20), (700, 1 << 20), (4200, 1 << 20)]
+TIERS = [(0, 0), (700, 0), (4000, 0), (1 << 20, 0), (0, 1 << 20), (700, 1 << 20), (4200, 1 << 20)]
 
 
 @pytest.mark.parametrize("limit, compact", TIERS)
 def test_every_plan_gives_the_same_points(spark, skewed, limit, compact):
     cells, uids = skewed
     good = cells.filter(F.col("version") < cells.count() - 2)
-    assert isinstance(build_series(good, uids, 4, limit, compact), NamesInTask if compact else SeriesTable)
+    assert isinstance(names_for(good, uids, 4, limit, compact), NamesInTask if compact else SeriesTable)
     assert plain(decode_points(good, uids, broadcast_bytes=limit, compact_bytes=compact)) == plain(decode_points(good, uids))
 
 
@@ -57,7 +57,7 @@ def test_every_plan_finds_the_same_errors(spark, skewed, limit, compact):
 
 def test_predicates_on_names_shrink_the_table(spark, skewed):
     cells, uids = skewed
-    series = build_series(cells, uids, limit=700, compact=0)
+    series = build_series(cells, uids, limit=700)
     one = series.where(F.col("tags")["site"] == "site-3")
     assert one.bytes <= 700 < series.bytes
     for compact in (0, 1 << 20):
@@ -85,7 +85,7 @@ def test_compact_names_move_no_cells(spark, stored):
     path, uids = stored
     points = decode_points(spark.read.schema(CELLS).parquet(path), uids, broadcast_bytes=1000)
     plan = plan_of(points)
-    assert plan.count("FileScan") == 1 and "Exchange" not in plan
+    assert plan.count("FileScan") == 1 and "Exchange" not in plan and "Join" not in plan
     assert points.groupBy(F.col("tags")["site"].alias("s")).count().filter("s = 'site-0'").first()["count"] == 10_000
 
 
@@ -145,7 +145,7 @@ def test_compact_names_follow_the_series_table(spark):
 
 def test_sizes_are_bounded_by_what_is_written(spark, skewed):
     cells, uids = skewed
-    series = build_series(cells, uids, compact=0)
+    series = build_series(cells, uids)
     assert series.bytes == series.rows.agg(F.sum("_size")).first()[0]
     assert series.bytes > 96 * series.rows.count()
     assert check_dictionary(uids) > ENTRY_BYTES * SERIES
