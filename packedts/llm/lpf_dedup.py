@@ -4,12 +4,12 @@
    equal windows share a key and neighbouring windows mostly do, too. Blocks send their keys
    to buckets, which answer with the keys that more than one document holds.
 2. For those keys, blocks send the bytes of each run of windows under one key (a fragment),
-   each different fragment once per block. A bucket sorts the suffixes of its fragments, and
-   from the previous and next smaller documents in suffix order finds for every suffix its
-   longest factor in an earlier document, cut at the window length: suffixes are sorted by
-   `length` bytes and share `length` or nothing, so it is known whether a whole window
-   matches, but never how far a longer factor goes. It answers which windows of a fragment start in an
-   earlier document.
+   each different fragment once per block. A bucket sorts suffixes of its fragments, shares the lengths of
+   the common prefixes of neighbours, and takes from the previous and the next suffix of a smaller document
+   the longest previous factor of each: how many bytes from there on, up to the end of its fragment, also start in
+   an earlier document. A fragment whose first factor reaches its end goes as a whole, so copies are found by
+   the same array; of others the windows go whose factor has at least a window's length.
+   A copy sends only its longest suffix to the order, for its others are those of the first copy.
 3. Blocks remove every byte that such a window covers; the first copy stays.
 
 A key that very many documents hold is split: its windows are filed under the hash of all
@@ -24,6 +24,7 @@ an empty table gives no rows; other columns are ignored.
 from __future__ import annotations
 
 import hashlib
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +37,11 @@ GRAM = 20
 LONGEST_RUN = 64
 HOT = 1024
 PORTION = 200_000
+STRIDE = 64
 LOW = np.uint64(3)
+# by number of bytes kept: a mask of the first ones of a word; the least words of 1 to 8 bytes
+KEPT_BYTES = np.array([0, *(((1 << 8 * k) - 1) << (64 - 8 * k) for k in range(1, 9))], np.uint64)
+BYTE_STEPS = np.array([1 << 8 * k for k in range(8)], np.uint64)
 
 KEYS = "bucket long, block long, keys binary"
 ANSWERS = "block long, keys binary, place binary, least binary, run_place binary, run_from binary, run_to binary"
@@ -52,26 +57,42 @@ def arrow_schema(ddl: str) -> pa.Schema:
 # --- suffix order and longest previous factors ------------------------------------------
 
 
-def suffix_order(data: np.ndarray, at: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """The suffixes that start at the given places in order of their first `length` bytes.
+def suffix_order(data: np.ndarray, at: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The suffixes data[at : at + size] in order of their bytes, a prefix of another before it.
 
-    Also the length of the prefix that each shares with the one before it, of which only
-    whether it reaches `length` matters here: `length` or 0.
+    Also the number of bytes that each shares with the one before it. STRIDE bytes are
+    sorted at a time, after the first time only those of suffixes that are still equal to a neighbour.
+    data goes on for STRIDE bytes of any value behind the last suffix.
     """
-    words = []
-    for lo in range(0, length, 8):
-        word = np.zeros(len(at), np.uint64)
-        for k in range(lo, min(lo + 8, length)):
-            word = word << np.uint64(8) | data[at + k]
-        words.append(word)
-    order = np.lexsort(words[::-1])
-    shared = np.zeros(len(at), np.int64)
-    if len(at) > 1:
-        equal = np.ones(len(at) - 1, bool)
-        for word in words:
-            sorted_word = word[order]
-            equal &= sorted_word[1:] == sorted_word[:-1]
-        shared[1:][equal] = length
+    order, shared = np.arange(len(at)), np.zeros(len(at), np.int64)
+    if not len(at):
+        return order, shared
+    strides = np.lib.stride_tricks.sliding_window_view(data, STRIDE)
+    group, places, depth = np.zeros(len(at), np.int64), np.arange(len(at)), 0
+    while len(places):
+        row = order[places]
+        left = np.clip(size[row] - depth, 0, STRIDE)
+        words = strides[at[row] + depth].view(">u8").astype(np.uint64)
+        words &= KEPT_BYTES[np.clip(left[:, None] - np.arange(0, STRIDE, 8), 0, 8)]
+        by = np.lexsort([size[row], *words.T[::-1], group])
+        row, words = row[by], words[by]
+        order[places] = row
+        together = np.flatnonzero(group[1:] == group[:-1])
+        differ = words[together] ^ words[together + 1]
+        word = (differ != 0).argmax(1)
+        first = differ[np.arange(len(differ)), word]
+        equal = first == 0
+        same = np.where(equal, STRIDE, 8 * word + 8 - np.searchsorted(BYTE_STEPS, first, "right"))
+        depth += STRIDE
+        shared[places[together + 1]] = depth - STRIDE + same
+        # neighbours that are equal so far and both go on
+        more = together[equal & (size[row[together]] > depth) & (size[row[together + 1]] > depth)]
+        tied = np.zeros(len(places) + 1, bool)
+        tied[more + 1] = True
+        stays = tied[:-1] | tied[1:]
+        group = np.cumsum(~tied[:-1])[stays]
+        places = places[stays]
+    shared[1:] = np.minimum(shared[1:], np.minimum(size[order[1:]], size[order[:-1]]))
     return order, shared
 
 
@@ -92,13 +113,14 @@ def _previous_smaller(value: np.ndarray, shared: np.ndarray) -> np.ndarray:
     return reach
 
 
-def longest_previous_factor(order: np.ndarray, shared: np.ndarray, document: np.ndarray) -> np.ndarray:
-    """For each suffix the longest prefix that also starts in a document of smaller number, as far as shared tells.
+def longest_previous_factor(order: np.ndarray, shared: np.ndarray, document: np.ndarray, least: int = 1) -> np.ndarray:
+    """For each suffix the length of its longest prefix that also starts in a document of smaller number.
 
     order and shared come from suffix_order. The match is with the previous or with the next
-    suffix of a smaller document in suffix order, whichever shares more.
+    suffix of a smaller document in suffix order, whichever shares more. Lengths below `least` count as 0.
     """
     value = document[order]
+    shared = np.where(shared < least, 0, shared)
     before = _previous_smaller(value, shared)
     after = _previous_smaller(value[::-1], np.append(shared[1:], 0)[::-1])[::-1] if len(order) else before
     out = np.empty(len(order), np.int64)
@@ -168,6 +190,14 @@ class Runs:
         run, code = run[order], code[order]
         new = np.ones(len(run), bool)
         new[1:] = (self.key[run][1:] != self.key[run][:-1]) | (self.size[run][1:] != self.size[run][:-1]) | (code[1:] != code[:-1])
+        copies = np.flatnonzero(~new)  # held to the bytes of the one before; one that differs stands for itself
+        total = np.cumsum(self.size[run[copies]] + self.length - 1)
+        for lo, hi in pairwise(np.append(np.searchsorted(total, np.arange(0, total[-1], 16 * PORTION)), len(copies)) if len(copies) else ()):
+            if lo < hi:
+                some = run[copies[lo:hi]]
+                size = self.size[some] + self.length - 1
+                unequal = self.data[ranges(self.first[some], size)] != self.data[ranges(self.first[run[copies[lo:hi] - 1]], size)]
+                new[copies[lo:hi]] = np.logical_or.reduceat(unequal, np.cumsum(size) - size)
         return run, np.cumsum(new) - 1, run[new]
 
 
@@ -217,72 +247,80 @@ def weigh_keys(table: pa.Table, hot: int) -> pa.Table:
 
 
 def match_fragments(table: pa.Table, length: int) -> pa.Table:
-    """Answer each block, per fragment, with the least doc_id that has all of it, and the runs
-    of its windows that start in a document before that."""
+    """Answer each block, per fragment, with the doc_id after which it goes, and the runs of
+    its windows that start in an earlier document.
+
+    That doc_id is BEFORE_ALL if an earlier document has all of the fragment, else the one it came with.
+    """
     keys, sizes = joined(table.column("keys"), "<u8")
     if not len(keys):
         return rows_table([], arrow_schema(ANSWERS))
     place, least, size = (joined(table.column(c), t)[0] for c, t in (("place", "<u4"), ("least", "<i8"), ("size", "<u2")))
     row_bytes = np.add.reduceat(size.astype(np.int64), np.cumsum(sizes) - sizes)  # no row is empty
     packed = table.column("bytes").to_pylist()
-    data = np.frombuffer(b"".join(pa.decompress(p, int(n), "zstd", asbytes=True) for p, n in zip(packed, row_bytes)), np.uint8)
+    parts = [pa.decompress(p, int(n), "zstd", asbytes=True) for p, n in zip(packed, row_bytes)]
+    data = np.frombuffer(b"".join([*parts, bytes(STRIDE)]), np.uint8)
+    del packed, parts
     block = np.repeat(table.column("block").to_numpy(), sizes)
-    several, base = keys & np.uint64(1), keys & ~LOW
     size = size.astype(np.int64)
     first = np.cumsum(size) - size
+    base = keys & ~LOW
+    order = np.lexsort((least, byte_hash(data, first, size), size, base))
+    several, place, least, size, first, block, base = (x[order] for x in (keys & np.uint64(1), place, least, size, first, block, base))
     code = byte_hash(data, first, size)
-    order = np.lexsort((least, code, size, base))
     new = np.ones(len(order), bool)
-    for column in (base, size, code):
-        new[1:] &= column[order][1:] == column[order][:-1]
-    new[1:] = ~new[1:]
+    new[1:] = (base[1:] != base[:-1]) | (size[1:] != size[:-1]) | (code[1:] != code[:-1])
     kind = np.cumsum(new) - 1  # the different fragments, in order of key
-    head = order[new]  # of each, the entry of the least doc_id
-    kind_of = np.empty(len(order), np.int64)
-    kind_of[order] = kind
-    earliest = least[head][kind_of]
-
-    # suffixes of the fragments that share their key with a different one; keys are taken in
-    # portions, as windows under different keys never match
-    at = groups(base[head])
-    members = np.diff(np.append(at, len(head)))
-    many = np.flatnonzero(np.repeat(members > 1, members))
-    windows = size[head[many]] - length + 1
-    owner = np.repeat(many, windows)
-    earlier = np.zeros(len(owner), bool)
-    stop = np.cumsum(windows)
-    new_key = np.append(True, base[head[many]][1:] != base[head[many]][:-1])
+    head = np.flatnonzero(new)  # of each, the entry of the least doc_id
+
+    # The suffixes that are ordered: of each different fragment those that start a window, if its
+    # key has others, and of each further copy the longest, which is all of it. A fragment alone
+    # under its key has none. Keys are taken in portions, as windows under different keys never match.
+    at = groups(base)
+    entries = np.diff(np.append(at, len(base)))
+    kinds = np.repeat(np.add.reduceat(new.astype(np.int64), at), entries)
+    suffixes = np.where(new & (kinds > 1), size - length + 1, (np.repeat(entries, entries) > 1).astype(np.int64))
+    stop = np.cumsum(suffixes)
+    start = stop - suffixes
+    owner = np.repeat(np.arange(len(base)), suffixes)
+    factor = np.zeros(len(owner), np.int64)
+    ends = np.append(at[1:], len(base))
     lo = 0
-    while lo < len(many):
-        wanted = int(np.searchsorted(stop, stop[lo] - windows[lo] + PORTION, "right"))
-        ends = lo + 1 + np.flatnonzero(np.append(new_key[lo + 1 :], True))
-        hi = int(ends[max(0, np.searchsorted(ends, wanted, "right") - 1)])
-        part = slice(int(stop[lo] - windows[lo]), int(stop[hi - 1]))
-        suffixes, shared = suffix_order(data, ranges(first[head[many[lo:hi]]], windows[lo:hi]), length)
-        earlier[part] = longest_previous_factor(suffixes, shared, least[head[owner[part]]]) >= length
+    while lo < len(base):
+        wanted = int(np.searchsorted(stop, start[lo] + PORTION, "right"))
+        over = int(np.searchsorted(ends, lo, "right"))  # the key that starts here, and more while they fit
+        hi = int(ends[max(over, int(np.searchsorted(ends, wanted, "right")) - 1)])
+        part = slice(int(start[lo]), int(stop[hi - 1]))
+        begin = ranges(first[lo:hi], suffixes[lo:hi])
+        lengths = (first + size)[owner[part]] - begin
+        factor[part] = longest_previous_factor(*suffix_order(data, begin, lengths), least[owner[part]], length)
         lo = hi
+    some = np.flatnonzero(suffixes)
+    covered = np.zeros(len(base), bool)
+    covered[some] = factor[start[some]] >= size[some]
 
-    # runs of windows with an earlier match, per different fragment
-    inside = np.flatnonzero(earlier)
+    # runs of windows with an earlier match, per different fragment that is not covered
+    inside = np.flatnonzero((factor >= length) & ~covered[owner] & new[owner])
     step = np.ones(len(inside), bool)
     step[1:] = (inside[1:] != inside[:-1] + 1) | (owner[inside][1:] != owner[inside][:-1])
     run_from = inside[step]
     run_to = np.append(inside, -1)[np.flatnonzero(np.append(step[1:], True))] + 1 if len(inside) else inside
-    base_at = np.zeros(len(head), np.int64)
-    base_at[many] = np.cumsum(windows) - windows
-    run_kind = owner[run_from]
+    run_owner = owner[run_from]
+    run_kind = kind[run_owner]
     run_count = np.bincount(run_kind, minlength=len(head))
     run_begin = np.cumsum(run_count) - run_count
+    runs_of = np.where(covered | (least != least[head][kind]), 0, run_count[kind])
 
-    answer = np.flatnonzero((earliest < least) | (several == 1) | (run_count[kind_of] > 0))
+    answer = np.flatnonzero(covered | (several == 1) | (runs_of > 0))
     answer = answer[np.argsort(block[answer], kind="stable")]
-    count = run_count[kind_of[answer]]
-    pick = ranges(run_begin[kind_of[answer]], count)
+    count = runs_of[answer]
+    pick = ranges(run_begin[kind[answer]], count)
     run_block, run_place = np.repeat(block[answer], count), np.repeat(place[answer], count)
-    low = (run_from - base_at[run_kind])[pick].astype("<u4")
-    high = (run_to - base_at[run_kind])[pick].astype("<u4")
+    low = (run_from - start[run_owner])[pick].astype("<u4")
+    high = (run_to - start[run_owner])[pick].astype("<u4")
     runs = {b: cols for b, *cols in dealt(run_block, run_place.astype("<u4"), low, high)}
-    rows = [(b, None, p, e, *runs.get(b, (None,) * 3)) for b, p, e in dealt(block[answer], place[answer], earliest[answer])]
+    after = np.where(covered, BEFORE_ALL, least)[answer]
+    rows = [(b, None, p, e, *runs.get(b, (None,) * 3)) for b, p, e in dealt(block[answer], place[answer], after)]
     return rows_table(rows, arrow_schema(ANSWERS))
 
 
@@ -386,6 +424,7 @@ def remove_repeated_bytes(docs: DataFrame, length: int = 50, layout: Layout | No
 
 
 NO_MATCH = np.iinfo(np.int64).max
+BEFORE_ALL = np.iinfo(np.int64).min
 
 
 def op1_lpf_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,6 +1,7 @@
 """Operators against plain brute-force versions, on small tables with the awkward cases."""
 
 import hashlib
+import os
 import re
 import struct
 import time
@@ -17,7 +18,7 @@ from packedts.llm import toxicity as tox
 from packedts.llm.anchor_dedup import remove_repeated_windows
 from packedts.llm.blocks import Layout
 from packedts.llm.cross_polytope import Hashing, nearest
-from packedts.llm.lpf_dedup import longest_previous_factor, remove_repeated_bytes, suffix_order
+from packedts.llm.lpf_dedup import STRIDE, longest_previous_factor, remove_repeated_bytes, suffix_order
 from packedts.llm.mixing import mix_sources
 from packedts.llm.mtree import top_k
 from packedts.llm.packing import Limits, added_tokens, byte_bpe, op7_packing, pack
@@ -78,15 +79,51 @@ def test_repeated_bytes(docs, rows, hot):
         assert (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) == (len(t), gone.sum(), spans, hashlib.sha256(kept).hexdigest())
 
 
-def test_longest_previous_factor_is_the_longest_earlier_match():
-    data = np.frombuffer(b"abracadabra_abracadabra", np.uint8)
-    at = np.arange(len(data) - 3)
-    document = at // 6
-    order, shared = suffix_order(data, at, 4)
-    found = longest_previous_factor(order, shared, document)
-    for k in at:
-        earlier = any(document[j] < document[k] and bytes(data[j : j + 4]) == bytes(data[k : k + 4]) for j in at)
-        assert (found[k] >= 4) == earlier
+@pytest.mark.parametrize("letters", [1, 2, 3])
+@pytest.mark.parametrize("smallest", [0, 97])
+def test_longest_previous_factor_is_the_longest_earlier_match(letters, smallest):
+    rng = np.random.default_rng(letters)
+    for _ in range(40):
+        n = int(rng.integers(1, 300))
+        data = (smallest + rng.integers(0, letters, n + STRIDE)).astype(np.uint8)
+        at = rng.integers(0, n, int(rng.integers(0, 60)))
+        size = np.array([rng.integers(1, n - a + 1) for a in at], np.int64)
+        document = rng.integers(0, 8, len(at))
+        order, shared = suffix_order(data, at, size)
+        suffixes = [data[a : a + s].tobytes() for a, s in zip(at, size)]
+        assert [suffixes[k] for k in order] == sorted(suffixes)
+        for least in (1, 7):
+            found = longest_previous_factor(order, shared, document, least)
+            for k, suffix in enumerate(suffixes):
+                others = [s for s, d in zip(suffixes, document) if d < document[k]]
+                longest = max((len(os.path.commonprefix([suffix, s])) for s in others), default=0)
+                assert found[k] == (longest if longest >= least else 0)
+
+
+@pytest.mark.parametrize("hot", [2, 1024])
+def test_repeated_bytes_on_small_alphabets(spark, hot):
+    rng = np.random.default_rng(hot)
+    texts = ["".join(rng.choice(["a", "b", "\0"], rng.integers(0, 400), p=[0.49, 0.49, 0.02])) for _ in range(12)]
+    for _ in range(60):  # texts of overlapping parts of others
+        parts = [texts[rng.integers(len(texts))][(lo := int(rng.integers(200))) : lo + int(rng.integers(8, 150))] for _ in range(4)]
+        texts.append("".join(parts))
+    texts += ["ab" * 500, "ba" * 400, "a" * 700, "a" * 300, *texts[20:30]]
+    ids = [*rng.permutation(len(texts) - 6).tolist(), 3, 3, 5, None, None, 0]
+    docs = spark.createDataFrame([(d, t) for d, t in zip(ids, texts)], "doc_id long, text string")
+    first: dict[str, float] = {}
+    place = [float("inf") if d is None else d for d in ids]
+    for d, t in zip(place, texts):
+        for k in range(len(t) - 19):
+            first[t[k : k + 20]] = min(first.get(t[k : k + 20], d), d)
+    want = []
+    for d, t, i in zip(place, texts, ids):
+        gone = np.zeros(len(t), bool)
+        for k in range(len(t) - 19):
+            if first[t[k : k + 20]] < d:
+                gone[k : k + 20] = True
+        want.append((i, len(t), int(gone.sum()), hashlib.sha256("".join(c for c, g in zip(t, gone) if not g).encode()).hexdigest()))
+    found = remove_repeated_bytes(docs, 20, Layout(7, 3), hot).select("doc_id", "n_bytes", "n_removed", "kept_sha256").collect()
+    assert sorted(map(str, map(tuple, found))) == sorted(map(str, want))
 
 
 def test_repeated_windows(docs, rows):
