@@ -24,7 +24,6 @@ an empty table gives no rows; other columns are ignored.
 from __future__ import annotations
 
 import hashlib
-from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -74,7 +73,7 @@ def suffix_order(data: np.ndarray, at: np.ndarray, size: np.ndarray) -> tuple[np
         left = np.clip(size[row] - depth, 0, STRIDE)
         words = strides[at[row] + depth].view(">u8").astype(np.uint64)
         words &= KEPT_BYTES[np.clip(left[:, None] - np.arange(0, STRIDE, 8), 0, 8)]
-        by = np.lexsort([size[row], *words.T[::-1], group])
+        by = np.lexsort([size[row], *words.T[::-1], *([group] if depth else [])])
         row, words = row[by], words[by]
         order[places] = row
         together = np.flatnonzero(group[1:] == group[:-1])
@@ -191,13 +190,7 @@ class Runs:
         new = np.ones(len(run), bool)
         new[1:] = (self.key[run][1:] != self.key[run][:-1]) | (self.size[run][1:] != self.size[run][:-1]) | (code[1:] != code[:-1])
         copies = np.flatnonzero(~new)  # held to the bytes of the one before; one that differs stands for itself
-        total = np.cumsum(self.size[run[copies]] + self.length - 1)
-        for lo, hi in pairwise(np.append(np.searchsorted(total, np.arange(0, total[-1], 16 * PORTION)), len(copies)) if len(copies) else ()):
-            if lo < hi:
-                some = run[copies[lo:hi]]
-                size = self.size[some] + self.length - 1
-                unequal = self.data[ranges(self.first[some], size)] != self.data[ranges(self.first[run[copies[lo:hi] - 1]], size)]
-                new[copies[lo:hi]] = np.logical_or.reduceat(unequal, np.cumsum(size) - size)
+        new[copies] = differing(self.data, self.first[run[copies]], self.first[run[copies - 1]], self.size[run[copies]] + self.length - 1)
         return run, np.cumsum(new) - 1, run[new]
 
 
@@ -208,6 +201,19 @@ def _among(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
     return wanted[np.minimum(np.searchsorted(wanted, keys), len(wanted) - 1)] == keys
 
 
+def differing(data: np.ndarray, a: np.ndarray, b: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Which ranges of bytes from a and from b differ, 8 bytes at a time; every size is 8 or more."""
+    out = np.zeros(len(size), bool)
+    words = np.lib.stride_tricks.sliding_window_view(data, 8) if len(size) else data
+    steps = -(-size // 8)
+    for lo in range(0, len(size), PORTION):
+        n = steps[lo : lo + PORTION]
+        at = np.minimum(8 * ranges(np.zeros(len(n), np.int64), n), np.repeat(size[lo : lo + PORTION] - 8, n))
+        left, right = (words[np.repeat(x[lo : lo + PORTION], n) + at].view(np.uint64)[:, 0] for x in (a, b))
+        out[lo : lo + PORTION] = np.logical_or.reduceat(left != right, np.cumsum(n) - n)
+    return out
+
+
 def byte_hash(data: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndarray:
     """A hash of each range of bytes, from two overlapping halves of their gram hashes' sums."""
     grams = gram_hashes(data, 8)
@@ -265,9 +271,9 @@ def match_fragments(table: pa.Table, length: int) -> pa.Table:
     size = size.astype(np.int64)
     first = np.cumsum(size) - size
     base = keys & ~LOW
-    order = np.lexsort((least, byte_hash(data, first, size), size, base))
-    several, place, least, size, first, block, base = (x[order] for x in (keys & np.uint64(1), place, least, size, first, block, base))
     code = byte_hash(data, first, size)
+    order = np.lexsort((least, code, size, base))
+    several, place, least, size, first, block, base, code = (x[order] for x in (keys & np.uint64(1), place, least, size, first, block, base, code))
     new = np.ones(len(order), bool)
     new[1:] = (base[1:] != base[:-1]) | (size[1:] != size[:-1]) | (code[1:] != code[:-1])
     kind = np.cumsum(new) - 1  # the different fragments, in order of key
