@@ -44,6 +44,9 @@ HEADLINE = (
     "decode_without_broadcast",
     "decode_dense",
     "decode_dense_append",
+    "search_dense",
+    "search_dense_pruned",
+    "search_dense_indexed",
 )
 # Cells of 3600 points, 60 points for each event.
 DENSE = ("decode_dense", "decode_dense_append")

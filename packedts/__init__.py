@@ -6,6 +6,7 @@ from packedts.operators.dedupe import dedupe_points, plan_slices
 from packedts.operators.dictionary import check_dictionary, read_uids
 from packedts.operators.search import find_files
 from packedts.plans.jobs import ConvertOptions, SearchOptions, convert, count, dedupe, search
+from packedts.scratch import scratch_tables
 from packedts.sources.cells import read_cells, read_points
 
 __all__ = [
@@ -26,6 +27,7 @@ __all__ = [
     "read_points",
     "read_uids",
     "row_count",
+    "scratch_tables",
     "search",
     "time_range",
 ]

@@ -17,6 +17,7 @@ from packedts.operators.search import find_files
 from packedts.operators.series import COMPACT_BYTES
 from packedts.operators.timeorder import time_bounds
 from packedts.plans.slicelog import SliceLog
+from packedts.scratch import scratch_tables
 from packedts.sinks.points import append_points, create_table, replace_points
 from packedts.sources.cells import read_cells, read_points
 
@@ -72,31 +73,32 @@ def convert(spark: SparkSession, options: ConvertOptions) -> int | None:
     returns the count.
 
     A bad cell fails the job, unless ``errors_to`` names a folder: then the good cells are imported and
-    the bad ones written there, with file and reason.
+    the bad ones written there, with file and reason. Scratch tables are gone when the job ends.
     """
     if options.dry_run and options.errors_to:
         raise ValueError("a dry run writes nothing, errors neither")
-    cells = read_cells(
-        spark,
-        options.metric_dir,
-        format=options.format,
-        limit_gb=options.limit_gb,
-        bare_names_only=options.bare_names_only,
-    )
-    arranged = not (options.dry_run or options.fanout or options.exact_order)
-    bounds = time_bounds(cells, options.id_size, options.partitions) if arranged else None
-    named = {"bounds": bounds, "broadcast_bytes": options.broadcast_bytes, "compact_bytes": options.compact_bytes}
-    if options.errors_to:
-        points, errors = decode_apart(cells, _uids(spark, options), options.id_size, **named)
-        errors.write.mode("overwrite").parquet(options.errors_to)
-    else:
-        points = decode_points(cells, _uids(spark, options), options.id_size, **named)
-    if options.dry_run:
-        return row_count(points).first()["points"]
-    replace_points(
-        points, options.output_table, fanout=options.fanout, arranged=arranged, partitions=options.partitions
-    )
-    return None
+    with scratch_tables(spark):
+        cells = read_cells(
+            spark,
+            options.metric_dir,
+            format=options.format,
+            limit_gb=options.limit_gb,
+            bare_names_only=options.bare_names_only,
+        )
+        arranged = not (options.dry_run or options.fanout or options.exact_order)
+        bounds = time_bounds(cells, options.id_size, options.partitions) if arranged else None
+        named = {"bounds": bounds, "broadcast_bytes": options.broadcast_bytes, "compact_bytes": options.compact_bytes}
+        if options.errors_to:
+            points, errors = decode_apart(cells, _uids(spark, options), options.id_size, **named)
+            errors.write.mode("overwrite").parquet(options.errors_to)
+        else:
+            points = decode_points(cells, _uids(spark, options), options.id_size, **named)
+        if options.dry_run:
+            return row_count(points).first()["points"]
+        replace_points(
+            points, options.output_table, fanout=options.fanout, arranged=arranged, partitions=options.partitions
+        )
+        return None
 
 
 def search(spark: SparkSession, options: SearchOptions) -> DataFrame:
@@ -146,13 +148,14 @@ def dedupe(
     """
     slices = plan_slices(first, last, step_days)
     if not dry_run:
-        points = read_points(spark, source)
-        progress = SliceLog(spark, log, slices) if log else None
-        create_table(spark, target, if_missing=progress is not None and progress.continues)
-        for number, part in enumerate(slices):
-            found = dedupe_slice(points, part, tie_break)
-            if progress is None:
-                append_points(found, target)
-            elif not progress.is_done(number):
-                progress.write(number, part, found, target)
+        with scratch_tables(spark):
+            points = read_points(spark, source)
+            progress = SliceLog(spark, log, slices) if log else None
+            create_table(spark, target, if_missing=progress is not None and progress.continues)
+            for number, part in enumerate(slices):
+                found = dedupe_slice(points, part, tie_break)
+                if progress is None:
+                    append_points(found, target)
+                elif not progress.is_done(number):
+                    progress.write(number, part, found, target)
     return slice_table(spark, slices)

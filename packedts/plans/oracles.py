@@ -51,6 +51,20 @@ def _dense(step: int) -> str:
         GROUP BY metric, block, event_id"""
 
 
+# Points of the dense cells that the search for a day of one series looks for, and the days with cells in that time.
+_DENSE_CELLS = """
+    SELECT block, min(event_type) AS metric, block % 2 AS lsp_id, TIMESTAMP '2024-01-01' + to_seconds(block * 3600) AS base,
+           strftime(TIMESTAMP '2024-01-01' + to_seconds(block * 3600), '%Y-%m-%d') AS day, max(event_id % 60) * 60 + 59 AS reach
+    FROM (SELECT *, event_id // 60 AS block FROM events) GROUP BY block"""
+_DENSE_SEARCH = f"""
+    SELECT DISTINCT day AS file FROM ({_DENSE_CELLS})
+    WHERE metric = 'click' AND lsp_id = 0
+      AND base <= TIMESTAMP '2024-01-02 03:20:00' AND base + to_seconds(reach) >= TIMESTAMP '2024-01-01 05:10:00'"""
+_DENSE_SKIPS = f"""
+    SELECT count(*) > count(*) FILTER (first <= TIMESTAMP '2024-01-02 03:20:00') AS skips
+    FROM (SELECT day, min(base) AS first FROM ({_DENSE_CELLS}) GROUP BY day)"""
+
+
 # What is wrong with each cell of the damaged table.
 _FAULTS = f"""
     SELECT day AS file, version, CASE version % 10
@@ -131,6 +145,9 @@ ORACLES: dict[str, str] = {
         SELECT min(date_trunc('second', ts)) AS min_time, max(date_trunc('second', ts)) AS max_time FROM events""",
     "header_profile": """
         SELECT count(*) AS points, min(date_trunc('second', ts)) AS min_time, max(date_trunc('second', ts)) AS max_time FROM events""",
+    "search_dense": _DENSE_SEARCH,
+    "search_dense_pruned": _DENSE_SEARCH,
+    "search_dense_indexed": f"SELECT file, skips FROM ({_DENSE_SEARCH}), ({_DENSE_SKIPS})",
     "decode_dense": _dense(60),
     "decode_dense_append": _dense(68),
     "missing_files": "SELECT CAST(0 AS BIGINT) AS cells",

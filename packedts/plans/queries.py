@@ -36,6 +36,7 @@ START, END = "2024-01-05T10:50:00+00:00", "2024-01-08T10:50:00+00:00"
 FIRST_SLICE, LAST_SLICE = "2024-01-05T00:00:00+00:00", "2024-01-25T00:00:00+00:00"
 # The first and the last slices of this plan hold no points.
 PLAN_FIRST, PLAN_LAST = "2023-12-16T00:00:00+00:00", "2024-02-05T00:00:00+00:00"
+DENSE_SEARCH = ("click", 0, "2024-01-01T05:10:00+00:00", "2024-01-02T03:20:00+00:00")
 BUDGET_BYTES = 2_000_000
 
 _stored: dict[tuple[str, str, str], str] = {}
@@ -231,14 +232,40 @@ def q_header_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile.select("points", _ntz("min_time").alias("min_time"), _ntz("max_time").alias("max_time"))
 
 
-def _dense(spark: SparkSession, sf_dir: str, append: bool) -> DataFrame:
-    """Points of cells of 3600 points each, summed up by the event that each minute of them was made from."""
+def _dense_cells(spark: SparkSession, sf_dir: str, append: bool = False) -> DataFrame:
+    """Cells of 3600 points each."""
 
     def write(path: str) -> None:
         fixtures.write_cells(fixtures.dense_cells(fixtures.read_events(spark, sf_dir), append=append), path)
 
-    cells = read_cells(spark, _store(spark, sf_dir, f"cells-dense-{append}", write))
-    points = decode_points(cells, _uids(spark, sf_dir))
+    return read_cells(spark, _store(spark, sf_dir, f"cells-dense-{append}", write))
+
+
+def q_search_dense(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A day of one series of the dense cells, by decoding them all."""
+    files = find_files(_dense_cells(spark, sf_dir), _uids(spark, sf_dir), *DENSE_SEARCH)
+    return files.select(_file_day().alias("file")).distinct()
+
+
+def q_search_dense_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same search, which decodes only cells that can match."""
+    files = find_files(_dense_cells(spark, sf_dir), _uids(spark, sf_dir), *DENSE_SEARCH, prune=True)
+    return files.select(_file_day().alias("file")).distinct()
+
+
+def q_search_dense_indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same search, which opens only files that can match, and whether others stayed closed."""
+    cells, uids = _dense_cells(spark, sf_dir), _uids(spark, sf_dir)
+    index = _store(spark, sf_dir, "index-dense", lambda path: write_index(cells, uids, path))
+    files = candidate_files(spark, index, *DENSE_SEARCH)
+    opened = files.agg((F.sum(F.col("may_match").cast("int")) < F.count("*")).alias("skips"))
+    found = find_files_by_index(spark, index, uids, *DENSE_SEARCH)
+    return found.select(_file_day().alias("file")).distinct().join(F.broadcast(opened))
+
+
+def _dense(spark: SparkSession, sf_dir: str, append: bool) -> DataFrame:
+    """Points of the dense cells, summed up by the event that each minute of them was made from."""
+    points = decode_points(_dense_cells(spark, sf_dir, append), _uids(spark, sf_dir))
     event = F.floor(F.col("version") / fixtures.DENSE_EVENTS) * fixtures.DENSE_EVENTS + F.floor(F.col("idx") / fixtures.DENSE_POINTS)
     return points.groupBy("metric", "lsp_id", event.alias("event_id")).agg(
         F.count("*").alias("points"),

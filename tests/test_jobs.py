@@ -14,7 +14,7 @@ from packedts.operators.series import series_keys
 from packedts.operators.timeorder import minute_histogram, time_bounds
 from packedts.plans.jobs import ConvertOptions, SearchOptions, convert, count, dedupe, search
 from packedts.schemas import POINT_COLUMNS, POINTS
-from packedts.scratch import scratch_path
+from packedts.scratch import scratch_path, scratch_tables
 from packedts.sinks import points as sink
 from packedts.sources.cells import read_cells, read_points
 
@@ -297,3 +297,51 @@ def test_day_transform_catalogs(spark, monkeypatch):
 def test_scratch_follows_the_session(spark):
     assert scratch_path(spark, "x").startswith(spark.sparkContext.getConf().get("spark.checkpoint.dir"))
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
+
+
+def _scratch(spark):
+    from pathlib import Path
+
+    root = Path(spark.sparkContext.getConf().get("spark.checkpoint.dir"))
+    return {p.name for p in root.iterdir()} if root.exists() else set()
+
+
+@pytest.mark.parametrize("options", [{}, {"compact_bytes": 0}, {"compact_bytes": 0, "broadcast_bytes": 0}, {"errors_to": "errors"}, {"dry_run": True}])
+def test_jobs_leave_no_scratch_tables(spark, archive, tmp_path, options):
+    before = _scratch(spark)
+    if "errors_to" in options:
+        options = {"errors_to": str(tmp_path / "errors")}
+    convert(spark, ConvertOptions(*archive, str(tmp_path / "points"), **options))
+    assert _scratch(spark) == before
+    if not options.get("dry_run"):
+        assert read_points(spark, str(tmp_path / "points")).count() == ROWS
+
+
+def test_failed_jobs_leave_no_scratch_tables(spark, tmp_path):
+    before = _scratch(spark)
+    cells_of(spark, [(R4, b"t", "010000", "7b7d", 1), (row_key(), b"t", "00", "05", 2)]).drop("file").write.parquet(str(tmp_path / "cells"))
+    uids_of(spark, []).select(
+        F.col("name").cast("binary").alias("row_key"),
+        F.lit(b"id").alias("family"),
+        F.col("qualifier").cast("binary").alias("qualifier"),
+        F.unhex(F.lpad(F.hex("uid"), 8, "0")).alias("value"),
+        F.lit(1).cast("bigint").alias("version"),
+    ).write.parquet(str(tmp_path / "uids"))
+    with pytest.raises(Exception, match="odd qualifier length"):
+        convert(spark, ConvertOptions(str(tmp_path / "cells"), str(tmp_path / "uids"), str(tmp_path / "points"), compact_bytes=0))
+    assert _scratch(spark) == before
+
+
+def test_scratch_tables_nest(spark):
+    def table(name):
+        path = scratch_path(spark, name)
+        spark.range(3).write.parquet(path)
+        return path.rsplit("/", 1)[1]
+
+    with scratch_tables(spark):
+        outer = table("outer")
+        with scratch_tables(spark):
+            inner = table("inner")
+        assert outer in _scratch(spark) and inner not in _scratch(spark)
+    kept = table("kept")
+    assert outer not in _scratch(spark) and kept in _scratch(spark)
