@@ -16,7 +16,7 @@ from packedts.operators.cellparts import base_seconds, has_key_shape, is_point_f
 from packedts.operators.dictionary import check_dictionary
 from packedts.operators.instants import as_utc
 from packedts.operators.lookup import BROADCAST_BYTES
-from packedts.operators.series import name_series, series_keys
+from packedts.operators.series import ROW_BYTES, SeriesTable, name_series, series_keys
 from packedts.schemas import MAX_OFFSET
 
 # Bits of a file's bitmap: what Spark's bitmap aggregate holds.
@@ -46,18 +46,23 @@ def write_index(cells: DataFrame, uids: DataFrame, path: str, id_size: int = 4,
     """Write the index of a cell table to a folder: row keys and families are read, once for each of its two tables."""
     file_index(cells, id_size).write.mode("overwrite").parquet(f"{path}/files")
     series = name_series(series_keys(cells, id_size), uids, id_size, check_dictionary(uids), limit)
-    series.drop("cells").write.mode("overwrite").parquet(f"{path}/series")
+    series.withColumn("_size", F.expr(ROW_BYTES)).write.mode("overwrite").parquet(f"{path}/series")
 
 
-def candidate_files(
-    spark: SparkSession, path: str, metric: str, lsp_id: int, start: str | datetime, end: str | datetime
-) -> DataFrame:
-    """``file, may_match``: every indexed file, and whether it can hold points of a metric and device in a time range.
+def indexed_series(
+    spark: SparkSession, path: str, metric: str, lsp_id: int, limit: int = BROADCAST_BYTES
+) -> tuple[SeriesTable, list[int]]:
+    """The indexed series of a metric and device with their names, and the bits that stand for them.
 
     At most BITS numbers come to the driver, however many series match.
     """
-    series = spark.read.parquet(f"{path}/series").filter((F.col("metric") == metric) & (F.col("lsp_id") == lsp_id))
-    bits = sorted(r["bit"] for r in series.select(_bit(F.col("series_key")).alias("bit")).distinct().collect())
+    rows = spark.read.parquet(f"{path}/series").filter((F.col("metric") == metric) & (F.col("lsp_id") == lsp_id))
+    found = rows.agg(F.collect_set(_bit(F.col("series_key"))).alias("bits"), F.coalesce(F.sum("_size"), F.lit(0)).alias("bytes")).first()
+    return SeriesTable(rows, found["bytes"], limit), sorted(found["bits"])
+
+
+def files_with(spark: SparkSession, path: str, bits: list[int], start: str | datetime, end: str | datetime) -> DataFrame:
+    """``file, may_match``: every indexed file, and whether it can hold points of series with such bits in a time range."""
     first, last = int(as_utc(start).timestamp()) - MAX_OFFSET, int(as_utc(end).timestamp())
     in_time = (F.col("last_base") >= first) & (F.col("first_base") <= last)
     wanted = F.array(*(F.lit(b) for b in bits)) if bits else F.expr("cast(array() as array<int>)")
@@ -65,3 +70,10 @@ def candidate_files(
     held = F.expr(f"exists(_wanted, b -> (shiftright({byte}, cast(b % 8 as int)) & 1) = 1)")
     files = spark.read.parquet(f"{path}/files").withColumn("_wanted", wanted)
     return files.select("file", (in_time & held).alias("may_match"))
+
+
+def candidate_files(
+    spark: SparkSession, path: str, metric: str, lsp_id: int, start: str | datetime, end: str | datetime
+) -> DataFrame:
+    """``file, may_match``: every indexed file, and whether it can hold points of a metric and device in a time range."""
+    return files_with(spark, path, indexed_series(spark, path, metric, lsp_id)[1], start, end)

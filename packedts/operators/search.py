@@ -12,8 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from packedts.operators.cellparts import base_time_bytes, has_key_shape, metric_id_bytes
-from packedts.operators.decode import decode_points
-from packedts.operators.fileindex import candidate_files
+from packedts.operators.decode import decode_cells, decode_points, explode_points, raise_errors
+from packedts.operators.fileindex import files_with, indexed_series
 from packedts.operators.instants import as_utc, instant
 from packedts.operators.lookup import BROADCAST_BYTES
 from packedts.operators.series import COMPACT_BYTES
@@ -56,6 +56,16 @@ def _four_bytes(seconds: int) -> bytes:
     return min(max(seconds, 0), 2**32 - 1).to_bytes(TIME_BYTES, "big")
 
 
+def _base_range(start: str | datetime, end: str | datetime) -> tuple[bytes, bytes]:
+    """Base times, as they stand in row keys, of cells that can hold points of a time range."""
+    return _four_bytes(math.floor(as_utc(start).timestamp()) - MAX_OFFSET), _four_bytes(math.floor(as_utc(end).timestamp()))
+
+
+def _in_time(start: str | datetime, end: str | datetime, id_size: int) -> Column:
+    first, last = _base_range(start, end)
+    return has_key_shape(id_size) & base_time_bytes(id_size).between(F.lit(first), F.lit(last))
+
+
 def prune_cells(
     cells: DataFrame,
     uids: DataFrame,
@@ -75,9 +85,8 @@ def prune_cells(
     reading the rest. The ids themselves are joined, and broadcast while their counted
     bytes allow it.
     """
-    first = _four_bytes(math.floor(as_utc(start).timestamp()) - MAX_OFFSET)
-    last = _four_bytes(math.floor(as_utc(end).timestamp()))
-    kept = cells.filter(has_key_shape(id_size) & base_time_bytes(id_size).between(F.lit(first), F.lit(last)))
+    first, last = _base_range(start, end)
+    kept = cells.filter(_in_time(start, end, id_size))
     ids = _stored_ids(uids, metric, id_size)
     count, least, largest = ids.agg(F.count("*"), F.min("_metric_id"), F.max("_metric_id")).first()
     if not count:
@@ -128,7 +137,6 @@ def find_files(
 def find_files_by_index(
     spark: SparkSession,
     index: str,
-    uids: DataFrame,
     metric: str,
     lsp_id: int,
     start: str | datetime,
@@ -137,17 +145,17 @@ def find_files_by_index(
     *,
     format: str = "parquet",
     broadcast_bytes: int = BROADCAST_BYTES,
-    compact_bytes: int = COMPACT_BYTES,
 ) -> DataFrame:
     """Distinct files with matching points, of a cell table whose index (``write_index``) lies in a folder.
 
-    Only files that can match are opened, and of those only cells that can are checked. Files and series
-    that came after the index are not seen. The paths of the files to open go through the driver, as in any listing.
+    Only files that can match are opened, and of those only cells that can are decoded and checked. Their
+    names come from the index, so no dictionary is read. Files and series that came after the index are
+    not seen. The paths of the files to open go through the driver, as in any listing.
     """
-    files = [r["file"] for r in candidate_files(spark, index, metric, lsp_id, start, end).filter("may_match").collect()]
+    series, bits = indexed_series(spark, index, metric, lsp_id, broadcast_bytes)
+    files = [r["file"] for r in files_with(spark, index, bits, start, end).filter("may_match").collect()] if bits else []
     if not files:
         return spark.createDataFrame([], "file string")
-    cells = read_cells(spark, files, format=format)
-    return find_files(
-        cells, uids, metric, lsp_id, start, end, id_size, prune=True, broadcast_bytes=broadcast_bytes, compact_bytes=compact_bytes
-    )
+    cells = read_cells(spark, files, format=format).filter(_in_time(start, end, id_size))
+    decoded = raise_errors(decode_cells(cells, series, id_size, F.lit(True)))
+    return files_of(explode_points(decoded, id_size, provenance=True).filter(point_filter(metric, lsp_id, start, end)))

@@ -32,6 +32,8 @@ from packedts.scratch import scratch_path
 COMPACT_BYTES = 256 << 20
 # What a row of the series table takes besides its key and names.
 SERIES_BYTES = 96
+ROW_BYTES = f"""{SERIES_BYTES} + octet_length(series_key) + coalesce(octet_length(metric), 0) + coalesce(octet_length(power_sign), 0)
+    + aggregate(map_entries(tags), 0, (n, e) -> n + octet_length(e.key) + octet_length(e.value) + 16)"""
 
 
 def series_keys(cells: DataFrame, id_size: int) -> DataFrame:
@@ -109,7 +111,7 @@ def name_series(keys: DataFrame, uids: DataFrame, id_size: int, uid_bytes: int,
 
 @dataclass(frozen=True)
 class SeriesTable:
-    """The stored series table and its size."""
+    """A stored series table and its size; ``_size`` has the bytes of each row."""
 
     rows: DataFrame
     bytes: int
@@ -162,9 +164,7 @@ def build_series(
         keys.write.parquet(path)
         keys = spark.read.schema(keys.schema).parquet(path)
     rows = name_series(keys, uids, id_size, uid_bytes, limit)
-    size = f"""{SERIES_BYTES} + octet_length(series_key) + coalesce(octet_length(metric), 0) + coalesce(octet_length(power_sign), 0)
-        + aggregate(map_entries(tags), 0, (n, e) -> n + octet_length(e.key) + octet_length(e.value) + 16)"""
-    rows = rows.withColumn("_size", F.expr(size))
+    rows = rows.withColumn("_size", F.expr(ROW_BYTES))
     path, written = scratch_path(spark, "series"), Observation()
     rows.observe(written, F.sum("_size").alias("bytes")).write.parquet(path)
     return SeriesTable(spark.read.schema(rows.schema).parquet(path), written.get["bytes"] or 0, limit)

@@ -143,19 +143,18 @@ def dedupe(
 
     Each slice is a job of its own: it bounds what is in flight, and the finished
     slices outlive a failure. The target must not exist yet, unless ``log`` names a folder that
-    tells of an earlier run: then that run goes on after its last finished slice. Returns the slice
-    plan; a dry run does nothing else.
+    tells of an earlier run: then that run goes on after its last finished slice. What a broken run may need
+    again stays in the scratch folder. Returns the slice plan; a dry run does nothing else.
     """
     slices = plan_slices(first, last, step_days)
     if not dry_run:
-        with scratch_tables(spark):
-            points = read_points(spark, source)
-            progress = SliceLog(spark, log, slices) if log else None
-            create_table(spark, target, if_missing=progress is not None and progress.continues)
-            for number, part in enumerate(slices):
-                found = dedupe_slice(points, part, tie_break)
-                if progress is None:
-                    append_points(found, target)
-                elif not progress.is_done(number):
-                    progress.write(number, part, found, target)
+        points = read_points(spark, source)
+        progress = SliceLog(spark, log, slices) if log else None
+        create_table(spark, target, if_missing=progress is not None and progress.continues)
+        for number, part in enumerate(slices):
+            found = dedupe_slice(points, part, tie_break)
+            if progress is None:
+                append_points(found, target)
+            elif not progress.is_done(number):
+                progress.write(number, part, found, target)
     return slice_table(spark, slices)

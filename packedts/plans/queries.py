@@ -195,7 +195,7 @@ def _index_path(spark: SparkSession, sf_dir: str) -> str:
 def q_search_files_indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same search by the side table, and whether it left files unopened."""
     index = _index_path(spark, sf_dir)
-    found = find_files_by_index(spark, index, _uids(spark, sf_dir), METRIC, LSP_ID, START, END)
+    found = find_files_by_index(spark, index, METRIC, LSP_ID, START, END)
     files = candidate_files(spark, index, METRIC, LSP_ID, START, END)
     opened = files.agg((F.sum(F.col("may_match").cast("int")) < F.count("*")).alias("skips"))
     return found.select(_file_day().alias("file")).distinct().join(F.broadcast(opened))
@@ -259,7 +259,7 @@ def q_search_dense_indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = _store(spark, sf_dir, "index-dense", lambda path: write_index(cells, uids, path))
     files = candidate_files(spark, index, *DENSE_SEARCH)
     opened = files.agg((F.sum(F.col("may_match").cast("int")) < F.count("*")).alias("skips"))
-    found = find_files_by_index(spark, index, uids, *DENSE_SEARCH)
+    found = find_files_by_index(spark, index, *DENSE_SEARCH)
     return found.select(_file_day().alias("file")).distinct().join(F.broadcast(opened))
 
 

@@ -54,11 +54,13 @@ def test_index_names_every_file_once(spark, many_files):
 def test_search_by_index_opens_few_files(spark, many_files):
     path, uids, index = many_files
     plain = find_files(read_cells(spark, path), uids, "power", 2400, START, END).collect()
-    found = find_files_by_index(spark, index, uids, "power", 2400, START, END).collect()
+    found = find_files_by_index(spark, index, "power", 2400, START, END).collect()
     assert sorted(found) == sorted(plain) and found
+    shuffled = find_files_by_index(spark, index, "power", 2400, START, END, broadcast_bytes=0)
+    assert sorted(shuffled.collect()) == sorted(plain)
     assert opened(spark, index, "power", 2400, START, END) <= len(found) + 1 < FILES
     assert opened(spark, index, "power", 2401, START, END) == opened(spark, index, "other", 2400, START, END) == 0
-    assert find_files_by_index(spark, index, uids, "other", 2400, START, END).collect() == []
+    assert find_files_by_index(spark, index, "other", 2400, START, END).collect() == []
     assert opened(spark, index, "power", 2400, "2031-01-01", "2031-01-02") == 0
 
 
