@@ -244,6 +244,29 @@ def test_packing(docs, rows):
             assert total == limits.tokens or total & (total - 1) == 0
 
 
+@pytest.mark.parametrize("limits, binds", [(Limits(64, 100, 64), "tokens"), (Limits(64, 2, 64), "segments"), (Limits(64, 100, 16), "loss"), (Limits(64, 3, 24), "loss")])
+def test_packing_with_prompts_without_loss(docs, rows, limits, binds):
+    """Every limit holds in every sequence, and the one that is tight is reached."""
+    ids = {d: len(t or "") + 1 for d, t, *_ in rows}  # a token for each character, and the one that ends a document
+    prompts = {d: None if d % 11 == 0 else d * 7 % 90 for d in ids}
+    asked = docs.withColumn("prompt", F.when(F.col("doc_id") % 11 != 0, F.col("doc_id") * 7 % 90))
+    pieces = pack(asked, lambda: lambda text: np.frombuffer(text.encode("utf-32-le"), "<u4").tobytes(), limits, "prompt").collect()
+    held, parts = {}, {}
+    for p in pieces:
+        held.setdefault(p.sequence_id, []).append(p)
+        parts.setdefault(p.doc_id, []).append((p.start, p.length))
+    for d, n in ids.items():
+        spans = sorted(parts[d])
+        assert [a for a, _ in spans] == [sum(k for _, k in spans[:i]) for i in range(len(spans))] and sum(k for _, k in spans) == n
+    used = [
+        (sum(p.length for p in q), len(q), sum(max(0, p.start + p.length - max(p.start, prompts[p.doc_id] or 0)) for p in q))
+        for q in held.values()
+    ]
+    assert all(t <= limits.tokens and s <= limits.segments and loss <= limits.loss_tokens for t, s, loss in used)
+    place = ["tokens", "segments", "loss"].index(binds)
+    assert max(u[place] for u in used) == (limits.tokens, limits.segments, limits.loss_tokens)[place]
+
+
 @pytest.mark.parametrize("text", ["a  b", " a \n b", "\n\n x", "it's  '' 12 ½ é  z", "<|endoftext|> a", "  ", "a\t \n\n b "])
 def test_remembered_pieces_tokenize_alike(text):
     import public_tokenizers
