@@ -279,6 +279,18 @@ def test_remembered_pieces_tokenize_alike(text):
     assert zlib.crc32(tokenize("")) == 0
 
 
+def test_texts_are_encoded_whole(monkeypatch):
+    """One call a text; a call for each different word of it cost more than all of them together."""
+    import public_tokenizers
+    import tiktoken
+
+    encode, calls = tiktoken.Encoding.encode_ordinary, []
+    monkeypatch.setattr(tiktoken.Encoding, "encode_ordinary", lambda self, text: calls.append(text) or encode(self, text))
+    tokenize = byte_bpe(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    tokenize("many different words stand in this text")
+    assert len(calls) == 1
+
+
 ENDED = ["a<|endoftext|> b", "<|endoftext|>", "<|endoftext|><|endoftext|>x", " a  <|endoftext|>  b\n", "a <|endoftext| > <|endoftext|>é", "it's plain  text"]
 
 
