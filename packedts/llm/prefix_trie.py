@@ -7,9 +7,9 @@ stand for equal prefixes. Equal conversations are one string of the trie, under
 The trie is kept compacted: a node is a depth where strings part or end, with the edge that leads
 to it, from its parent's depth to its own. An edge belongs to a string that runs along it, and is looked up by
 its handle, the key at the two-fattest depth on it (the multiple of the highest power of two).
-Strings come in by batches. A fat binary search locates the exit node of each: of the depths left,
-look up the key at the two-fattest one; if a handle matches go on below that node, else above
-that depth. The keys along the exit edge give the depth of the exit. Of the strings that leave at the
+Strings come in by batches. The exit node of each is the deepest one whose handle it meets, the one at which a fat
+binary search ends; as a join answers all lookups at once, all keys of a string are looked up together, not
+step by step. The keys along the exit edge give the depth of the exit. Of the strings that leave at the
 same place with the same turn, one, drawn by hash, goes in; edges are split where strings leave them, and the
 others are located again in the next batch. As the one is drawn, a batch halves what is left of
 a crowded branch on average, so the number of batches grows with the logarithm of the strings.
@@ -108,6 +108,11 @@ def _carried(rows: DataFrame, place: str, totals: list[str], plus) -> DataFrame:
     return joined.drop("part", *names)
 
 
+def _merged(table: DataFrame) -> DataFrame:
+    """A table joined by sorting both sides, however small it is: the many hash tables of small ones would pass the driver."""
+    return table.hint("merge")
+
+
 def _add(a, b):
     return a + b
 
@@ -188,13 +193,13 @@ def rebuilt(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
     convs = (
         lengths.withColumn("base", F.col("conv_id") - F.col("conv_id") % BLOCK)
         .withColumn("h", h)
-        .join(firsts, "base", "left")
+        .join(_merged(firsts), "base", "left")
         .withColumn("borrowed", F.least("h", F.coalesce("base_length", F.lit(0).cast("long"))))
         .withColumn("length", F.col("borrowed") + F.greatest(F.col("own") - F.col("h"), F.lit(0)))
     )
     convs = stored(convs.select("conv_id", "base", "h", "borrowed", "length"), "conversations")
     heads = turns.where(F.col("place") < HEADS).withColumnRenamed("conv_id", "base")
-    borrowed = convs.where("borrowed > 0").join(heads, "base").where("place <= borrowed").select("conv_id", "place", "code", "words")
+    borrowed = convs.where("borrowed > 0").join(_merged(heads), "base").where("place <= borrowed").select("conv_id", "place", "code", "words")
     own = turns.withColumn("h", h).where("place > h")
     # few lack turns to borrow; their own ones move up
     short = convs.where("borrowed < h").select("conv_id", (F.col("h") - F.col("borrowed")).alias("missing"))
@@ -209,7 +214,7 @@ def _looked_up(left: DataFrame, right: DataFrame, on: list[str], spread: str, ho
     """left joined to right, which has one row per key; a key that much of left has is dealt to SALTS tasks by spread."""
     salt = F.pmod(F.xxhash64(spread), F.lit(SALTS))
     salted = right.withColumn("_salt", F.explode(F.array(*(F.lit(s).cast("long") for s in range(SALTS)))))
-    return left.withColumn("_salt", salt).join(salted, [*on, "_salt"], how).drop("_salt")
+    return left.withColumn("_salt", salt).join(_merged(salted), [*on, "_salt"], how).drop("_salt")
 
 
 def two_fattest(a: Column, b: Column) -> Column:
@@ -221,7 +226,7 @@ def two_fattest(a: Column, b: Column) -> Column:
 def _at(rows: DataFrame, paths: DataFrame, depth: Column, name: str) -> DataFrame:
     """rows (string, ...) with the key at a depth of each one's string, as name1 and name2; null beyond its end and at 0."""
     keys = paths.select(F.col("conv_id").alias("string"), F.col("depth").alias("_d"), F.col("h1").alias(f"{name}1"), F.col("h2").alias(f"{name}2"))
-    return rows.withColumn("_d", depth).join(keys, ["string", "_d"], "left").drop("_d")
+    return rows.withColumn("_d", depth).join(_merged(keys), ["string", "_d"], "left").drop("_d")
 
 
 # --- the compacted trie ----------------------------------------------------------------------
@@ -250,30 +255,24 @@ def _sites(nodes: DataFrame, paths: DataFrame) -> DataFrame:
         F.struct(F.lit("handle").alias("kind"), two_fattest(F.col("pe"), F.col("e")).alias("depth")),
     )
     keys = paths.select(F.col("conv_id").alias("y"), "depth", F.col("h1").alias("k1"), F.col("h2").alias("k2"))
-    return nodes.select(*NODE, F.inline(sites)).join(keys, ["y", "depth"]).drop("depth")
+    return nodes.select(*NODE, F.inline(sites)).join(_merged(keys), ["y", "depth"]).drop("depth")
 
 
-def _located(strings: DataFrame, longest: int, paths: DataFrame, sites: DataFrame | None) -> DataFrame:
-    """strings (string, length, h1, h2) with the deepest node whose handle each one meets, by fat binary search.
+def _located(strings: DataFrame, paths: DataFrame, sites: DataFrame | None) -> DataFrame:
+    """strings (string, length, h1, h2) with the deepest node whose handle each one meets.
 
-    Without a node the root is meant: e = 0.
+    That node is where a fat binary search ends. The search would take a join for each of its steps; here all keys of
+    a string are looked up in one. Without a node the root is meant: e = 0.
     """
-    none = F.lit(None).cast("long")
-    state = strings.select("*", F.lit(0).cast("long").alias("a"), F.col("length").alias("b"), *(none.alias(c) for c in NODE))
-    if sites is not None:
-        handles = sites.where("kind = 'handle'").drop("kind").select("k1", "k2", *(F.col(c).alias(f"_{c}") for c in NODE))
-        for _ in range(longest.bit_length() + 1):
-            looking = F.col("a") < F.col("b")
-            state = state.withColumn("f", F.when(looking, two_fattest(F.col("a"), F.col("b"))))
-            state = _looked_up(_at(state, paths, F.col("f"), "k"), handles, ["k1", "k2"], "string")
-            met = F.col("_y").isNotNull()
-            state = state.select(
-                "string", "length", "h1", "h2",
-                F.when(met, F.col("_e")).otherwise(F.col("a")).alias("a"),
-                F.when(looking & ~met, F.col("f") - 1).otherwise(F.col("b")).alias("b"),
-                *(F.when(met, F.col(f"_{c}")).otherwise(F.col(c)).alias(c) for c in NODE),
-            )
-    return state.drop("a", "b").withColumn("e", F.coalesce("e", F.lit(0).cast("long")))
+    zero, none = F.lit(0).cast("long"), F.lit(None).cast("long")
+    if sites is None:
+        return strings.select("*", *((zero if c == "e" else none).alias(c) for c in NODE))
+    handles = sites.where("kind = 'handle'").select("k1", "k2", *NODE)
+    keys = paths.select(F.col("conv_id").alias("string"), "depth", F.col("h1").alias("k1"), F.col("h2").alias("k2"))
+    met = _looked_up(keys, handles, ["k1", "k2"], "string", "inner")
+    deepest = met.groupBy("string").agg(F.max(F.struct("depth", *NODE)).alias("node"))
+    found = strings.join(_merged(deepest), "string", "left")
+    return found.select(*strings.columns, *((F.coalesce("node.e", zero) if c == "e" else F.col(f"node.{c}")).alias(c) for c in NODE))
 
 
 def _exits(located: DataFrame, paths: DataFrame, all_paths: DataFrame, sites: DataFrame | None) -> DataFrame:
@@ -291,7 +290,8 @@ def _exits(located: DataFrame, paths: DataFrame, all_paths: DataFrame, sites: Da
     if sites is None:
         return ended.unionByName(on.select("*", *(none.alias(c) for c in NODE)))
     names = sites.where("kind = 'name'").select(F.col("k1").alias("t1"), F.col("k2").alias("t2"), *NODE)
-    on = _looked_up(on, names, ["t1", "t2"], "string")
+    # stored, as three parts of what follows read it
+    on = stored(_looked_up(on, names, ["t1", "t2"], "string"), "on")
     off = on.where("y IS NULL")
     inside = on.where("y IS NOT NULL").select("string", "length", "h1", "h2", *NODE)
     inside = inside.unionByName(found.where("NOT through").select("string", "length", "h1", "h2", *NODE))
@@ -299,11 +299,11 @@ def _exits(located: DataFrame, paths: DataFrame, all_paths: DataFrame, sites: Da
     mine = paths.select(F.col("conv_id").alias("string"), "depth", F.col("h1").alias("k1"), F.col("h2").alias("k2"))
     its = all_paths.select(F.col("conv_id").alias("y"), "depth", F.col("h1").alias("k1"), F.col("h2").alias("k2"))
     agreed = (
-        inside.select("string", "y", "pe", "e").join(mine, "string").where("depth > pe AND depth <= e")
-        .join(its, ["y", "depth", "k1", "k2"], "left_semi")
+        inside.select("string", "y", "pe", "e").join(_merged(mine), "string").where("depth > pe AND depth <= e")
+        .join(_merged(its), ["y", "depth", "k1", "k2"], "left_semi")
         .groupBy("string").agg(F.count(F.lit(1)).alias("agreed"))
     )
-    inside = inside.join(agreed, "string").withColumn("k", F.col("pe") + F.col("agreed")).drop("agreed")
+    inside = inside.join(_merged(agreed), "string").withColumn("k", F.col("pe") + F.col("agreed")).drop("agreed")
     inside = _at(_at(inside, paths, F.col("k"), "c"), paths, F.col("k") + 1, "t")
     return ended.unionByName(off).unionByName(inside.select(*ended.columns))
 
@@ -316,16 +316,15 @@ def build(classes: DataFrame, all_paths: DataFrame) -> DataFrame:
     open_, sites, batch = classes.where("length > 0"), None, 0
     while True:
         open_ = stored(open_.select("string", "length", "h1", "h2"), "open")
-        longest = open_.agg(F.max("length")).first()[0]
-        if longest is None:
+        if open_.isEmpty():
             return _nodes(points)
-        paths = stored(all_paths.join(open_.select(F.col("string").alias("conv_id")), "conv_id", "left_semi"), "paths")
+        paths = stored(all_paths.join(_merged(open_.select(F.col("string").alias("conv_id"))), "conv_id", "left_semi"), "paths")
         if batch == 0:
             all_paths = paths
-        exits = stored(_exits(_located(open_, longest, paths, sites), paths, all_paths, sites), "exits")
+        exits = stored(_exits(_located(open_, paths, sites), paths, all_paths, sites), "exits")
         leaving = exits.where("t1 IS NOT NULL")
         first = leaving.groupBy("t1", "t2").agg(F.min(F.struct(F.xxhash64("string", F.lit(batch)).alias("draw"), "string")).alias("first"))
-        first = leaving.join(first.select(F.col("first.string").alias("string")), "string", "left_semi")
+        first = leaving.join(_merged(first.select(F.col("first.string").alias("string"))), "string", "left_semi")
         leaves = first.select(
             F.col("string").alias("y"), F.col("k").alias("s"), F.coalesce("c1", zero).alias("s1"), F.coalesce("c2", zero).alias("s2"),
             F.col("length").alias("e"), F.col("h1").alias("x1"), F.col("h2").alias("x2"),
@@ -333,7 +332,7 @@ def build(classes: DataFrame, all_paths: DataFrame) -> DataFrame:
         splits = exits.where("y IS NOT NULL AND k < e").select("y", "s", "s1", "s2", F.col("k").alias("e"), F.col("c1").alias("x1"), F.col("c2").alias("x2"))
         points = stored(points.unionByName(leaves).unionByName(splits.distinct()), "points")
         sites = stored(_sites(_nodes(points), all_paths), "sites")
-        open_ = leaving.join(leaves.select(F.col("y").alias("string")), "string", "left_anti")
+        open_ = leaving.join(_merged(leaves.select(F.col("y").alias("string"))), "string", "left_anti")
         batch += 1
 
 
@@ -352,7 +351,7 @@ def _subtrees(nodes: DataFrame, sums: list[str], least: list[str]) -> DataFrame:
         passed = state.where("j1 IS NOT NULL").groupBy(F.col("j1").alias("x1"), F.col("j2").alias("x2"))
         passed = passed.agg(*(F.sum(c).alias(f"_{c}") for c in sums), *(F.min(c).alias(f"_{c}") for c in least))
         higher = state.where("j1 IS NOT NULL").select(F.col("x1").alias("j1"), F.col("x2").alias("j2"), F.col("j1").alias("_j1"), F.col("j2").alias("_j2"))
-        joined = _looked_up(state.join(passed, ["x1", "x2"], "left"), higher, ["j1", "j2"], "x1")
+        joined = _looked_up(state.join(_merged(passed), ["x1", "x2"], "left"), higher, ["j1", "j2"], "x1")
         state = stored(
             joined.select(
                 "x1", "x2", F.col("_j1").alias("j1"), F.col("_j2").alias("j2"),
@@ -361,7 +360,7 @@ def _subtrees(nodes: DataFrame, sums: list[str], least: list[str]) -> DataFrame:
             ),
             "subtrees",
         )
-    return nodes.drop(*figures).join(state.drop("j1", "j2"), ["x1", "x2"])
+    return nodes.drop(*figures).join(_merged(state.drop("j1", "j2")), ["x1", "x2"])
 
 
 def _digests(members: DataFrame) -> DataFrame:
@@ -400,7 +399,7 @@ def prefix_trie(turns: DataFrame, convs: DataFrame) -> DataFrame:
     """
     zero, none = F.lit(0).cast("long"), F.lit(None).cast("long")
     paths = prefixes(turns)
-    ends = convs.join(paths.select("conv_id", F.col("depth").alias("length"), "h1", "h2"), ["conv_id", "length"], "left")
+    ends = convs.join(_merged(paths.select("conv_id", F.col("depth").alias("length"), "h1", "h2")), ["conv_id", "length"], "left")
     ends = stored(ends.select("conv_id", "length", F.coalesce("h1", zero).alias("h1"), F.coalesce("h2", zero).alias("h2")), "ends")
     classes = ends.groupBy("length", "h1", "h2").agg(F.min("conv_id").alias("string"), F.count(F.lit(1)).alias("n_convs"))
     classes = stored(classes, "classes")
@@ -410,19 +409,19 @@ def prefix_trie(turns: DataFrame, convs: DataFrame) -> DataFrame:
     nodes = nodes.unionByName(root)
     children = nodes.where("p1 IS NOT NULL").groupBy(F.col("p1").alias("x1"), F.col("p2").alias("x2")).agg(F.count(F.lit(1)).alias("n_children"))
     own = classes.select(F.col("h1").alias("x1"), F.col("h2").alias("x2"), F.col("string").alias("conv_id"), "n_convs")
-    nodes = nodes.join(children, ["x1", "x2"], "left").join(own, ["x1", "x2"], "left")
+    nodes = nodes.join(_merged(children), ["x1", "x2"], "left").join(_merged(own), ["x1", "x2"], "left")
     nodes = nodes.fillna(0, ["n_children", "n_convs"]).withColumn("n_leaves", (F.col("n_children") == 0).cast("long"))
     nodes = _subtrees(stored(nodes, "nodes"), ["n_convs", "n_leaves"], ["conv_id"])
     # words from the root to either end of each edge
     words = paths.select(F.col("conv_id").alias("y"), F.col("depth").alias("pe"), F.col("all_words").alias("words_before"))
-    nodes = nodes.join(words, ["y", "pe"], "left").join(words.toDF("y", "e", "words_to"), ["y", "e"], "left").fillna(0, ["words_before", "words_to"])
+    nodes = nodes.join(_merged(words), ["y", "pe"], "left").join(_merged(words.toDF("y", "e", "words_to")), ["y", "e"], "left").fillna(0, ["words_before", "words_to"])
     nodes = nodes.withColumn("saved", (F.col("n_convs") - 1) * (F.col("words_to") - F.col("words_before"))).withColumn("own_saved", F.col("saved"))
     nodes = _subtrees(stored(nodes, "nodes"), ["saved"], [])
     parents = nodes.select(F.col("x1").alias("p1"), F.col("x2").alias("p2"), F.col("conv_id").alias("above"))
     digests = _digests(ends).withColumnsRenamed({"h1": "x1", "h2": "x2"})
-    nodes = _looked_up(nodes, parents, ["p1", "p2"], "x1").join(digests, ["x1", "x2"], "left")
+    nodes = _looked_up(nodes, parents, ["p1", "p2"], "x1").join(_merged(digests), ["x1", "x2"], "left")
     rows = nodes.withColumn("depth", F.explode(F.sequence(F.col("pe") + 1, F.col("e"))))
-    rows = rows.join(paths.select(F.col("conv_id").alias("y"), "depth", "words", "all_words"), ["y", "depth"], "left").fillna(0, ["words", "all_words"])
+    rows = rows.join(_merged(paths.select(F.col("conv_id").alias("y"), "depth", "words", "all_words")), ["y", "depth"], "left").fillna(0, ["words", "all_words"])
     last = F.col("depth") == F.col("e")
     return rows.select(
         "conv_id",

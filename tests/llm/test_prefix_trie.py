@@ -108,6 +108,13 @@ def test_random_tries(spark):
     assert found(trie_of(spark, rows)) == sorted(plain_trie(in_order(rows)), key=lambda r: r[:2])
 
 
+def test_no_hash_tables_pass_the_driver(spark):
+    trie = trie_of(spark, [row for conv, letters in enumerate(["ab", "abc", "b", "abd"]) for row in spelled(conv, letters)])
+    assert len(trie.collect()) == 6
+    plan = trie._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+
+
 def odd_rows():
     rng = np.random.default_rng(2)
     words = ["x", "y z", "", None, "é ü", "\t\n"]
