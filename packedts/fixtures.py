@@ -140,25 +140,25 @@ def dense_cells(events: DataFrame, *, append: bool = False) -> DataFrame:
     Cell b holds the events from 60 b on; it is of the least type among them, of bot b % 2 and of hour b.
     """
     step = 68 if append else DENSE_POINTS  # 59 * 68 + 59 = 4071 fits the 12 offset bits
-    numbered = events.select(
-        F.floor(F.col("event_id") / DENSE_EVENTS).alias("block"),
-        (F.col("event_id") % DENSE_EVENTS).alias("place"),
-        "event_id",
-        "event_type",
-        F.explode(F.sequence(F.lit(0), F.lit(DENSE_POINTS - 1))).alias("k"),
-    )
-    scale = F.element_at(F.array(*(F.lit(s) for s in (1, -100, 10_000, -1_000_000_000))), ((F.col("event_id") + F.col("k")) % 4 + 1).cast("int"))
-    point = F.struct(
-        (F.col("place") * step + F.col("k")).cast("int").alias("offset"),
-        (scale.cast("long") * (F.col("event_id") % 100 + F.col("k"))).cast("double").alias("value"),
-    )
-    groups = numbered.groupBy("block").agg(
-        F.min("event_type").alias("event_type"), F.max("event_id").alias("version"), F.sort_array(F.collect_list(point)).alias("points")
+    scales = F.array(*(F.lit(s) for s in (1, -100, 10_000, -1_000_000_000)))
+
+    def point(event: Column, k: Column) -> Column:
+        scale = F.element_at(scales, ((event + k) % 4 + 1).cast("int"))
+        return F.struct(
+            (event % DENSE_EVENTS * step + k).cast("int").alias("offset"),
+            (scale.cast("long") * (event % 100 + k)).cast("double").alias("value"),
+        )
+
+    # the events of a cell are gathered, not their points, which are many times as large; in structs, as lists drop nulls
+    groups = events.groupBy(F.floor(F.col("event_id") / DENSE_EVENTS).alias("block")).agg(
+        F.min("event_type").alias("event_type"), F.max("event_id").alias("version"), F.collect_list(F.struct("event_id")).alias("events")
     )
+    places = F.sequence(F.lit(0), F.size("events") * DENSE_POINTS - 1)
+    points = F.transform(places, lambda n: point(F.col("events")[F.floor(n / DENSE_POINTS).cast("int")]["event_id"], n % DENSE_POINTS))
     groups = groups.withColumns({"bot": F.col("block") % 2, "hour": F.lit(DENSE_START) + 3600 * F.col("block")})
     return (
         with_metric_ids(groups, events)
-        .withColumn("packed", pack_points(F.col("points"), F.lit(append), "int"))
+        .withColumn("packed", pack_points(F.sort_array(points), F.lit(append), "int"))
         .select(
             row_key(4).alias("row_key"),
             F.lit(POINT_FAMILY).alias("family"),

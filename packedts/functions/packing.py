@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import sys
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -15,6 +16,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 PACK_TYPE = "qualifier binary, value binary"
 APPEND_QUALIFIER = b"\x05\x00\x00"  # fixed value of the format
 INT_TYPES = ((0, ">i1"), (1, ">i2"), (3, ">i4"), (7, ">i8"))  # flag nibble, big-endian type
+# Points are packed in runs of about this many, whose working arrays stay small however large the Arrow batch is.
+CHUNK_POINTS = 1 << 17
 FLOAT_TYPES = {"float32": (11, ">f4"), "float64": (15, ">f8")}
 
 
@@ -70,10 +73,17 @@ def pack_batch(points, is_append, encoding):
 def pack_points(points: Column, is_append: Column, encoding: str = "float64") -> Column:
     """Column struct<qualifier, value> of an array of (offset, value) structs.
 
-    ``encoding`` is float64, float32, or int, which takes the narrowest width.
+    ``encoding`` is float64, float32, or int, which takes the narrowest width. Nondeterministic for the
+    planner, like the point split, so that both byte columns come from one run.
     """
 
-    def pack(points: pa.Array, is_append: pa.Array) -> pa.Array:
-        return pack_batch(points, is_append, encoding)
+    def pack(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for points, is_append in batches:
+            bounds = points.offsets.to_numpy()
+            row = 0
+            while row < len(points):
+                stop = max(row + 1, int(np.searchsorted(bounds, bounds[row] + CHUNK_POINTS, "right")) - 1)
+                yield pack_batch(points.slice(row, stop - row), is_append.slice(row, stop - row), encoding)
+                row = stop
 
-    return F.arrow_udf(pack, PACK_TYPE)(points, is_append)
+    return F.arrow_udf(pack, PACK_TYPE).asNondeterministic()(points, is_append)

@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 from vectors import at, cells_of, row_key, uids_of
 
 from packedts.operators.search import find_files, prune_cells
@@ -110,3 +111,15 @@ def test_many_ids_for_one_name(spark, limit):
     assert [r.file for r in kept.collect()] == ["a"]
     found = find_files(cells, uids, "crowd", 2400, START, END, prune=True, salts=[0])
     assert [r.file for r in found.collect()] == [r.file for r in find_files(cells, uids, "crowd", 2400, START, END).collect()]
+
+
+def test_dense_cells_gather_events_not_points(spark):
+    """What is shuffled for a cell are its 60 events, not their 3600 points; repeated and null ids count as before."""
+    from packedts.fixtures import dense_cells
+    from packedts.operators.counts import count_points
+
+    rows = [(k, "click") for k in range(150)] + [(7, "click"), (None, "view")]
+    cells = dense_cells(spark.createDataFrame(rows, "event_id long, event_type string"))
+    assert "Generate" not in cells._jdf.queryExecution().optimizedPlan().toString()
+    points = count_points(cells.filter("version IS NOT NULL").withColumn("file", F.lit("f")))
+    assert points.first()[0] == 151 * 60
