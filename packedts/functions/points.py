@@ -13,6 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -43,6 +44,9 @@ KNOWN_KINDS = np.isin(np.arange(16), list(POINT_TYPES))
 # Cells are split in runs of about this many value bytes, which keeps the
 # working arrays small however large the Arrow batch is.
 CHUNK_BYTES = 1 << 19
+# What is decoded goes back to the JVM in runs of cells of about this many bytes, so a worker
+# holds the batch it was sent, but never all points of that batch, several times as large.
+OUTPUT_BYTES = 1 << 21
 
 
 def _bytes_and_bounds(column):
@@ -240,8 +244,21 @@ def split_batch_at(qualifier, value, is_append, base, spread, bounds):
     return pa.StructArray.from_arrays([_lists(np.append(0, np.cumsum(per_cell)), pieces), _messages(error)], ["pieces", "error"])
 
 
-def _split(qualifier: pa.Array, value: pa.Array, is_append: pa.Array) -> pa.Array:
-    return split_batch(qualifier, value, is_append)
+def _runs(qualifier: pa.Array, value: pa.Array) -> Iterator[slice]:
+    """Runs of cells with about OUTPUT_BYTES of qualifiers and values each, at least one cell."""
+    sizes = pc.add(*(pc.fill_null(pc.binary_length(c), 0).cast(pa.int64()) for c in (qualifier, value)))
+    ends = np.cumsum(sizes.to_numpy(zero_copy_only=False))
+    row, done = 0, 0
+    while row < len(ends):
+        stop = max(row + 1, int(np.searchsorted(ends, done + OUTPUT_BYTES, "right")))
+        yield slice(row, stop)
+        row, done = stop, ends[stop - 1]
+
+
+def _split(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+    for batch in batches:
+        for run in _runs(batch[0], batch[1]):
+            yield split_batch(*(column[run] for column in batch))
 
 
 def split_points(qualifier: Column, value: Column, is_append: Column) -> Column:
@@ -261,8 +278,10 @@ def split_points_at(qualifier: Column, value: Column, is_append: Column, base: C
     cells out where ranges share a second.
     """
 
-    def split(qualifier: pa.Array, value: pa.Array, is_append: pa.Array, base: pa.Array, spread: pa.Array) -> pa.Array:
-        return split_batch_at(qualifier, value, is_append, base, spread, bounds)
+    def split(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for batch in batches:
+            for run in _runs(batch[0], batch[1]):
+                yield split_batch_at(*(column[run] for column in batch), bounds)
 
     return F.arrow_udf(split, PIECES_TYPE).asNondeterministic()(qualifier, value, is_append, base, spread)
 

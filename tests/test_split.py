@@ -135,6 +135,18 @@ def test_pack_then_split(encoding):
     assert [(c["points"], c["error"]) for c in found] == [(p, None) for p, _ in cells]
 
 
+@pytest.mark.parametrize("cut", [0, 3])
+def test_large_batches_are_split_in_runs(monkeypatch, cut):
+    """A worker holds the points of a run of cells, not those of a whole batch."""
+    monkeypatch.setattr(kernel, "OUTPUT_BYTES", 200)
+    qualifier = pa.array([b"\x05\x00\x00", struct.pack(">H", 16), b"", struct.pack(">HH", 16, 32)] * 50).slice(cut)
+    value = pa.array([struct.pack(">HbHb", 16, 1, 32, 2) * 20, b"\x07", b"", b"\x01\x02\x00"] * 50).slice(cut)
+    flags = pa.array([True, False, False, False] * 50).slice(cut)
+    parts = list(kernel._split(iter([(qualifier, value, flags)])))
+    assert max(map(len, parts)) < 10
+    assert pa.chunked_array(parts).to_pylist() == split_batch(qualifier, value, flags).to_pylist()
+
+
 def test_split_agrees_with_sql_expressions(spark):
     """The same split by SQL functions alone: slow for long cells, but independent."""
     rows = []
